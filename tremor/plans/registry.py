@@ -31,6 +31,7 @@ class Entry:
     # dimensionless columns whose true value may be 0: rounded to ABS_DECIMALS
     # decimals (absolute) instead of significant digits
     absr: Sequence[str] = field(default_factory=tuple)
+    digits: int = DIGITS
 
 
 REGISTRY: dict[str, Entry] = {}
@@ -45,10 +46,10 @@ def sql_sig(expr: str, digits: int = DIGITS) -> str:
     )
 
 
-def rounded_sql(inner: str, dbl: Sequence[str], absr: Sequence[str] = ()) -> str:
+def rounded_sql(inner: str, dbl: Sequence[str], absr: Sequence[str] = (), digits: int = DIGITS) -> str:
     if not dbl:
         return inner
-    repl = ", ".join((f"round({c}, {ABS_DECIMALS}) + 0.0 AS {c}" if c in absr else f"{sql_sig(c)} AS {c}")
+    repl = ", ".join((f"round({c}, {ABS_DECIMALS}) + 0.0 AS {c}" if c in absr else f"{sql_sig(c, digits)} AS {c}")
                      for c in dbl)
     return f"SELECT * REPLACE ({repl}) FROM (\n{inner}\n) AS _q"
 
@@ -66,9 +67,9 @@ def round_doubles(df: DataFrame, digits: int = DIGITS, absr: Sequence[str] = ())
 
 
 def register(name: str, sql: str | None = None, dbl: Sequence[str] = (), note: str = "",
-             absr: Sequence[str] = ()):
+             absr: Sequence[str] = (), digits: int = DIGITS):
     def deco(fn: Callable[[SparkSession, str], DataFrame]):
-        REGISTRY[name] = Entry(name, fn, sql, tuple(dbl), note, tuple(absr))
+        REGISTRY[name] = Entry(name, fn, sql, tuple(dbl), note, tuple(absr), digits)
         return fn
     return deco
 
@@ -76,7 +77,7 @@ def register(name: str, sql: str | None = None, dbl: Sequence[str] = (), note: s
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(e: Entry):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return round_doubles(e.fn(spark, sf_dir), absr=e.absr)
+            return round_doubles(e.fn(spark, sf_dir), digits=e.digits, absr=e.absr)
         run.__name__ = e.name
         run.__doc__ = e.fn.__doc__
         return run
@@ -84,4 +85,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: rounded_sql(e.sql, e.dbl, e.absr) for name, e in REGISTRY.items() if e.sql}
+    return {name: rounded_sql(e.sql, e.dbl, e.absr, e.digits) for name, e in REGISTRY.items() if e.sql}
