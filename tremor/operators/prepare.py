@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tremor.functions import hash_bigint, hash_unit
@@ -84,7 +84,6 @@ def stratified_split(
     if not stratify:
         d = d.withColumn("__all", F.lit(0))
     sizes = d.groupBy(key).agg(F.count(F.lit(1)).alias("__nc"))
-    from pyspark.sql import Window
     w_all = Window.partitionBy(F.lit(0))
     n = F.sum("__nc").over(w_all)
     n_test = F.ceil(F.lit(float(test_size)) * n)
@@ -103,7 +102,6 @@ def stratified_split(
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight n / (k * n_c) per class (k = number of classes)."""
-    from pyspark.sql import Window
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
     w = Window.partitionBy(F.lit(0))
     return c.select(label, "n_c",
@@ -172,3 +170,97 @@ def balanced_counts(before: DataFrame, after: DataFrame, label: str) -> DataFram
 def uniform(cols, seed: int = 42):
     """Re-export of the md5 uniform for callers building repeatable draws."""
     return hash_unit(cols, seed)
+
+
+def _sqdist(a, b):
+    """Squared Euclidean distance of two array<double> columns (left-to-right sum)."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
+
+
+def knn_exact(points: DataFrame, id_col: str, vec: str, k: int) -> DataFrame:
+    """Exact k nearest neighbours (self excluded) of every point: columns
+    ``id, slot (0..k-1), nb_id, dist``; order by (distance, neighbour id).
+
+    No all-pairs join: points are projected on their first principal
+    component (Spark ML PCA; |projection difference| <= distance); the
+    distance to the k-th nearest of the 2k projection neighbours bounds the
+    true k-th distance from above; then only points inside that band of the
+    projection are compared, via an equi-join on projection buckets.
+    """
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector
+    pts = points.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v"))
+    pca = PCA(k=1, inputCol="__vv", outputCol="__pc").fit(pts.withColumn("__vv", array_to_vector("v")))
+    pc = [float(x) for x in pca.pc.toArray()[:, 0]]
+    proj = F.aggregate(F.zip_with(F.col("v"), F.array(*[F.lit(x) for x in pc]), lambda x, y: x * y),
+                       F.lit(0.0), lambda acc, x: acc + x)
+    p = pts.withColumn("p", proj).withColumn("__one", F.lit(1).cast("long"))
+    ranked = prefix_sums(p, [], ["p", "id"], ["__one"], prefix="__r").withColumn(
+        "rk", F.col("__r__one") - 1).drop("__one", "__r__one")
+    # upper bound of the k-th distance from the 2k projection neighbours
+    offs = F.explode(F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0])).alias("off")
+    cand = ranked.select("id", "v", "rk", offs).withColumn("rk2", F.col("rk") + F.col("off"))
+    near = cand.join(ranked.select(F.col("rk").alias("rk2"), F.col("v").alias("v2")), "rk2")
+    w = Window.partitionBy("id").orderBy("d")
+    bound = near.select("id", F.sqrt(_sqdist("v", "v2")).alias("d")) \
+        .withColumn("__n", F.row_number().over(w)).where(F.col("__n") == k) \
+        .select("id", F.col("d").alias("r"))
+    withr = ranked.join(bound, "id")
+    width = withr.agg(F.percentile_approx("r", 0.5).alias("w")).first()["w"] or 0.0
+    width = width if width > 0 else 1.0
+    bucket = F.floor(F.col("p") / F.lit(width)).cast("long")
+    probes = withr.select("id", "v", "p", "r", F.explode(F.sequence(
+        F.floor((F.col("p") - F.col("r")) / F.lit(width)).cast("long"),
+        F.floor((F.col("p") + F.col("r")) / F.lit(width)).cast("long"))).alias("bkt"))
+    targets = ranked.select(F.col("id").alias("nb_id"), F.col("v").alias("nv"), F.col("p").alias("np"),
+                            bucket.alias("bkt"))
+    pairs = probes.join(targets, "bkt").where(
+        (F.col("nb_id") != F.col("id")) & (F.abs(F.col("np") - F.col("p")) <= F.col("r")))
+    dist = pairs.select("id", "nb_id", F.sqrt(_sqdist("v", "nv")).alias("dist"))
+    w2 = Window.partitionBy("id").orderBy("dist", "nb_id")
+    return dist.withColumn("slot", F.row_number().over(w2) - 1).where(F.col("slot") < k) \
+        .select("id", "slot", "nb_id", "dist")
+
+
+def smote(df: DataFrame, label: str, id_col: str, vec: str, k: int = 5, seed: int = 42) -> DataFrame:
+    """Synthetic minority rows x + u * (neighbour - x) until the two
+    classes are equal; k = min(k, n_minority - 1); with k < 1 random
+    oversampling is used instead (the reference's fall-back).
+
+    Synthetic row j takes base point (rank of md5(id) in the minority) and
+    neighbour slot from md5(j, seed) mod (n_min * k), and u from md5(j,
+    seed + 1); the draws come from ``spark.range`` and are joined to the
+    base points and their exact neighbours.  Output: the input rows plus
+    synthetic ones (``synthetic`` true, ``base_id``, ``nb_id``, ``u``).
+    """
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(counts) != 2:
+        raise ValueError("SMOTE needs exactly two classes")
+    (c_min, n_min), (c_maj, n_maj) = sorted(counts.items(), key=lambda t: (t[1], t[0]))
+    kk = min(k, n_min - 1)
+    base = df.select(id_col, label, F.col(vec).cast("array<double>").alias(vec)).withColumns({
+        "synthetic": F.lit(False), "draw": F.lit(None).cast("long"), "base_id": F.lit(None).cast(df.schema[id_col].dataType),
+        "nb_id": F.lit(None).cast(df.schema[id_col].dataType), "u": F.lit(None).cast("double")})
+    need = n_maj - n_min
+    if kk < 1:
+        return oversample_random(df, label, id_col, seed)
+    if need == 0:
+        return base
+    mino = df.where(F.col(label) == F.lit(c_min)).select(F.col(id_col).alias("id"),
+                                                          F.col(vec).cast("array<double>").alias("x"))
+    nn = knn_exact(mino.withColumnRenamed("x", "v"), "id", "v", kk)
+    hr = prefix_sums(mino.withColumn("__one", F.lit(1).cast("long")), [],
+                     [hash_bigint(["id"], seed), "id"], ["__one"], prefix="__r") \
+        .select("id", "x", (F.col("__r__one") - 1).alias("hrank"))
+    spark = df.sparkSession
+    pick = F.pmod(hash_bigint([F.col("draw")], seed), F.lit(n_min * kk))
+    draws = spark.range(need).select(F.col("id").alias("draw")).select(
+        "draw", (pick / F.lit(kk)).cast("long").alias("hrank"), (pick % F.lit(kk)).cast("int").alias("slot"),
+        hash_unit([F.col("draw")], seed + 1).alias("u"))
+    j = draws.join(hr, "hrank").join(nn, ["id", "slot"]).join(
+        mino.select(F.col("id").alias("nb_id"), F.col("x").alias("nbx")), "nb_id")
+    new = F.zip_with(F.col("x"), F.col("nbx"), lambda a, b: a + F.col("u") * (b - a))
+    syn = j.select(F.lit(None).cast(df.schema[id_col].dataType).alias(id_col),
+                   F.lit(c_min).cast(df.schema[label].dataType).alias(label), new.alias(vec),
+                   F.lit(True).alias("synthetic"), "draw", F.col("id").alias("base_id"), "nb_id", "u")
+    return base.unionByName(syn)

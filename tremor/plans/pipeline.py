@@ -1,0 +1,47 @@
+"""End-to-end flow A: raw recording files -> feature table -> prepared splits.
+
+Each step is one of the library's operators; nothing is collected except
+the class counts the oversampler needs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tremor.operators import cleaning, drift, features, prepare
+from tremor.operators.features import CHANNELS
+from tremor.sources.recordings import read_recordings
+
+
+def feature_table(spark: SparkSession, root: str, channels: Sequence[str] = CHANNELS,
+                  target: str = "fault_label") -> DataFrame:
+    """Scan, interpolate (linear, then back / forward fill), summarise each
+    recording into the 10 statistics per channel, add the label from the
+    folder and fill remaining NULLs with the column median."""
+    rec = read_recordings(spark, root, channels)
+    filled = cleaning.fill_gaps(rec, ["file_path"], "sample_idx", list(channels), how="linear")
+    summ = features.recording_summary(filled, ["file_path"], "sample_idx", list(channels))
+    labels = rec.select("file_path", F.col("label").alias(target)).dropDuplicates(["file_path"])
+    table = summ.join(labels, "file_path").drop("n_samples")
+    feats = [c for c in table.columns if c not in ("file_path", target)]
+    return cleaning.impute_median(table, feats)
+
+
+def prepare_splits(table: DataFrame, target: str = "fault_label", id_col: str = "file_path",
+                   method: str = "robust", test_size: float = 0.2, seed: int = 42):
+    """Split first (stratified, exact), fit the scaler on the train part only,
+    balance the train part by random oversampling; returns (train, test, drift)
+    where drift is the report of the scaled train part against the test part."""
+    feats = [c for c in table.columns if c not in (target, id_col)]
+    split = prepare.stratified_split(table, target, id_col, test_size, seed)
+    train = split.where(~F.col("is_test")).drop("is_test")
+    test = split.where(F.col("is_test")).drop("is_test")
+    fitted = prepare.fit_scaler(train, feats, method)
+    train_s = prepare.apply_scaler(train, fitted, feats)
+    test_s = prepare.apply_scaler(test, fitted, feats)
+    report = drift.drift_report(drift.long_samples(train_s, test_s, feats))
+    balanced = prepare.oversample_random(train_s, target, id_col, seed)
+    return balanced, test_s, report

@@ -280,3 +280,45 @@ def q_retrain_trigger(spark, sf_dir):
     rates = monitoring.daily_rates(j, "ts", "predicted_failure", "actual_failure")
     shift = monitoring.psi_by_period(s, "ts", "score", _BASE_END)
     return monitoring.retrain_trigger(rates, shift)
+
+
+# ---------------------------------------------------------------- SMOTE
+
+_H = "CAST('0x' || substr(md5(concat_ws('|', {cols}, '{seed}')), 1, 8) AS BIGINT)"
+_SMOTE_SQL = f"""
+WITH e AS (SELECT vec_id, CAST(label = 5 AS INTEGER) AS y, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+c AS (SELECT y, count(*) AS n FROM e GROUP BY y),
+mn AS (SELECT y AS cmin, n AS nmin FROM c ORDER BY n, y LIMIT 1),
+mj AS (SELECT max(n) AS nmaj FROM c),
+kk AS (SELECT least(5, nmin - 1) AS k, nmin, nmaj - nmin AS need FROM mn, mj),
+m AS (SELECT e.vec_id AS id, e.v AS x FROM e, mn WHERE e.y = mn.cmin),
+d AS (SELECT a.id, b.id AS nb_id,
+        sqrt(list_reduce(list_transform(range(1, len(a.x) + 1), lambda i: (a.x[i] - b.x[i]) * (a.x[i] - b.x[i])),
+                         lambda p, q: p + q)) AS dist
+      FROM m a, m b WHERE a.id <> b.id),
+nn AS (SELECT id, nb_id, row_number() OVER (PARTITION BY id ORDER BY dist, nb_id) - 1 AS slot FROM d),
+hr AS (SELECT id, x, row_number() OVER (ORDER BY {_H.format(cols="CAST(id AS VARCHAR)", seed=42)}, id) - 1 AS hrank FROM m),
+dr0 AS (SELECT unnest(range(need)) AS draw, k, nmin FROM kk),
+dr AS (SELECT draw, {_H.format(cols="CAST(draw AS VARCHAR)", seed=42)} % (nmin * k) AS pick,
+         k, {_H.format(cols="CAST(draw AS VARCHAR)", seed=43)} / 4294967296.0 AS u FROM dr0),
+j AS (SELECT dr.draw, dr.u, hr.id AS base_id, hr.x, nn.nb_id, nb.x AS nbx
+      FROM dr JOIN hr ON hr.hrank = dr.pick // dr.k
+      JOIN nn ON nn.id = hr.id AND nn.slot = dr.pick % dr.k
+      JOIN m nb ON nb.id = nn.nb_id)
+SELECT vec_id, y, list_transform(v, lambda t: round(t, 9)) AS vec, false AS synthetic, CAST(NULL AS BIGINT) AS draw,
+       CAST(NULL AS BIGINT) AS base_id, CAST(NULL AS BIGINT) AS nb_id, CAST(NULL AS DOUBLE) AS u FROM e
+UNION ALL
+SELECT NULL, (SELECT cmin FROM mn),
+       list_transform(range(1, len(x) + 1), lambda i: round(x[i] + u * (nbx[i] - x[i]), 9)),
+       true, draw, base_id, nb_id, u FROM j"""
+
+
+@register("smote", sql=_SMOTE_SQL, dbl=["u"])
+def q_smote(spark, sf_dir):
+    """SMOTE of the embeddings with y = (label = 5), k = 5, exact
+    neighbours without an all-pairs join; the balanced table with synthetic
+    rows (vector elements rounded to 9 decimals)."""
+    e = B.table(spark, sf_dir, "embeddings").select(
+        "vec_id", (F.col("label") == 5).cast("int").alias("y"), F.col("embedding").cast("array<double>").alias("vec"))
+    out = prepare.smote(e, "y", "vec_id", "vec", k=5, seed=42)
+    return out.withColumn("vec", F.transform("vec", lambda t: F.round(t, 9)))
