@@ -32,11 +32,16 @@ def sig(c: Column | str, digits: int = 9) -> Column:
     """Round to ``digits`` significant digits (NULL, 0 and non-finite pass through).
 
     Used to make doubles from two engines hash alike; the oracle SQL spells
-    the same formula.
+    the same formula.  The power of ten is parsed from ``'1E<k>'`` (exact in
+    both engines) and applied by a division for negative exponents, so both
+    sides perform the same correctly rounded IEEE operations.
     """
     col = F.col(c) if isinstance(c, str) else c
-    e = F.floor(F.log10(F.abs(col)))
-    scaled = F.round(col / F.pow(F.lit(10.0), e), digits - 1) * F.pow(F.lit(10.0), e)
+    e = F.floor(F.log10(F.abs(col))).cast("int")
+    p = F.concat(F.lit("1E"), F.abs(e).cast("string")).cast("double")
+    mant = F.when(e >= 0, col / p).otherwise(col * p)
+    r = F.round(mant, digits - 1)
+    scaled = F.when(e >= 0, r * p).otherwise(r / p)
     finite = col.isNotNull() & (col != 0) & ~F.isnan(col) & (F.abs(col) != F.lit(float("inf")))
     return F.when(finite, scaled).otherwise(col)
 

@@ -134,9 +134,11 @@ def _vectors(spark, sf_dir):
 
 def _split(spark, sf_dir):
     d = _vectors(spark, sf_dir)
-    s = prepare.stratified_split(d, "y", "vec_id", 0.2, 42)
-    s = models.prepare_training(s, "y").withColumn("features", array_to_vector("vec"))
-    return s.where(~F.col("is_test")), s.where(F.col("is_test"))
+    s = prepare.stratified_split(d, "y", "vec_id", 0.2, 42).withColumn("features", array_to_vector("vec"))
+    # balanced weights from the training part only
+    train = models.prepare_training(s.where(~F.col("is_test")), "y")
+    test = s.where(F.col("is_test")).withColumn("label", F.col("y").cast("double"))
+    return train, test
 
 
 @register("model_compare", note="Spark ML fits: behaviour checked in tests")

@@ -39,10 +39,12 @@ REGISTRY: dict[str, Entry] = {}
 
 def sql_sig(expr: str, digits: int = DIGITS) -> str:
     """DuckDB spelling of :func:`tremor.functions.sig`."""
-    e = f"floor(log10(abs({expr})))"
+    e = f"CAST(floor(log10(abs({expr}))) AS INTEGER)"
+    p = f"CAST('1E' || CAST(abs({e}) AS VARCHAR) AS DOUBLE)"
     return (
         f"CASE WHEN ({expr}) IS NULL OR ({expr}) = 0 OR isnan({expr}) OR isinf({expr}) THEN ({expr}) "
-        f"ELSE round(({expr}) / power(10.0, {e}), {digits - 1}) * power(10.0, {e}) END"
+        f"WHEN {e} >= 0 THEN round(({expr}) / {p}, {digits - 1}) * {p} "
+        f"ELSE round(({expr}) * {p}, {digits - 1}) / {p} END"
     )
 
 

@@ -35,6 +35,9 @@ def daily_rate_stream(stream: DataFrame, ts: str, pred: str, actual: str, delay:
     """O2 on a stream: daily confusion counts and rates; a day is emitted
     (append mode) when the watermark passes its end."""
     p, a = F.col(pred), F.col(actual)
+    if isinstance(stream.schema[ts].dataType, T.TimestampNTZType):
+        # watermarks need TIMESTAMP; days are cut in the session time zone
+        stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
     g = stream.withWatermark(ts, delay).groupBy(F.window(ts, "1 day").alias("w")).agg(
         F.count(F.when(p & a, 1)).alias("tp"), F.count(F.when(p & ~a, 1)).alias("fp"),
         F.count(F.when(~p & a, 1)).alias("fn"), F.count(F.when(~p & ~a, 1)).alias("tn"))
