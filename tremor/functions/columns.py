@@ -28,19 +28,36 @@ def nan_to_null(c: Column | str) -> Column:
     return F.when(F.isnan(col), F.lit(None).cast("double")).otherwise(col)
 
 
+# exact powers of ten 1e0 .. 1e22 (every one is a double without rounding)
+_POW10 = [float(f"1e{i}") for i in range(23)]
+
+
+def pow10(k: Column) -> Column:
+    """10 ** k for an integer column 0 <= k, exact up to 1e22 (a literal lookup)."""
+    return F.coalesce(F.element_at(F.array(*[F.lit(v) for v in _POW10]), k + 1),
+                      F.pow(F.lit(10.0), k))
+
+
+def round_half_away(c: Column, decimals: int) -> Column:
+    """Round half away from zero with plain double arithmetic (no BigDecimal):
+    sign(x) * floor(|x| * 10^d + 0.5) / 10^d; -0.0 becomes 0.0."""
+    q = F.lit(_POW10[decimals])
+    return F.signum(c) * F.floor(F.abs(c) * q + F.lit(0.5)) / q + F.lit(0.0)
+
+
 def sig(c: Column | str, digits: int = 9) -> Column:
     """Round to ``digits`` significant digits (NULL, 0 and non-finite pass through).
 
     Used to make doubles from two engines hash alike; the oracle SQL spells
-    the same formula.  The power of ten is parsed from ``'1E<k>'`` (exact in
-    both engines) and applied by a division for negative exponents, so both
-    sides perform the same correctly rounded IEEE operations.
+    the same formula.  The power of ten is an exact double from a literal
+    table and is applied by a division for negative exponents, so both sides
+    perform the same correctly rounded IEEE operations.
     """
     col = F.col(c) if isinstance(c, str) else c
     e = F.floor(F.log10(F.abs(col))).cast("int")
-    p = F.concat(F.lit("1E"), F.abs(e).cast("string")).cast("double")
+    p = pow10(F.abs(e))
     mant = F.when(e >= 0, col / p).otherwise(col * p)
-    r = F.round(mant, digits - 1)
+    r = round_half_away(mant, digits - 1)
     scaled = F.when(e >= 0, r * p).otherwise(r / p)
     finite = col.isNotNull() & (col != 0) & ~F.isnan(col) & (F.abs(col) != F.lit(float("inf")))
     return F.when(finite, scaled).otherwise(col)

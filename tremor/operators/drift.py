@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tremor.operators.cleaning import unpivot
 from tremor.operators.ordering import prefix_sums
-from tremor.operators.stats import bin_index
+from tremor.operators.stats import with_bin
 
 # PSI status limits (> 0.2 Major, > 0.1 Moderate, else Stable),
 # alert level p < 0.05, bins 10 (PSI) and 20 (JS), smoothing 1e-6, 4-decimal report.
@@ -68,6 +68,8 @@ def ks_pvalue_exact(d: float, n1: int, n2: int) -> float:
     path of n1 right and n2 up steps is tracked along anti-diagonals with
     transition probabilities (each path equally likely); the probability of
     staying strictly inside |i/n1 - j/n2| < d is accumulated, p = 1 - that.
+    Only the cells inside that band are visited on each diagonal (integer
+    bounds), so the work is about (n1 + n2) * d * n2 instead of n1 * n2.
     """
     if n1 <= 0 or n2 <= 0:
         return float("nan")
@@ -79,30 +81,29 @@ def ks_pvalue_exact(d: float, n1: int, n2: int) -> float:
     # inside <=> |i * n2 - j * n1| < h * g  (integers)
     lim = h * g
     m, n = n1, n2
-    # prob[j] for the current diagonal s = i + j, over j in [0, n]
-    prob = np.zeros(n + 1)
-    prob[0] = 1.0
-    jj = np.arange(n + 1)
-    for s in range(1, m + n + 1):
-        new = np.zeros(n + 1)
-        jlo, jhi = max(0, s - m), min(n, s)
-        j = jj[jlo:jhi + 1]
+    tot = m + n
+    # band values of the previous diagonal: prev[j - plo] for j in [plo, phi]
+    prev = np.ones(1)
+    plo, phi = 0, 0
+    for s in range(1, tot + 1):
+        # j on diagonal s with |s * n - j * (m + n)| < lim, and 0 <= i = s - j <= m
+        jlo = max(max(0, s - m), (s * n - lim) // tot + 1)
+        jhi = min(min(n, s), -((-(s * n + lim)) // tot) - 1)
+        if jlo > jhi:
+            return 1.0
+        j = np.arange(jlo, jhi + 1)
         i = s - j
-        # from (i-1, j): step in the first sample
-        a = np.zeros(len(j))
-        ok = i - 1 >= 0
+        val = np.zeros(len(j))
+        # from (i - 1, j): a step in the first sample (previous diagonal, same j)
+        ok = (i >= 1) & (j >= plo) & (j <= phi)
         ip, jp = i[ok] - 1, j[ok]
-        a[ok] = prob[jp] * (m - ip) / ((m - ip) + (n - jp))
-        # from (i, j-1): step in the second sample
-        b = np.zeros(len(j))
-        ok2 = j - 1 >= 0
+        val[ok] += prev[jp - plo] * (m - ip) / (tot - ip - jp)
+        # from (i, j - 1): a step in the second sample
+        ok2 = (j >= 1) & (j - 1 >= plo) & (j - 1 <= phi)
         ip2, jp2 = i[ok2], j[ok2] - 1
-        b[ok2] = prob[jp2] * (n - jp2) / ((m - ip2) + (n - jp2))
-        val = a + b
-        val[np.abs(i * n - j * m) >= lim] = 0.0
-        new[jlo:jhi + 1] = val
-        prob = new
-    inside = prob[n]
+        val[ok2] += prev[jp2 - plo] * (n - jp2) / (tot - ip2 - jp2)
+        prev, plo, phi = val, jlo, jhi
+    inside = prev[n - plo] if plo <= n <= phi else 0.0
     return float(min(1.0, max(0.0, 1.0 - inside)))
 
 
@@ -135,13 +136,15 @@ def ks_test(long: DataFrame) -> DataFrame:
     have at most 10,000 values, else the Kolmogorov series).  The UDF sees
     one row per feature."""
     ks = ks_statistic(long)
-    return ks.withColumn("p_value", ks_pvalue_udf("ks_stat", "n_base", "n_current"))
+    # one feature per task: the exact p-values of many features run in parallel
+    n = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return ks.repartition(n, "feature").withColumn("p_value", ks_pvalue_udf("ks_stat", "n_base", "n_current"))
 
 
 def _grid_counts(long: DataFrame, rng: DataFrame, bins: int) -> DataFrame:
     """Counts per (feature, bin) of each side over a full bin grid."""
-    binned = long.join(F.broadcast(rng), "feature").select(
-        "feature", "side", bin_index(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"))
+    binned = with_bin(long.join(F.broadcast(rng), "feature"), "value", "lo", "hi", bins).select(
+        "feature", "side", "bin")
     counts = binned.where(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(
         F.count(F.when(F.col("side") == 0, 1)).alias("b"),
         F.count(F.when(F.col("side") == 1, 1)).alias("c"),
@@ -247,8 +250,8 @@ def mutual_information(df: DataFrame, cols: Sequence[str], label: str, bins: int
                                       F.count(F.lit(1)).alias("n"))
     lo, hi = _widen(F.col("mn"), F.col("mx"))
     rng = rng.select("feature", "n", lo.alias("lo"), hi.alias("hi"))
-    b = long.join(F.broadcast(rng), "feature").select(
-        "feature", label, "n", bin_index(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"))
+    b = with_bin(long.join(F.broadcast(rng), "feature"), "value", "lo", "hi", bins).select(
+        "feature", label, "n", "bin")
     joint = b.groupBy("feature", "bin", label).agg(F.count(F.lit(1)).alias("nxy"), F.max("n").alias("n"))
     px = joint.groupBy("feature", "bin").agg(F.sum("nxy").alias("nx"))
     py = joint.groupBy("feature", label).agg(F.sum("nxy").alias("ny"))

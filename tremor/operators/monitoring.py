@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tremor.operators.drift import PSI_EPS, _widen
 from tremor.operators.metrics import _ratio
-from tremor.operators.stats import bin_index
+from tremor.operators.stats import with_bin
 
 # Recall floor 0.80 for alerts, PSI 0.2 for a distribution shift.
 RECALL_FLOOR = 0.80
@@ -57,11 +57,10 @@ def psi_by_period(df: DataFrame, ts: str, score: str, base_end: str, bins: int =
     lo, hi = _widen(F.col("mn"), F.col("mx"))
     rng = rng.select(lo.alias("lo"), hi.alias("hi"), "n0")
     one = F.broadcast(rng)
-    bb = base.join(one, how="cross").select(bin_index(F.col(score), F.col("lo"), F.col("hi"), bins).alias("bin"))
+    bb = with_bin(base.join(one, how="cross"), score, "lo", "hi", bins).select("bin")
     bcount = bb.where(F.col("bin").isNotNull()).groupBy("bin").agg(F.count(F.lit(1)).alias("b"))
-    cc = cur.join(one, how="cross").select(
-        F.window(ts, period).start.alias("day"),
-        bin_index(F.col(score), F.col("lo"), F.col("hi"), bins).alias("bin"))
+    cc = with_bin(cur.join(one, how="cross"), score, "lo", "hi", bins).select(
+        F.window(ts, period).start.alias("day"), "bin")
     days = cc.groupBy("day").agg(F.count(F.lit(1)).alias("n1"))
     ccount = cc.where(F.col("bin").isNotNull()).groupBy("day", "bin").agg(F.count(F.lit(1)).alias("c"))
     grid = days.join(one, how="cross").select("day", "n1", "n0",

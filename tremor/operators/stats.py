@@ -124,24 +124,30 @@ def clip_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     ])
 
 
-def bin_index(x, lo, hi, bins: int):
-    """NumPy ``histogram`` bin of ``x`` for ``bins`` equal bins over [lo, hi]
-    (edges ``lo + i * (hi - lo) / bins``, last bin closed); NULL outside.
-
-    The float index is corrected against the actual edges, as NumPy does, so
-    values on an edge land where NumPy puts them.
+def with_bin(df: DataFrame, x: str, lo: str, hi: str, bins: int, name: str = "bin") -> DataFrame:
+    """Adds the NumPy ``histogram`` bin of column ``x`` for ``bins`` equal bins
+    over [lo, hi] (edges ``lo + i * (hi - lo) / bins``, last bin closed);
+    NULL outside.
+
+    The float index is computed once (its own projection) and then corrected
+    against the actual edges, as NumPy does, so values on an edge land where
+    NumPy puts them.
     """
-    width = (hi - lo) / F.lit(float(bins))
+    xx, lc, hc = F.col(x), F.col(lo), F.col(hi)
+    width = (hc - lc) / F.lit(float(bins))
+    raw = F.floor((xx - lc) * F.try_divide(F.lit(float(bins)), hc - lc)).cast("int")
+    d = df.withColumn("__k", F.least(raw, F.lit(bins - 1)))
+    k = F.col("__k")
 
     def edge(i):
-        return F.when(i == bins, hi).otherwise(lo + i.cast("double") * width)
+        return F.when(i >= bins, hc).otherwise(lc + i.cast("double") * width)
 
-    raw = F.floor((x - lo) * F.try_divide(F.lit(float(bins)), hi - lo)).cast("int")
-    i0 = F.when(raw >= bins, F.lit(bins - 1)).otherwise(raw)
-    i1 = F.when(x < edge(i0), i0 - 1).otherwise(i0)
-    i2 = F.when((x >= edge(i1 + 1)) & (i1 != bins - 1), i1 + 1).otherwise(i1)
-    inside = (x >= lo) & (x <= hi)
-    return F.when(inside, i2)
+    inside = (xx >= lc) & (xx <= hc)
+    b = (F.when(~inside, F.lit(None).cast("int"))
+         .when(xx < edge(k), k - 1)
+         .when((k != bins - 1) & (xx >= edge(k + 1)), k + 1)
+         .otherwise(k))
+    return d.withColumn(name, b).drop("__k")
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
@@ -154,8 +160,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     rng = rng.select("feature", "n",
                      F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
                      F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"))
-    binned = long.join(F.broadcast(rng), "feature").select(
-        "feature", bin_index(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"))
+    binned = with_bin(long.join(F.broadcast(rng), "feature"), "value", "lo", "hi", bins).select("feature", "bin")
     counts = binned.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("count"))
     grid = rng.select("feature", "n", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))

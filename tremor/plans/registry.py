@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremor.functions import sig
+from tremor.functions.columns import round_half_away
 
 DIGITS = 9
 ABS_DECIMALS = 9
@@ -37,21 +38,30 @@ class Entry:
 REGISTRY: dict[str, Entry] = {}
 
 
+_POW10_SQL = "[" + ", ".join(f"1e{i}" for i in range(23)) + "]"
+
+
+def sql_round(expr: str, decimals: int) -> str:
+    """DuckDB spelling of :func:`tremor.functions.columns.round_half_away`."""
+    q = f"1e{decimals}"
+    return f"(sign({expr}) * floor(abs({expr}) * {q} + 0.5) / {q} + 0.0)"
+
+
 def sql_sig(expr: str, digits: int = DIGITS) -> str:
     """DuckDB spelling of :func:`tremor.functions.sig`."""
     e = f"CAST(floor(log10(abs({expr}))) AS INTEGER)"
-    p = f"CAST('1E' || CAST(abs({e}) AS VARCHAR) AS DOUBLE)"
+    p = f"coalesce(CAST({_POW10_SQL} AS DOUBLE[])[abs({e}) + 1], power(10.0, abs({e})))"
     return (
         f"CASE WHEN ({expr}) IS NULL OR ({expr}) = 0 OR isnan({expr}) OR isinf({expr}) THEN ({expr}) "
-        f"WHEN {e} >= 0 THEN round(({expr}) / {p}, {digits - 1}) * {p} "
-        f"ELSE round(({expr}) * {p}, {digits - 1}) / {p} END"
+        f"WHEN {e} >= 0 THEN {sql_round(f'({expr}) / {p}', digits - 1)} * {p} "
+        f"ELSE {sql_round(f'({expr}) * {p}', digits - 1)} / {p} END"
     )
 
 
 def rounded_sql(inner: str, dbl: Sequence[str], absr: Sequence[str] = (), digits: int = DIGITS) -> str:
     if not dbl:
         return inner
-    repl = ", ".join((f"round({c}, {ABS_DECIMALS}) + 0.0 AS {c}" if c in absr else f"{sql_sig(c, digits)} AS {c}")
+    repl = ", ".join((f"{sql_round(c, ABS_DECIMALS)} AS {c}" if c in absr else f"{sql_sig(c, digits)} AS {c}")
                      for c in dbl)
     return f"SELECT * REPLACE ({repl}) FROM (\n{inner}\n) AS _q"
 
@@ -60,7 +70,7 @@ def round_doubles(df: DataFrame, digits: int = DIGITS, absr: Sequence[str] = ())
     out = []
     for f in df.schema.fields:
         if f.name in absr:
-            out.append((F.round(df[f.name].cast("double"), ABS_DECIMALS) + F.lit(0.0)).alias(f.name))
+            out.append(round_half_away(df[f.name].cast("double"), ABS_DECIMALS).alias(f.name))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             out.append(sig(df[f.name].cast("double"), digits).alias(f.name))
         else:
