@@ -101,12 +101,13 @@ def impute_median(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ())
     """P5: NULL -> the column median (over the whole table, or per ``keys``).
 
     Exact median (SimpleImputer / pandas), not ``Imputer``'s approximation.
-    The one-row (or per-key) medians table is tiny and broadcast.
+    The one-row medians table is broadcast; a per-key table is joined
+    normally (AQE broadcasts it at run time when it is small).
     """
     med = column_medians(df, cols, keys).select(
         *keys, *[F.col(c).alias(f"__med_{c}") for c in cols]
     )
-    joined = df.join(F.broadcast(med), on=list(keys), how="left") if keys else df.crossJoin(F.broadcast(med))
+    joined = df.join(med, on=list(keys), how="left") if keys else df.crossJoin(F.broadcast(med.limit(1)))
     return joined.select(
         *[F.coalesce(F.col(c), F.col(f"__med_{c}")).alias(c) if c in cols else F.col(c)
           for c in df.columns]

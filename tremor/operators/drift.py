@@ -143,7 +143,9 @@ def ks_test(long: DataFrame) -> DataFrame:
 
 def _grid_counts(long: DataFrame, rng: DataFrame, bins: int) -> DataFrame:
     """Counts per (feature, bin) of each side over a full bin grid."""
-    binned = with_bin(long.join(F.broadcast(rng), "feature"), "value", "lo", "hi", bins).select(
+    # one row per feature; the number of features comes from the data, so
+    # the join is left to AQE, which broadcasts it when it is small
+    binned = with_bin(long.join(rng, "feature"), "value", "lo", "hi", bins).select(
         "feature", "side", "bin")
     counts = binned.where(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(
         F.count(F.when(F.col("side") == 0, 1)).alias("b"),
@@ -216,7 +218,7 @@ def drift_report(long: DataFrame, min_values: int = 5, digits: int = 4) -> DataF
     feature present in both samples with at least ``min_values`` values each;
     numbers rounded to ``digits`` decimals (status uses the unrounded PSI)."""
     sz = _sizes(long).where((F.col("n0") >= min_values) & (F.col("n1") >= min_values)).select("feature")
-    kept = long.join(F.broadcast(sz), "feature", "left_semi")
+    kept = long.join(sz, "feature", "left_semi")
     ks = ks_test(kept)
     ps = psi(kept)
     js = js_distance(kept)

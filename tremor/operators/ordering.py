@@ -45,6 +45,47 @@ def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def _local_running_sums(keys: list[str], sums: list[str]):
+    """mapInPandas body: running sums per key inside one partition whose rows
+    are sorted by (keys, order); a key may continue from one Arrow batch into
+    the next, so the last running values are carried over."""
+    import numpy as np
+    import pandas as pd
+
+    def same(a, b):
+        return all((pd.isna(x) and pd.isna(y)) or x == y for x, y in zip(a, b))
+
+    def run(batches):
+        carry_key, carry = None, None
+        for pdf in batches:
+            if pdf.empty:
+                for c in sums:
+                    pdf[f"__l_{c}"] = pdf[c]
+                yield pdf
+                continue
+            if keys:
+                run_sums = pdf.groupby(keys, sort=False, dropna=False)[sums].cumsum()
+                kv = pdf[keys].to_numpy(dtype=object)
+            else:
+                run_sums = pdf[sums].cumsum()
+                kv = np.empty((len(pdf), 0), dtype=object)
+            if carry is not None:
+                # rows of the carried key form a prefix of this sorted batch
+                n_pre = 0
+                while n_pre < len(pdf) and same(kv[n_pre], carry_key):
+                    n_pre += 1
+                if n_pre:
+                    for c in sums:
+                        run_sums.iloc[:n_pre, run_sums.columns.get_loc(c)] += carry[c]
+            for c in sums:
+                pdf[f"__l_{c}"] = run_sums[c].to_numpy()
+            carry_key = tuple(kv[-1])
+            carry = {c: run_sums[c].iloc[-1] for c in sums}
+            yield pdf
+
+    return run
+
+
 def prefix_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -54,53 +95,69 @@ def prefix_sums(
     total_prefix: str | None = None,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Inclusive running sums of ``sums`` per ``keys`` in ``order``.
+    """Inclusive running sums of ``sums`` (non-null numeric columns) per
+    ``keys`` in ``order``.
 
     ``order`` should make rows unique inside a key (pre-aggregate ties first,
     or add a unique id).  With ``total_prefix`` the key totals are added too.
-    Shuffles: one range exchange (materialised by a checkpoint), one
-    exchange on (piece, key); the totals and offsets tables have one row per
-    piece and are small.
+
+    Plan: one range exchange by ``(keys, order)``, sorted inside partitions
+    and materialised by a checkpoint (piece ids must not change between the
+    two reads below).  Running sums inside each partition come from a
+    ``mapInPandas`` pass (no further shuffle).  Only a key that crosses a
+    partition boundary needs an offset; range partitioning lets at most one
+    key cross each boundary, so the offsets table has at most about two rows
+    per partition and is broadcast with that bound.
     """
-    keys = list(keys)
+    from pyspark.sql import types as T
+
+    keys, sums = list(keys), list(sums)
     order_cols = _as_cols(order)
     n = _num_partitions(df, num_partitions)
-    # Range bounds are sampled per exchange, so two reads of an unmaterialised
-    # range exchange may cut pieces differently.  Piece ids are fixed once by
-    # a reliable checkpoint (shared checkpoint folder), which also cuts lineage.
+    sort_cols = [F.col(k) for k in keys] + order_cols
     ranged = cut_lineage(
-        df.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols).withColumn(
-            _PID, F.spark_partition_id()
-        )
+        df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+        .withColumn(_PID, F.spark_partition_id())
     )
 
-    w_local = (
-        Window.partitionBy(_PID, *keys)
-        .orderBy(*order_cols)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = ranged.select(
-        "*", *[F.sum(c).over(w_local).alias(f"__l_{c}") for c in sums]
+    out_schema = T.StructType(
+        list(ranged.schema.fields)
+        + [T.StructField(f"__l_{c}", ranged.schema[c].dataType, True) for c in sums]
     )
+    local = ranged.mapInPandas(_local_running_sums(keys, sums), out_schema)
 
+    # offsets only for keys present in more than one partition (<= n of them)
     totals = ranged.groupBy(_PID, *keys).agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
+    w_key = Window.partitionBy(*keys)
+    split = totals.withColumn("__pieces", F.count(F.lit(1)).over(w_key)).where(F.col("__pieces") > 1)
     w_before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*keys)
-    off_cols = [F.coalesce(F.sum(f"__t_{c}").over(w_before), F.lit(0)).alias(f"__o_{c}") for c in sums]
-    if total_prefix:
-        off_cols += [F.sum(f"__t_{c}").over(w_all).alias(f"{total_prefix}{c}") for c in sums]
-    offsets = totals.select(_PID, *keys, *off_cols)
-
-    joined = local.join(offsets, on=[_PID, *keys], how="inner")
-    out_cols = [c for c in df.columns]
+    offsets = split.select(
+        _PID, *keys,
+        *[F.coalesce(F.sum(f"__t_{c}").over(w_before), F.lit(0)).alias(f"__o_{c}") for c in sums],
+    )
+    joined = local.join(F.broadcast(offsets), on=_null_safe_keys(local, offsets, [_PID, *keys]), how="left")
     result = joined.select(
-        *out_cols,
-        *[(F.col(f"__l_{c}") + F.col(f"__o_{c}")).alias(f"{prefix}{c}") for c in sums],
-        *([F.col(f"{total_prefix}{c}") for c in sums] if total_prefix else []),
+        *[local[c] for c in df.columns],
+        *[(local[f"__l_{c}"] + F.coalesce(offsets[f"__o_{c}"], F.lit(0))).alias(f"{prefix}{c}") for c in sums],
     )
+    if total_prefix:
+        key_totals = df.groupBy(*keys).agg(*[F.sum(c).alias(f"{total_prefix}{c}") for c in sums])
+        if keys:
+            result = result.join(key_totals, on=_null_safe_keys(result, key_totals, keys), how="left") \
+                .select(*[result[c] for c in result.columns], *[key_totals[f"{total_prefix}{c}"] for c in sums])
+        else:
+            result = result.crossJoin(F.broadcast(key_totals))
     return result
 
 
+def _null_safe_keys(left: DataFrame, right: DataFrame, cols: Sequence[str]):
+    cond = None
+    for c in cols:
+        e = left[c].eqNullSafe(right[c])
+        cond = e if cond is None else (cond & e)
+    return cond
+
+
 def with_sample_index(
     df: DataFrame,
     keys: Sequence[str],

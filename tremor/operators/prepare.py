@@ -95,7 +95,7 @@ def stratified_split(
         "__take", (F.col("__fl") + F.when(F.col("__rk") <= left, 1).otherwise(0)).cast("long"))
     ranked = prefix_sums(d.withColumn("__one", F.lit(1).cast("long")), [key], ["__h", id_col], ["__one"],
                          prefix="__r")
-    out = ranked.join(F.broadcast(share.select(key, "__take")), on=[key], how="left")
+    out = ranked.join(share.select(key, "__take"), on=[key], how="left")
     cols = [c for c in df.columns]
     return out.select(*cols, (F.col("__r__one") <= F.col("__take")).alias("is_test"))
 
@@ -110,9 +110,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Adds the balanced weight column (for ``weightCol``); the per-class
-    table has one row per class and is broadcast."""
+    table has one row per class (AQE broadcasts it at run time)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(name))
-    return df.join(F.broadcast(w), on=[label], how="left")
+    return df.join(w, on=[label], how="left")
 
 
 def pos_weight(df: DataFrame, label: str) -> DataFrame:
