@@ -260,3 +260,20 @@ def mutual_information(df: DataFrame, cols: Sequence[str], label: str, bins: int
     j = joint.join(px, ["feature", "bin"]).join(py, ["feature", label])
     term = (F.col("nxy") / F.col("n")) * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
     return j.groupBy("feature").agg(F.sum(term).alias("mutual_info"))
+
+
+def top_drift(report: DataFrame, k: int = 10) -> DataFrame:
+    """K2: the ``k`` features with the largest KS statistic (ties: feature name)."""
+    return report.orderBy(F.col("KS_Stat").desc(), F.col("Feature")).limit(k)
+
+
+def drift_focus(report: DataFrame, feature_order: Sequence[str], k: int = 4) -> DataFrame:
+    """K4: the first ``k`` drifting features in table order, or the first ``k``
+    features when none drifts."""
+    pos = F.array_position(F.array(*[F.lit(c) for c in feature_order]), F.col("Feature"))
+    r = report.withColumn("__pos", pos)
+    from pyspark.sql import Window
+    w = Window.partitionBy(F.lit(0))
+    any_alert = F.max((F.col("Drift_Alert") == "YES").cast("int")).over(w)
+    chosen = r.withColumn("__any", any_alert).where((F.col("__any") == 0) | (F.col("Drift_Alert") == "YES"))
+    return chosen.orderBy("__pos").limit(k).drop("__pos", "__any")

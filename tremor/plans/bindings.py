@@ -71,3 +71,12 @@ def events_drift_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value"),
         (F.col("ts") >= F.lit(EVENTS_SPLIT_DAY).cast("timestamp_ntz")).cast("int").alias("side"),
     )
+
+
+def lineitem_drift_samples(spark: SparkSession, sf_dir: str, split_year: int = 1998) -> DataFrame:
+    """Long form (feature, value, side) of the lineitem channels: side 0 =
+    shipped before ``split_year``, 1 = from it."""
+    from tremor.operators.drift import long_samples
+    li = table(spark, sf_dir, "lineitem")
+    year = F.year("l_shipdate")
+    return long_samples(li.where(year < split_year), li.where(year >= split_year), LINEITEM_CHANNELS)

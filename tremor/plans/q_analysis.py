@@ -390,8 +390,9 @@ def q_threshold_compare(spark, sf_dir):
 _DRIFT_LONG = (f"SELECT event_type AS feature, value, CAST(ts >= TIMESTAMP '{B.EVENTS_SPLIT_DAY}' AS INTEGER) AS side "
                "FROM events WHERE value IS NOT NULL")
 
-_KS_SQL = f"""
-WITH l AS ({_DRIFT_LONG}),
+def _ks_sql(long_sql: str) -> str:
+    return f"""
+WITH l AS ({long_sql}),
 c AS (SELECT feature, value, count(*) FILTER (WHERE side = 0) AS c0, count(*) FILTER (WHERE side = 1) AS c1
       FROM l GROUP BY feature, value),
 r AS (SELECT feature,
@@ -403,6 +404,9 @@ SELECT feature, max(abs(k0 / n0 - k1 / n1)) AS ks_stat, CAST(max(n0) AS BIGINT)
 FROM r GROUP BY feature"""
 
 
+_KS_SQL = _ks_sql(_DRIFT_LONG)
+
+
 @register("ks_statistic", sql=_KS_SQL, dbl=["ks_stat"])
 def q_ks_statistic(spark, sf_dir):
     """Two-sample KS statistic per event type, events before / from 2024-01-16."""
@@ -415,9 +419,9 @@ def q_ks_pvalue(spark, sf_dir):
     return drift.ks_test(B.events_drift_samples(spark, sf_dir))
 
 
-def _psi_sql(bins: int = 10) -> str:
+def _psi_sql(bins: int = 10, long_sql: str = _DRIFT_LONG) -> str:
     return f"""
-WITH l AS ({_DRIFT_LONG}),
+WITH l AS ({long_sql}),
 z AS (SELECT feature, count(*) FILTER (WHERE side = 0) AS n0, count(*) FILTER (WHERE side = 1) AS n1,
         min(value) FILTER (WHERE side = 0) AS bmin, max(value) FILTER (WHERE side = 0) AS bmax FROM l GROUP BY feature),
 r AS (SELECT feature, n0, n1, CASE WHEN bmin = bmax THEN bmin - 0.5 ELSE bmin END AS lo,
@@ -452,8 +456,9 @@ def q_psi(spark, sf_dir):
     return drift.psi(B.events_drift_samples(spark, sf_dir))
 
 
-_JS_SQL = f"""
-WITH l AS ({_DRIFT_LONG}),
+def _js_sql(long_sql: str) -> str:
+    return f"""
+WITH l AS ({long_sql}),
 z AS (SELECT feature, count(*) FILTER (WHERE side = 0) AS n0, count(*) FILTER (WHERE side = 1) AS n1,
         min(value) AS amin, max(value) AS amax FROM l GROUP BY feature),
 r AS (SELECT feature, n0, n1, CASE WHEN amin = amax THEN amin - 0.5 ELSE amin END AS lo,
@@ -467,6 +472,9 @@ SELECT feature, sqrt(greatest(sum(
 FROM pq GROUP BY feature"""
 
 
+_JS_SQL = _js_sql(_DRIFT_LONG)
+
+
 @register("js_distance", sql=_JS_SQL, dbl=["js_distance"], absr=["js_distance"])
 def q_js_distance(spark, sf_dir):
     """Jensen-Shannon distance per event type, 20 bins over the joint range."""
