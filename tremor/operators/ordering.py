@@ -113,12 +113,12 @@ def prefix_sums(
 
     keys, sums = list(keys), list(sums)
     order_cols = _as_cols(order)
-    n = _num_partitions(df, num_partitions)
     sort_cols = [F.col(k) for k in keys] + order_cols
-    ranged = cut_lineage(
-        df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-        .withColumn(_PID, F.spark_partition_id())
-    )
+    # without an explicit count AQE sizes the range partitions from the data
+    # (it only merges neighbouring ranges, so the order is kept)
+    rp = (df.repartitionByRange(int(num_partitions), *sort_cols) if num_partitions
+          else df.repartitionByRange(*sort_cols))
+    ranged = cut_lineage(rp.sortWithinPartitions(*sort_cols).withColumn(_PID, F.spark_partition_id()))
 
     out_schema = T.StructType(
         list(ranged.schema.fields)

@@ -80,8 +80,8 @@ def spectrum(df: DataFrame, keys: Sequence[str], idx: str, value: str, n_fft: in
         if carry is not None and not carry.empty:
             yield _fft_frame(carry, gcols, n_fft, n_bins)
 
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = b.repartition(n, *[F.col(c) for c in gcols]).sortWithinPartitions(*gcols, "pos")
+    # whole blocks per partition; AQE sizes the partition count from the data
+    ordered = b.repartition(*[F.col(c) for c in gcols]).sortWithinPartitions(*gcols, "pos")
     return ordered.mapInPandas(run, out_schema)
 
 
