@@ -21,6 +21,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # remove checkpoint files once their DataFrames are garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TREMOR_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
