@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tremor.operators.features import CHANNELS
-from tremor.plans import pipeline
+from tremor.plans import flows
 from tremor.sources.recordings import load_table, read_recordings, write_table
 from tremor.streaming import monitor
 from tests.conftest import SF001
@@ -51,7 +51,7 @@ def test_read_recordings_order_labels_nulls(spark, scratch):
 
 def test_feature_table_matches_pandas(spark, scratch):
     files = _write_recordings(scratch)
-    table = pipeline.feature_table(spark, scratch)
+    table = flows.feature_table(spark, scratch)
     assert table.count() == len(files)
     path = [p for p in files if p.endswith("rec2.csv")][0]
     raw = files[path].apply(pd.to_numeric, errors="coerce")
@@ -67,8 +67,8 @@ def test_feature_table_matches_pandas(spark, scratch):
 
 def test_prepare_splits_and_reports(spark, scratch):
     _write_recordings(scratch, n_files=30, n_rows=120)
-    table = pipeline.feature_table(spark, scratch)
-    train, test, report = pipeline.prepare_splits(table)
+    table = flows.feature_table(spark, scratch)
+    train, test, report = flows.prepare_splits(table)
     assert test.count() == 6
     c = {r.fault_label: r.c for r in train.groupBy("fault_label").agg(F.count("*").alias("c")).collect()}
     assert c[0] == c[1]

@@ -30,6 +30,11 @@ def nan_to_null(c: Column | str) -> Column:
 
 # exact powers of ten 1e0 .. 1e22 (every one is a double without rounding)
 _POW10 = [float(f"1e{i}") for i in range(23)]
+# decimal scale tables for sig(): 10^-e and 10^e for e = -30 .. 30, parsed
+# from their decimal literals (both engines parse them to the same doubles)
+SIG_E = 30
+_DOWN = [float(f"1e{-e}") for e in range(-SIG_E, SIG_E + 1)]
+_UP = [float(f"1e{e}") for e in range(-SIG_E, SIG_E + 1)]
 
 
 def pow10(k: Column) -> Column:
@@ -46,21 +51,25 @@ def round_half_away(c: Column, decimals: int) -> Column:
 
 
 def sig(c: Column | str, digits: int = 9) -> Column:
-    """Round to ``digits`` significant digits (NULL, 0 and non-finite pass through).
+    """Round to ``digits`` significant digits; NULL, 0, NaN, +-inf and values
+    beyond 1e+-30 pass through unchanged.
 
     Used to make doubles from two engines hash alike; the oracle SQL spells
-    the same formula.  The power of ten is an exact double from a literal
-    table and is applied by a division for negative exponents, so both sides
-    perform the same correctly rounded IEEE operations.
+    the same formula: x * 10^-e, rounded half away from zero to digits - 1
+    decimals, times 10^e, with the scale factors taken from literal tables
+    (the same doubles in both engines).  The expression is small, so wide
+    results stay inside whole-stage code generation.
     """
     col = F.col(c) if isinstance(c, str) else c
-    e = F.floor(F.log10(F.abs(col))).cast("int")
-    p = pow10(F.abs(e))
-    mant = F.when(e >= 0, col / p).otherwise(col * p)
-    r = round_half_away(mant, digits - 1)
-    scaled = F.when(e >= 0, r * p).otherwise(r / p)
-    finite = col.isNotNull() & (col != 0) & ~F.isnan(col) & (F.abs(col) != F.lit(float("inf")))
-    return F.when(finite, scaled).otherwise(col)
+    e = F.floor(F.log10(F.abs(col)))
+    i = (F.greatest(F.least(e, F.lit(SIG_E)), F.lit(-SIG_E)) + F.lit(SIG_E)).cast("int")
+    # get(): 0-based, NULL out of range, no error path (small generated code)
+    down = F.get(F.array(*[F.lit(v) for v in _DOWN]), i)
+    up = F.get(F.array(*[F.lit(v) for v in _UP]), i)
+    rounded = round_half_away(col * down, digits - 1) * up
+    ok = (col != 0) & ~F.isnan(col) & (F.abs(col) <= F.lit(float(f"1e{SIG_E}"))) \
+        & (F.abs(col) >= F.lit(float(f"1e{-SIG_E}")))
+    return F.when(ok, rounded).otherwise(col)
 
 
 def safe_corr(a: Column | str, b: Column | str) -> Column:

@@ -80,3 +80,27 @@ def lineitem_drift_samples(spark: SparkSession, sf_dir: str, split_year: int = 1
     li = table(spark, sf_dir, "lineitem")
     year = F.year("l_shipdate")
     return long_samples(li.where(year < split_year), li.where(year >= split_year), LINEITEM_CHANNELS)
+
+
+def events_csv_recordings(spark: SparkSession, sf_dir: str) -> str:
+    """Write ``events`` as raw recordings and return their root folder.
+
+    Layout ``<root>/class=<normal|imbalance>/severity=<event type>/part-*.csv``:
+    headerless CSV, channels ``value`` and ``k`` (the number in ``props``),
+    rows in (ts, event_id) order, one file per event type; ``error`` events
+    form the ``imbalance`` class.  The root is a new folder under the
+    session's checkpoint folder (shared storage on a cluster).
+    """
+    import uuid
+
+    from tremor.session import ensure_checkpoint_dir
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/recordings-{uuid.uuid4().hex}"
+    e = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_type") == "error", "imbalance").otherwise("normal").alias("class"),
+        F.col("event_type").alias("severity"), "ts", "event_id", "value",
+        F.get_json_object("props", "$.k").cast("double").alias("k"))
+    (e.repartition("class", "severity")
+      .sortWithinPartitions("class", "severity", "ts", "event_id")
+      .select("class", "severity", "value", "k")
+      .write.partitionBy("class", "severity").option("header", "false").csv(root))
+    return root

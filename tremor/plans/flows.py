@@ -19,14 +19,15 @@ from tremor.sources.recordings import read_recordings
 def feature_table(spark: SparkSession, root: str, channels: Sequence[str] = CHANNELS,
                   target: str = "fault_label") -> DataFrame:
     """Scan, interpolate (linear, then back / forward fill), summarise each
-    recording into the 10 statistics per channel, add the label from the
-    folder and fill remaining NULLs with the column median."""
+    recording into the 10 statistics per channel, add the label (and the
+    severity folder) from the path and fill remaining NULLs with the column
+    median."""
     rec = read_recordings(spark, root, channels)
     filled = cleaning.fill_gaps(rec, ["file_path"], "sample_idx", list(channels), how="linear")
     summ = features.recording_summary(filled, ["file_path"], "sample_idx", list(channels))
-    labels = rec.select("file_path", F.col("label").alias(target)).dropDuplicates(["file_path"])
+    labels = rec.groupBy("file_path").agg(F.first("label").alias(target), F.first("severity").alias("severity"))
     table = summ.join(labels, "file_path").drop("n_samples")
-    feats = [c for c in table.columns if c not in ("file_path", target)]
+    feats = [c for c in table.columns if c not in ("file_path", target, "severity")]
     return cleaning.impute_median(table, feats)
 
 
@@ -35,7 +36,7 @@ def prepare_splits(table: DataFrame, target: str = "fault_label", id_col: str =
     """Split first (stratified, exact), fit the scaler on the train part only,
     balance the train part by random oversampling; returns (train, test, drift)
     where drift is the report of the scaled train part against the test part."""
-    feats = [c for c in table.columns if c not in (target, id_col)]
+    feats = [c for c in table.columns if c not in (target, id_col, "severity")]
     split = prepare.stratified_split(table, target, id_col, test_size, seed)
     train = split.where(~F.col("is_test")).drop("is_test")
     test = split.where(F.col("is_test")).drop("is_test")

@@ -255,3 +255,42 @@ def q_rolling_std_100(spark, sf_dir):
     """100-sample rolling sample std per event type (O(1) per row from running sums)."""
     rec = B.events_recordings(spark, sf_dir, "event_type")
     return windows.rolling_std_rows(rec, ["event_type"], "sample_idx", "value", 100).drop("ts")
+
+
+def _sql_summary(src: str, key: str, channels: list[str], order: str) -> str:
+    """DuckDB twin of ``recording_summary``: A1-A9 per channel plus the mean
+    of the 100-row rolling sample std (std when there is no full window)."""
+    means = ", ".join(f"avg({c}) AS __m_{c}" for c in channels)
+    stats = ",\n  ".join(_sql_channel_stats(c, f"__m_{c}") for c in channels)
+    rolls = ", ".join(f"CASE WHEN count({c}) OVER w = 100 THEN stddev_samp({c}) OVER w END AS __rs_{c}"
+                      for c in channels)
+    rmeans = ", ".join(f"avg(__rs_{c}) AS __rsm_{c}" for c in channels)
+    outs = ", ".join(f"coalesce(__rm.__rsm_{c}, __f.{c}_std) AS {c}_roll_std" for c in channels)
+    return f"""
+WITH __s AS ({src}),
+__m AS (SELECT {key}, {means} FROM __s GROUP BY {key}),
+__r AS (SELECT {key}, {rolls} FROM __s
+        WINDOW w AS (PARTITION BY {key} ORDER BY {order} ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)),
+__rm AS (SELECT {key}, {rmeans} FROM __r GROUP BY {key}),
+__f AS (SELECT t.{key}, {stats} FROM __s t JOIN __m USING ({key}) GROUP BY t.{key})
+SELECT __f.*, {outs} FROM __f JOIN __rm USING ({key})"""
+
+
+_FILE_CH = ["value", "k"]
+_FILE_SRC = ("SELECT event_type AS severity, ts, event_id, value, "
+             "CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events")
+_FILE_SQL = f"""
+SELECT s.*, CAST(CASE WHEN severity = 'error' THEN 1 ELSE 0 END AS INTEGER) AS fault_label
+FROM ({_sql_summary(_FILE_SRC, "severity", _FILE_CH, "ts, event_id")}) s"""
+
+
+@register("file_recordings", sql=_FILE_SQL, dbl=_dbl(_FILE_CH, STAT9 + ["roll_std"]),
+          absr=[f"{c}_{s}" for c in _FILE_CH for s in ("kurt", "skew")])
+def q_file_recordings(spark, sf_dir):
+    """Events written as headerless CSV recordings
+    (one file per event type, class from the folder), then scanned, put in
+    file order, interpolated, summarised (10 statistics per channel) and
+    median-filled by the library."""
+    from tremor.plans import flows
+    root = B.events_csv_recordings(spark, sf_dir)
+    return flows.feature_table(spark, root, channels=_FILE_CH).drop("file_path")

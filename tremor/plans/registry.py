@@ -38,23 +38,24 @@ class Entry:
 REGISTRY: dict[str, Entry] = {}
 
 
-_POW10_SQL = "[" + ", ".join(f"1e{i}" for i in range(23)) + "]"
-
-
 def sql_round(expr: str, decimals: int) -> str:
     """DuckDB spelling of :func:`tremor.functions.columns.round_half_away`."""
     q = f"1e{decimals}"
     return f"(sign({expr}) * floor(abs({expr}) * {q} + 0.5) / {q} + 0.0)"
 
 
+_E = 30
+_DOWN_SQL = "(CAST([" + ", ".join(f"1e{-e}" for e in range(-_E, _E + 1)) + "] AS DOUBLE[]))"
+_UP_SQL = "(CAST([" + ", ".join(f"1e{e}" for e in range(-_E, _E + 1)) + "] AS DOUBLE[]))"
+
+
 def sql_sig(expr: str, digits: int = DIGITS) -> str:
     """DuckDB spelling of :func:`tremor.functions.sig`."""
-    e = f"CAST(floor(log10(abs({expr}))) AS INTEGER)"
-    p = f"coalesce(CAST({_POW10_SQL} AS DOUBLE[])[abs({e}) + 1], power(10.0, abs({e})))"
+    x = f"({expr})"
+    i = f"CAST(greatest(least(floor(log10(abs({x}))), {_E}), -{_E}) + {_E + 1} AS INTEGER)"
     return (
-        f"CASE WHEN ({expr}) IS NULL OR ({expr}) = 0 OR isnan({expr}) OR isinf({expr}) THEN ({expr}) "
-        f"WHEN {e} >= 0 THEN {sql_round(f'({expr}) / {p}', digits - 1)} * {p} "
-        f"ELSE {sql_round(f'({expr}) * {p}', digits - 1)} / {p} END"
+        f"CASE WHEN {x} IS NULL OR {x} = 0 OR isnan({x}) OR abs({x}) > 1e{_E} OR abs({x}) < 1e-{_E} THEN {x} "
+        f"ELSE {sql_round(f'{x} * {_DOWN_SQL}[{i}]', digits - 1)} * {_UP_SQL}[{i}] END"
     )
 
 
@@ -66,16 +67,41 @@ def rounded_sql(inner: str, dbl: Sequence[str], absr: Sequence[str] = (), digits
     return f"SELECT * REPLACE ({repl}) FROM (\n{inner}\n) AS _q"
 
 
+WIDE = 16
+
+
 def round_doubles(df: DataFrame, digits: int = DIGITS, absr: Sequence[str] = ()) -> DataFrame:
+    """Round every double column (``absr`` ones to fixed decimals).
+
+    With more than ``WIDE`` double columns the rounding runs inside one
+    ``transform`` over an array of the values: inline expressions for dozens
+    of columns would make the generated method of a fused aggregate too large
+    for the JVM, and the whole stage would fall back to interpreted mode.
+    """
+    fields = df.schema.fields
+    dbl = [f.name for f in fields if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in absr]
+    if len(dbl) <= WIDE:
+        out = []
+        for f in fields:
+            if f.name in absr:
+                out.append(round_half_away(df[f.name].cast("double"), ABS_DECIMALS).alias(f.name))
+            elif f.name in dbl:
+                out.append(sig(df[f.name].cast("double"), digits).alias(f.name))
+            else:
+                out.append(df[f.name])
+        return df.select(*out)
+    arr = F.transform(F.array(*[df[c].cast("double") for c in dbl]), lambda x: sig(x, digits))
+    tmp = df.withColumn("__rounded", arr)
+    pos = {c: i for i, c in enumerate(dbl)}
     out = []
-    for f in df.schema.fields:
+    for f in fields:
         if f.name in absr:
-            out.append(round_half_away(df[f.name].cast("double"), ABS_DECIMALS).alias(f.name))
-        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(sig(df[f.name].cast("double"), digits).alias(f.name))
+            out.append(round_half_away(tmp[f.name].cast("double"), ABS_DECIMALS).alias(f.name))
+        elif f.name in pos:
+            out.append(F.col("__rounded")[pos[f.name]].alias(f.name))
         else:
-            out.append(df[f.name])
-    return df.select(*out)
+            out.append(tmp[f.name])
+    return tmp.select(*out)
 
 
 def register(name: str, sql: str | None = None, dbl: Sequence[str] = (), note: str = "",

@@ -47,9 +47,11 @@ def scan_csv(spark: SparkSession, path: str, channels: Sequence[str] = CHANNELS)
 
 def label_from_path(root: str, labels: Mapping[str, int] = LABELS):
     """(label, severity, name) columns from the path below ``root``;
-    label NULL for folders that are not class folders."""
+    label NULL for folders that are not class folders.  A Hive-style folder
+    ``name=value`` counts by its value."""
     rel = F.regexp_replace(F.col("file_path"), r"^.*?" + _re_escape(root.rstrip("/")) + "/", "")
-    parts = F.split(rel, "/")
+    # Hive-style folders ("label=normal") count by their value
+    parts = F.transform(F.split(rel, "/"), lambda p: F.regexp_replace(p, r"^[^=]+=", ""))
     top = F.lower(parts[0])
     label = F.lit(None).cast("int")
     for name, v in labels.items():
