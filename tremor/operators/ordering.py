@@ -272,11 +272,13 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per key.
 
-    Nulls are skipped.  Values are first grouped (ties collapse, partial
-    aggregation shrinks the data), ranked by :func:`prefix_sums`, and each
-    requested rank is picked out by a plain grouped aggregate, so no task
-    ever holds a whole key.  Output columns: ``keys``, ``n`` and one column
-    per prob (``names`` or ``q_<p>``).
+    Nulls are skipped.  Values are grouped per key (ties collapse, partial
+    aggregation shrinks the data) and range-partitioned by (key, value) into
+    pieces, fixed by a checkpoint.  Piece totals (one row per piece) give
+    each piece's rank offset; only the pieces that hold a requested rank are
+    ranked row by row.  No task holds a whole key, and most of the data is
+    read once.  Output columns: ``keys``, ``n`` and one column per prob
+    (``names`` or ``q_<p>``).
     """
     keys = list(keys)
     names = list(names) if names else [f"q_{int(round(p * 100))}" for p in probs]
@@ -285,26 +287,55 @@ def quantiles(
         .groupBy(*keys, F.col(value).alias("__v"))
         .agg(F.count(F.lit(1)).alias("__c"))
     )
-    ranked = prefix_sums(counts, keys, ["__v"], ["__c"], prefix="__cum", total_prefix="__n",
-                         num_partitions=num_partitions)
-    cum = F.col("__cum__c")
-    before = cum - F.col("__c")
-    n = F.col("__n__c")
-    aggs = [F.max(n).alias("n")]
-    for p, name in zip(probs, names):
-        h = (n - 1) * F.lit(float(p))
-        lo = F.floor(h)
-        hi = F.ceil(h)
-        has_lo = (before <= lo) & (lo < cum)
-        has_hi = (before <= hi) & (hi < cum)
-        aggs += [
-            F.max(F.when(has_lo, F.col("__v"))).alias(f"__lo_{name}"),
-            F.max(F.when(has_hi, F.col("__v"))).alias(f"__hi_{name}"),
-            F.max(h - lo).alias(f"__fr_{name}"),
-        ]
-    picked = ranked.groupBy(*keys).agg(*aggs)
+    sort_cols = [F.col(k) for k in keys] + [F.col("__v")]
+    rp = (counts.repartitionByRange(int(num_partitions), *sort_cols) if num_partitions
+          else counts.repartitionByRange(*sort_cols))
+    ranged = cut_lineage(rp.withColumn(_PID, F.spark_partition_id()))
+
+    pieces = ranged.groupBy(_PID, *keys).agg(F.sum("__c").alias("__t"))
+    w_key = Window.partitionBy(*keys)
+    w_before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(_PID, *keys, "__t",
+                           F.coalesce(F.sum("__t").over(w_before), F.lit(0)).alias("__off"),
+                           F.sum("__t").over(w_key).alias("__n"))
+    # the ranks wanted: floor and ceil of (n - 1) * p for every prob
+    wanted = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("pi"), F.lit(side).alias("side"),
+                 (F.floor if side == 0 else F.ceil)((F.col("__n") - 1) * F.lit(float(p))).alias("r"))
+        for i, p in enumerate(probs) for side in (0, 1)
+    ])).alias("__w")
+    targets = pieces.select(_PID, *keys, "__t", "__off", "__n", wanted).select(
+        _PID, *keys, "__t", "__off", "__n", "__w.pi", "__w.side", "__w.r") \
+        .where((F.col("r") >= F.col("__off")) & (F.col("r") < F.col("__off") + F.col("__t"))) \
+        .select(_PID, *keys, "__n", "pi", "side", (F.col("r") - F.col("__off")).alias("__lr"))
+    hit = targets.select(_PID, *keys).distinct().alias("H")
+    # rank rows only inside the pieces that hold a wanted rank
+    R = ranged.alias("R")
+    on_hit = None
+    for c in [_PID, *keys]:
+        e = F.col(f"R.{c}").eqNullSafe(F.col(f"H.{c}"))
+        on_hit = e if on_hit is None else (on_hit & e)
+    sub = R.join(hit, on=on_hit, how="left_semi").select(*[F.col(f"R.{c}").alias(c) for c in ranged.columns])
+    w_loc = Window.partitionBy(_PID, *keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    local = sub.select(_PID, *keys, "__v", "__c", F.sum("__c").over(w_loc).alias("__lc"))
+    L, T = local.alias("L"), targets.alias("T")
+    on = None
+    for c in [_PID, *keys]:
+        e = F.col(f"L.{c}").eqNullSafe(F.col(f"T.{c}"))
+        on = e if on is None else (on & e)
+    found = L.join(T, on=on, how="inner").where(
+        (F.col("L.__lc") - F.col("L.__c") <= F.col("T.__lr")) & (F.col("T.__lr") < F.col("L.__lc"))
+    ).select(*[F.col(f"L.{k}").alias(k) for k in keys], F.col("T.__n").alias("__n"), F.col("T.pi").alias("pi"),
+             F.col("T.side").alias("side"), F.col("L.__v").alias("__v"))
+    aggs = [F.max("__n").alias("n")]
+    for i, name in enumerate(names):
+        aggs += [F.max(F.when((F.col("pi") == i) & (F.col("side") == 0), F.col("__v"))).alias(f"__lo_{name}"),
+                 F.max(F.when((F.col("pi") == i) & (F.col("side") == 1), F.col("__v"))).alias(f"__hi_{name}")]
+    picked = found.groupBy(*keys).agg(*aggs)
     outs = []
-    for name in names:
-        lo_v, hi_v, fr = F.col(f"__lo_{name}"), F.col(f"__hi_{name}"), F.col(f"__fr_{name}")
+    for p, name in zip(probs, names):
+        h = (F.col("n") - 1) * F.lit(float(p))
+        fr = h - F.floor(h)
+        lo_v, hi_v = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         outs.append(F.when(fr == 0, lo_v).otherwise(lo_v + fr * (hi_v - lo_v)).alias(name))
     return picked.select(*keys, "n", *outs)
