@@ -221,16 +221,19 @@ def carry_fill(
     keys = list(keys)
     blk = "__cblk"
     d = df.withColumn(blk, F.floor(F.col(idx) / F.lit(block_rows)).cast("long"))
+    # Frames that run to "unbounded following" are re-evaluated row by row
+    # (quadratic); the next non-null value is the last one of the reversed
+    # order instead, an incrementally evaluated running frame.
     w_prev = Window.partitionBy(*keys, blk).orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
-    w_next = Window.partitionBy(*keys, blk).orderBy(idx).rowsBetween(0, Window.unboundedFollowing)
+    w_next = Window.partitionBy(*keys, blk).orderBy(F.col(idx).desc()).rowsBetween(Window.unboundedPreceding, 0)
     exprs = []
     for c in cols:
         nn_idx = F.when(F.col(c).isNotNull(), F.col(idx))
         exprs += [
             F.last(c, ignorenulls=True).over(w_prev).alias(f"{c}__pv"),
             F.last(nn_idx, ignorenulls=True).over(w_prev).alias(f"{c}__pi"),
-            F.first(c, ignorenulls=True).over(w_next).alias(f"{c}__nv"),
-            F.first(nn_idx, ignorenulls=True).over(w_next).alias(f"{c}__ni"),
+            F.last(c, ignorenulls=True).over(w_next).alias(f"{c}__nv"),
+            F.last(nn_idx, ignorenulls=True).over(w_next).alias(f"{c}__ni"),
         ]
     local = d.select("*", *exprs)
 
@@ -241,12 +244,12 @@ def carry_fill(
         aggs += [F.max(s).alias(f"{c}__bl"), F.min(s).alias(f"{c}__bf")]
     summary = d.groupBy(*keys, blk).agg(*aggs)
     w_before = Window.partitionBy(*keys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    w_after = Window.partitionBy(*keys).orderBy(blk).rowsBetween(1, Window.unboundedFollowing)
+    w_after = Window.partitionBy(*keys).orderBy(F.col(blk).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry_exprs = []
     for c in cols:
         carry_exprs += [
             F.last(f"{c}__bl", ignorenulls=True).over(w_before).alias(f"{c}__cp"),
-            F.first(f"{c}__bf", ignorenulls=True).over(w_after).alias(f"{c}__cn"),
+            F.last(f"{c}__bf", ignorenulls=True).over(w_after).alias(f"{c}__cn"),
         ]
     carry = summary.select(*keys, blk, *carry_exprs)
 
