@@ -1,6 +1,7 @@
 """Column-expression helpers (JVM-side, codegen friendly)."""
 
 from tremor.functions.columns import (  # noqa: F401
+    fitted,
     hash_unit,
     hash_bigint,
     nan_to_null,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -72,6 +72,15 @@ def sig(c: Column | str, digits: int = 9) -> Column:
     return F.when(ok, rounded).otherwise(col)
 
 
+def fitted(one_row: DataFrame) -> Column:
+    """A one-row table (fitted statistics) as a struct-valued scalar subquery.
+
+    Spark evaluates it once per query and ships the row to the tasks; every
+    field reference reuses the same subquery.  No join is involved.
+    """
+    return one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("__fit")).scalar()
+
+
 def safe_corr(a: Column | str, b: Column | str) -> Column:
     """Pearson r over pairwise-complete rows; NULL (not an ANSI error) for a constant."""
     a = F.col(a) if isinstance(a, str) else a

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tremor.functions import fitted
 from tremor.operators.ordering import prefix_sums
 
 
@@ -233,9 +234,9 @@ def optimal_threshold(sweep: DataFrame, target_recall: float = 0.95, by: Sequenc
 
 def threshold_compare(df: DataFrame, y: str, score: str, chosen: DataFrame, default: float = 0.5) -> DataFrame:
     """Metrics at the default threshold and at the chosen one, side by side
-    (one pass; the chosen threshold is a one-row table, broadcast)."""
-    t = chosen.select(F.col("threshold").alias("__t")).limit(1)
-    d = df.crossJoin(F.broadcast(t))
+    (the chosen threshold, a one-row table, is read as a scalar subquery)."""
+    t = fitted(chosen.select(F.col("threshold").alias("__t")).limit(1))
+    d = df.withColumn("__t", t.getField("__t"))
     a = binary_metrics(d.withColumn("__name", F.lit("default")).withColumn("__thr", F.lit(float(default))),
                        y, score, F.col("__thr"), by=["__name", "__thr"])
     b = binary_metrics(d.withColumn("__name", F.lit("optimal")), y, score, F.col("__t"), by=["__name", "__t"])

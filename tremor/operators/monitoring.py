@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tremor.functions import fitted
 from tremor.operators.drift import PSI_EPS, _widen
 from tremor.operators.metrics import _ratio
 from tremor.operators.stats import with_bin
@@ -55,15 +56,18 @@ def psi_by_period(df: DataFrame, ts: str, score: str, base_end: str, bins: int =
     cur = df.where(~is_base & F.col(score).isNotNull())
     rng = base.agg(F.min(score).alias("mn"), F.max(score).alias("mx"), F.count(F.lit(1)).alias("n0"))
     lo, hi = _widen(F.col("mn"), F.col("mx"))
-    rng = rng.select(lo.alias("lo"), hi.alias("hi"), "n0")
-    one = F.broadcast(rng)
-    bb = with_bin(base.join(one, how="cross"), score, "lo", "hi", bins).select("bin")
+    rng = fitted(rng.select(lo.alias("lo"), hi.alias("hi"), "n0"))
+
+    def with_range(d):
+        return d.withColumns({"lo": rng.getField("lo"), "hi": rng.getField("hi"), "n0": rng.getField("n0")})
+
+    bb = with_bin(with_range(base), score, "lo", "hi", bins).select("bin")
     bcount = bb.where(F.col("bin").isNotNull()).groupBy("bin").agg(F.count(F.lit(1)).alias("b"))
-    cc = with_bin(cur.join(one, how="cross"), score, "lo", "hi", bins).select(
+    cc = with_bin(with_range(cur), score, "lo", "hi", bins).select(
         F.window(ts, period).start.alias("day"), "bin")
     days = cc.groupBy("day").agg(F.count(F.lit(1)).alias("n1"))
     ccount = cc.where(F.col("bin").isNotNull()).groupBy("day", "bin").agg(F.count(F.lit(1)).alias("c"))
-    grid = days.join(one, how="cross").select("day", "n1", "n0",
+    grid = with_range(days).select("day", "n1", "n0",
                                               F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     g = grid.join(F.broadcast(bcount), "bin", "left").join(ccount, ["day", "bin"], "left") \
         .na.fill(0, subset=["b", "c"])

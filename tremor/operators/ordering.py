@@ -28,6 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tremor.functions import fitted
 from tremor.session import cut_lineage
 
 DEFAULT_BLOCK_ROWS = 1 << 16
@@ -146,7 +147,8 @@ def prefix_sums(
             result = result.join(key_totals, on=_null_safe_keys(result, key_totals, keys), how="left") \
                 .select(*[result[c] for c in result.columns], *[key_totals[f"{total_prefix}{c}"] for c in sums])
         else:
-            result = result.crossJoin(F.broadcast(key_totals))
+            tot = fitted(key_totals)
+            result = result.withColumns({f"{total_prefix}{c}": tot.getField(f"{total_prefix}{c}") for c in sums})
     return result
 
 

@@ -1,7 +1,7 @@
 """Scaling, stratified split, class weights and oversampling.
 
-Fitted statistics are one-row tables (one column per feature) attached to
-the data by a broadcast of that single row.  Ranks inside a class come from
+Fitted statistics are one-row tables (one column per feature) read by the
+data as a scalar subquery (evaluated once, no join).  Ranks inside a class come from
 :func:`tremor.operators.ordering.prefix_sums`, so a class holding most rows
 is still cut over many tasks.
 """
@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tremor.functions import fitted as fitted_row
 from tremor.functions import hash_bigint, hash_unit
 from tremor.operators.cleaning import unpivot
 from tremor.operators.ordering import prefix_sums, quantiles
@@ -20,11 +21,6 @@ from tremor.operators.ordering import prefix_sums, quantiles
 METHODS = ("standard", "minmax", "robust")
 
 
-def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a fitted one-row table to every row (broadcast of a single row)."""
-    return df.join(F.broadcast(one_row.limit(1)), how="cross")
-
-
 def fit_scaler(df: DataFrame, cols: Sequence[str], method: str = "standard") -> DataFrame:
     """The fitted centre and scale of every column, one row, columns
     ``<c>__c`` and ``<c>__s``.
@@ -52,9 +48,9 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], method: str = "standard") ->
 
 def apply_scaler(df: DataFrame, fitted: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(x - centre) / scale with a fitted one-row table."""
-    d = attach_row(df, fitted)
-    return d.select(*[((F.col(c) - F.col(f"{c}__c")) / F.col(f"{c}__s")).alias(c) if c in cols
-                      else F.col(c) for c in df.columns])
+    st = fitted_row(fitted)
+    return df.select(*[((F.col(c) - st.getField(f"{c}__c")) / st.getField(f"{c}__s")).alias(c) if c in cols
+                       else F.col(c) for c in df.columns])
 
 
 def scale(df: DataFrame, cols: Sequence[str], method: str = "standard",

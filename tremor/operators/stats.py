@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.functions import safe_corr
+from tremor.functions import fitted, safe_corr
 from tremor.operators.cleaning import unpivot
 from tremor.operators.ordering import quantiles
 
@@ -117,9 +117,10 @@ def clip_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     long = unpivot(df, cols).where(F.col("value").isNotNull())
     b = _bounds_iqr(long, k)
     wide = b.groupBy().pivot("feature", list(cols)).agg(F.first(F.struct("lo", "hi")))
-    joined = df.crossJoin(F.broadcast(wide.select(*[F.col(c).alias(f"__b_{c}") for c in cols])))
-    return joined.select(*[
-        F.least(F.greatest(F.col(c), F.col(f"__b_{c}.lo")), F.col(f"__b_{c}.hi")).alias(c) if c in cols
+    bounds = fitted(wide.select(*[F.col(f"`{c}`").alias(f"__b_{c}") for c in cols]))
+    return df.select(*[
+        F.least(F.greatest(F.col(c), bounds.getField(f"__b_{c}").getField("lo")),
+                bounds.getField(f"__b_{c}").getField("hi")).alias(c) if c in cols
         else F.col(c) for c in df.columns
     ])
 
