@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.functions import fitted, hash_unit, to_double
+from tremor.functions import hash_unit, to_double
 from tremor.operators.ordering import DEFAULT_BLOCK_ROWS, carry_fill, quantiles
 
 
@@ -101,8 +101,9 @@ def impute_median(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ())
     """P5: NULL -> the column median (over the whole table, or per ``keys``).
 
     Exact median (SimpleImputer / pandas), not ``Imputer``'s approximation.
-    Whole-table medians are one row, read as a scalar subquery; a per-key
-    table is joined normally (AQE broadcasts it at run time when small).
+    Whole-table medians are one row, broadcast and attached by an equi-join
+    on a constant; a per-key table is joined normally (AQE broadcasts it at
+    run time when small).
     """
     med = column_medians(df, cols, keys).select(
         *keys, *[F.col(c).alias(f"__med_{c}") for c in cols]
@@ -112,9 +113,10 @@ def impute_median(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ())
         return joined.select(
             *[F.coalesce(F.col(c), F.col(f"__med_{c}")).alias(c) if c in cols else F.col(c)
               for c in df.columns])
-    m = fitted(med)
-    return df.select(*[F.coalesce(F.col(c), m.getField(f"__med_{c}")).alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
+    one = F.broadcast(med.limit(1).withColumn("__one", F.lit(1)))
+    joined = df.withColumn("__one", F.lit(1)).join(one, on="__one", how="inner")
+    return joined.select(*[F.coalesce(F.col(c), F.col(f"__med_{c}")).alias(c) if c in cols else F.col(c)
+                           for c in df.columns])
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Scaling, stratified split, class weights and oversampling.
 
-Fitted statistics are one-row tables (one column per feature) read by the
-data as a scalar subquery (evaluated once, no join).  Ranks inside a class come from
+Fitted statistics are one-row tables (one column per feature), broadcast
+and attached to the data.  Ranks inside a class come from
 :func:`tremor.operators.ordering.prefix_sums`, so a class holding most rows
 is still cut over many tasks.
 """
@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tremor.functions import fitted as fitted_row
 from tremor.functions import hash_bigint, hash_unit
 from tremor.operators.cleaning import unpivot
 from tremor.operators.ordering import prefix_sums, quantiles
@@ -47,10 +46,17 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], method: str = "standard") ->
 
 
 def apply_scaler(df: DataFrame, fitted: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(x - centre) / scale with a fitted one-row table."""
-    st = fitted_row(fitted)
-    return df.select(*[((F.col(c) - st.getField(f"{c}__c")) / st.getField(f"{c}__s")).alias(c) if c in cols
-                       else F.col(c) for c in df.columns])
+    """(x - centre) / scale with a fitted one-row table.
+
+    The single fitted row (one centre and one scale per column) is broadcast
+    and attached by an equi-join on a constant; with many columns this keeps
+    the plan small (a scalar subquery would be copied into every column
+    expression).
+    """
+    one = F.broadcast(fitted.limit(1).withColumn("__one", F.lit(1)))
+    d = df.withColumn("__one", F.lit(1)).join(one, on="__one", how="inner")
+    return d.select(*[((F.col(c) - F.col(f"{c}__c")) / F.col(f"{c}__s")).alias(c) if c in cols
+                      else F.col(c) for c in df.columns])
 
 
 def scale(df: DataFrame, cols: Sequence[str], method: str = "standard",
