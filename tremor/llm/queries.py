@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremor.llm import bpe, decontaminate, pii
+from tremor.llm import bpe, decontaminate, fingerprint, jaccard, langid, lines, pii, repeats, secrets, toxicity
 from tremor.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,8 +18,15 @@ def _over_documents(fn: Callable[..., DataFrame], *others: str) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_pii": _over_documents(pii.op1_pii),
+    "op2_jaccard": _over_documents(jaccard.op2_jaccard),
+    "op3_repeats": _over_documents(repeats.op3_repeats),
+    "op4_langid": _over_documents(langid.op4_langid),
+    "op5_toxicity": _over_documents(toxicity.op5_toxicity, "labels"),
+    "op6_secrets": _over_documents(secrets.op6_secrets),
     "op7_decontaminate": _over_documents(decontaminate.op7_decontaminate, "benchmark"),
+    "op8_fingerprints": _over_documents(fingerprint.op8_fingerprints),
+    "op9_lines": _over_documents(lines.op9_lines),
     "op10_bpe": _over_documents(bpe.op10_bpe),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_lines": lines.OP9_SQL}
