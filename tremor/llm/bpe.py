@@ -12,7 +12,7 @@ smallest is applied, its neighbours get new entries, and entries whose symbols
 have changed meanwhile are skipped.  A piece of n bytes takes O(n log n).
 
 No piece holds white space, so a worker remembers the ids of white-space-free
-chunks it has met (up to ``CHUNKS`` of them).  Decoding looks up each id's
+chunks and of pieces it has met (``MEMO`` of each at most, twice).  Decoding looks up each id's
 vocabulary string and joins them with a space, as the file's missing decoder
 asks for.
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import struct
 import unicodedata
 
 import numpy as np
@@ -30,11 +31,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tremor.llm.common import as_text, cached, id_text, map_batches, sha256_hex
+from tremor.llm.common import Memo, as_text, cached, id_text, map_batches, sha256_hex
 
 TOKENIZER = "word_bpe_49k.json"
-CHUNKS = 400_000
-CHUNK_CHARS = 64
+MEMO = 300_000
 
 
 def byte_alphabet() -> list[str]:
@@ -60,12 +60,13 @@ class Bpe:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(split["pattern"]["Regex"])
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.memo: dict[str, bytes] = {}
-        self.shown: dict[bytes, str] = {}
+        self.chunks = Memo(self.chunk, MEMO)
+        self.merged = Memo(self.merge, MEMO, 32)
+        self.shown = Memo(self.show, MEMO, 256)
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of one piece."""
-        letters = [self.letters[b] for b in piece]
+    def merge(self, piece: str) -> bytes:
+        """Ids of one piece, as little-endian 32-bit integers."""
+        letters = [self.letters[b] for b in piece.encode()]
         letters[-1] += self.end
         sym = [self.ids[c] for c in letters if c in self.ids]
         n = len(sym)
@@ -88,14 +89,12 @@ class Bpe:
                     heapq.heappush(queue, (found[0], i, found[1]))
             if before[i] >= 0 and (found := merges.get((sym[before[i]], whole))):
                 heapq.heappush(queue, (found[0], before[i], found[1]))
-        return [s for s in sym if s >= 0]
+        left = [s for s in sym if s >= 0]
+        return struct.pack(f"<{len(left)}I", *left)
 
     def chunk(self, chunk: str) -> bytes:
-        """Ids of normalised text without white space, as little-endian 32-bit integers."""
-        out: list[int] = []
-        for piece in self.pieces.findall(chunk):
-            out += self.merge(piece.encode())
-        return np.array(out, "<u4").tobytes()
+        """Ids of normalised text without white space."""
+        return b"".join(map(self.merged.__getitem__, self.pieces.findall(chunk)))
 
     def plain(self, text: str) -> list[bytes]:
         """Per chunk, the ids of text without special tokens."""
@@ -105,17 +104,7 @@ class Bpe:
             chunks = [c for c in regex.sub(r"\s+", " ", text).lower().split(" ") if c]
         else:
             chunks = text.lower().split()
-        memo, out = self.memo, []
-        for c in chunks:
-            ids = memo.get(c)
-            if ids is None:
-                ids = self.chunk(c)
-                if len(c) <= CHUNK_CHARS:
-                    if len(memo) >= CHUNKS:
-                        memo.clear()
-                    memo[c] = ids
-            out.append(ids)
-        return out
+        return list(map(self.chunks.__getitem__, chunks))
 
     def encode(self, text: str) -> list[bytes]:
         """The ids of a text, in blocks of little-endian 32-bit integers."""
@@ -124,25 +113,18 @@ class Bpe:
         out: list[bytes] = []
         for part in self.cut.split(text):
             if part in self.special:
-                out.append(np.array([self.special[part]], "<u4").tobytes())
+                out.append(struct.pack("<I", self.special[part]))
             else:
                 out += self.plain(part)
         return out
 
+    def show(self, ids: bytes) -> str:
+        """Vocabulary strings of ids, joined with a space."""
+        return " ".join([self.strings[i] for i in struct.unpack(f"<{len(ids) // 4}I", ids)])
+
     def decode(self, blocks: list[bytes]) -> str:
-        """Vocabulary strings of the ids, joined with a space."""
-        shown, out = self.shown, []
-        for ids in blocks:
-            text = shown.get(ids)
-            if text is None:
-                text = " ".join([self.strings[i] for i in np.frombuffer(ids, "<u4").tolist()])
-                if len(ids) <= 4 * CHUNK_CHARS:
-                    if len(shown) >= CHUNKS:
-                        shown.clear()
-                    shown[ids] = text
-            if ids:
-                out.append(text)
-        return " ".join(out)
+        """The decoded text of blocks of ids."""
+        return " ".join(map(self.shown.__getitem__, filter(None, blocks)))
 
 
 def load(path: str) -> Bpe:

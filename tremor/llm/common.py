@@ -68,6 +68,29 @@ def cached(key: str, make: Callable[[], object]) -> object:
     return _WORKER_CACHE[key]
 
 
+class Memo(dict):
+    """Results of a function of a key, with bounded memory: two generations of at most ``limit`` keys, so that
+    keys in use survive.  Keys longer than ``longest`` are not kept."""
+
+    _none = object()
+
+    def __init__(self, make: Callable, limit: int, longest: int = 64):
+        super().__init__()
+        self.make, self.limit, self.longest, self.old = make, limit, longest, {}
+
+    def __missing__(self, key):  # noqa: ANN001, ANN204
+        value = self.old.pop(key, self._none)
+        if value is self._none:
+            value = self.make(key)
+            if len(key) > self.longest:
+                return value
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def held(spark: SparkSession, value: object, make: Callable[[object], object]) -> Callable[[], object]:
     """Broadcast a value of bounded size; the result gives ``make(value)``, made once per Python worker."""
     sent, key = spark.sparkContext.broadcast(value), uuid.uuid4().hex

@@ -87,43 +87,43 @@ def item_shards(items: DataFrame, id_col: str, text_col: str, max_words: int) ->
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", width: int = WIDTH,
-                  max_words: int = MAX_WORDS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_hit, item_ids (list of strings, sorted),
-    spans (list of code-point ``start:end`` runs of hit words)."""
-    df = id_text(docs, id_col, text_col).select("doc_id", "text", F.lit(b"").alias("marks"),
-                                                F.array().cast("array<string>").alias("found"))
-    id_type = df.schema["doc_id"].dataType.simpleString()
+                  max_words: int = MAX_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: doc_id (or the columns ``keep`` in its place), n_words, n_hit, item_ids (list of
+    strings, sorted), spans (list of code-point ``start:end`` runs of hit words)."""
+    kept = keep or ("doc_id",)
+    df = docs if keep else id_text(docs, id_col, text_col)
+    text = text_col if keep else "text"
+    columns = dict.fromkeys([*kept, text])
+    df = df.select(*columns, F.lit(b"").alias("__marks"), F.array().cast("array<string>").alias("__items"))
+    fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns]
     shards = item_shards(items, item_id, item_text, max_words)
     for k, shard in enumerate(shards):
         last = k == len(shards) - 1
         matcher = held(docs.sparkSession, shard, lambda own: Matcher(own, width))
-        schema = (f"doc_id {id_type}, n_words long, n_hit long, item_ids array<string>, spans array<string>" if last
-                  else f"doc_id {id_type}, text string, marks binary, found array<string>")
+        schema = ", ".join([*fields[:len(kept)], "n_words long, n_hit long, item_ids array<string>, spans array<string>"] if last
+                           else [*fields, "__marks binary, __items array<string>"])
 
         def scan(part: pa.RecordBatch, matcher=matcher, last=last) -> dict:
             m = matcher()
-            out: dict = {c: [] for c in ("n_words", "n_hit", "item_ids", "spans", "marks", "found")}
-            for text, marks, found in zip(as_bytes(part["text"]), part["marks"].to_pylist(), part["found"].to_pylist()):
-                words = split_words(text)
-                spans, ids = m.find(words)
-                at = np.concatenate([np.frombuffer(marks, np.int64).reshape(-1, 2),
-                                     np.array(spans, np.int64).reshape(-1, 2)])
-                ids = sorted(ids.union(found))
+            n_words, n_hit, items, spans, marks = [], [], [], [], []
+            for raw, before, found in zip(as_bytes(part[text]), part["__marks"].to_pylist(), part["__items"].to_pylist()):
+                words = split_words(raw)
+                hit, ids = m.find(words)
+                at = np.concatenate([np.frombuffer(before, np.int64).reshape(-1, 2), np.array(hit, np.int64).reshape(-1, 2)])
                 s, e = union_runs(at[:, 0], at[:, 1])
+                items.append(sorted(ids.union(found)))
                 if last:
-                    out["n_words"].append(len(words))
-                    out["n_hit"].append(int((e - s).sum()))
-                    out["item_ids"].append(ids)
-                    out["spans"].append([f"{a}:{b}" for a, b in code_point_spans(text, list(zip(s, e)))] if len(s) else [])
+                    n_words.append(len(words))
+                    n_hit.append(int((e - s).sum()))
+                    spans.append([f"{a}:{b}" for a, b in code_point_spans(raw, list(zip(s, e)))] if len(s) else [])
                 else:
-                    out["marks"].append(np.stack([s, e], 1).tobytes())
-                    out["found"].append(ids)
+                    marks.append(np.stack([s, e], 1).tobytes())
             strings = pa.list_(pa.string())
-            return ({"doc_id": part["doc_id"], "n_words": pa.array(out["n_words"], pa.int64()),
-                     "n_hit": pa.array(out["n_hit"], pa.int64()), "item_ids": pa.array(out["item_ids"], strings),
-                     "spans": pa.array(out["spans"], strings)} if last else
-                    {"doc_id": part["doc_id"], "text": part["text"], "marks": pa.array(out["marks"], pa.binary()),
-                     "found": pa.array(out["found"], strings)})
+            if last:
+                return {c: part[c] for c in kept} | {
+                    "n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64()),
+                    "item_ids": pa.array(items, strings), "spans": pa.array(spans, strings)}
+            return {c: part[c] for c in columns} | {"__marks": pa.array(marks, pa.binary()), "__items": pa.array(items, strings)}
 
         df = map_batches(df, scan, schema)
     return df
@@ -134,5 +134,3 @@ def op7_decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"), F.concat_ws(",", "spans").alias("spans"))
-
-

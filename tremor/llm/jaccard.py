@@ -20,12 +20,15 @@ Spreading the work without losing a link:
    hub, so that hashes with the same holders give one group and not many.
    Frequent hashes (a bounded list) get their hub by a partial aggregation and a
    broadcast of at most that many rows; the others are rare by construction.
-3. A group is one R-tree.  A large group is dealt into blocks of at most ``BLOCK`` documents;
-   each block also holds the hub and is solved by itself.  Documents that are not joined
-   to the hub there meet every other block in a second step.  Documents that
-   are joined to it need no further comparison with one another, so copies and near
+3. Groups are searched twice, each with an R-tree: first on the points alone, which
+   drops the documents that no other one of the group can link with (groups of more than
+   ``SCREEN`` documents skip this), then, for those left, with their texts, verifying.
+4. A large group is dealt into blocks of at most ``BLOCK`` documents;
+   each block also holds the group's center (its smallest document) and is solved by itself.
+   Documents that are not joined to the center there meet every other block in a second
+   step.  Documents that are joined to it need no further comparison with one another, so copies and near
    copies cost in proportion to their number.
-4. Within a task, pairs already joined are skipped: the links that come out
+5. Within a task, pairs already joined are skipped: the links that come out
    keep the components (a spanning set), not every pair.
 
 Components come from the links by distributed star contraction; nothing of the
@@ -43,9 +46,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from tremor.llm.common import as_bytes, frequent_keys, held, id_text, map_batches, mix64, slices
@@ -54,37 +57,92 @@ from tremor.session import cut_lineage
 
 WIDTH = 5
 SHARE = 80           # per cent
-GROUPS = 64
+GROUPS = 256
 LEAF = 32
+SCREEN = 1024        # documents of a group that one task screens together
 BLOCK = 192          # documents of a group that one task solves together
 BLOCK_HASHES = 1_000_000
-_WORDS = 1 << 20
+PART = 1 << 20       # bytes that one vectorised step takes
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_RANDOM = np.random.default_rng(20240229)
+_BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)  # a number per byte value
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base modulo 2^64, and of its inverse."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(n, 2 * PART)
+        _POWERS[:] = [np.multiply.accumulate(np.append(np.uint64(1), np.full(size - 1, b, np.uint64)))
+                      for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word of the texts in order, and the number of words of each text.
+
+    Words are runs of bytes other than ASCII white space; A-Z count as a-z.  A word's hash is a polynomial of
+    its bytes, from running sums over all texts at once.
+    """
+    data = np.frombuffer(b"\n".join(texts).lower() + b"\n", np.uint8)
+    blank = _BLANK[data]
+    start = np.flatnonzero(np.append(True, blank[:-1]) & ~blank)
+    end = np.flatnonzero(np.append(False, ~blank[:-1]) & blank)
+    up, down = _powers(len(data) + 1)
+    sums = np.append(np.uint64(0), np.add.accumulate(_BYTE[data] * up[:-1]))
+    h = mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return h, np.diff(np.searchsorted(start, ends), prepend=0)
+
+
+def shingle_sets(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
+    """Sorted distinct hashes of each text's shingles."""
+    out: list[np.ndarray] = []
+    at = 0
+    while at < len(texts):
+        size, to = 0, at
+        while to < len(texts) and (to == at or size + len(texts[to]) <= PART):
+            size += len(texts[to])
+            to += 1
+        h, n = word_hashes(texts[at:to])
+        whole = _joined(h, width)
+        first = 0
+        for k in n.tolist():
+            out.append(np.unique(whole[first:first + k - width + 1]) if k >= width else _joined(h[first:first + k], max(k, 1)))
+            first += k
+        at = to
+    return out
+
+
+def _joined(h: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` word hashes."""
+    m = max(0, len(h) - size + 1)
+    out = np.full(m, size, np.uint64)
+    for k in range(size if m else 0):
+        out = mix64(out * np.uint64(_BASE) ^ h[k:k + m])
+    return out
 
 
-class _Words(dict):
-    """64-bit hash of each word met, with bounded memory."""
+def shingles(text: bytes, width: int = WIDTH) -> np.ndarray:
+    return shingle_sets([text], width)[0]
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
 
+def point(h: np.ndarray) -> np.ndarray:
+    """Hashes per group."""
+    return np.bincount((h & np.uint64(GROUPS - 1)).astype(np.intp), minlength=GROUPS).astype(np.int32)
 
-_hash_of = _Words().__getitem__
 
+def pack(p: np.ndarray) -> bytes:
+    """A point in the smallest integers that hold its largest count."""
+    top = p.max()
+    return p.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32).tobytes()
 
-def shingles(text: bytes, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles.  bytes.lower and bytes.split know ASCII only, as wanted."""
-    words = text.lower().split()
-    h = np.fromiter(map(_hash_of, words), np.uint64, len(words))
-    if not len(h):
-        return h
-    size = min(width, len(h))
-    out = np.full(len(h) - size + 1, size, np.uint64)
-    for k in range(size):
-        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) ^ h[k:len(h) - size + 1 + k])
-    return np.unique(out)
+
+def unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(data) // GROUPS]).astype(np.int32)
 
 
 def prefix(h: np.ndarray, often: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,25 +158,25 @@ def prefix(h: np.ndarray, often: np.ndarray, counts: np.ndarray) -> tuple[np.nda
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """doc_id, n (set size), digest of the set, rare and frequent prefix hashes."""
-    often = frequent_keys(docs.select("text"), lambda part: np.concatenate([shingles(t) for t in as_bytes(part["text"])]))
+    """doc_id, n (set size), digest and point of the set, rare and frequent prefix hashes."""
+    often = frequent_keys(docs.select("text"), lambda part: np.concatenate(shingle_sets(as_bytes(part["text"]))))
     get = held(docs.sparkSession, often, lambda o: o)
 
     def run(part: pa.RecordBatch) -> dict:
-        n, digest, rare, late = [], [], [], []
-        for text in as_bytes(part["text"]):
-            h = shingles(text)
+        n, digest, points, rare, late = [], [], [], [], []
+        for h in shingle_sets(as_bytes(part["text"])):
             a, b = prefix(h, *get())
             n.append(len(h))
             digest.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
+            points.append(pack(point(h)) if len(h) else None)
             rare.append(a.view(np.int64))
             late.append(b.view(np.int64))
         longs = pa.list_(pa.int64())
         return {"doc_id": part["doc_id"], "n": pa.array(n, pa.int64()), "digest": pa.array(digest, pa.binary()),
-                "rare": pa.array(rare, longs), "late": pa.array(late, longs)}
+                "point": pa.array(points, pa.binary()), "rare": pa.array(rare, longs), "late": pa.array(late, longs)}
 
     return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, digest binary, "
-                                  "rare array<long>, late array<long>")
+                                  "point binary, rare array<long>, late array<long>")
 
 
 def hub_pairs(sets: DataFrame) -> DataFrame:
@@ -170,19 +228,55 @@ def needed(size: int, others: np.ndarray) -> np.ndarray:
     return -(-SHARE * (size + others) // (100 + SHARE))
 
 
+def packed_order(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Order in which points are packed into leaves: by size, then by the first coordinates."""
+    slab = np.argsort(np.argsort(sizes, kind="stable")) // (LEAF * LEAF)
+    return np.lexsort((points[:, 2], points[:, 1], points[:, 0], slab))
+
+
+def reachable(tree: Tree, p: np.ndarray, n: np.ndarray, i: int, wanted: np.ndarray) -> np.ndarray:
+    """Wanted places whose set might link with that of place i."""
+    found = tree.leaves(p[i], int(n[i]), wanted)
+    at = (found[:, None] * LEAF + np.arange(LEAF)).ravel()
+    at = at[at < len(p)]
+    at = at[wanted[at]]
+    return at[np.minimum(p[at], p[i]).sum(1) >= needed(int(n[i]), n[at])]
+
+
+def screen(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which points of a group have another one that they might link with."""
+    if len(points) <= LEAF:  # one leaf: its points are compared directly
+        both = np.minimum(points[:, None], points[None]).sum(2) >= needed(sizes[:, None], sizes[None])
+        np.fill_diagonal(both, False)
+        return both.any(1)
+    order = packed_order(points, sizes)
+    p, n = points[order], sizes[order]
+    tree, keep = Tree(p, n), np.zeros(len(p), bool)
+    for i in range(len(p)):
+        if not keep[i]:
+            wanted = np.ones(len(p), bool)
+            wanted[i] = False
+            partners = reachable(tree, p, n, i, wanted)
+            if len(partners):
+                keep[i] = True
+                keep[partners] = True
+    out = np.zeros(len(p), bool)
+    out[order] = keep
+    return out
+
+
 def solve(sets: list[np.ndarray], queries: np.ndarray | None = None) -> np.ndarray:
     """Component labels (least position) of sets of one group; links between queries and all others count, or
     between all sets if ``queries`` is None.  The first set is the hub."""
     m = len(sets)
     label = np.arange(m)
-    sizes = np.array([len(s) for s in sets])
     if m == 2:
         if links(sets[0], sets[1]):
             label[1] = 0
         return label
-    points = np.stack([np.bincount((s & np.uint64(GROUPS - 1)).astype(np.intp), minlength=GROUPS) for s in sets]).astype(np.int32)
-    slab = np.argsort(np.argsort(sizes, kind="stable")) // (LEAF * LEAF)  # by size, then by the first coordinates
-    order = np.lexsort((points[:, 2], points[:, 1], points[:, 0], slab))
+    sizes = np.array([len(s) for s in sets])
+    points = np.stack([point(s) for s in sets])
+    order = packed_order(points, sizes)
     back = np.empty(m, np.intp)
     back[order] = np.arange(m)
     p, n, lab = points[order], sizes[order], np.arange(m)
@@ -192,12 +286,7 @@ def solve(sets: list[np.ndarray], queries: np.ndarray | None = None) -> np.ndarr
         wanted = lab != lab[i]
         if not wanted.any():
             continue
-        found = tree.leaves(p[i], int(n[i]), wanted)
-        at = (found[:, None] * LEAF + np.arange(LEAF)).ravel()
-        at = at[at < m]
-        at = at[wanted[at]]
-        at = at[np.minimum(p[at], p[i]).sum(1) >= needed(int(n[i]), n[at])]
-        for j in at:
+        for j in reachable(tree, p, n, i, wanted):
             if lab[j] != lab[i] and links(sets[order[i]], sets[order[j]]):
                 a, b = sorted((lab[i], lab[j]))
                 lab[lab == b] = a
@@ -215,89 +304,122 @@ def links(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= SHARE * (len(a) + len(b) - both)
 
 
-def _solved(rows: DataFrame, id_type: str) -> DataFrame:
-    """Solve the groups of rows (hub, block, other, role, doc_id, text), sorted by group; (a, b, loose, hub): links, and
-    rows with b null for documents that are not joined to the hub."""
+def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], column: str, make) -> Iterator[tuple]:
+    """(key, ids, roles, values) of each group of rows sorted by the keys; ``make`` turns a batch's column into values."""
+    key, ids, roles, values = None, [], [], []
+    for part in slices(batches):
+        if not part.num_rows:
+            continue
+        rows = zip(zip(*(part[c].to_pylist() for c in keys)), part["doc_id"].to_pylist(), part["role"].to_pylist(), make(part[column]))
+        for now, own, role, value in rows:
+            if now != key:
+                if key is not None:
+                    yield key, ids, roles, values
+                key, ids, roles, values = now, [], [], []
+            ids.append(own), roles.append(role), values.append(value)
+    if key is not None:
+        yield key, ids, roles, values
+
+
+def _emitted(rows: Iterator[tuple], kind: pa.DataType, names: list[str]) -> Iterator[pa.RecordBatch]:
+    out: list[tuple] = []
+    for row in rows:
+        out.append(row)
+        if len(out) >= 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c in zip(*out)], names)
+            out = []
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c in zip(*out)], names)
+
+
+def _screened(members: DataFrame, points: DataFrame, id_type: str, kind: pa.DataType) -> DataFrame:
+    """(hub, doc_id) of the members of groups of up to SCREEN documents that have a possible partner in the group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def kept() -> Iterator[tuple]:
+            for (hub,), ids, _, values in _groups(batches, ("hub",), "point", lambda c: [unpack(x) for x in c.to_pylist()]):
+                p = np.stack(values)
+                for own, keep in zip(ids, screen(p, p.sum(1))):
+                    if keep:
+                        yield hub, own
+
+        yield from _emitted(kept(), kind, ["hub", "doc_id"])
+
+    rows = members.join(points, "doc_id").select("hub", F.lit(0).alias("role"), "doc_id", "point")
+    return rows.repartition("hub").sortWithinPartitions("hub").mapInArrow(run, f"hub {id_type}, doc_id {id_type}")
 
-    def group(ids: list, texts: list[bytes], roles: list[int], hub: int) -> Iterator[tuple]:
-        start = sorted(range(len(ids)), key=lambda k: (ids[k] != hub, ids[k], roles[k]))
-        asked = np.array([roles[k] == 1 for k in start])
-        label = solve([shingles(texts[k]) for k in start], asked if asked.any() else None)
-        names = [ids[k] for k in start]
-        for k, own in enumerate(label):
-            if own != k:
-                yield names[k], names[own], hub
-            if own != 0 and not asked.any() and names[k] != hub:
-                yield names[k], None, hub
+
+def _solved(rows: DataFrame, id_type: str, kind: pa.DataType) -> DataFrame:
+    """Solve the groups of rows (hub, center, block, other, role, doc_id, text); (a, b, hub): links, and rows with b
+    null for documents that are not joined to the center."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, texts, roles = None, [], [], []
-
-        def done(out: list) -> None:
-            if len(ids) > 1:
-                out.extend(group(ids, texts, roles, key[0]))
-
-        def batch(out: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k in range(3)], ["a", "b", "hub"])
-
-        kind = None
-        for part in slices(batches):
-            kind, out = part.schema.field("doc_id").type, []
-            for *now, role, doc, text in zip(*(part[c].to_pylist() for c in ("hub", "block", "other", "role", "doc_id")),
-                                             as_bytes(part["text"])):
-                if now != key:
-                    done(out)
-                    key, ids, texts, roles = now, [], [], []
-                ids.append(doc), texts.append(text), roles.append(role)
-            if out:
-                yield batch(out)
-        out = []
-        done(out)
-        if out:
-            yield batch(out)
-
-    return (rows.repartition("hub", "block", "other").sortWithinPartitions("hub", "block", "other")
-            .select("hub", "block", "other", "role", "doc_id", "text").mapInArrow(run, f"a {id_type}, b {id_type}, hub {id_type}"))
+        def found() -> Iterator[tuple]:
+            for (hub, center, _, _), ids, roles, sets in _groups(batches, ("hub", "center", "block", "other"), "text",
+                                                                 lambda c: shingle_sets(as_bytes(c))):
+                order = sorted(range(len(ids)), key=lambda k: (ids[k] != center, ids[k], roles[k]))
+                asked = np.array([roles[k] == 1 for k in order])
+                label = solve([sets[k] for k in order], asked if asked.any() else None)
+                names = [ids[k] for k in order]
+                for k, own in enumerate(label):
+                    if own != k:
+                        yield names[k], names[own], hub
+                    if own != 0 and not asked.any() and names[k] != center:
+                        yield names[k], None, hub
+
+        yield from _emitted(found(), kind, ["a", "b", "hub"])
+
+    return (rows.select("hub", "center", "block", "other", "role", "doc_id", "text").repartition("hub", "block", "other")
+            .sortWithinPartitions("hub", "center", "block", "other").mapInArrow(run, f"a {id_type}, b {id_type}, hub {id_type}"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, class_id (least id with the same set) and component_id of each row of ``docs``."""
     df = id_text(docs, id_col, text_col)
     id_type = df.schema["doc_id"].dataType.simpleString()
+    kind = to_arrow_type(df.schema["doc_id"].dataType)
     own = cut_lineage(profiles(df))
     classes = own.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
     sets = own.join(classes.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
-    members = hub_pairs(sets)
-    sizes = members.groupBy("hub").agg(F.count("*").alias("m"), F.sum("n").alias("hashes"))
+    members = cut_lineage(hub_pairs(sets))
+    counted = members.groupBy("hub").agg(F.count("*").alias("m"))
+    sized = members.join(counted, "hub")
+    likely = _screened(sized.where(F.col("m") <= SCREEN), own.select("doc_id", "point").dropDuplicates(["doc_id"]), id_type, kind)
+    members = members.join(likely.union(sized.where(F.col("m") > SCREEN).select("hub", "doc_id")), ["hub", "doc_id"], "left_semi")
+
+    # the hub may have been dropped; the center of those left stands in every block
+    sizes = members.groupBy("hub").agg(F.count("*").alias("m"), F.sum("n").alias("hashes"),
+                                       F.min(F.struct("n", "doc_id"))["doc_id"].alias("center"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("hashes") / BLOCK_HASHES)).cast("int")
-    members = cut_lineage(members.join(sizes.select("hub", blocks.alias("blocks")), "hub").select("hub", "doc_id", "blocks"))
+    members = cut_lineage(members.join(sizes.select("hub", "center", blocks.alias("blocks")), "hub")
+                          .select("hub", "center", "doc_id", "blocks"))
 
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
-    dealt = members.withColumn("block", F.explode(F.when(F.col("hub") == F.col("doc_id"), everywhere).otherwise(F.array(block))))
-    first = dealt.select("hub", "block", F.lit(0).alias("other"), F.lit(0).alias("role"), "doc_id")
+    dealt = members.withColumn("block", F.explode(F.when(F.col("center") == F.col("doc_id"), everywhere).otherwise(F.array(block))))
+    first = dealt.select("hub", "center", "block", F.lit(0).alias("other"), F.lit(0).alias("role"), "doc_id")
     texts = df.where("doc_id IS NOT NULL")
-    found = cut_lineage(_solved(first.join(texts, "doc_id"), id_type))
+    found = cut_lineage(_solved(first.join(texts, "doc_id"), id_type, kind))
     links_found = found.where("b IS NOT NULL").select("a", "b")
 
-    # documents of large groups that are not joined to the hub: each set of up to BLOCK of them meets every block
-    loose = found.where("b IS NULL").select("hub", F.col("a").alias("doc_id")).join(
-        members.where("blocks > 1").select("hub", "blocks").distinct(), "hub")
+    # documents of large groups that are not joined to the center: each set of up to BLOCK of them meets every block
+    large = members.where("blocks > 1")
+    loose = found.where("b IS NULL").select("hub", F.col("a").alias("doc_id")).join(large.select("hub", "center", "blocks").distinct(), "hub")
     counted = loose.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("sets"))
     if not counted.isEmpty():
         loose = loose.join(counted, "hub").withColumn("other", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("sets")).cast("int"))
-        asked = loose.select("hub", F.explode(everywhere).alias("block"), "other", F.lit(1).alias("role"), "doc_id")
-        against = (members.where("hub != doc_id").join(counted, "hub")
-                   .select("hub", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("sets") - 1)).alias("other"),
+        asked = loose.select("hub", "center", F.explode(everywhere).alias("block"), "other", F.lit(1).alias("role"), "doc_id")
+        against = (large.where("center != doc_id").join(counted, "hub")
+                   .select("hub", "center", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("sets") - 1)).alias("other"),
                            F.lit(0).alias("role"), "doc_id"))
-        more = _solved(asked.union(against).join(texts, "doc_id"), id_type)
+        more = _solved(asked.union(against).join(texts, "doc_id"), id_type, kind)
         links_found = links_found.union(more.where("b IS NOT NULL").select("a", "b"))
 
     joined = components(links_found)
     named = classes.join(joined, F.col("class_id") == F.col("node"), "left").select(
         "digest", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    return own.join(named, "digest", "left").select(
+    return own.select("doc_id", "n", "digest").join(named, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import as_text, fold_of, held, id_text, map_batches, slices
+from tremor.llm.common import Memo, as_text, fold_of, held, id_text, map_batches, slices
 
 MAX_LABELS = 40_000
 MAX_TERMS = 20_000
@@ -41,7 +41,7 @@ MOST = 6.0            # of a feature
 THRESHOLD = 0.3
 STEMS = (4, 5, 6, 7, 8)
 NEAR = 5
-_MEMO = 400_000
+_MEMO = 300_000
 _HASH = 1 << 40
 
 _WORD = re.compile(r"[^\W_]+")
@@ -80,7 +80,7 @@ class Automaton:
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.ends: list[tuple[float | None, tuple[float, int] | None]] = []  # best stem and best word of a state
-        self.memo: dict[str, tuple[float, int] | None] = {}
+        self.match = Memo(self.find, _MEMO).__getitem__
         self.start = self._state({(0, 0)})
 
     def _state(self, items: set[tuple[int, int]]) -> int:
@@ -118,10 +118,8 @@ class Automaton:
         self.moves[state][c] = number = self._state(after)
         return number
 
-    def match(self, word: str) -> tuple[float, int] | None:
-        """Strength and errors of the best term, or None."""
-        if word in self.memo:
-            return self.memo[word]
+    def find(self, word: str) -> tuple[float, int] | None:
+        """Strength and errors of the best term, or None; ``match`` remembers the results."""
         state, stem = self.start, 0.0
         for c in word:
             step = self.moves[state].get(c)
@@ -133,12 +131,9 @@ class Automaton:
         found = self.ends[state][1]
         if stem and (found is None or found[1] or stem > found[0]):
             found = (stem, 0)
-        if len(self.memo) >= _MEMO:
-            self.memo.clear()
         if len(self.sets) > _MEMO:
             self.states, self.sets, self.moves, self.ends = {}, [], [], []
             self.start = self._state({(0, 0)})
-        self.memo[word] = found
         return found
 
 
