@@ -115,6 +115,27 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+class RunningHash:
+    """64-bit hashes of any byte ranges of a buffer: a polynomial of the bytes in an odd base modulo 2^64, from one
+    running sum, times the inverse power of the range's start."""
+
+    _base = 0x9E3779B97F4A7C15
+    _powers: list[np.ndarray] = []
+    _byte = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def __init__(self, data: np.ndarray):
+        n = len(data) + 1
+        if not self._powers or len(self._powers[0]) < n:
+            size = max(n, 3 << 20)
+            self._powers[:] = [np.multiply.accumulate(np.append(np.uint64(1), np.full(size - 1, b, np.uint64)))
+                               for b in (self._base, pow(self._base, -1, 1 << 64))]
+        self.sums = np.append(np.uint64(0), np.add.accumulate(self._byte[data] * self._powers[0][:n - 1]))
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        h = (self.sums[end] - self.sums[start]) * self._powers[1][start]
+        return mix64(h + (end - start).astype(np.uint64))
+
+
 def union_runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of the union of half-open intervals; touching ones merge."""
     if len(starts) == 0:

@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from tremor.llm.common import as_bytes, frequent_keys, held, id_text, map_batches, mix64, slices
+from tremor.llm.common import RunningHash, as_bytes, frequent_keys, held, id_text, map_batches, mix64, slices
 from tremor.llm.components import components
 from tremor.session import cut_lineage
 
@@ -66,34 +66,19 @@ PART = 1 << 20       # bytes that one vectorised step takes
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_RANDOM = np.random.default_rng(20240229)
-_BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)  # a number per byte value
-_BASE = 0x9E3779B97F4A7C15
-_POWERS: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2^64, and of its inverse."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 2 * PART)
-        _POWERS[:] = [np.multiply.accumulate(np.append(np.uint64(1), np.full(size - 1, b, np.uint64)))
-                      for b in (_BASE, pow(_BASE, -1, 1 << 64))]
-    return _POWERS[0][:n], _POWERS[1][:n]
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word of the texts in order, and the number of words of each text.
 
-    Words are runs of bytes other than ASCII white space; A-Z count as a-z.  A word's hash is a polynomial of
-    its bytes, from running sums over all texts at once.
+    Words are runs of bytes other than ASCII white space; A-Z count as a-z.  A word's hash is taken from one
+    running sum over all texts.
     """
     data = np.frombuffer(b"\n".join(texts).lower() + b"\n", np.uint8)
     blank = _BLANK[data]
     start = np.flatnonzero(np.append(True, blank[:-1]) & ~blank)
     end = np.flatnonzero(np.append(False, ~blank[:-1]) & blank)
-    up, down = _powers(len(data) + 1)
-    sums = np.append(np.uint64(0), np.add.accumulate(_BYTE[data] * up[:-1]))
-    h = mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    h = RunningHash(data).of(start, end)
     ends = np.cumsum([len(t) + 1 for t in texts])
     return h, np.diff(np.searchsorted(start, ends), prepend=0)
 
@@ -122,7 +107,7 @@ def _joined(h: np.ndarray, size: int) -> np.ndarray:
     m = max(0, len(h) - size + 1)
     out = np.full(m, size, np.uint64)
     for k in range(size if m else 0):
-        out = mix64(out * np.uint64(_BASE) ^ h[k:k + m])
+        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) ^ h[k:k + m])
     return out
 
 

@@ -8,11 +8,13 @@ Sorting all suffixes is not needed: of the positions inside each window of LENGT
 its anchor, that of the least hash of the ``GRAM`` bytes there, leftmost on a tie.  Equal
 windows have their anchor at the same offset, so windows are compared only among
 the occurrences of an anchor's gram, and one occurrence stands for all the windows
-that share the anchor.
+that share the anchor; its context is the bytes that these cover.
 
-1. Anchors (about 3 % of all positions) are shuffled as (hash, id, position); those whose
-   hash occurs once are dropped.
-2. The others get their bytes: back to the start of the first window and on to the end of the last.
+1. Anchors (about 2.6 % of all positions) are shuffled by their gram's hash, each with a hash of its
+   context.  Among occurrences with one context all but the earliest are repeats
+   throughout, and a gram with a single context needs no more.  What is left are the earliest
+   occurrences of contexts that share a gram and differ somewhere.
+2. Those get their bytes.
 3. Per gram, the suffixes that start at the anchors, and the reversed prefixes that end there, are
    sorted by most-significant-digit passes of eight bytes.  A pass orders only what is
    still equal, and no pass goes beyond LENGTH bytes.  The depth at which neighbours part gives
@@ -26,8 +28,8 @@ into blocks of about ``BLOCK``; each block reports its repeats and the earliest
 of its groups, and these meet by an aggregation on the window's content hash.  So no task and no
 group grows with the number of copies, and no pairs are made.
 
-Null and empty texts have no bytes.  Rows that share an id are one document: the same position of
-the same id is no earlier occurrence.  Rows with a null id keep everything and are no earlier occurrence.
+Hashes have 64 bits.  Null and empty texts have no bytes.  Rows that share an id are one document: the same
+position of the same id is no earlier occurrence.  Rows with a null id keep everything and are no earlier occurrence.
 """
 
 from __future__ import annotations
@@ -40,10 +42,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tremor.llm.common import as_bytes, frequent_keys, held, id_text, map_batches, mix64, sha256_hex, slices, union_runs
+from tremor.llm.common import (RunningHash, as_bytes, frequent_keys, held, id_text, map_batches, mix64, sha256_hex, slices,
+                               union_runs)
+from tremor.session import cut_lineage
 
 LENGTH = 100
-GRAM = 32
+GRAM = 24
 BLOCK = 256
 PART = 2 << 20        # bytes that one vectorised step takes
 CHUNK = 40_000        # occurrences that one radix sort takes
@@ -54,13 +58,15 @@ _MASK = np.uint64((1 << 28) - 1)
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-def _words(data: bytes) -> np.ndarray:
-    """The eight bytes at every position as an integer."""
-    return np.ndarray((len(data) - 7,), "<u8", data, strides=(1,)).copy()
+def _finished(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(32)
+    h *= _C[3]
+    h ^= h >> np.uint64(29)
+    return h
 
 
 class Anchors:
-    """Anchors of some texts: text number, position, first and last window start, and gram hash of each."""
+    """Anchors of some texts: text number, position, first and last window start, gram hash and context hash of each."""
 
     def __init__(self, texts: list[bytes]):
         data = b"".join(texts)
@@ -68,15 +74,14 @@ class Anchors:
         n = len(data) - LENGTH + 1
         if n < 1:
             self.text = self.at = self.first = self.last = np.zeros(0, np.int64)
-            self.hash = np.zeros(0, np.uint64)
+            self.hash = self.context = np.zeros(0, np.uint64)
             return
-        w, m = _words(data), len(data) - GRAM + 1
+        w = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,)).copy()  # the eight bytes at every position
+        m = len(data) - GRAM + 1
         h = w[:m] * _C[0]
         for k in range(1, GRAM // 8):
             h += w[8 * k:8 * k + m] * _C[k]
-        h ^= h >> np.uint64(32)
-        h *= _C[3]
-        h ^= h >> np.uint64(29)
+        h = _finished(h)
         low = (h & ~_MASK) | np.arange(m, dtype=np.uint64)
         width = 1
         while width < BEFORE + 1:  # least key of each run of grams that a window holds
@@ -88,98 +93,109 @@ class Anchors:
         inside = np.flatnonzero(np.arange(n) + LENGTH <= ends[owner])
         at, owner = at[inside], owner[inside]
         new = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (inside[1:] != inside[:-1] + 1)))[:len(at)])
-        start = np.concatenate(([0], ends[:-1]))[owner[new]] if len(new) else np.zeros(0, np.int64)
-        last = np.concatenate((new[1:] - 1, [len(at) - 1]))[:len(new)]
-        self.text, self.hash = owner[new], h[at[new]]
-        self.at, self.first, self.last = at[new] - start, inside[new] - start, inside[last] - start
-
-
-def _pieces(part: pa.RecordBatch) -> Iterator[tuple[list, list[bytes], list[int]]]:
-    """(ids, texts, offset of each) in bounded steps; a longer text comes in pieces that overlap by LENGTH - 1."""
-    ids, texts, offsets, size = [], [], [], 0
-    for own, text in zip(part["doc_id"].to_pylist(), as_bytes(part["text"])):
+        last = inside[np.append(new[1:] - 1, len(at) - 1)[:len(new)]]
+        first, at, self.text = inside[new], at[new], owner[new]
+        self.hash = h[at]
+        context = RunningHash(np.frombuffer(data, np.uint8)).of(first, last + LENGTH)
+        self.context = mix64(context ^ (at - first).astype(np.uint64))
+        start = np.append(0, ends[:-1])[self.text]
+        self.at, self.first, self.last = at - start, first - start, last - start
+
+
+def gram_hashes(rows: np.ndarray) -> np.ndarray:
+    """The anchors' hash of rows of GRAM bytes."""
+    w = np.ascontiguousarray(rows).view("<u8")
+    h = w[:, 0] * _C[0]
+    for k in range(1, GRAM // 8):
+        h += w[:, k] * _C[k]
+    return _finished(h)
+
+
+def _pieces(part: pa.RecordBatch) -> Iterator[tuple[list, list[int], list[bytes], list[int]]]:
+    """(ids, salts, texts, offset of each) in bounded steps; a longer text comes in pieces that overlap by LENGTH - 1."""
+    ids, salts, texts, offsets, size = [], [], [], [], 0
+    for own, salt, text in zip(part["doc_id"].to_pylist(), part["salt"].to_pylist(), as_bytes(part["text"])):
         if own is None or len(text) < LENGTH:
             continue
         for at in range(0, len(text) - LENGTH + 1, PART):
             piece = text[at:at + PART + LENGTH - 1] if len(text) > PART + LENGTH else text
-            ids.append(own), texts.append(piece), offsets.append(at)
+            ids.append(own), salts.append(salt), texts.append(piece), offsets.append(at)
             size += len(piece)
             if size >= PART:
-                yield ids, texts, offsets
-                ids, texts, offsets, size = [], [], [], 0
+                yield ids, salts, texts, offsets
+                ids, salts, texts, offsets, size = [], [], [], [], 0
             if piece is text:
                 break
     if ids:
-        yield ids, texts, offsets
+        yield ids, salts, texts, offsets
+
+
+def _known(h: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    if not len(keys):
+        return np.zeros(len(h), bool)
+    return keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h
+
+
+def _blocks(h: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Which hashes are frequent, and into how many blocks the occurrences of each are dealt."""
+    keys, counts = often
+    known, blocks = _known(h, keys), np.ones(len(h), np.int64)
+    blocks[known] = -(-counts[np.searchsorted(keys, h[known])] // BLOCK)
+    return known, blocks
 
 
 def anchor_rows(docs: DataFrame, often: object) -> DataFrame:
-    """(g, doc_id, at, late) of every anchor; ``late`` tells the frequent hashes."""
+    """(k, c, doc_id, m) of every anchor of (doc_id, salt, text).  k is the gram's hash, with the block for a frequent
+    one; c the context's; m holds position, a mark of frequent ones, and the least and most bytes before the anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = often()[0]
         for part in slices(batches):
             kind = part.schema.field("doc_id").type
-            for ids, texts, offsets in _pieces(part):
+            for ids, salts, texts, offsets in _pieces(part):
                 a = Anchors(texts)
-                if len(a.at):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(a.hash.view(np.int64)), pa.array(ids, kind).take(pa.array(a.text)),
-                         pa.array(a.at + np.array(offsets)[a.text]), pa.array(_known(a.hash, keys))], ["g", "doc_id", "at", "late"])
-
-    return docs.mapInArrow(run, f"g long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, at long, late boolean")
-
+                if not len(a.at):
+                    continue
+                late, blocks = _blocks(a.hash, often())
+                block = np.array(salts)[a.text] % blocks
+                k = np.where(late, mix64(a.hash + block.astype(np.uint64) * _C[1]), a.hash)
+                m = ((a.at + np.array(offsets)[a.text]) << 17) | (late << 16) | ((a.at - a.last) << 8) | (a.at - a.first)
+                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(a.context.view(np.int64)),
+                                                  pa.array(ids, kind).take(pa.array(a.text)), pa.array(m)], ["k", "c", "doc_id", "m"])
 
-def _known(h: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.zeros(len(h), bool)
-    return keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h
+    return docs.mapInArrow(run, f"k long, c long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, m long")
 
 
-def occurrences(live: DataFrame, often: object) -> DataFrame:
-    """(g, block, blocks, doc_id, at, lo, hi, bytes) of the anchors at the positions ``ats`` of (doc_id, salt, text, ats):
+def occurrences(docs: DataFrame, often: object) -> DataFrame:
+    """(g, block, blocks, doc_id, at, lo, hi, bytes) of the anchors ``sorts`` of (doc_id, salt, text, sorts):
     the windows with lo to hi bytes before the anchor, and the bytes they cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = often()
         for part in slices(batches):
             kind = part.schema.field("doc_id").type
-            wanted, salts = {}, {}
-            for own, salt, ats in zip(*(part[c].to_pylist() for c in ("doc_id", "salt", "ats"))):
-                wanted.setdefault(own, []).extend(ats)
-                salts[own] = salt
-            wanted = {own: np.unique(ats) for own, ats in wanted.items()}
-            for ids, texts, offsets in _pieces(part):
-                a = Anchors(texts)
-                base = np.array(offsets)[a.text]
-                keep = np.flatnonzero(_wanted(a, base, ids, wanted))
-                if not len(keep):
-                    continue
-                at, text, h = a.at[keep], a.text[keep], a.hash[keep]
-                blocks = np.ones(len(keep), np.int64)
-                known = _known(h, keys)
-                blocks[known] = -(-counts[np.searchsorted(keys, h[known])] // BLOCK)
-                names = pa.array(ids, kind).take(pa.array(text))
-                salt = np.array([salts[x] for x in ids])[text] % blocks
-                data = [texts[t][f:e + LENGTH] for t, f, e in zip(text.tolist(), a.first[keep].tolist(), a.last[keep].tolist())]
+            ids, salts, ms, data = [], [], [], []
+            for own, salt, text, sorts in zip(part["doc_id"].to_pylist(), part["salt"].to_pylist(), as_bytes(part["text"]),
+                                              part["sorts"].to_pylist()):
+                for m in sorts or ():
+                    at, lo, hi = m >> 17, m >> 8 & 255, m & 255
+                    piece = text[at - hi:at - lo + LENGTH]
+                    if len(piece) == hi - lo + LENGTH:  # else this is another text of the same id
+                        ids.append(own), salts.append(salt), ms.append(m), data.append(piece)
+            for a in range(0, len(ms), CHUNK):
+                m, piece = np.array(ms[a:a + CHUNK]), data[a:a + CHUNK]
+                flat = np.frombuffer(b"".join(piece), np.uint8)
+                start = np.cumsum([0] + [len(x) for x in piece[:-1]]) + (m & 255)
+                h = gram_hashes(flat[start[:, None] + np.arange(GRAM)])
+                _, blocks = _blocks(h, often())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(salt), pa.array(blocks), names,
-                     pa.array(at + base[keep]), pa.array((at - a.last[keep]).astype(np.int32)),
-                     pa.array((at - a.first[keep]).astype(np.int32)), pa.array(data, pa.binary())],
+                    [pa.array(h.view(np.int64)), pa.array(np.array(salts[a:a + CHUNK]) % blocks), pa.array(blocks),
+                     pa.array(ids[a:a + CHUNK], kind), pa.array(m >> 17), pa.array((m >> 8 & 255).astype(np.int32)),
+                     pa.array((m & 255).astype(np.int32)), pa.array(piece, pa.binary())],
                     ["g", "block", "blocks", "doc_id", "at", "lo", "hi", "bytes"])
 
-    return live.mapInArrow(run, f"g long, block long, blocks long, doc_id {live.schema['doc_id'].dataType.simpleString()}, "
+    return docs.mapInArrow(run, f"g long, block long, blocks long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, "
                                 "at long, lo int, hi int, bytes binary")
 
 
-def _wanted(a: Anchors, base: np.ndarray, ids: list, wanted: dict) -> np.ndarray:
-    """Which anchors are at a wanted position of their text."""
-    ats = [wanted[own] for own in ids]
-    span = np.int64(1) << 40
-    keys = np.concatenate([np.asarray(x, np.int64) + k * span for k, x in enumerate(ats)])
-    return np.isin(a.at + base + a.text * span, keys)
-
-
 def radix_sort(words: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Most-significant-digit sort of rows of big-endian 64-bit digits within ascending groups.
 
@@ -314,41 +330,43 @@ def window_hashes(data: list[bytes], rows: np.ndarray, at: np.ndarray) -> np.nda
     return out
 
 
-def covered(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, end): byte ranges that repeat something earlier; they may overlap."""
-    spark = docs.sparkSession
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    hashes = lambda part: np.concatenate([Anchors(t).hash for _, t, _ in _pieces(part)] or [np.zeros(0, np.uint64)])
-    often = held(spark, frequent_keys(docs, hashes), lambda o: o)
-
-    rows = anchor_rows(docs, often)
-    deal = F.when(F.col("late"), F.pmod(F.xxhash64("doc_id", "at"), F.lit(4096))).otherwise(F.lit(0))  # no need to meet
-    times = F.count(F.lit(1)).over(Window.partitionBy("g", "deal"))
-    live = rows.withColumn("deal", deal).select("doc_id", "at", "late", times.alias("times")).where("late OR times > 1")
-    ats = live.groupBy("doc_id").agg(F.collect_list("at").alias("ats"))  # at most the document's own positions
-    live = docs.join(ats, "doc_id").select("doc_id", F.abs(F.xxhash64("doc_id") % (1 << 40)).alias("salt"), "text", "ats")
-    found = _found(occurrences(live, often), id_type)
-
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256; with ``keep``
+    also ``kept`` (the remaining bytes) and ``spans`` (list of start, end)."""
+    df = id_text(docs, id_col, text_col).select("doc_id", F.abs(F.xxhash64("doc_id") % (1 << 40)).alias("salt"), "text")
+    id_type = df.schema["doc_id"].dataType.simpleString()
+    hashes = lambda part: np.concatenate([Anchors(t).hash for _, _, t, _ in _pieces(part)] or [np.zeros(0, np.uint64)])
+    often = held(df.sparkSession, frequent_keys(df, hashes), lambda o: o)
+
+    rows = anchor_rows(df, often)
+    group = Window.partitionBy("k").orderBy("c", "doc_id", "m").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rank = F.dense_rank().over(Window.partitionBy("k", "c").orderBy("doc_id", "m"))
+    several = (F.min("c").over(group) != F.max("c").over(group)) | (F.col("m").bitwiseAND(1 << 16) != 0)
+    rows = rows.select("k", "c", "doc_id", "m", several.alias("several"), rank.alias("rank")).where("rank > 1 OR several")
+    # per document, at most its own anchors: those whose windows all repeat, and those to be sorted
+    marks = cut_lineage(rows.groupBy("doc_id").agg(F.collect_list(F.when(F.col("rank") > 1, F.col("m"))).alias("whole"),
+                                                   F.collect_list(F.when(F.col("rank") == 1, F.col("m"))).alias("sorts")))
+
+    # left joins without a filter on both sides, so that the texts are shuffled once
+    wanted = df.join(marks.select("doc_id", "sorts"), "doc_id", "left")
+    found = _found(occurrences(wanted, often), id_type)
     # blocks of frequent hashes: of each window's earliest occurrences per block, all but the first are repeats
     firsts = found.where("window IS NOT NULL").select("window", F.struct("doc_id", "start").alias("place"))
     least = firsts.groupBy("window").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = firsts.join(least, "window").where("place != least").select("place.doc_id", "place.start",
                                                                        (F.col("place.start") + LENGTH).alias("end"))
-    return found.where("window IS NULL").select("doc_id", "start", "end").union(later)
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256; with ``keep``
-    also ``kept`` (the remaining bytes) and ``spans`` (list of start, end)."""
-    df = id_text(docs, id_col, text_col)
-    id_type = df.schema["doc_id"].dataType.simpleString()
-    gone = covered(df).groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
-    joined = df.join(gone, "doc_id", "left")
+    gone = (found.where("window IS NULL").select("doc_id", "start", "end").union(later)
+            .groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")))
+    joined = (df.join(marks.select("doc_id", "whole"), "doc_id", "left").join(gone, "doc_id", "left")
+              .select("doc_id", "text", "whole", "starts", "ends"))
 
     def run(part: pa.RecordBatch) -> dict:
         out: list[tuple] = []
-        for text, s, e in zip(as_bytes(part["text"]), part["starts"].to_pylist(), part["ends"].to_pylist()):
-            s, e = union_runs(np.array(s or [], np.int64), np.array(e or [], np.int64))
+        for text, m, s, e in zip(as_bytes(part["text"]), *(part[c].to_pylist() for c in ("whole", "starts", "ends"))):
+            m = np.array(m or [], np.int64)
+            s = np.append(np.array(s or [], np.int64), (m >> 17) - (m & 255))
+            e = np.append(np.array(e or [], np.int64), (m >> 17) - (m >> 8 & 255) + LENGTH)
+            s, e = union_runs(s, np.minimum(e, len(text)))
             edge = [0, *np.stack([s, e], 1).ravel().tolist(), len(text)]
             rest = b"".join([text[a:b] for a, b in zip(edge[::2], edge[1::2])])
             out.append((len(text), len(text) - len(rest), len(s), sha256_hex(rest), rest, list(zip(s.tolist(), e.tolist()))))
