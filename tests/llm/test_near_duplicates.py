@@ -90,6 +90,8 @@ def test_frequent_hashes_only_steer(spark, monkeypatch):
 
 
 def test_tree_misses_no_pair():
+    sizes = [5, 30, 31, 32, 33, 70, 500, 4000]
+    assert all(jaccard.groups_for(n) * jaccard.PER_GROUP >= n for n in sizes)
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, (6, 400)).astype(np.uint64)
     sets = [np.unique(np.concatenate([rng.choice(base[k % 6], rng.integers(300, 400), False),
@@ -105,6 +107,18 @@ def test_tree_misses_no_pair():
     assert label.tolist() == want
 
 
+def test_screen_keeps_every_linked_set():
+    rng = np.random.default_rng(4)
+    sets = []
+    for size in (6, 33, 65, 300, 1100):
+        for _ in range(9):
+            base = rng.integers(0, 2**63, size).astype(np.uint64)
+            sets += [np.unique(base), np.unique(np.append(base[: int(size * 0.9)], rng.integers(0, 2**63, size // 12).astype(np.uint64)))]
+    kept = jaccard.screen([jaccard.unpack(jaccard.pack(jaccard.point(s, jaccard.groups_for(len(s))))) for s in sets])
+    linked = [any(k != j and jaccard.links(s, t) for j, t in enumerate(sets)) for k, s in enumerate(sets)]
+    assert all(k for k, want in zip(kept, linked) if want) and sum(linked) > 40
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(100, 130)] + [(7, k) for k in range(8, 40)] + [(39, 50), (3, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -4,8 +4,9 @@ A document's set holds its distinct runs of ``WIDTH`` words (its whole word sequ
 if it has fewer), as 64-bit hashes.  Two documents link when intersection over union
 reaches 80 %.
 
-Point and bound: the hashes fall into ``GROUPS`` groups; the counts per group are a
-point.  The sum over groups of the smaller count bounds the overlap of two sets, and
+Point and bound: the hashes fall into groups, a power of two of them so that a group holds
+``PER_GROUP`` at most on average; the counts per group are a point.  (Points of different
+lengths are compared at the shorter one, the longer one folded.)  The sum over groups of the smaller count bounds the overlap of two sets, and
 with a box's upper corner in place of a point, that of a set with every set in
 the box.  An R-tree packs the points by size and first coordinates; a query walks
 down the boxes whose bound reaches the overlap it needs, and the pairs that survive
@@ -57,12 +58,13 @@ from tremor.session import cut_lineage
 
 WIDTH = 5
 SHARE = 80           # per cent
-GROUPS = 256
+PER_GROUP = 8
 LEAF = 32
 SCREEN = 1024        # documents of a group that one task screens together
 BLOCK = 192          # documents of a group that one task solves together
 BLOCK_HASHES = 1_000_000
 PART = 1 << 20       # bytes that one vectorised step takes
+FEW = 200_000        # ids that are broadcast at most
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -115,19 +117,30 @@ def shingles(text: bytes, width: int = WIDTH) -> np.ndarray:
     return shingle_sets([text], width)[0]
 
 
-def point(h: np.ndarray) -> np.ndarray:
+def groups_for(n: int) -> int:
+    """Number of groups for sets of n hashes."""
+    return 1 << max(3, (max(n, 1) - 1) // PER_GROUP).bit_length()
+
+
+def point(h: np.ndarray, groups: int) -> np.ndarray:
     """Hashes per group."""
-    return np.bincount((h & np.uint64(GROUPS - 1)).astype(np.intp), minlength=GROUPS).astype(np.int32)
+    return np.bincount((h & np.uint64(groups - 1)).astype(np.intp), minlength=groups).astype(np.int32)
+
+
+def fold(p: np.ndarray, groups: int) -> np.ndarray:
+    """The point for fewer groups."""
+    return p.reshape(-1, groups).sum(0) if len(p) > groups else p
 
 
 def pack(p: np.ndarray) -> bytes:
-    """A point in the smallest integers that hold its largest count."""
+    """A point in the smallest integers that hold its largest count, after their width."""
     top = p.max()
-    return p.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32).tobytes()
+    kind = np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32
+    return bytes([np.dtype(kind).itemsize]) + p.astype(kind).tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(data) // GROUPS]).astype(np.int32)
+    return np.frombuffer(data, {1: np.uint8, 2: np.uint16, 4: np.uint32}[data[0]], offset=1).astype(np.int32)
 
 
 def prefix(h: np.ndarray, often: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +166,7 @@ def profiles(docs: DataFrame) -> DataFrame:
             a, b = prefix(h, *get())
             n.append(len(h))
             digest.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
-            points.append(pack(point(h)) if len(h) else None)
+            points.append(pack(point(h, groups_for(len(h)))) if len(h) else None)
             rare.append(a.view(np.int64))
             late.append(b.view(np.int64))
         longs = pa.list_(pa.int64())
@@ -228,20 +241,33 @@ def reachable(tree: Tree, p: np.ndarray, n: np.ndarray, i: int, wanted: np.ndarr
     return at[np.minimum(p[at], p[i]).sum(1) >= needed(int(n[i]), n[at])]
 
 
-def screen(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Which points of a group have another one that they might link with."""
+def screen(points: list[np.ndarray]) -> np.ndarray:
+    """Which points of a group have another one that they might link with.  Sets that link differ in size by a
+    quarter at most, so their points have the same length, or one has twice the other's."""
+    length, keep = np.array([len(p) for p in points]), np.zeros(len(points), bool)
+    for g in np.unique(length):
+        at = np.flatnonzero((length == g) | (length == 2 * g))
+        if len(at) > 1:
+            keep[at] |= _screen(np.stack([fold(points[k], g) for k in at]), length[at] == g)
+    return keep
+
+
+def _screen(points: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The same for points of one length; pairs without one of ``own`` do not count."""
+    sizes = points.sum(1)
     if len(points) <= LEAF:  # one leaf: its points are compared directly
         both = np.minimum(points[:, None], points[None]).sum(2) >= needed(sizes[:, None], sizes[None])
+        both &= own[:, None] | own[None]
         np.fill_diagonal(both, False)
         return both.any(1)
     order = packed_order(points, sizes)
-    p, n = points[order], sizes[order]
+    p, n, mine = points[order], sizes[order], own[order]
     tree, keep = Tree(p, n), np.zeros(len(p), bool)
     for i in range(len(p)):
         if not keep[i]:
-            wanted = np.ones(len(p), bool)
+            wanted = np.ones(len(p), bool) if mine[i] else mine.copy()
             wanted[i] = False
-            partners = reachable(tree, p, n, i, wanted)
+            partners = reachable(tree, p, n, i, wanted) if wanted.any() else []
             if len(partners):
                 keep[i] = True
                 keep[partners] = True
@@ -260,7 +286,7 @@ def solve(sets: list[np.ndarray], queries: np.ndarray | None = None) -> np.ndarr
             label[1] = 0
         return label
     sizes = np.array([len(s) for s in sets])
-    points = np.stack([point(s) for s in sets])
+    points = np.stack([point(s, groups_for(int(sizes.max()))) for s in sets])
     order = packed_order(points, sizes)
     back = np.empty(m, np.intp)
     back[order] = np.arange(m)
@@ -323,8 +349,7 @@ def _screened(members: DataFrame, points: DataFrame, id_type: str, kind: pa.Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def kept() -> Iterator[tuple]:
             for (hub,), ids, _, values in _groups(batches, ("hub",), "point", lambda c: [unpack(x) for x in c.to_pylist()]):
-                p = np.stack(values)
-                for own, keep in zip(ids, screen(p, p.sum(1))):
+                for own, keep in zip(ids, screen(values)):
                     if keep:
                         yield hub, own
 
@@ -385,7 +410,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = members.withColumn("block", F.explode(F.when(F.col("center") == F.col("doc_id"), everywhere).otherwise(F.array(block))))
     first = dealt.select("hub", "center", "block", F.lit(0).alias("other"), F.lit(0).alias("role"), "doc_id")
     texts = df.where("doc_id IS NOT NULL")
-    found = cut_lineage(_solved(first.join(texts, "doc_id"), id_type, kind))
+    found = cut_lineage(_solved(first.join(_only(texts, members), "doc_id"), id_type, kind))
     links_found = found.where("b IS NOT NULL").select("a", "b")
 
     # documents of large groups that are not joined to the center: each set of up to BLOCK of them meets every block
@@ -398,7 +423,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         against = (large.where("center != doc_id").join(counted, "hub")
                    .select("hub", "center", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("sets") - 1)).alias("other"),
                            F.lit(0).alias("role"), "doc_id"))
-        more = _solved(asked.union(against).join(texts, "doc_id"), id_type, kind)
+        more = cut_lineage(asked.union(against))
+        more = _solved(more.join(_only(texts, more), "doc_id"), id_type, kind)
         links_found = links_found.union(more.where("b IS NOT NULL").select("a", "b"))
 
     joined = components(links_found)
@@ -409,5 +435,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``texts`` with one of these ids; up to FEW ids are broadcast, more are joined."""
+    ids = cut_lineage(ids.select("doc_id").distinct())
+    return texts.join(F.broadcast(ids) if ids.count() <= FEW else ids, "doc_id", "left_semi")
+
+
 def op2_jaccard(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs)
