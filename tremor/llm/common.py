@@ -126,7 +126,7 @@ class RunningHash:
     def __init__(self, data: np.ndarray):
         n = len(data) + 1
         if not self._powers or len(self._powers[0]) < n:
-            size = max(n, 3 << 20)
+            size = max(n, 1 << 20)
             self._powers[:] = [np.multiply.accumulate(np.append(np.uint64(1), np.full(size - 1, b, np.uint64)))
                                for b in (self._base, pow(self._base, -1, 1 << 64))]
         self.sums = np.append(np.uint64(0), np.add.accumulate(self._byte[data] * self._powers[0][:n - 1]))

@@ -49,8 +49,8 @@ from tremor.session import cut_lineage
 LENGTH = 100
 GRAM = 24
 BLOCK = 256
-PART = 2 << 20        # bytes that one vectorised step takes
-CHUNK = 40_000        # occurrences that one radix sort takes
+PART = 512 << 10      # bytes that one vectorised step takes
+CHUNK = 16_000        # occurrences that one radix sort takes
 BEFORE = LENGTH - GRAM
 
 _SHIFT = np.uint64(28)  # a hash is compared by its upper 36 bits, then by position
