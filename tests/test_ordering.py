@@ -69,7 +69,7 @@ def test_carry_fill_across_many_blocks(spark):
 
 
 def test_quantiles_match_numpy(hot):
-    q = quantiles(hot, ["k"], "x", [0.25, 0.5, 0.75, 0.1], num_partitions=16)
+    q = quantiles(hot, ["k"], "x", [0.25, 0.5, 0.75, 0.1])
     for r in q.collect():
         vals = [row.x for row in hot.where(F.col("k") == r.k).collect()]
         ref = np.quantile(vals, [0.25, 0.5, 0.75, 0.1])

@@ -5,7 +5,6 @@ from tremor.functions.columns import (  # noqa: F401
     hash_unit,
     hash_bigint,
     nan_to_null,
-    null_safe_on,
     safe_corr,
     sig,
     to_double,

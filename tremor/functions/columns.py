@@ -6,7 +6,7 @@ codegen.  ANSI mode is assumed on: divisions go through ``try_divide``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,11 +43,18 @@ def pow10(k: Column) -> Column:
                       F.pow(F.lit(10.0), k))
 
 
+# from here on every double is an integer: nothing is left to round
+WHOLE = 9007199254740992.0
+
+
 def round_half_away(c: Column, decimals: int) -> Column:
     """Round half away from zero with plain double arithmetic (no BigDecimal):
-    sign(x) * floor(|x| * 10^d + 0.5) / 10^d; -0.0 becomes 0.0."""
+    sign(x) * floor(|x| * 10^d + 0.5) / 10^d; -0.0 becomes 0.0.  A value whose
+    scaled form is a whole number anyway passes unchanged (``floor`` gives a
+    long, which would saturate)."""
     q = F.lit(_POW10[decimals])
-    return F.signum(c) * F.floor(F.abs(c) * q + F.lit(0.5)) / q + F.lit(0.0)
+    scaled = F.abs(c) * q
+    return F.when(scaled >= F.lit(WHOLE), c).otherwise(F.signum(c) * F.floor(scaled + F.lit(0.5)) / q) + F.lit(0.0)
 
 
 def sig(c: Column | str, digits: int = 9) -> Column:
@@ -97,18 +104,10 @@ def _hash_hex(cols: Sequence[Column | str], seed: int) -> Column:
 
 
 def hash_bigint(cols: Sequence[Column | str], seed: int = 42) -> Column:
-    """Deterministic 32-bit non-negative integer from md5 (same value in DuckDB)."""
-    return F.conv(F.substring(_hash_hex(cols, seed), 1, 8), 16, 10).cast("bigint")
+    """Deterministic 60-bit non-negative integer from md5 (same value in DuckDB)."""
+    return F.conv(F.substring(_hash_hex(cols, seed), 1, 15), 16, 10).cast("bigint")
 
 
 def hash_unit(cols: Sequence[Column | str], seed: int = 42) -> Column:
     """Deterministic uniform number in [0, 1) from md5 of the columns and a seed."""
-    return hash_bigint(cols, seed) / F.lit(4294967296.0)
-
-
-def null_safe_on(left, right, cols: Iterable[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else (cond & e)
-    return cond
+    return hash_bigint(cols, seed) / F.lit(float(1 << 60))

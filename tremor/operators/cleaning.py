@@ -179,8 +179,8 @@ def validate_readings(df: DataFrame, readings: str, names: Sequence[str]) -> Dat
     extra = F.array_sort(F.array_except(keys, expected))
     err = F.when(
         (F.size(missing) > 0) | (F.size(extra) > 0),
-        F.concat(F.lit("Feature mismatch! Missing: "), F.array_join(missing, ","),
-                 F.lit(" Extra: "), F.array_join(extra, ",")),
+        F.concat(F.lit("names differ from the model's; absent: "), F.array_join(missing, ","),
+                 F.lit("; unknown: "), F.array_join(extra, ",")),
     )
     return df.withColumns({"missing": missing, "extra": extra, "error": err})
 

@@ -2,11 +2,11 @@
 
 Input is long form ``(feature, value, side)`` with side 0 = base, 1 =
 current (:func:`long_samples` builds it from two wide tables).  Values are
-grouped first (ties collapse, partial aggregation shrinks the data); running
-sums over the value order use the skew-safe
-:func:`tremor.operators.ordering.prefix_sums`; histograms are grouped counts
-over a full bin grid.  Only the KS p-value needs Python: a Pandas UDF over
-the aggregated rows (one row per feature).
+counted per side once (ties collapse, partial aggregation shrinks the data);
+sizes, ranges, the KS statistic and both histograms all come from that one
+table, whose running sums use the skew-safe
+:func:`tremor.operators.ordering.prefix_sums`.  A feature with an empty side
+has NULL statistics.
 """
 
 from __future__ import annotations
@@ -15,10 +15,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tremor.functions import fitted
 from tremor.operators.cleaning import unpivot
 from tremor.operators.ordering import prefix_sums
 from tremor.operators.stats import with_bin
@@ -29,7 +30,6 @@ PSI_MAJOR, PSI_MODERATE = 0.2, 0.1
 ALPHA = 0.05
 PSI_BINS, JS_BINS = 10, 20
 PSI_EPS = 1e-6
-EXACT_MAX_N = 10000
 
 
 def long_samples(base: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -39,20 +39,35 @@ def long_samples(base: DataFrame, current: DataFrame, cols: Sequence[str]) -> Da
     return b.unionByName(c).where(F.col("value").isNotNull())
 
 
-def ks_statistic(long: DataFrame) -> DataFrame:
-    """Two-sample KS statistic D = max |F_base - F_current| per feature,
-    with the sample sizes n_base, n_current."""
-    counts = long.groupBy("feature", "value").agg(
+def sided_samples(df: DataFrame, cols: Sequence[str], side: Column) -> DataFrame:
+    """One wide table as ``(feature, value, side)`` in one scan; rows whose ``side`` is NULL are in neither sample."""
+    long = unpivot(df.withColumn("side", side.cast("int")), cols, keys=["side"])
+    return long.where(F.col("value").isNotNull() & F.col("side").isNotNull()).select("feature", "value", "side")
+
+
+def value_counts(long: DataFrame) -> DataFrame:
+    """(feature, value, c0, c1) with running sums ``cum_c0``, ``cum_c1`` in value order and the sizes ``n_c0``, ``n_c1``."""
+    counts = long.where(F.col("value").isNotNull() & F.col("side").isNotNull()).groupBy("feature", "value").agg(
         F.count(F.when(F.col("side") == 0, 1)).alias("c0"),
         F.count(F.when(F.col("side") == 1, 1)).alias("c1"),
     )
-    run = prefix_sums(counts, ["feature"], ["value"], ["c0", "c1"], prefix="cum_", total_prefix="n_")
-    gap = F.abs(F.col("cum_c0") / F.col("n_c0") - F.col("cum_c1") / F.col("n_c1"))
+    return prefix_sums(counts, ["feature"], ["value"], ["c0", "c1"], prefix="cum_", total_prefix="n_")
+
+
+def _profile(run: DataFrame) -> DataFrame:
+    """One row per feature: sizes, value ranges (base, all) and the KS statistic."""
+    gap = F.abs(F.try_divide(F.col("cum_c0").cast("double"), F.col("n_c0"))
+                - F.try_divide(F.col("cum_c1").cast("double"), F.col("n_c1")))
+    base = F.when(F.col("c0") > 0, F.col("value"))
     return run.groupBy("feature").agg(
-        F.max(gap).alias("ks_stat"),
-        F.max("n_c0").alias("n_base"),
-        F.max("n_c1").alias("n_current"),
-    )
+        F.max(gap).alias("ks_stat"), F.max("n_c0").alias("n_base"), F.max("n_c1").alias("n_current"),
+        F.min(base).alias("bmin"), F.max(base).alias("bmax"), F.min("value").alias("amin"), F.max("value").alias("amax"))
+
+
+def ks_statistic(long: DataFrame) -> DataFrame:
+    """Two-sample KS statistic D = max |F_base - F_current| per feature,
+    with the sample sizes n_base, n_current."""
+    return _profile(value_counts(long)).select("feature", "ks_stat", "n_base", "n_current")
 
 
 def _gcd(a: int, b: int) -> int:
@@ -107,68 +122,85 @@ def ks_pvalue_exact(d: float, n1: int, n2: int) -> float:
     return float(min(1.0, max(0.0, 1.0 - inside)))
 
 
-def ks_pvalue_asymptotic(d: float, n1: int, n2: int, terms: int = 100) -> float:
-    """Kolmogorov limit: 2 * sum_k (-1)^(k-1) exp(-2 k^2 en d^2), en = n1 n2 / (n1 + n2)."""
-    en = n1 * n2 / (n1 + n2)
-    lam = np.sqrt(en) * d
-    if lam < 1e-3:
-        return 1.0
-    k = np.arange(1, terms + 1)
-    p = 2.0 * np.sum((-1.0) ** (k - 1) * np.exp(-2.0 * (k ** 2) * lam ** 2))
-    return float(min(1.0, max(0.0, p)))
+def ks_pvalue_limit(d: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
+    """Kolmogorov's limit with the small-sample term, as a built-in expression:
+    2 sum_k (-1)^(k-1) exp(-2 k^2 L^2), L = (sqrt(e) + 0.12 + 0.11 / sqrt(e)) D, e = n1 n2 / (n1 + n2)."""
+    e = F.sqrt(F.try_divide(n1.cast("double") * n2.cast("double"), n1.cast("double") + n2.cast("double")))
+    lam = (e + 0.12 + F.try_divide(F.lit(0.11), e)) * d
 
+    def term(acc: Column, k: Column) -> Column:
+        sign = F.when(k % 2 == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
+        return acc + sign * F.exp(F.lit(-2.0) * k * k * lam * lam)
 
-def ks_pvalue_one(d: float, n1: int, n2: int) -> float:
-    if d is None or n1 is None or n2 is None or n1 == 0 or n2 == 0:
-        return None
-    if max(n1, n2) <= EXACT_MAX_N:
-        return ks_pvalue_exact(float(d), int(n1), int(n2))
-    return ks_pvalue_asymptotic(float(d), int(n1), int(n2))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0), term)
+    p = F.when(lam < 0.05, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * series)))
+    return F.when(d.isNotNull() & (n1 > 0) & (n2 > 0), p)
 
 
 @F.pandas_udf(T.DoubleType())
 def ks_pvalue_udf(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    return pd.Series([ks_pvalue_one(a, b, c) for a, b, c in zip(d, n1, n2)], dtype="float64")
+    return pd.Series([None if pd.isna(a) or not b or not c else ks_pvalue_exact(float(a), int(b), int(c))
+                      for a, b, c in zip(d, n1, n2)], dtype="float64")
 
 
-def ks_test(long: DataFrame) -> DataFrame:
-    """D1 + D2: statistic and p-value (exact path counting when both samples
-    have at most 10,000 values, else the Kolmogorov series).  The UDF sees
-    one row per feature."""
-    ks = ks_statistic(long)
-    # one feature per task: the exact p-values of many features run in parallel
-    n = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _with_pvalue(ks: DataFrame, method: str) -> DataFrame:
+    if method == "limit":
+        return ks.withColumn("p_value", ks_pvalue_limit(F.col("ks_stat"), F.col("n_base"), F.col("n_current")))
+    if method != "exact":
+        raise ValueError(f"unknown p-value method {method!r}")
+    # one feature per task: the path counts of many features run in parallel
+    n = int(ks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return ks.repartition(n, "feature").withColumn("p_value", ks_pvalue_udf("ks_stat", "n_base", "n_current"))
 
 
-def _grid_counts(long: DataFrame, rng: DataFrame, bins: int) -> DataFrame:
-    """Counts per (feature, bin) of each side over a full bin grid."""
-    # one row per feature; the number of features comes from the data, so
-    # the join is left to AQE, which broadcasts it when it is small
-    binned = with_bin(long.join(rng, "feature"), "value", "lo", "hi", bins).select(
-        "feature", "side", "bin")
+def ks_test(long: DataFrame, method: str = "limit") -> DataFrame:
+    """D1 + D2: statistic and p-value.  ``method`` is the caller's choice at any
+    size: ``limit`` (the series above) or ``exact`` (path counting, work in
+    proportion to n1 n2 D, one task per feature)."""
+    return _with_pvalue(ks_statistic(long), method)
+
+
+def _widen(lo, hi):
+    """NumPy widens an empty range [v, v] to [v - 0.5, v + 0.5]."""
+    return (F.when(lo == hi, lo - 0.5).otherwise(lo), F.when(lo == hi, hi + 0.5).otherwise(hi))
+
+
+def _grid_counts(run: DataFrame, profile: DataFrame, bins: int, low: str, high: str) -> DataFrame:
+    """(feature, n_base, n_current, bin, b, c): counts of each side over a full bin grid on [low, high]."""
+    lo, hi = _widen(F.col(low), F.col(high))
+    # one row per feature; the number of features comes from the data, so the join is left to AQE
+    rng = profile.select("feature", "n_base", "n_current", lo.alias("lo"), hi.alias("hi"))
+    binned = with_bin(run.select("feature", "value", "c0", "c1").join(rng, "feature"), "value", "lo", "hi", bins)
     counts = binned.where(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(
-        F.count(F.when(F.col("side") == 0, 1)).alias("b"),
-        F.count(F.when(F.col("side") == 1, 1)).alias("c"),
-    )
-    grid = rng.select("feature", "n0", "n1", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+        F.sum("c0").alias("b"), F.sum("c1").alias("c"))
+    grid = rng.select("feature", "n_base", "n_current", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return grid.join(counts, ["feature", "bin"], "left").na.fill(0, subset=["b", "c"])
 
 
-def _sizes(long: DataFrame) -> DataFrame:
-    return long.groupBy("feature").agg(
-        F.count(F.when(F.col("side") == 0, 1)).alias("n0"),
-        F.count(F.when(F.col("side") == 1, 1)).alias("n1"),
-        F.min(F.when(F.col("side") == 0, F.col("value"))).alias("bmin"),
-        F.max(F.when(F.col("side") == 0, F.col("value"))).alias("bmax"),
-        F.min("value").alias("amin"),
-        F.max("value").alias("amax"),
-    )
+def _both(value: Column) -> Column:
+    """NULL where a side is empty."""
+    return F.when((F.max("n_base") > 0) & (F.max("n_current") > 0), value)
 
 
-def _widen(lo, hi):
-    """NumPy widens an empty range [v, v] to [v - 0.5, v + 0.5]."""
-    return (F.when(lo == hi, lo - 0.5).otherwise(lo), F.when(lo == hi, hi + 0.5).otherwise(hi))
+def _psi(run: DataFrame, profile: DataFrame, bins: int) -> DataFrame:
+    g = _grid_counts(run, profile, bins, "bmin", "bmax")
+    eps = F.lit(PSI_EPS)
+    bp = (F.col("b") + eps) / (F.col("n_base") + eps * bins)
+    cp = (F.col("c") + eps) / (F.col("n_current") + eps * bins)
+    return g.groupBy("feature").agg(_both(F.sum((cp - bp) * F.log(cp / bp))).alias("psi"))
+
+
+def _js(run: DataFrame, profile: DataFrame, bins: int) -> DataFrame:
+    g = _grid_counts(run, profile, bins, "amin", "amax")  # every value has a bin
+    p = F.try_divide(F.col("b").cast("double"), F.col("n_base"))
+    q = F.try_divide(F.col("c").cast("double"), F.col("n_current"))
+    m = (p + q) / 2
+
+    def kl(a):
+        return F.when(a > 0, a * F.log(F.try_divide(a, m))).otherwise(F.lit(0.0))
+
+    return g.groupBy("feature").agg(
+        _both(F.sqrt(F.greatest(F.sum(0.5 * kl(p) + 0.5 * kl(q)), F.lit(0.0)))).alias("js_distance"))
 
 
 def psi(long: DataFrame, bins: int = PSI_BINS) -> DataFrame:
@@ -176,78 +208,67 @@ def psi(long: DataFrame, bins: int = PSI_BINS) -> DataFrame:
 
     ``bins`` equal bins over the base range; current values outside it fall
     out of the counts but stay in the denominator; both shares are smoothed:
-    (count + 1e-6) / (n + 1e-6 * bins).  PSI = sum (c - b) * ln(c / b).
+    (count + 1e-6) / (n + 1e-6 * bins).  PSI = sum (c - b) * ln(c / b); NULL
+    if a side is empty.
     """
-    sz = _sizes(long)
-    lo, hi = _widen(F.col("bmin"), F.col("bmax"))
-    rng = sz.select("feature", "n0", "n1", lo.alias("lo"), hi.alias("hi"))
-    g = _grid_counts(long, rng, bins)
-    eps = F.lit(PSI_EPS)
-    bp = (F.col("b") + eps) / (F.col("n0") + eps * bins)
-    cp = (F.col("c") + eps) / (F.col("n1") + eps * bins)
-    return g.groupBy("feature").agg(F.sum((cp - bp) * F.log(cp / bp)).alias("psi"))
+    run = value_counts(long)
+    return _psi(run, _profile(run), bins)
 
 
-def psi_status(p) -> F.Column:
+def psi_status(p) -> Column:
     """D6."""
-    return (F.when(p > PSI_MAJOR, "Major").when(p > PSI_MODERATE, "Moderate").otherwise("Stable"))
+    return (F.when(p > PSI_MAJOR, "Major").when(p > PSI_MODERATE, "Moderate").when(p.isNotNull(), "Stable"))
 
 
 def js_distance(long: DataFrame, bins: int = JS_BINS) -> DataFrame:
     """Jensen-Shannon distance (square root of the divergence, natural log)
-    of the two ``bins``-bin histograms over the joint range."""
-    sz = _sizes(long)
-    lo, hi = _widen(F.col("amin"), F.col("amax"))
-    rng = sz.select("feature", "n0", "n1", lo.alias("lo"), hi.alias("hi"))
-    g = _grid_counts(long, rng, bins)
-    tot = g.groupBy("feature").agg(F.sum("b").alias("tb"), F.sum("c").alias("tc"))
-    g = g.join(tot, "feature")
-    p = F.col("b") / F.col("tb")
-    q = F.col("c") / F.col("tc")
-    m = (p + q) / 2
+    of the two ``bins``-bin histograms over the joint range; NULL if a side is empty."""
+    run = value_counts(long)
+    return _js(run, _profile(run), bins)
 
-    def kl(a):
-        return F.when(a > 0, a * F.log(a / m)).otherwise(F.lit(0.0))
-
-    return g.groupBy("feature").agg(
-        F.sqrt(F.greatest(F.sum(0.5 * kl(p) + 0.5 * kl(q)), F.lit(0.0))).alias("js_distance"))
 
-
-def drift_report(long: DataFrame, min_values: int = 5, digits: int = 4) -> DataFrame:
+def drift_report(long: DataFrame, min_values: int = 5, digits: int = 4, method: str = "limit") -> DataFrame:
     """KS statistic, p-value, PSI, JS distance, alert and PSI status per
-    feature present in both samples with at least ``min_values`` values each;
-    numbers rounded to ``digits`` decimals (status uses the unrounded PSI)."""
-    sz = _sizes(long).where((F.col("n0") >= min_values) & (F.col("n1") >= min_values)).select("feature")
-    kept = long.join(sz, "feature", "left_semi")
-    ks = ks_test(kept)
-    ps = psi(kept)
-    js = js_distance(kept)
-    r = ks.join(ps, "feature").join(js, "feature")
+    feature, numbers rounded to ``digits`` decimals (status uses the unrounded PSI).
+
+    A feature with fewer than ``min_values`` values on a side is not judged: its
+    statistics are NULL and ``Skipped`` says why.  The input is read once.
+    """
+    run = value_counts(long)
+    profile = _profile(run)
+    few = (F.col("n_base") < min_values) | (F.col("n_current") < min_values)
+    r = _with_pvalue(profile, method).join(_psi(run, profile, PSI_BINS), "feature").join(_js(run, profile, JS_BINS), "feature")
+    shown = lambda c: F.when(~few, c)
     return r.select(
         F.col("feature").alias("Feature"),
-        F.round("ks_stat", digits).alias("KS_Stat"),
-        F.round("p_value", digits).alias("P_Value"),
-        F.round("psi", digits).alias("PSI"),
-        F.round("js_distance", digits).alias("JS_Divergence"),
-        F.when(F.col("p_value") < ALPHA, "YES").otherwise("NO").alias("Drift_Alert"),
-        psi_status(F.col("psi")).alias("PSI_Status"),
+        shown(F.round("ks_stat", digits)).alias("KS_Stat"),
+        shown(F.round("p_value", digits)).alias("P_Value"),
+        shown(F.round("psi", digits)).alias("PSI"),
+        shown(F.round("js_distance", digits)).alias("JS_Divergence"),
+        shown(F.when(F.col("p_value") < ALPHA, "YES").otherwise("NO")).alias("Drift_Alert"),
+        shown(psi_status(F.col("psi"))).alias("PSI_Status"),
+        F.when(few, F.lit(f"fewer than {min_values} values on a side")).alias("Skipped"),
     )
 
 
-def drift_check(long: DataFrame, features: Sequence[str] | None = None, limit: int = 10) -> DataFrame:
-    """D3: the short check of the first ``limit`` features: p-value and alert."""
-    d = long
-    if features is not None:
-        d = long.where(F.col("feature").isin(list(features)[:limit]))
-    ks = ks_test(d)
-    return ks.select("feature", "ks_stat", "p_value", (F.col("p_value") < ALPHA).alias("drift"))
+def drift_counts(report: DataFrame) -> DataFrame:
+    """Features judged, drifting and skipped (one row)."""
+    return report.agg(F.count("Drift_Alert").alias("n_features"),
+                      F.count(F.when(F.col("Drift_Alert") == "YES", 1)).alias("n_drifting"),
+                      F.count("Skipped").alias("n_skipped"))
+
+
+def drift_check(long: DataFrame, features: Sequence[str] | None = None, method: str = "limit") -> DataFrame:
+    """D3: the short check: p-value and alert of ``features`` (default: all)."""
+    d = long if features is None else long.where(F.col("feature").isin(list(features)))
+    return ks_test(d, method).select("feature", "ks_stat", "p_value", (F.col("p_value") < ALPHA).alias("drift"))
 
 
 def mutual_information(df: DataFrame, cols: Sequence[str], label: str, bins: int = 10) -> DataFrame:
-    """D8 (re-aimed): mutual information of each feature with the label from
+    """D8 (re-aimed): mutual information of each feature with the label (NULL values count as 0) from
     an equal-width ``bins``-bin discretisation, natural log:
     sum p(x, y) ln(p(x, y) / (p(x) p(y)))."""
-    long = unpivot(df, cols, keys=[label]).where(F.col("value").isNotNull())
+    long = unpivot(df, cols, keys=[label]).withColumn("value", F.coalesce("value", F.lit(0.0)))
     rng = long.groupBy("feature").agg(F.min("value").alias("mn"), F.max("value").alias("mx"),
                                       F.count(F.lit(1)).alias("n"))
     lo, hi = _widen(F.col("mn"), F.col("mx"))
@@ -258,13 +279,14 @@ def mutual_information(df: DataFrame, cols: Sequence[str], label: str, bins: int
     px = joint.groupBy("feature", "bin").agg(F.sum("nxy").alias("nx"))
     py = joint.groupBy("feature", label).agg(F.sum("nxy").alias("ny"))
     j = joint.join(px, ["feature", "bin"]).join(py, ["feature", label])
-    term = (F.col("nxy") / F.col("n")) * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
+    nxy, n, nx, ny = (F.col(c).cast("double") for c in ("nxy", "n", "nx", "ny"))  # products exceed a long
+    term = (nxy / n) * F.log(nxy * n / (nx * ny))
     return j.groupBy("feature").agg(F.sum(term).alias("mutual_info"))
 
 
 def top_drift(report: DataFrame, k: int = 10) -> DataFrame:
     """K2: the ``k`` features with the largest KS statistic (ties: feature name)."""
-    return report.orderBy(F.col("KS_Stat").desc(), F.col("Feature")).limit(k)
+    return report.where(F.col("KS_Stat").isNotNull()).orderBy(F.col("KS_Stat").desc(), F.col("Feature")).limit(k)
 
 
 def drift_focus(report: DataFrame, feature_order: Sequence[str], k: int = 4) -> DataFrame:
@@ -272,8 +294,6 @@ def drift_focus(report: DataFrame, feature_order: Sequence[str], k: int = 4) ->
     features when none drifts."""
     pos = F.array_position(F.array(*[F.lit(c) for c in feature_order]), F.col("Feature"))
     r = report.withColumn("__pos", pos)
-    from pyspark.sql import Window
-    w = Window.partitionBy(F.lit(0))
-    any_alert = F.max((F.col("Drift_Alert") == "YES").cast("int")).over(w)
-    chosen = r.withColumn("__any", any_alert).where((F.col("__any") == 0) | (F.col("Drift_Alert") == "YES"))
-    return chosen.orderBy("__pos").limit(k).drop("__pos", "__any")
+    drifts = F.col("Drift_Alert") == "YES"
+    any_alert = fitted(report.agg(F.coalesce(F.max(drifts), F.lit(False)).alias("any"))).getField("any")
+    return r.where(drifts | ~any_alert).orderBy("__pos").limit(k).drop("__pos")

@@ -77,12 +77,12 @@ def roc_auc(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFr
     ranked = prefix_sums(counts, keys, ["__s"], ["__neg"], prefix="__cum", total_prefix="__n")
     below = F.col("__cum__neg") - F.col("__neg")
     agg = ranked.groupBy(*keys).agg(
-        F.sum(F.col("__pos") * (below + 0.5 * F.col("__neg"))).alias("__u"),
+        F.sum(F.col("__pos") * (below.cast("double") + 0.5 * F.col("__neg"))).alias("__u"),
         F.sum("__pos").alias("n_pos"),
         F.sum("__neg").alias("n_neg"),
     )
     auc = F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
-                 F.col("__u") / (F.col("n_pos") * F.col("n_neg")))
+                 F.col("__u") / (F.col("n_pos").cast("double") * F.col("n_neg")))
     return agg.select(*by, "n_pos", "n_neg", auc.alias("roc_auc"))
 
 

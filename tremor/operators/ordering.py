@@ -17,8 +17,8 @@ many tasks:
 * :func:`carry_fill` finds the previous / next non-null value of a column at
   any distance, block-locally plus a carry over the small per-block table.
 * :func:`quantiles` gives exact, linearly interpolated quantiles (NumPy /
-  pandas / Spark ``percentile`` / DuckDB ``quantile_cont``) from prefix
-  counts, without collecting a value map of a whole group into one task.
+  pandas / Spark ``percentile`` / DuckDB ``quantile_cont``) from a sketch and
+  exact counts about the wanted ranks, without a value map of a whole group.
 """
 
 from __future__ import annotations
@@ -36,57 +36,43 @@ DEFAULT_BLOCK_ROWS = 1 << 16
 _PID = "__pid"
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def _local_running_sums(keys: list[str], sums: list[str]):
-    """mapInPandas body: running sums per key inside one partition whose rows
-    are sorted by (keys, order); a key may continue from one Arrow batch into
-    the next, so the last running values are carried over."""
+def _local_running_sums(sums: list[str]):
+    """mapInArrow body: running sums of ``sums`` over runs of equal ``__key``
+    inside one sorted partition; a run may go on from one Arrow batch into the
+    next.  The other columns pass through as they are."""
     import numpy as np
     import pandas as pd
-
-    def same(a, b):
-        return all((pd.isna(x) and pd.isna(y)) or x == y for x, y in zip(a, b))
+    import pyarrow as pa
 
     def run(batches):
-        carry_key, carry = None, None
-        for pdf in batches:
-            if pdf.empty:
-                for c in sums:
-                    pdf[f"__l_{c}"] = pdf[c]
-                yield pdf
+        last, carry = None, None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            if keys:
-                run_sums = pdf.groupby(keys, sort=False, dropna=False)[sums].cumsum()
-                kv = pdf[keys].to_numpy(dtype=object)
-            else:
-                run_sums = pdf[sums].cumsum()
-                kv = np.empty((len(pdf), 0), dtype=object)
-            if carry is not None:
-                # rows of the carried key form a prefix of this sorted batch
-                n_pre = 0
-                while n_pre < len(pdf) and same(kv[n_pre], carry_key):
-                    n_pre += 1
-                if n_pre:
-                    for c in sums:
-                        run_sums.iloc[:n_pre, run_sums.columns.get_loc(c)] += carry[c]
-            for c in sums:
-                pdf[f"__l_{c}"] = run_sums[c].to_numpy()
-            carry_key = tuple(kv[-1])
-            carry = {c: run_sums[c].iloc[-1] for c in sums}
-            yield pdf
+            key = batch["__key"].to_numpy()
+            changed = np.append(last is None or key[0] != last, key[1:] != key[:-1])
+            number = np.cumsum(changed)  # 0 for rows that continue the last batch
+            local = pd.DataFrame({c: batch[c].to_numpy(zero_copy_only=False) for c in sums}).groupby(number).cumsum()
+            if not changed[0]:
+                goes_on = int(np.searchsorted(number, 1))
+                local.iloc[:goes_on] += carry
+            last, carry = key[-1], local.iloc[-1]
+            cols = [batch[n] for n in batch.schema.names] + [
+                pa.array(local[c].to_numpy(), batch.schema.field(c).type) for c in sums]
+            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, *[f"__l_{c}" for c in sums]])
 
     return run
 
 
+def _key_number(keys: Sequence[str]) -> Column:
+    """One long per key value for telling neighbouring keys apart (nulls count as a value)."""
+    return F.xxhash64(*[x for k in keys for x in (F.col(k).isNull(), F.col(k))]) if keys else F.lit(0).cast("long")
+
+
 def prefix_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -104,8 +90,9 @@ def prefix_sums(
 
     Plan: one range exchange by ``(keys, order)``, sorted inside partitions
     and materialised by a checkpoint (piece ids must not change between the
-    two reads below).  Running sums inside each partition come from a
-    ``mapInPandas`` pass (no further shuffle).  Only a key that crosses a
+    reads below).  Running sums inside each partition come from an Arrow pass
+    (no further shuffle) that computes on the sum columns only; all other
+    columns pass through unread.  Only a key that crosses a
     partition boundary needs an offset; range partitioning lets at most one
     key cross each boundary, so the offsets table has at most about two rows
     per partition and is broadcast with that bound.
@@ -115,17 +102,18 @@ def prefix_sums(
     keys, sums = list(keys), list(sums)
     order_cols = _as_cols(order)
     sort_cols = [F.col(k) for k in keys] + order_cols
-    # without an explicit count AQE sizes the range partitions from the data
-    # (it only merges neighbouring ranges, so the order is kept)
+    # without an explicit count there are spark.sql.shuffle.partitions ranges, of which AQE merges
+    # small neighbours
     rp = (df.repartitionByRange(int(num_partitions), *sort_cols) if num_partitions
           else df.repartitionByRange(*sort_cols))
     ranged = cut_lineage(rp.sortWithinPartitions(*sort_cols).withColumn(_PID, F.spark_partition_id()))
 
+    keyed = ranged.withColumn("__key", _key_number(keys))
     out_schema = T.StructType(
-        list(ranged.schema.fields)
-        + [T.StructField(f"__l_{c}", ranged.schema[c].dataType, True) for c in sums]
+        list(keyed.schema.fields)
+        + [T.StructField(f"__l_{c}", keyed.schema[c].dataType, True) for c in sums]
     )
-    local = ranged.mapInPandas(_local_running_sums(keys, sums), out_schema)
+    local = keyed.mapInArrow(_local_running_sums(sums), out_schema)
 
     # offsets only for keys present in more than one partition (<= n of them)
     totals = ranged.groupBy(_PID, *keys).agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
@@ -142,7 +130,7 @@ def prefix_sums(
         *[(local[f"__l_{c}"] + F.coalesce(offsets[f"__o_{c}"], F.lit(0))).alias(f"{prefix}{c}") for c in sums],
     )
     if total_prefix:
-        key_totals = df.groupBy(*keys).agg(*[F.sum(c).alias(f"{total_prefix}{c}") for c in sums])
+        key_totals = ranged.groupBy(*keys).agg(*[F.sum(c).alias(f"{total_prefix}{c}") for c in sums])
         if keys:
             result = result.join(key_totals, on=_null_safe_keys(result, key_totals, keys), how="left") \
                 .select(*[result[c] for c in result.columns], *[key_totals[f"{total_prefix}{c}"] for c in sums])
@@ -255,7 +243,10 @@ def carry_fill(
         ]
     carry = summary.select(*keys, blk, *carry_exprs)
 
-    out = local.join(carry, on=[*keys, blk], how="left")
+    named = carry.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate([*keys, blk])],
+                         *[f"{c}__c{x}" for c in cols for x in ("p", "n")])
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate([*keys, blk])]
+    out = local.join(named, on=same, how="left")
     fills = []
     for c in cols:
         fills += [
@@ -267,80 +258,73 @@ def carry_fill(
     return out.select(*df.columns, *fills)
 
 
+ACCURACY = 50_000
+
+
 def quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     probs: Sequence[float],
     names: Sequence[str] | None = None,
-    num_partitions: int | None = None,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per key.
 
-    Nulls are skipped.  Values are grouped per key (ties collapse, partial
-    aggregation shrinks the data) and range-partitioned by (key, value) into
-    pieces, fixed by a checkpoint.  Piece totals (one row per piece) give
-    each piece's rank offset; only the pieces that hold a requested rank are
-    ranked row by row.  No task holds a whole key, and most of the data is
-    read once.  Output columns: ``keys``, ``n`` and one column per prob
-    (``names`` or ``q_<p>``).
+    Nulls are skipped.  Two aggregations over the data, no sort of it and no
+    checkpoint:
+
+    1. per key the number of values and, from one approximate-percentile
+       sketch, a bracket of values about each wanted rank (the sketch is off by
+       at most n / ``accuracy`` ranks, the bracket spans four times that);
+    2. per key and prob the exact number of values below the bracket, and the
+       counts of the distinct values inside it.
+
+    Only the values inside a bracket, about 8 n / ``accuracy`` of them and their
+    ties as one row, are ranked; with up to ``accuracy`` values the bracket is
+    their whole range.  A bracket that misses its rank raises an
+    error instead of giving a wrong value.  Output columns: ``keys``, ``n`` and one
+    column per prob (``names`` or ``q_<p>``).
     """
     keys = list(keys)
     names = list(names) if names else [f"q_{int(round(p * 100))}" for p in probs]
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__c"))
-    )
-    sort_cols = [F.col(k) for k in keys] + [F.col("__v")]
-    rp = (counts.repartitionByRange(int(num_partitions), *sort_cols) if num_partitions
-          else counts.repartitionByRange(*sort_cols))
-    ranged = cut_lineage(rp.withColumn(_PID, F.spark_partition_id()))
-
-    pieces = ranged.groupBy(_PID, *keys).agg(F.sum("__c").alias("__t"))
-    w_key = Window.partitionBy(*keys)
-    w_before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.select(_PID, *keys, "__t",
-                           F.coalesce(F.sum("__t").over(w_before), F.lit(0)).alias("__off"),
-                           F.sum("__t").over(w_key).alias("__n"))
-    # the ranks wanted: floor and ceil of (n - 1) * p for every prob
-    wanted = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pi"), F.lit(side).alias("side"),
-                 (F.floor if side == 0 else F.ceil)((F.col("__n") - 1) * F.lit(float(p))).alias("r"))
-        for i, p in enumerate(probs) for side in (0, 1)
-    ])).alias("__w")
-    targets = pieces.select(_PID, *keys, "__t", "__off", "__n", wanted).select(
-        _PID, *keys, "__t", "__off", "__n", "__w.pi", "__w.side", "__w.r") \
-        .where((F.col("r") >= F.col("__off")) & (F.col("r") < F.col("__off") + F.col("__t"))) \
-        .select(_PID, *keys, "__n", "pi", "side", (F.col("r") - F.col("__off")).alias("__lr"))
-    hit = targets.select(_PID, *keys).distinct().alias("H")
-    # rank rows only inside the pieces that hold a wanted rank
-    R = ranged.alias("R")
-    on_hit = None
-    for c in [_PID, *keys]:
-        e = F.col(f"R.{c}").eqNullSafe(F.col(f"H.{c}"))
-        on_hit = e if on_hit is None else (on_hit & e)
-    sub = R.join(hit, on=on_hit, how="left_semi").select(*[F.col(f"R.{c}").alias(c) for c in ranged.columns])
-    w_loc = Window.partitionBy(_PID, *keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    local = sub.select(_PID, *keys, "__v", "__c", F.sum("__c").over(w_loc).alias("__lc"))
-    L, T = local.alias("L"), targets.alias("T")
-    on = None
-    for c in [_PID, *keys]:
-        e = F.col(f"L.{c}").eqNullSafe(F.col(f"T.{c}"))
-        on = e if on is None else (on & e)
-    found = L.join(T, on=on, how="inner").where(
-        (F.col("L.__lc") - F.col("L.__c") <= F.col("T.__lr")) & (F.col("T.__lr") < F.col("L.__lc"))
-    ).select(*[F.col(f"L.{k}").alias(k) for k in keys], F.col("T.__n").alias("__n"), F.col("T.pi").alias("pi"),
-             F.col("T.side").alias("side"), F.col("L.__v").alias("__v"))
-    aggs = [F.max("__n").alias("n")]
-    for i, name in enumerate(names):
-        aggs += [F.max(F.when((F.col("pi") == i) & (F.col("side") == 0), F.col("__v"))).alias(f"__lo_{name}"),
-                 F.max(F.when((F.col("pi") == i) & (F.col("side") == 1), F.col("__v"))).alias(f"__hi_{name}")]
-    picked = found.groupBy(*keys).agg(*aggs)
-    outs = []
-    for p, name in zip(probs, names):
-        h = (F.col("n") - 1) * F.lit(float(p))
-        fr = h - F.floor(h)
-        lo_v, hi_v = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
-        outs.append(F.when(fr == 0, lo_v).otherwise(lo_v + fr * (hi_v - lo_v)).alias(name))
-    return picked.select(*keys, "n", *outs)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
+    ends = [min(1.0, max(0.0, p + side * 4 / accuracy)) for p in probs for side in (-1, 1)]
+    sketch = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
+        F.percentile_approx("__v", ends, accuracy).alias("__e"))
+    few = F.col("__n") <= accuracy  # the margin would be less than a few ranks: all values are ranked
+    brackets = sketch.select(*keys, "__n", F.array(*[
+        F.struct(F.lit(i).alias("pi"),
+                 F.when(few, F.col("__min")).otherwise(F.col("__e")[2 * i]).alias("lo"),
+                 F.when(few, F.col("__max")).otherwise(F.col("__e")[2 * i + 1]).alias("hi"))
+        for i in range(len(probs))]).alias("__b"))
+    if keys:
+        named = brackets.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n", "__b")
+        same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+        joined = rows.join(named, on=same, how="inner").select(*keys, "__v", "__n", "__b")
+    else:
+        one = fitted(brackets)
+        joined = rows.withColumns({"__n": one.getField("__n"), "__b": one.getField("__b")})
+    # per prob, a value counts as below its bracket (v NULL) or by itself; values above do not count
+    places = F.transform("__b", lambda b: F.when(F.col("__v") <= b["hi"], F.struct(
+        b["pi"].alias("pi"), F.when(F.col("__v") >= b["lo"], F.col("__v")).alias("v"))))
+    counts = (joined.select(*keys, "__n", F.explode(F.filter(places, lambda x: x.isNotNull())).alias("__p"))
+              .groupBy(*keys, "__n", "__p.pi", "__p.v").agg(F.count(F.lit(1)).alias("__c")))
+    run = Window.partitionBy(*keys, "pi").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("__upto", F.sum("__c").over(run))
+    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("pi") + 1)
+    rank = (F.col("__n") - 1) * prob
+    inside = F.col("v").isNotNull()
+
+    def at(side: Column) -> Column:
+        return F.max(F.when(inside & (F.col("__upto") - F.col("__c") <= side) & (side < F.col("__upto")), F.col("v")))
+
+    picked = ranked.groupBy(*keys, "__n", "pi").agg(at(F.floor(rank)).alias("lo"), at(F.ceil(rank)).alias("hi"))
+    part = rank - F.floor(rank)
+    missed = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
+    exact = (F.when(F.col("lo").isNull() | F.col("hi").isNull(), missed)
+             .when(part == 0, F.col("lo")).otherwise(F.col("lo") + part * (F.col("hi") - F.col("lo"))))
+    wide = picked.select(*keys, "__n", "pi", exact.alias("q")).groupBy(*keys).agg(
+        F.max("__n").alias("n"), *[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(name) for i, name in enumerate(names)])
+    return wide

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tremor.functions import hash_bigint, hash_unit
@@ -18,6 +18,7 @@ from tremor.operators.cleaning import unpivot
 from tremor.operators.ordering import prefix_sums, quantiles
 
 METHODS = ("standard", "minmax", "robust")
+DIRECTIONS, REACH = 8, 16
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str], method: str = "standard") -> DataFrame:
@@ -89,17 +90,20 @@ def stratified_split(
     w_all = Window.partitionBy(F.lit(0))
     n = F.sum("__nc").over(w_all)
     n_test = F.ceil(F.lit(float(test_size)) * n)
-    share = sizes.select(key, "__nc", (n_test * F.col("__nc") / n).alias("__exact"), n_test.alias("__nt"))
-    share = share.withColumn("__fl", F.floor("__exact"))
-    w_frac = Window.partitionBy(F.lit(0)).orderBy((F.col("__exact") - F.col("__fl")).desc(), F.col(key))
+    # n_test * n_c = floor * n + rest, in whole numbers that may exceed a long
+    share = sizes.select(key, "__nc", n.cast("decimal(38,0)").alias("__n"), n_test.cast("long").alias("__nt"),
+                         (n_test.cast("decimal(19,0)") * F.col("__nc").cast("decimal(19,0)")).cast("decimal(38,0)").alias("__prod"))
+    share = share.withColumn("__rest", F.col("__prod") % F.col("__n"))
+    share = share.withColumn("__fl", ((F.col("__prod") - F.col("__rest")) / F.col("__n")).cast("long"))
+    w_frac = Window.partitionBy(F.lit(0)).orderBy(F.col("__rest").desc(), F.col(key))
     left = F.col("__nt") - F.sum("__fl").over(w_all)
     share = share.withColumn("__rk", F.row_number().over(w_frac)).withColumn(
         "__take", (F.col("__fl") + F.when(F.col("__rk") <= left, 1).otherwise(0)).cast("long"))
     ranked = prefix_sums(d.withColumn("__one", F.lit(1).cast("long")), [key], ["__h", id_col], ["__one"],
                          prefix="__r")
-    out = ranked.join(share.select(key, "__take"), on=[key], how="left")
-    cols = [c for c in df.columns]
-    return out.select(*cols, (F.col("__r__one") <= F.col("__take")).alias("is_test"))
+    # a NULL label is a class like any other
+    out = ranked.join(share.select(F.col(key).alias("__k"), "__take"), on=F.col(key).eqNullSafe(F.col("__k")), how="left")
+    return out.select(*df.columns, (F.col("__r__one") <= F.col("__take")).alias("is_test"))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -169,58 +173,47 @@ def balanced_counts(before: DataFrame, after: DataFrame, label: str) -> DataFram
     return a.unionByName(b)
 
 
-def uniform(cols, seed: int = 42):
-    """Re-export of the md5 uniform for callers building repeatable draws."""
-    return hash_unit(cols, seed)
-
-
 def _sqdist(a, b):
     """Squared Euclidean distance of two array<double> columns (left-to-right sum)."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def knn_exact(points: DataFrame, id_col: str, vec: str, k: int) -> DataFrame:
-    """Exact k nearest neighbours (self excluded) of every point: columns
-    ``id, slot (0..k-1), nb_id, dist``; order by (distance, neighbour id).
+def directions(dim: int, count: int = DIRECTIONS) -> list[list[int]]:
+    """``count`` directions of entries +1 and -1 (bits of a product of fixed odd numbers), the same everywhere."""
+    return [[1 if (0x9E3779B97F4A7C15 * (t * 1009 + i + 1) >> 40) & 1 else -1 for i in range(dim)] for t in range(count)]
+
 
-    No all-pairs join: points are projected on their first principal
-    component (Spark ML PCA; |projection difference| <= distance); the
-    distance to the k-th nearest of the 2k projection neighbours bounds the
-    true k-th distance from above; then only points inside that band of the
-    projection are compared, via an equi-join on projection buckets.
+def knn_projected(points: DataFrame, id_col: str, vec: str, k: int, dim: int, count: int = DIRECTIONS,
+                  reach: int = REACH) -> DataFrame:
+    """Near neighbours (self excluded) of every point: columns ``id, slot
+    (0..k-1), nb_id, dist``; order by (distance, neighbour id).
+
+    Approximate: the points are sorted along ``count`` fixed directions, and a
+    point's candidates are the ``reach`` points on either side of it in each
+    order; the k nearest of them are its neighbours.  That is at most
+    2 * count * reach distances per point whatever the data, near copies
+    included (those are next to each other in every order).  ``reach`` must be
+    at least k, so that every point of a table of more than k has k neighbours.
     """
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector
+    reach = max(reach, k)
     pts = points.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v"))
-    pca = PCA(k=1, inputCol="__vv", outputCol="__pc").fit(pts.withColumn("__vv", array_to_vector("v")))
-    pc = [float(x) for x in pca.pc.toArray()[:, 0]]
-    proj = F.aggregate(F.zip_with(F.col("v"), F.array(*[F.lit(x) for x in pc]), lambda x, y: x * y),
-                       F.lit(0.0), lambda acc, x: acc + x)
-    p = pts.withColumn("p", proj).withColumn("__one", F.lit(1).cast("long"))
-    ranked = prefix_sums(p, [], ["p", "id"], ["__one"], prefix="__r").withColumn(
-        "rk", F.col("__r__one") - 1).drop("__one", "__r__one")
-    # upper bound of the k-th distance from the 2k projection neighbours
-    offs = F.explode(F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0])).alias("off")
-    cand = ranked.select("id", "v", "rk", offs).withColumn("rk2", F.col("rk") + F.col("off"))
-    near = cand.join(ranked.select(F.col("rk").alias("rk2"), F.col("v").alias("v2")), "rk2")
-    w = Window.partitionBy("id").orderBy("d")
-    bound = near.select("id", F.sqrt(_sqdist("v", "v2")).alias("d")) \
-        .withColumn("__n", F.row_number().over(w)).where(F.col("__n") == k) \
-        .select("id", F.col("d").alias("r"))
-    withr = ranked.join(bound, "id")
-    width = withr.agg(F.percentile_approx("r", 0.5).alias("w")).first()["w"] or 0.0
-    width = width if width > 0 else 1.0
-    bucket = F.floor(F.col("p") / F.lit(width)).cast("long")
-    probes = withr.select("id", "v", "p", "r", F.explode(F.sequence(
-        F.floor((F.col("p") - F.col("r")) / F.lit(width)).cast("long"),
-        F.floor((F.col("p") + F.col("r")) / F.lit(width)).cast("long"))).alias("bkt"))
-    targets = ranked.select(F.col("id").alias("nb_id"), F.col("v").alias("nv"), F.col("p").alias("np"),
-                            bucket.alias("bkt"))
-    pairs = probes.join(targets, "bkt").where(
-        (F.col("nb_id") != F.col("id")) & (F.abs(F.col("np") - F.col("p")) <= F.col("r")))
-    dist = pairs.select("id", "nb_id", F.sqrt(_sqdist("v", "nv")).alias("dist"))
-    w2 = Window.partitionBy("id").orderBy("dist", "nb_id")
-    return dist.withColumn("slot", F.row_number().over(w2) - 1).where(F.col("slot") < k) \
+
+    def along(signs: list[int]) -> Column:
+        return F.aggregate(F.zip_with(F.col("v"), F.array(*[F.lit(float(x)) for x in signs]), lambda x, y: x * y),
+                           F.lit(0.0), lambda acc, x: acc + x)
+
+    spots = pts.select("id", F.explode(F.array(*[
+        F.struct(F.lit(t).alias("t"), along(signs).alias("p")) for t, signs in enumerate(directions(dim, count))])).alias("s"))
+    ranked = prefix_sums(spots.select("id", "s.t", "s.p", F.lit(1).cast("long").alias("__one")), ["t"], ["p", "id"],
+                         ["__one"], prefix="__r").select("id", "t", F.col("__r__one").alias("rk"))
+    offs = F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("off")
+    ahead = ranked.select("id", "t", "rk", offs).withColumn("rk", F.col("rk") + F.col("off"))
+    pairs = ahead.select("id", "t", "rk").join(ranked.withColumnRenamed("id", "nb_id"), ["t", "rk"]).select("id", "nb_id")
+    pairs = pairs.union(pairs.select(F.col("nb_id"), F.col("id"))).distinct()
+    dist = (pairs.join(pts, "id").join(pts.select(F.col("id").alias("nb_id"), F.col("v").alias("nv")), "nb_id")
+            .select("id", "nb_id", F.sqrt(_sqdist("v", "nv")).alias("dist")))
+    w = Window.partitionBy("id").orderBy("dist", "nb_id")  # at most 2 * count * reach rows each
+    return dist.withColumn("slot", F.row_number().over(w) - 1).where(F.col("slot") < k) \
         .select("id", "slot", "nb_id", "dist")
 
 
@@ -232,8 +225,9 @@ def smote(df: DataFrame, label: str, id_col: str, vec: str, k: int = 5, seed: in
     Synthetic row j takes base point (rank of md5(id) in the minority) and
     neighbour slot from md5(j, seed) mod (n_min * k), and u from md5(j,
     seed + 1); the draws come from ``spark.range`` and are joined to the
-    base points and their exact neighbours.  Output: the input rows plus
-    synthetic ones (``synthetic`` true, ``base_id``, ``nb_id``, ``u``).
+    base points and their near neighbours (:func:`knn_projected`).  Output: the
+    input rows plus synthetic ones (``synthetic`` true, ``base_id``, ``nb_id``,
+    ``u``; these three are NULL on drawn copies).
     """
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) != 2:
@@ -245,12 +239,15 @@ def smote(df: DataFrame, label: str, id_col: str, vec: str, k: int = 5, seed: in
         "nb_id": F.lit(None).cast(df.schema[id_col].dataType), "u": F.lit(None).cast("double")})
     need = n_maj - n_min
     if kk < 1:
-        return oversample_random(df, label, id_col, seed)
+        drawn = oversample_random(df, label, id_col, seed)
+        return drawn.select(id_col, label, F.col(vec).cast("array<double>").alias(vec), "synthetic", "draw",
+                            *[F.lit(None).cast(base.schema[c].dataType).alias(c) for c in ("base_id", "nb_id", "u")])
     if need == 0:
         return base
     mino = df.where(F.col(label) == F.lit(c_min)).select(F.col(id_col).alias("id"),
                                                           F.col(vec).cast("array<double>").alias("x"))
-    nn = knn_exact(mino.withColumnRenamed("x", "v"), "id", "v", kk)
+    dim = mino.agg(F.max(F.size("x"))).first()[0]
+    nn = knn_projected(mino.withColumnRenamed("x", "v"), "id", "v", kk, dim)
     hr = prefix_sums(mino.withColumn("__one", F.lit(1).cast("long")), [],
                      [hash_bigint(["id"], seed), "id"], ["__one"], prefix="__r") \
         .select("id", "x", (F.col("__r__one") - 1).alias("hrank"))

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from tremor.operators.cleaning import pad_vector, readings_to_vector, validate_readings
 
 # Decision texts and risk levels of the maintenance record.
-URGENT = "URGENT: Schedule maintenance immediately!"
-NORMAL = "NORMAL: Continue monitoring"
+URGENT = "\U0001F534 URGENT: Schedule maintenance immediately!"
+NORMAL = "\U0001F7E2 NORMAL: Continue monitoring"
 RISK_HIGH, RISK_LOW = "HIGH", "LOW"
 STATUS_FAILURE, STATUS_NORMAL = "Failure", "Normal"
 

@@ -44,13 +44,13 @@ def rolling_stats(
 ) -> DataFrame:
     """Rolling mean, sample std, min and max over ``size`` rows.
 
-    NULL until the window is full (pandas ``rolling(size)``); std is the
-    sample std (ddof 1).
+    NULL until the window holds ``size`` non-null values (pandas
+    ``rolling(size)``); std is the sample std (ddof 1).
     """
     exprs: list[Column] = []
     for s in sizes:
         w = _frame(keys, idx, s)
-        full = F.count(F.col(idx)).over(w) == s
+        full = F.count(F.col(col)).over(w) == s
         exprs += [
             F.when(full, F.avg(col).over(w)).alias(f"roll_mean_{s}"),
             F.when(full, F.stddev_samp(col).over(w)).alias(f"roll_std_{s}"),
@@ -123,6 +123,39 @@ def rate_of_change(
     return _run(df, keys, idx, max(slope_window - 1, 1), block_rows, exprs)
 
 
+def _rolling_std(b: DataFrame, keys: Sequence[str], idx: str, channels: Sequence[str], window: int) -> DataFrame:
+    """Adds ``__rs_<c>``, the sample std of the last ``window`` values of each
+    channel, to blocks ``b`` that start ``window`` rows early.
+
+    Rows are cut into tiles of ``window`` rows.  A window is the end of one tile
+    and the start of the next; count, mean and variance of every start come
+    from a running frame (updated value by value, which is stable), those of
+    every end from a running frame in reverse order, and the two are merged by
+    the pairwise variance formula.  That is O(1) per row, and no difference
+    of large sums is ever taken, so an outlier elsewhere cannot spoil a window.
+    """
+    tile = F.floor(F.col(idx) / F.lit(window)).cast("long")
+    d = b.withColumn("__tile", tile)
+    part = Window.partitionBy(*keys, BLK, "__tile")
+    first = part.orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
+    after = part.orderBy(F.col(idx).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    stats = {"n": F.count, "m": F.avg, "v": F.var_pop}
+    d = d.select("*", *[fn(c).over(w).alias(f"__{side}{s}_{c}")
+                        for c in channels for side, w in (("a", after), ("b", first)) for s, fn in stats.items()])
+    order = Window.partitionBy(*keys, BLK).orderBy(idx)
+    head = F.pmod(F.col(idx), F.lit(window)) == window - 1  # the window is this tile alone
+    d = d.select("*", *[F.when(~head, F.lag(f"__a{s}_{c}", window - 1).over(order)).alias(f"__p{s}_{c}")
+                        for c in channels for s in stats])
+    out = []
+    for c in channels:
+        na, nb = F.coalesce(F.col(f"__pn_{c}"), F.lit(0)), F.col(f"__bn_{c}")
+        zero = lambda x: F.coalesce(F.col(x), F.lit(0.0))
+        delta = zero(f"__bm_{c}") - zero(f"__pm_{c}")
+        m2 = zero(f"__pv_{c}") * na + zero(f"__bv_{c}") * nb + F.when((na > 0) & (nb > 0), delta * delta * na * nb / (na + nb)).otherwise(0.0)
+        out.append(F.when(na + nb == window, F.sqrt(m2 / F.lit(float(window - 1)))).alias(f"__rs_{c}"))
+    return d.select(*b.columns, *out)
+
+
 def rolling_std_mean(
     df: DataFrame,
     keys: Sequence[str],
@@ -132,39 +165,11 @@ def rolling_std_mean(
     block_rows: int = DEFAULT_BLOCK_ROWS,
 ) -> DataFrame:
     """Per recording, the mean over all full windows of the
-    ``window``-row rolling sample std; ``<c>_roll_std_w`` is NULL when the
-    recording has fewer rows than the window.
-
-    A wide frame recomputed row by row costs O(n * window); instead running
-    sums of x and x^2 (centred on the block's first value, since variance
-    does not move with a shift) minus their value ``window`` rows earlier give
-    every frame in O(1).  Expects filled channels (no nulls inside).
-    """
-    halo = window
-    b = blocked(df, idx, halo=halo, block_rows=max(block_rows, halo))
-    part = Window.partitionBy(*keys, BLK)
-    run = part.orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
-    ordw = part.orderBy(idx)
-    exprs: list[Column] = []
-    for c in channels:
-        centred = F.col(c) - F.first(c, ignorenulls=True).over(part)
-        exprs += [
-            F.sum(centred).over(run).alias(f"__s1_{c}"),
-            F.sum(centred * centred).over(run).alias(f"__s2_{c}"),
-            F.count(F.col(c)).over(run).alias(f"__n_{c}"),
-        ]
-    step1 = b.select(*keys, idx, BLK, HOME, *exprs)
-    exprs2: list[Column] = []
-    for c in channels:
-        s1 = F.col(f"__s1_{c}") - F.coalesce(F.lag(f"__s1_{c}", window).over(ordw), F.lit(0.0))
-        s2 = F.col(f"__s2_{c}") - F.coalesce(F.lag(f"__s2_{c}", window).over(ordw), F.lit(0.0))
-        cnt = F.col(f"__n_{c}") - F.coalesce(F.lag(f"__n_{c}", window).over(ordw), F.lit(0))
-        var = (s2 - s1 * s1 / F.lit(float(window))) / F.lit(float(window - 1))
-        exprs2.append(
-            F.when(cnt == window, F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"__rs_{c}")
-        )
-    step2 = step1.select(*keys, HOME, *exprs2).where(F.col(HOME))
-    return step2.groupBy(*keys).agg(*[F.avg(f"__rs_{c}").alias(f"{c}_roll_std_w") for c in channels])
+    ``window``-row rolling sample std; ``<c>_roll_std_w`` is NULL when no
+    window holds ``window`` non-null values."""
+    b = blocked(df, idx, halo=window, block_rows=max(block_rows, window))
+    rolled = _rolling_std(b.select(*keys, idx, BLK, HOME, *channels), keys, idx, channels, window).where(F.col(HOME))
+    return rolled.groupBy(*keys).agg(*[F.avg(f"__rs_{c}").alias(f"{c}_roll_std_w") for c in channels])
 
 
 def rolling_std_rows(
@@ -175,20 +180,7 @@ def rolling_std_rows(
     window: int = 100,
     block_rows: int = DEFAULT_BLOCK_ROWS,
 ) -> DataFrame:
-    """W1 row by row: ``<col>_roll_std_<window>``, NULL until the window is full."""
-    halo = window
-    b = blocked(df, idx, halo=halo, block_rows=max(block_rows, halo))
-    part = Window.partitionBy(*keys, BLK)
-    run = part.orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
-    ordw = part.orderBy(idx)
-    centred = F.col(col) - F.first(col, ignorenulls=True).over(part)
-    step1 = b.select(*df.columns, BLK, HOME,
-                     F.sum(centred).over(run).alias("__s1"),
-                     F.sum(centred * centred).over(run).alias("__s2"),
-                     F.count(F.col(col)).over(run).alias("__n"))
-    s1 = F.col("__s1") - F.coalesce(F.lag("__s1", window).over(ordw), F.lit(0.0))
-    s2 = F.col("__s2") - F.coalesce(F.lag("__s2", window).over(ordw), F.lit(0.0))
-    cnt = F.col("__n") - F.coalesce(F.lag("__n", window).over(ordw), F.lit(0))
-    var = (s2 - s1 * s1 / F.lit(float(window))) / F.lit(float(window - 1))
-    out = F.when(cnt == window, F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"{col}_roll_std_{window}")
-    return step1.select(*df.columns, HOME, out).where(F.col(HOME)).drop(HOME)
+    """W1 row by row: ``<col>_roll_std_<window>``, NULL until the window holds ``window`` non-null values."""
+    b = blocked(df, idx, halo=window, block_rows=max(block_rows, window))
+    return _rolling_std(b, keys, idx, [col], window).where(F.col(HOME)).select(
+        *df.columns, F.col(f"__rs_{col}").alias(f"{col}_roll_std_{window}"))

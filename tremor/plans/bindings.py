@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.operators.cleaning import inject_nulls
+from tremor.operators.cleaning import inject_nulls, unpivot
 from tremor.operators.ordering import with_sample_index
 
 # The lineitem columns used as the channels of a multi-channel recording.
@@ -43,6 +43,11 @@ def events_with_gaps(spark: SparkSession, sf_dir: str, key: str = "user_id",
     return inject_nulls(rec, ["value"], rate=rate, seed=seed, id_cols=["event_id"])
 
 
+def gappy_events(spark: SparkSession, sf_dir: str, rate: float = 0.05, seed: int = 42) -> DataFrame:
+    """events with about 5% of ``value`` blanked, in no order."""
+    return inject_nulls(table(spark, sf_dir, "events"), ["value"], rate=rate, seed=seed, id_cols=["event_id"])
+
+
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label / score pairs: y = (event_type = 'error'), score = value / (value + 50)."""
     e = table(spark, sf_dir, "events")
@@ -73,21 +78,26 @@ def events_drift_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lineitem_drift_samples(spark: SparkSession, sf_dir: str, split_year: int = 1998) -> DataFrame:
+def lineitem_drift_samples(spark: SparkSession, sf_dir: str, split_year: int = 1998, by_line: bool = False) -> DataFrame:
     """Long form (feature, value, side) of the lineitem channels: side 0 =
-    shipped before ``split_year``, 1 = from it."""
-    from tremor.operators.drift import long_samples
+    shipped before ``split_year``, 1 = from it.  With ``by_line`` each channel of
+    each line number is a feature."""
+    from tremor.operators.drift import sided_samples
     li = table(spark, sf_dir, "lineitem")
-    year = F.year("l_shipdate")
-    return long_samples(li.where(year < split_year), li.where(year >= split_year), LINEITEM_CHANNELS)
+    side = F.year("l_shipdate") >= split_year
+    if not by_line:
+        return sided_samples(li, LINEITEM_CHANNELS, side)
+    long = unpivot(li.withColumn("side", side.cast("int")), LINEITEM_CHANNELS, keys=["side", "l_linenumber"])
+    return long.where("value IS NOT NULL AND side IS NOT NULL").select(
+        F.concat_ws("|", "feature", F.col("l_linenumber").cast("string")).alias("feature"), "value", "side")
 
 
 def events_csv_recordings(spark: SparkSession, sf_dir: str) -> str:
     """Write ``events`` as raw recordings and return their root folder.
 
-    Layout ``<root>/class=<normal|imbalance>/severity=<event type>/part-*.csv``:
+    Layout ``<root>/class=<normal|imbalance>/severity=<event type>/week=<number>/part-*.csv``:
     headerless CSV, channels ``value`` and ``k`` (the number in ``props``),
-    rows in (ts, event_id) order, one file per event type; ``error`` events
+    rows in (ts, event_id) order, one file per event type and calendar week; ``error`` events
     form the ``imbalance`` class.  The root is a new folder under the
     session's checkpoint folder (shared storage on a cluster).
     """
@@ -97,10 +107,10 @@ def events_csv_recordings(spark: SparkSession, sf_dir: str) -> str:
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/recordings-{uuid.uuid4().hex}"
     e = table(spark, sf_dir, "events").select(
         F.when(F.col("event_type") == "error", "imbalance").otherwise("normal").alias("class"),
-        F.col("event_type").alias("severity"), "ts", "event_id", "value",
+        F.col("event_type").alias("severity"), F.weekofyear("ts").alias("week"), "ts", "event_id", "value",
         F.get_json_object("props", "$.k").cast("double").alias("k"))
-    (e.repartition("class", "severity")
-      .sortWithinPartitions("class", "severity", "ts", "event_id")
-      .select("class", "severity", "value", "k")
-      .write.partitionBy("class", "severity").option("header", "false").csv(root))
+    (e.repartition("class", "severity", "week")
+      .sortWithinPartitions("class", "severity", "week", "ts", "event_id")
+      .select("class", "severity", "week", "value", "k")
+      .write.partitionBy("class", "severity", "week").option("header", "false").csv(root))
     return root

@@ -138,7 +138,7 @@ def q_histogram(spark, sf_dir):
 
 # ---------------------------------------------------------------- scaling, split, balance
 
-_FEATS = [f"{c}_{s}" for c in CH for s in ("mean", "std", "max")]
+_FEATS = [f"{c}_{s}" for c in CH for s in features.STATS[:-1]]
 
 
 def _scale_sql(method: str) -> str:
@@ -170,7 +170,7 @@ register("scale_robust", sql=_scale_sql("robust"), dbl=_FEATS, absr=_FEATS)(_sca
 register("scale_standard", sql=_scale_sql("standard"), dbl=_FEATS, absr=_FEATS)(_scale_q("standard"))
 register("scale_minmax", sql=_scale_sql("minmax"), dbl=_FEATS, absr=_FEATS)(_scale_q("minmax"))
 
-_H_DOC = "CAST('0x' || substr(md5(concat_ws('|', CAST(doc_id AS VARCHAR), '42')), 1, 8) AS BIGINT)"
+_H_DOC = "CAST('0x' || substr(md5(concat_ws('|', CAST(doc_id AS VARCHAR), '42')), 1, 15) AS BIGINT)"
 
 _SPLIT_SQL = f"""
 WITH s AS (SELECT quality, count(*) AS nc FROM labels GROUP BY quality),
@@ -213,7 +213,7 @@ r AS (SELECT doc_id, quality, toxic,
         row_number() OVER (PARTITION BY quality ORDER BY {_H_DOC}, doc_id) - 1 AS rk FROM labels),
 d AS (SELECT quality, nc, unnest(range(nmax - nc)) AS draw FROM c, m WHERE nc < nmax),
 dr AS (SELECT quality, draw,
-         CAST('0x' || substr(md5(concat_ws('|', CAST(quality AS VARCHAR), CAST(draw AS VARCHAR), '42')), 1, 8) AS BIGINT) % nc AS rk
+         CAST('0x' || substr(md5(concat_ws('|', CAST(quality AS VARCHAR), CAST(draw AS VARCHAR), '42')), 1, 15) AS BIGINT) % nc AS rk
        FROM d)
 SELECT doc_id, quality, toxic, false AS synthetic, CAST(NULL AS BIGINT) AS draw FROM labels
 UNION ALL
@@ -399,7 +399,7 @@ r AS (SELECT feature,
         sum(c0) OVER w AS k0, sum(c1) OVER w AS k1,
         sum(c0) OVER (PARTITION BY feature) AS n0, sum(c1) OVER (PARTITION BY feature) AS n1
       FROM c WINDOW w AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT feature, max(abs(k0 / n0 - k1 / n1)) AS ks_stat, CAST(max(n0) AS BIGINT) AS n_base,
+SELECT feature, max(abs(k0 / nullif(n0, 0) - k1 / nullif(n1, 0))) AS ks_stat, CAST(max(n0) AS BIGINT) AS n_base,
        CAST(max(n1) AS BIGINT) AS n_current
 FROM r GROUP BY feature"""
 
@@ -413,9 +413,21 @@ def q_ks_statistic(spark, sf_dir):
     return drift.ks_statistic(B.events_drift_samples(spark, sf_dir))
 
 
-@register("ks_pvalue", note="exact path-count p-value: checked against stored values in tests")
+def _pvalue_sql(ks_sql: str) -> str:
+    """The limit p-value (small-sample term included) of a KS query's rows."""
+    return f"""
+WITH ks AS ({ks_sql}),
+e AS (SELECT *, sqrt(n_base * 1.0 * n_current / (n_base + n_current)) AS e FROM ks),
+l AS (SELECT *, (e + 0.12 + 0.11 / nullif(e, 0)) * ks_stat AS lam FROM e)
+SELECT feature, ks_stat, n_base, n_current,
+  CASE WHEN n_base = 0 OR n_current = 0 THEN NULL WHEN lam < 0.05 THEN 1.0
+       ELSE greatest(0.0, least(1.0, 2.0 * sum(CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * lam * lam)))) END AS p_value
+FROM l, range(1, 101) t(k) GROUP BY feature, ks_stat, n_base, n_current, lam"""
+
+
+@register("ks_pvalue", sql=_pvalue_sql(_KS_SQL), dbl=["ks_stat", "p_value"], absr=["p_value"])
 def q_ks_pvalue(spark, sf_dir):
-    """D1 + D2: KS statistic and p-value per event type (exact for n <= 10,000)."""
+    """D1 + D2: KS statistic and p-value (limit form) per event type."""
     return drift.ks_test(B.events_drift_samples(spark, sf_dir))
 
 
@@ -428,7 +440,8 @@ r AS (SELECT feature, n0, n1, CASE WHEN bmin = bmax THEN bmin - 0.5 ELSE bmin EN
         CASE WHEN bmin = bmax THEN bmax + 0.5 ELSE bmax END AS hi FROM z),
 {_bin_ctes(bins)}
 SELECT feature, sum(((c + 1e-6) / (n1 + 1e-6 * {bins}) - (b + 1e-6) / (n0 + 1e-6 * {bins}))
-                    * ln(((c + 1e-6) / (n1 + 1e-6 * {bins})) / ((b + 1e-6) / (n0 + 1e-6 * {bins})))) AS psi
+                    * ln(((c + 1e-6) / (n1 + 1e-6 * {bins})) / ((b + 1e-6) / (n0 + 1e-6 * {bins}))))
+                FILTER (WHERE n0 > 0 AND n1 > 0) AS psi
 FROM gc GROUP BY feature"""
 
 
@@ -464,11 +477,10 @@ z AS (SELECT feature, count(*) FILTER (WHERE side = 0) AS n0, count(*) FILTER (W
 r AS (SELECT feature, n0, n1, CASE WHEN amin = amax THEN amin - 0.5 ELSE amin END AS lo,
         CASE WHEN amin = amax THEN amax + 0.5 ELSE amax END AS hi FROM z),
 {_bin_ctes(20)},
-t AS (SELECT feature, sum(b) AS tb, sum(c) AS tc FROM gc GROUP BY feature),
-pq AS (SELECT gc.feature, gc.b * 1.0 / t.tb AS p, gc.c * 1.0 / t.tc AS q FROM gc JOIN t USING (feature))
-SELECT feature, sqrt(greatest(sum(
+pq AS (SELECT feature, n0, n1, b * 1.0 / nullif(n0, 0) AS p, c * 1.0 / nullif(n1, 0) AS q FROM gc)
+SELECT feature, CASE WHEN max(n0) > 0 AND max(n1) > 0 THEN sqrt(greatest(sum(
     0.5 * CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END +
-    0.5 * CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END), 0)) AS js_distance
+    0.5 * CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END), 0)) END AS js_distance
 FROM pq GROUP BY feature"""
 
 
@@ -481,12 +493,52 @@ def q_js_distance(spark, sf_dir):
     return drift.js_distance(B.events_drift_samples(spark, sf_dir))
 
 
-@register("drift_report", note="includes the exact KS p-value (no SQL twin)")
+def _report_sql(long_sql: str, min_values: int = 5) -> str:
+    few = f"(n_base < {min_values} OR n_current < {min_values})"
+    return f"""
+WITH pv AS ({_pvalue_sql(_ks_sql(long_sql))}), ps AS ({_psi_sql(10, long_sql)}), js AS ({_js_sql(long_sql)}),
+a AS (SELECT *, {few} AS few FROM pv JOIN ps USING (feature) JOIN js USING (feature))
+SELECT feature AS Feature, CASE WHEN NOT few THEN round(ks_stat, 4) END AS KS_Stat,
+  CASE WHEN NOT few THEN round(p_value, 4) END AS P_Value, CASE WHEN NOT few THEN round(psi, 4) END AS PSI,
+  CASE WHEN NOT few THEN round(js_distance, 4) END AS JS_Divergence,
+  CASE WHEN NOT few THEN CASE WHEN p_value < 0.05 THEN 'YES' ELSE 'NO' END END AS Drift_Alert,
+  CASE WHEN NOT few THEN CASE WHEN psi > 0.2 THEN 'Major' WHEN psi > 0.1 THEN 'Moderate' ELSE 'Stable' END END AS PSI_Status,
+  CASE WHEN few THEN 'fewer than {min_values} values on a side' END AS Skipped
+FROM a"""
+
+
+_REPORT_DBL = ["KS_Stat", "P_Value", "PSI", "JS_Divergence"]
+
+
+@register("drift_report", sql=_report_sql(_DRIFT_LONG), dbl=_REPORT_DBL, absr=_REPORT_DBL)
 def q_drift_report(spark, sf_dir):
     """KS, p-value, PSI, JS, alert and PSI status per event type."""
     return drift.drift_report(B.events_drift_samples(spark, sf_dir))
 
 
+# groups 0 to 2 of users have no base values
+_ONE_SIDED = ("SELECT CAST(user_id % 50 AS VARCHAR) AS feature, value, CAST(CASE WHEN user_id % 50 < 3 THEN 1 "
+              f"ELSE CAST(ts >= TIMESTAMP '{B.EVENTS_SPLIT_DAY}' AS INTEGER) END AS INTEGER) AS side FROM events WHERE value IS NOT NULL")
+
+
+@register("drift_one_sided", sql=_report_sql(_ONE_SIDED), dbl=_REPORT_DBL, absr=_REPORT_DBL)
+def q_drift_one_sided(spark, sf_dir):
+    """D1, D4, D5, D7 with features that have no base values: they are reported as skipped."""
+    e = B.table(spark, sf_dir, "events")
+    group = F.col("user_id") % 50
+    long = e.select(group.cast("string").alias("feature"), "value", F.when(group < 3, F.lit(1)).otherwise(
+        (F.col("ts") >= F.lit(B.EVENTS_SPLIT_DAY).cast("timestamp_ntz")).cast("int")).alias("side"))
+    return drift.drift_report(long)
+
+
+@register("drift_counts", sql=f"""
+WITH r AS ({_report_sql(_ONE_SIDED)})
+SELECT count(Drift_Alert) AS n_features, count(*) FILTER (WHERE Drift_Alert = 'YES') AS n_drifting, count(Skipped) AS n_skipped FROM r""")
+def q_drift_counts(spark, sf_dir):
+    """How many features were judged, drift, or were skipped."""
+    return drift.drift_counts(q_drift_one_sided(spark, sf_dir))
+
+
 _MI_SQL = f"""
 WITH l AS (
   {_union_long("lineitem", CH, extra="CAST(l_returnflag = 'R' AS INTEGER) AS y, ")}),

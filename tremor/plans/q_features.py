@@ -87,8 +87,8 @@ def q_roll_std_mean(spark, sf_dir):
 
 
 def _sql_gaps(key: str) -> str:
-    mask = ("CAST('0x' || substr(md5(concat_ws('|', CAST(event_id AS VARCHAR), 'value', '42')), 1, 8) AS BIGINT)"
-            " / 4294967296.0 < 0.05")
+    mask = ("CAST('0x' || substr(md5(concat_ws('|', CAST(event_id AS VARCHAR), 'value', '42')), 1, 15) AS BIGINT)"
+            " / 1152921504606846976.0 < 0.05")
     return _sql_events_idx(key, f"CASE WHEN {mask} THEN NULL ELSE value END")
 
 
@@ -116,10 +116,9 @@ FROM c"""
 def q_interpolate_linear(spark, sf_dir):
     """P2/P4 (P7 mask): linear interpolation in sample order per user, head
     back-filled, tail carried; 5% of values blanked by an md5 mask."""
-    rec = B.events_with_gaps(spark, sf_dir, "user_id")
+    rec = B.events_with_gaps(spark, sf_dir, "user_id").withColumn("value_raw", F.col("value"))
     filled = cleaning.fill_gaps(rec, ["user_id"], "sample_idx", ["value"], how="linear")
-    raw = rec.select("event_id", F.col("value").alias("value_raw"))
-    return filled.join(raw, "event_id").select("user_id", "event_id", "sample_idx", "value_raw", "value")
+    return filled.select("user_id", "event_id", "sample_idx", "value_raw", "value")
 
 
 _FILLCMP_SQL = f"""
@@ -151,8 +150,7 @@ SELECT event_id, value AS value_raw, coalesce(value, med.med) AS value FROM g, m
 @register("impute_median", sql=_IMPUTE_SQL, dbl=["value_raw", "value"])
 def q_impute_median(spark, sf_dir):
     """P5: NULL -> exact whole-column median (SimpleImputer(strategy='median'))."""
-    rec = B.events_with_gaps(spark, sf_dir, "user_id").select("event_id", F.col("value").alias("value_raw"),
-                                                               F.col("value"))
+    rec = B.gappy_events(spark, sf_dir).select("event_id", F.col("value").alias("value_raw"), F.col("value"))
     return cleaning.impute_median(rec, ["value"])
 
 
@@ -166,7 +164,7 @@ SELECT count(*) AS n_rows, count(*) - count(value) AS n_null_value,
 def q_null_counts(spark, sf_dir):
     """Remaining-null count per column and table size."""
     from tremor.operators import stats
-    rec = B.events_with_gaps(spark, sf_dir, "user_id")
+    rec = B.gappy_events(spark, sf_dir)
     return stats.null_counts(rec, ["value", "event_id"])
 
 
@@ -277,18 +275,19 @@ SELECT __f.*, {outs} FROM __f JOIN __rm USING ({key})"""
 
 
 _FILE_CH = ["value", "k"]
-_FILE_SRC = ("SELECT event_type AS severity, ts, event_id, value, "
+_FILE_SRC = ("SELECT event_type || '|' || weekofyear(ts) AS rec, ts, event_id, value, "
              "CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events")
 _FILE_SQL = f"""
-SELECT s.*, CAST(CASE WHEN severity = 'error' THEN 1 ELSE 0 END AS INTEGER) AS fault_label
-FROM ({_sql_summary(_FILE_SRC, "severity", _FILE_CH, "ts, event_id")}) s"""
+SELECT s.* EXCLUDE (rec), split_part(rec, '|', 1) AS severity,
+  CAST(CASE WHEN split_part(rec, '|', 1) = 'error' THEN 1 ELSE 0 END AS INTEGER) AS fault_label
+FROM ({_sql_summary(_FILE_SRC, "rec", _FILE_CH, "ts, event_id")}) s"""
 
 
 @register("file_recordings", sql=_FILE_SQL, dbl=_dbl(_FILE_CH, STAT9 + ["roll_std"]),
           absr=[f"{c}_{s}" for c in _FILE_CH for s in ("kurt", "skew")])
 def q_file_recordings(spark, sf_dir):
     """Events written as headerless CSV recordings
-    (one file per event type, class from the folder), then scanned, put in
+    (one file per event type and week, class from the folder), then scanned, put in
     file order, interpolated, summarised (10 statistics per channel) and
     median-filled by the library."""
     from tremor.plans import flows

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tremor.operators import drift, prepare, stats
 from tremor.plans import bindings as B
-from tremor.plans.q_analysis import _MI_SQL, _js_sql, _ks_sql, _psi_sql
+from tremor.plans.q_analysis import _DRIFT_LONG, _MI_SQL, _REPORT_DBL, _ks_sql, _pvalue_sql, _report_sql
 from tremor.plans.registry import register
 
 CH = B.LINEITEM_CHANNELS
@@ -24,59 +24,45 @@ def q_top_features(spark, sf_dir):
 
 _LI_LONG = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, CAST(year(l_shipdate) >= 1998 AS INTEGER) AS side "
-    f"FROM lineitem WHERE {c} IS NOT NULL" for c in CH)
-
-# The SQL twin spells the Kolmogorov-series branch of the p-value, the one
-# taken when a sample has more than 10,000 values (true for both samples at
-# sf0.01); for smaller samples the exact path count has no SQL form and the
-# twin gives NULL.
-_LI_REPORT_SQL = f"""
-WITH ks AS ({_ks_sql(_LI_LONG)}),
-ps AS ({_psi_sql(10, _LI_LONG)}),
-js AS ({_js_sql(_LI_LONG)}),
-sz AS (SELECT feature FROM ({_LI_LONG}) l GROUP BY feature
-       HAVING count(*) FILTER (WHERE side = 0) >= 5 AND count(*) FILTER (WHERE side = 1) >= 5),
-ser AS (SELECT feature, ks_stat, n_base, n_current,
-          sqrt(n_base * n_current * 1.0 / (n_base + n_current)) * ks_stat AS lam FROM ks),
-pv AS (SELECT feature, ks_stat,
-         CASE WHEN greatest(n_base, n_current) <= 10000 THEN NULL
-              WHEN lam < 1e-3 THEN 1.0
-              ELSE greatest(0.0, least(1.0, 2.0 * sum(CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END
-                                                      * exp(-2.0 * k * k * lam * lam)))) END AS p_value
-       FROM ser, range(1, 101) t(k) GROUP BY feature, ks_stat, lam, n_base, n_current)
-SELECT pv.feature AS Feature, round(pv.ks_stat, 4) AS KS_Stat, round(pv.p_value, 4) AS P_Value,
-  round(ps.psi, 4) AS PSI, round(js.js_distance, 4) AS JS_Divergence,
-  CASE WHEN pv.p_value < 0.05 THEN 'YES' ELSE 'NO' END AS Drift_Alert,
-  CASE WHEN ps.psi > 0.2 THEN 'Major' WHEN ps.psi > 0.1 THEN 'Moderate' ELSE 'Stable' END AS PSI_Status
-FROM pv JOIN ps USING (feature) JOIN js USING (feature) WHERE pv.feature IN (SELECT feature FROM sz)"""
-
-
-@register("drift_report_lineitem", sql=_LI_REPORT_SQL, dbl=["KS_Stat", "P_Value", "PSI", "JS_Divergence"])
+    f"FROM lineitem WHERE {c} IS NOT NULL AND l_shipdate IS NOT NULL" for c in CH)
+_LI_LINES = _LI_LONG.replace("' AS feature", "' || '|' || l_linenumber AS feature")
+_LI_REPORT_SQL = _report_sql(_LI_LONG)
+
+
+@register("drift_report_lineitem", sql=_LI_REPORT_SQL, dbl=_REPORT_DBL, absr=_REPORT_DBL)
 def q_drift_report_lineitem(spark, sf_dir):
     """The drift report of the four lineitem channels, shipped before 1998 vs from 1998."""
     return drift.drift_report(B.lineitem_drift_samples(spark, sf_dir))
 
 
-@register("top_drift", note="ranks the drift report (no SQL twin for the p-value)")
+@register("top_drift", sql=f"SELECT * FROM ({_report_sql(_LI_LINES)}) r WHERE KS_Stat IS NOT NULL ORDER BY KS_Stat DESC, Feature LIMIT 10",
+          dbl=_REPORT_DBL, absr=_REPORT_DBL)
 def q_top_drift(spark, sf_dir):
-    """K2: the lineitem channels ranked by KS statistic, top 10."""
-    return drift.top_drift(drift.drift_report(B.lineitem_drift_samples(spark, sf_dir)), 10)
+    """K2: the top 10 by KS statistic of the lineitem channels per line number."""
+    return drift.top_drift(drift.drift_report(B.lineitem_drift_samples(spark, sf_dir, by_line=True)), 10)
+
 
+_ORDER = "list_position([" + ", ".join(f"'{c}'" for c in CH) + "], Feature)"
 
-@register("drift_focus", note="uses the drift alert, which needs the exact p-value")
+
+@register("drift_focus", sql=f"""
+WITH r AS ({_LI_REPORT_SQL}), m AS (SELECT coalesce(bool_or(Drift_Alert = 'YES'), false) AS drifts FROM r)
+SELECT r.* FROM r, m WHERE Drift_Alert = 'YES' OR NOT drifts ORDER BY {_ORDER} LIMIT 4""", dbl=_REPORT_DBL, absr=_REPORT_DBL)
 def q_drift_focus(spark, sf_dir):
     """K4: the first 4 drifting lineitem channels in table order (else the first 4)."""
     rep = drift.drift_report(B.lineitem_drift_samples(spark, sf_dir))
     return drift.drift_focus(rep, CH, 4)
 
 
-@register("drift_check", note="exact KS p-value (no SQL twin)")
+_CHECK_SQL = f"SELECT feature, ks_stat, p_value, p_value < 0.05 AS drift FROM ({_pvalue_sql(_ks_sql(_DRIFT_LONG))}) p"
+
+
+@register("drift_check", sql=_CHECK_SQL, dbl=["ks_stat", "p_value"], absr=["p_value"])
 def q_drift_check(spark, sf_dir):
-    """D3: KS p-value and alert (p < 0.05) of the first 10 features (event types)."""
+    """D3: KS p-value and alert (p < 0.05) of every feature (event type)."""
     return drift.drift_check(B.events_drift_samples(spark, sf_dir))
 
 
-_H_DOC = "CAST('0x' || substr(md5(concat_ws('|', CAST(doc_id AS VARCHAR), '42')), 1, 8) AS BIGINT)"
 _BAL_SQL = """
 WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY quality)
 SELECT quality, n, 'before' AS stage FROM c

@@ -11,45 +11,52 @@ from tremor.plans.registry import register
 
 # ---------------------------------------------------------------- spectrum
 
-_IDX = ("SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS idx "
-        "FROM events")
-_DFT_SQL = f"""
-WITH e AS ({_IDX}),
+def _dft_sql(value: str) -> str:
+    return f"""
+WITH v AS (SELECT event_type, ts, event_id, {value} AS value FROM events),
+e AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS idx
+      FROM v WHERE value IS NOT NULL),
 b AS (SELECT event_type, idx // 256 AS block, idx % 256 AS pos, value AS x FROM e),
-f AS (SELECT event_type, block FROM b GROUP BY event_type, block HAVING count(*) = 256),
-bb AS (SELECT b.* FROM b JOIN f USING (event_type, block)),
 k AS (SELECT CAST(k AS INTEGER) AS bin FROM range(0, 128) t(k)),
-s AS (SELECT event_type, block, bin, sum(x * cos(2 * pi() * bin * pos / 256.0)) AS re,
-        sum(x * sin(2 * pi() * bin * pos / 256.0)) AS im FROM bb, k GROUP BY event_type, block, bin)
-SELECT event_type, CAST(block AS BIGINT) AS block, bin, bin / 256.0 AS freq, sqrt(re * re + im * im) AS magnitude FROM s"""
+s AS (SELECT event_type, block, bin, CAST(count(*) AS INTEGER) AS n_samples, sum(x * cos(2 * pi() * bin * pos / 256.0)) AS re,
+        sum(x * sin(2 * pi() * bin * pos / 256.0)) AS im FROM b, k GROUP BY event_type, block, bin)
+SELECT event_type, CAST(block AS BIGINT) AS block, n_samples, bin, bin / 256.0 AS freq, sqrt(re * re + im * im) AS magnitude FROM s"""
+
+
+_GAPPY = "CASE WHEN event_id % 37 = 5 THEN NULL ELSE value END"
+_DFT_SQL = _dft_sql(_GAPPY)
+
+
+def _gappy_events(spark, sf_dir):
+    """events with every 37th value missing (nulls are skipped before blocks are cut)."""
+    e = B.table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value")
+    return e.withColumn("value", F.when(F.col("event_id") % 37 != 5, F.col("value")))
 
 
 @register("spectrum", sql=_DFT_SQL, dbl=["freq", "magnitude"], digits=7)
 def q_spectrum(spark, sf_dir):
-    """|FFT| bins 0-127 of every full 256-sample block of every event-type recording."""
-    rec = B.events_recordings(spark, sf_dir, "event_type")
-    return spectrum.spectrum(rec, ["event_type"], "sample_idx", "value", method="fft")
+    """|FFT| bins 0-127 of every 256-sample block of every event-type recording, the last short one included."""
+    return spectrum.spectrum(_gappy_events(spark, sf_dir), ["event_type"], ["ts", "event_id"], "value")
 
 
 _SUMMARY_SQL = f"""
 WITH sp AS ({_DFT_SQL}),
-t AS (SELECT event_type, block, sum(magnitude * magnitude) AS energy FROM sp GROUP BY event_type, block),
+t AS (SELECT event_type, block, any_value(n_samples) AS n_samples, sum(magnitude * magnitude) AS energy FROM sp GROUP BY event_type, block),
 t2 AS (SELECT event_type, block, max(magnitude) AS mx FROM sp GROUP BY event_type, block),
 d AS (SELECT sp.event_type, sp.block, min(sp.bin) / 256.0 AS dominant_freq FROM sp JOIN t2 USING (event_type, block)
       WHERE sp.magnitude = t2.mx GROUP BY sp.event_type, sp.block),
 e AS (SELECT sp.event_type, sp.block,
         sum(-(sp.magnitude * sp.magnitude / (t.energy + 1e-10)) * ln(sp.magnitude * sp.magnitude / (t.energy + 1e-10) + 1e-10)) AS entropy
       FROM sp JOIN t USING (event_type, block) GROUP BY sp.event_type, sp.block)
-SELECT t.event_type, t.block, d.dominant_freq, t.energy, e.entropy
+SELECT t.event_type, t.block, t.n_samples, d.dominant_freq, t.energy, e.entropy
 FROM t JOIN d USING (event_type, block) JOIN e USING (event_type, block)"""
 
 
 @register("spectral_summary", sql=_SUMMARY_SQL, dbl=["dominant_freq", "energy", "entropy"], digits=7)
 def q_spectral_summary(spark, sf_dir):
     """Dominant frequency, spectral energy and entropy per 256-sample block."""
-    rec = B.events_recordings(spark, sf_dir, "event_type")
-    spec = spectrum.spectrum(rec, ["event_type"], "sample_idx", "value", method="fft")
-    return spectrum.spectral_summary(spec, ["event_type"])
+    blocks = spectrum.spectrum_blocks(_gappy_events(spark, sf_dir), ["event_type"], ["ts", "event_id"], "value")
+    return spectrum.spectral_summary(blocks, ["event_type"])
 
 
 # ---------------------------------------------------------------- scoring and decisions
@@ -107,7 +114,7 @@ c AS (SELECT event_id, k,
         list_sort(list_filter(ks, lambda x: NOT list_contains(['k'], x))) AS extra FROM r)
 SELECT event_id, missing, extra,
   CASE WHEN len(missing) > 0 OR len(extra) > 0 THEN
-    'Feature mismatch! Missing: ' || array_to_string(missing, ',') || ' Extra: ' || array_to_string(extra, ',') END AS error,
+    'names differ from the model''s; absent: ' || array_to_string(missing, ',') || '; unknown: ' || array_to_string(extra, ',') END AS error,
   CASE WHEN len(missing) = 0 AND len(extra) = 0 THEN [k] END AS vector
 FROM c"""
 
@@ -132,39 +139,43 @@ def _vectors(spark, sf_dir):
                     (F.col("label") == 5).cast("int").alias("y"))
 
 
-def _split(spark, sf_dir):
-    d = _vectors(spark, sf_dir)
-    s = prepare.stratified_split(d, "y", "vec_id", 0.2, 42).withColumn("features", array_to_vector("vec"))
-    # balanced weights from the training part only
-    train = models.prepare_training(s.where(~F.col("is_test")), "y")
+def _split(table):
+    s = prepare.stratified_split(table, "y", "vec_id", 0.2, 42).withColumn("features", array_to_vector("vec"))
+    # balanced weights from the training part only; read by every stage of every fit, so kept
+    train = models.prepare_training(s.where(~F.col("is_test")), "y").persist()
     test = s.where(F.col("is_test")).withColumn("label", F.col("y").cast("double"))
     return train, test
 
 
-@register("model_compare", note="Spark ML fits: behaviour checked in tests")
+@register("model_compare", note="Spark ML fits at the full settings: behaviour checked in tests")
 def q_model_compare(spark, sf_dir):
     """Logistic regression, random forest and boosted trees on the
     same stratified split; metrics on the test part at threshold 0.5 and AUC."""
-    train, test = _split(spark, sf_dir)
-    out = None
-    for name, pipe in (("logistic_regression", models.logistic_regression()),
-                       ("random_forest", models.random_forest(num_trees=50)),
-                       ("boosted_trees", models.boosted_trees(max_iter=20))):
-        fitted = pipe.fit(train)
-        sc = models.positive_probability(fitted.transform(test)).withColumn("model", F.lit(name))
-        m = metrics.binary_metrics(sc, "y", "p1", 0.5, by=["model"]).join(
-            metrics.roc_auc(sc, "y", "p1", by=["model"]).select("model", "roc_auc"), "model")
-        out = m if out is None else out.unionByName(m)
-    return out
+    train, test = _split(_vectors(spark, sf_dir))
+    fits = {"logistic_regression": models.logistic_regression(), "random_forest": models.random_forest(),
+            "boosted_trees": models.boosted_trees(pos_weight=models.positive_weight(train))}
+    return models.compare({name: pipe.fit(train) for name, pipe in fits.items()}, test)
+
+
+@register("model_threshold", note="Spark ML fit: behaviour checked in tests")
+def q_model_threshold(spark, sf_dir):
+    """Train, choose the threshold on a validation part, evaluate on the test part at 0.5 and at the choice."""
+    train, test = _split(_vectors(spark, sf_dir))
+    folds = models.stratified_folds(train, "y", "vec_id", 5)
+    fitted = models.logistic_regression().fit(folds.where("fold > 0"))
+    valid = models.positive_probability(fitted.transform(folds.where("fold = 0")))
+    sweep = metrics.threshold_sweep(valid, "y", "p1", 10, 90, 100, 0.5)
+    scored = models.positive_probability(fitted.transform(test))
+    return metrics.threshold_compare(scored, "y", "p1", metrics.optimal_threshold(sweep, 0.95))
 
 
 @register("model_tuning", note="CrossValidator fit: behaviour checked in tests")
 def q_model_tuning(spark, sf_dir):
     """M4: grid search over random-forest depth with stratified folds, scored
-    by recall of class 1; the best setting and its mean CV recall."""
-    train, _ = _split(spark, sf_dir)
-    folds = models.stratified_folds(train, "y", "vec_id", 3)
-    cv = models.tune(models.random_forest(num_trees=20), {"maxDepth": [3, 6]}, fold_col="fold")
+    by recall of class 1; the settings and their mean CV recall."""
+    train, _ = _split(_vectors(spark, sf_dir))
+    folds = models.stratified_folds(train, "y", "vec_id", models.FOLDS)
+    cv = models.tune(models.random_forest(), {"maxDepth": models.RF_DEPTH_GRID}, fold_col="fold")
     m = cv.fit(folds)
     rows = [(p[list(p)[0]], float(v)) for p, v in zip(m.getEstimatorParamMaps(), m.avgMetrics)]
     return spark.createDataFrame(rows, "max_depth int, cv_recall double")
@@ -172,9 +183,10 @@ def q_model_tuning(spark, sf_dir):
 
 @register("feature_importance", note="Spark ML fit: behaviour checked in tests")
 def q_feature_importance(spark, sf_dir):
-    """Random-forest importances of the 64 embedding dimensions, top 20."""
-    train, _ = _split(spark, sf_dir)
-    fitted = models.random_forest(num_trees=50).fit(train)
+    """Random-forest importances of the 64 embedding dimensions (NULL counts as 0), fitted to all rows, top 20."""
+    table = _vectors(spark, sf_dir).withColumn("vec", F.transform("vec", lambda x: F.coalesce(x, F.lit(0.0))))
+    rows = models.prepare_training(table.withColumn("features", array_to_vector("vec")), "y")
+    fitted = models.random_forest().fit(rows)
     return models.feature_importance(fitted, [f"dim_{i}" for i in range(64)], spark, top_n=20)
 
 
@@ -182,7 +194,7 @@ def q_feature_importance(spark, sf_dir):
 def q_model_scoring(spark, sf_dir):
     """Batch scoring of every embedding (padded / cut to the model
     width) with the fitted logistic pipeline, and its decision record."""
-    train, _ = _split(spark, sf_dir)
+    train, _ = _split(_vectors(spark, sf_dir))
     fitted = models.logistic_regression().fit(train)
     allv = _vectors(spark, sf_dir)
     return scoring.score_vectors(allv, fitted, "vec", 64, 0.5).select(
@@ -286,7 +298,7 @@ def q_retrain_trigger(spark, sf_dir):
 
 # ---------------------------------------------------------------- SMOTE
 
-_H = "CAST('0x' || substr(md5(concat_ws('|', {cols}, '{seed}')), 1, 8) AS BIGINT)"
+_H = "CAST('0x' || substr(md5(concat_ws('|', {cols}, '{seed}')), 1, 15) AS BIGINT)"
 _SMOTE_SQL = f"""
 WITH e AS (SELECT vec_id, CAST(label = 5 AS INTEGER) AS y, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 c AS (SELECT y, count(*) AS n FROM e GROUP BY y),
@@ -294,15 +306,19 @@ mn AS (SELECT y AS cmin, n AS nmin FROM c ORDER BY n, y LIMIT 1),
 mj AS (SELECT max(n) AS nmaj FROM c),
 kk AS (SELECT least(5, nmin - 1) AS k, nmin, nmaj - nmin AS need FROM mn, mj),
 m AS (SELECT e.vec_id AS id, e.v AS x FROM e, mn WHERE e.y = mn.cmin),
+sg AS (SELECT unnest({[{"t": t, "s": d} for t, d in enumerate(prepare.directions(64))]}) AS g),
+sp AS (SELECT id, g.t AS t, list_reduce(list_transform(range(1, 65), lambda i: x[i] * g.s[i]), lambda p, q: p + q) AS p FROM m, sg),
+rk AS (SELECT id, t, row_number() OVER (PARTITION BY t ORDER BY p, id) AS rk FROM sp),
+cand AS (SELECT DISTINCT a.id, b.id AS nb_id FROM rk a JOIN rk b ON a.t = b.t AND a.id <> b.id AND abs(a.rk - b.rk) <= {prepare.REACH}),
 d AS (SELECT a.id, b.id AS nb_id,
         sqrt(list_reduce(list_transform(range(1, len(a.x) + 1), lambda i: (a.x[i] - b.x[i]) * (a.x[i] - b.x[i])),
                          lambda p, q: p + q)) AS dist
-      FROM m a, m b WHERE a.id <> b.id),
+      FROM cand JOIN m a ON a.id = cand.id JOIN m b ON b.id = cand.nb_id),
 nn AS (SELECT id, nb_id, row_number() OVER (PARTITION BY id ORDER BY dist, nb_id) - 1 AS slot FROM d),
 hr AS (SELECT id, x, row_number() OVER (ORDER BY {_H.format(cols="CAST(id AS VARCHAR)", seed=42)}, id) - 1 AS hrank FROM m),
 dr0 AS (SELECT unnest(range(need)) AS draw, k, nmin FROM kk),
 dr AS (SELECT draw, {_H.format(cols="CAST(draw AS VARCHAR)", seed=42)} % (nmin * k) AS pick,
-         k, {_H.format(cols="CAST(draw AS VARCHAR)", seed=43)} / 4294967296.0 AS u FROM dr0),
+         k, {_H.format(cols="CAST(draw AS VARCHAR)", seed=43)} / 1152921504606846976.0 AS u FROM dr0),
 j AS (SELECT dr.draw, dr.u, hr.id AS base_id, hr.x, nn.nb_id, nb.x AS nbx
       FROM dr JOIN hr ON hr.hrank = dr.pick // dr.k
       JOIN nn ON nn.id = hr.id AND nn.slot = dr.pick % dr.k
@@ -317,7 +333,7 @@ SELECT NULL, (SELECT cmin FROM mn),
 
 @register("smote", sql=_SMOTE_SQL, dbl=["u"])
 def q_smote(spark, sf_dir):
-    """SMOTE of the embeddings with y = (label = 5), k = 5, exact
+    """SMOTE of the embeddings with y = (label = 5), k = 5, projected
     neighbours without an all-pairs join; the balanced table with synthetic
     rows (vector elements rounded to 9 decimals)."""
     e = B.table(spark, sf_dir, "embeddings").select(

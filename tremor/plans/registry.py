@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremor.functions import sig
-from tremor.functions.columns import round_half_away
+from tremor.functions.columns import WHOLE, round_half_away
 
 DIGITS = 9
 ABS_DECIMALS = 9
@@ -41,7 +41,8 @@ REGISTRY: dict[str, Entry] = {}
 def sql_round(expr: str, decimals: int) -> str:
     """DuckDB spelling of :func:`tremor.functions.columns.round_half_away`."""
     q = f"1e{decimals}"
-    return f"(sign({expr}) * floor(abs({expr}) * {q} + 0.5) / {q} + 0.0)"
+    return (f"(CASE WHEN abs({expr}) * {q} >= {WHOLE} THEN {expr} "
+            f"ELSE sign({expr}) * floor(abs({expr}) * {q} + 0.5) / {q} END + 0.0)")
 
 
 _E = 30

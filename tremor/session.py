@@ -34,8 +34,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named in ``spark.checkpoint.dir`` wins.  Only when the session
-    has none (a local test) do we set a scratch folder of our own.
+    The folder named in ``spark.checkpoint.dir`` wins.  A session on this
+    machine alone (tests, bench) gets a scratch folder; on a cluster such a
+    folder would not be shared, so there the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="tremor-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +22,34 @@ from tremor.operators.ordering import with_sample_index
 LABELS = {"normal": 0, "imbalance": 1}
 
 
+_PATTERN = "*.[cC][sS][vV]"
+
+
+def _one_slash(c: Column) -> Column:
+    """Path URIs with one slash after the scheme (``file:///a`` and ``file:/a`` are the same)."""
+    return F.regexp_replace(c, r"^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def qualified(spark: SparkSession, root: str) -> str:
+    """``root`` as the URI under which Spark lists it (scheme, absolute path, escapes)."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(conf).makeQualified(path).toUri().toString().rstrip("/")
+
+
+def skipped_files(spark: SparkSession, path: str) -> DataFrame:
+    """S3: (file_path, reason) of the files that hold no text: empty ones, and bytes that are no UTF-8."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", _PATTERN).load(path))
+    reason = (F.when(F.col("length") == 0, F.lit("empty"))
+              .when(~F.is_valid_utf8(F.col("content").cast("string")), F.lit("not text")))
+    return files.select(F.col("path").alias("file_path"), reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def scan_csv(spark: SparkSession, path: str, channels: Sequence[str] = CHANNELS) -> DataFrame:
     """S1 + S3: read headerless CSV files with the channel names, every cell
-    coerced to double (junk and NaN -> NULL); broken files are skipped.
+    coerced to double (junk and NaN -> NULL).  Files that are no text are left
+    out whole (:func:`skipped_files` lists them).
 
     Adds ``file_path`` and the split start ``file_block_start`` from the
     hidden ``_metadata`` column and a scan-order id.
@@ -33,36 +58,34 @@ def scan_csv(spark: SparkSession, path: str, channels: Sequence[str] = CHANNELS)
     raw = (spark.read.schema(schema)
            .option("header", "false")
            .option("mode", "PERMISSIVE")
-           .option("ignoreCorruptFiles", "true")
            .option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", "*.[cC][sS][vV]")
+           .option("pathGlobFilter", _PATTERN)
            .csv(path))
-    return raw.select(
+    rows = raw.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("file_block_start"),
         F.monotonically_increasing_id().alias("__scan_id"),
         *[to_double(c).alias(c) for c in channels],
     )
+    bad = skipped_files(spark, path).select(_one_slash(F.col("file_path")).alias("__bad"))
+    return rows.join(bad, _one_slash(F.col("file_path")) == F.col("__bad"), "left_anti")
 
 
 def label_from_path(root: str, labels: Mapping[str, int] = LABELS):
-    """(label, severity, name) columns from the path below ``root``;
-    label NULL for folders that are not class folders.  A Hive-style folder
-    ``name=value`` counts by its value."""
-    rel = F.regexp_replace(F.col("file_path"), r"^.*?" + _re_escape(root.rstrip("/")) + "/", "")
+    """(label, severity, name) columns from the path below ``root`` (a URI as listed, see
+    :func:`qualified`); label NULL for folders that are not class folders.  A
+    Hive-style folder ``name=value`` counts by its value."""
+    base = _one_slash(F.lit(root.rstrip("/") + "/"))
+    path = _one_slash(F.col("file_path"))
+    rel = F.when(F.startswith(path, base), F.substr(path, F.length(base) + 1))
     # Hive-style folders ("label=normal") count by their value
     parts = F.transform(F.split(rel, "/"), lambda p: F.regexp_replace(p, r"^[^=]+=", ""))
-    top = F.lower(parts[0])
+    top = F.lower(F.get(parts, F.lit(0)))
     label = F.lit(None).cast("int")
     for name, v in labels.items():
         label = F.when(top == name, F.lit(v)).otherwise(label)
-    severity = F.when(F.size(parts) > 2, parts[1])
-    return label.alias("label"), severity.alias("severity"), F.element_at(parts, -1).alias("file_name")
-
-
-def _re_escape(s: str) -> str:
-    import re
-    return re.escape(s)
+    severity = F.when(F.size(parts) > 2, F.get(parts, F.lit(1)))
+    return label.alias("label"), severity.alias("severity"), F.try_element_at(parts, F.lit(-1)).alias("file_name")
 
 
 def read_recordings(spark: SparkSession, root: str, channels: Sequence[str] = CHANNELS,
@@ -71,7 +94,7 @@ def read_recordings(spark: SparkSession, root: str, channels: Sequence[str] = CH
     dense ``sample_idx`` in file order; ``max_rows`` keeps the first rows of
     each file (``nrows``), not a global limit."""
     scanned = scan_csv(spark, root, channels)
-    lab = scanned.select("*", *label_from_path(root, labels)).where(F.col("label").isNotNull())
+    lab = scanned.select("*", *label_from_path(qualified(spark, root), labels)).where(F.col("label").isNotNull())
     ordered = with_sample_index(lab, ["file_path"], ["file_block_start", "__scan_id"])
     if max_rows is not None:
         ordered = ordered.where(F.col("sample_idx") < max_rows)
