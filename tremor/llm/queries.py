@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tremor.llm import bpe, decontaminate, fingerprint, jaccard, langid, lines, pii, repeats, secrets, toxicity
 from tremor.llm.common import table
+from tremor.llm.twins import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,5 +29,3 @@ QUERIES: dict[str, Query] = {
     "op9_lines": _over_documents(lines.op9_lines),
     "op10_bpe": _over_documents(bpe.op10_bpe),
 }
-
-ORACLE_SQL: dict[str, str] = {"op9_lines": lines.OP9_SQL}
