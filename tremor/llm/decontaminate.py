@@ -87,9 +87,9 @@ def item_shards(items: DataFrame, id_col: str, text_col: str, max_words: int) ->
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", width: int = WIDTH,
-                  max_words: int = MAX_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
+                  max_words: int = MAX_WORDS, keep: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
     """One row per row of ``docs``: doc_id (or the columns ``keep`` in its place), n_words, n_hit, item_ids (list of
-    strings, sorted), spans (list of code-point ``start:end`` runs of hit words)."""
+    strings, sorted), spans (list of code-point ``start:end`` runs of hit words), these four under ``prefix``."""
     kept = keep or ("doc_id",)
     df = docs if keep else id_text(docs, id_col, text_col)
     text = text_col if keep else "text"
@@ -100,7 +100,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     for k, shard in enumerate(shards):
         last = k == len(shards) - 1
         matcher = held(docs.sparkSession, shard, lambda own: Matcher(own, width))
-        schema = ", ".join([*fields[:len(kept)], "n_words long, n_hit long, item_ids array<string>, spans array<string>"] if last
+        schema = ", ".join([*fields[:len(kept)], f"{prefix}n_words long, {prefix}n_hit long, {prefix}item_ids array<string>, {prefix}spans array<string>"] if last
                            else [*fields, "__marks binary, __items array<string>"])
 
         def scan(part: pa.RecordBatch, matcher=matcher, last=last) -> dict:
@@ -121,8 +121,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
             strings = pa.list_(pa.string())
             if last:
                 return {c: part[c] for c in kept} | {
-                    "n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64()),
-                    "item_ids": pa.array(items, strings), "spans": pa.array(spans, strings)}
+                    f"{prefix}n_words": pa.array(n_words, pa.int64()), f"{prefix}n_hit": pa.array(n_hit, pa.int64()),
+                    f"{prefix}item_ids": pa.array(items, strings), f"{prefix}spans": pa.array(spans, strings)}
             return {c: part[c] for c in columns} | {"__marks": pa.array(marks, pa.binary()), "__items": pa.array(items, strings)}
 
         df = map_batches(df, scan, schema)

@@ -153,8 +153,8 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-             keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, lang_pred, score of each row; columns named in ``keep`` come first, in place of doc_id."""
+             keep: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
+    """doc_id (or the columns ``keep`` in its place), lang_pred and lang_score of each row, these two under ``prefix``."""
     df = docs.select(*keep) if keep else docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kept = [f for f in df.schema.fields if keep or f.name == "doc_id"]
     text = text_col if keep else "text"
@@ -163,10 +163,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def run(part: pa.RecordBatch) -> dict:
         m = get()
         found = [m.predict(t) for t in part[text].to_pylist()]
-        return {f.name: part[f.name] for f in kept} | {"lang_pred": pa.array([x for x, _ in found], pa.string()),
-                                                       "lang_score": pa.array([x for _, x in found], pa.float64())}
+        return {f.name: part[f.name] for f in kept} | {
+            f"{prefix}lang_pred": pa.array([x for x, _ in found], pa.string()),
+            f"{prefix}lang_score": pa.array([x for _, x in found], pa.float64())}
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, lang_score double"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"{prefix}lang_pred string, {prefix}lang_score double"])
     return map_batches(df, run, schema)
 
 

@@ -62,8 +62,8 @@ def _strip(text: str, keys: set) -> tuple[str, int, int]:
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-               min_sites: int = MIN_SITES, small: int = SMALL) -> DataFrame:
-    """The columns of ``docs`` with the text cleaned, then line_count and lines_removed."""
+               min_sites: int = MIN_SITES, small: int = SMALL, prefix: str = "") -> DataFrame:
+    """The columns of ``docs`` with the text cleaned, then line_count and lines_removed, these two under ``prefix``."""
     keys = boilerplate_keys(docs, source_col, text_col, min_sites)
     few = [r[0] for r in keys.limit(small + 1).collect()]
     fields = docs.schema.fields
@@ -71,10 +71,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         df, extra = docs, None
         get = held(docs.sparkSession, few, lambda own: {k % (1 << 64) for k in own})
     else:
-        ids = docs.select(docs[id_col].alias("id_"), docs[text_col].alias("text"))
-        found = (line_keys(ids, "id_").join(keys, "key", "left_semi").groupBy("id_")
-                 .agg(F.collect_set("key").alias("line_keys_")))  # at most the document's own lines
-        df, extra = docs.join(found, docs[id_col].eqNullSafe(found["id_"]), "left").drop("id_"), "line_keys_"
+        ids = docs.select(docs[id_col].alias("__id"), docs[text_col].alias("text"))
+        found = (line_keys(ids, "__id").join(keys, "key", "left_semi").groupBy("__id")
+                 .agg(F.collect_set("key").alias("__line_keys")))  # at most the document's own lines
+        df, extra = docs.join(found, docs[id_col].eqNullSafe(found["__id"]), "left").drop("__id"), "__line_keys"
 
     def run(part: pa.RecordBatch) -> dict:
         texts = part[text_col].to_pylist()
@@ -86,10 +86,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     for t, k_ in zip(texts, part[extra].to_pylist())]
         text = pa.array([None if d is None else d[0] for d in done], pa.string())
         return ({f.name: text if f.name == text_col else part[f.name] for f in fields}
-                | {"line_count": pa.array([0 if d is None else d[1] for d in done], pa.int64()),
-                   "lines_removed": pa.array([0 if d is None else d[2] for d in done], pa.int64())})
+                | {f"{prefix}line_count": pa.array([0 if d is None else d[1] for d in done], pa.int64()),
+                   f"{prefix}lines_removed": pa.array([0 if d is None else d[2] for d in done], pa.int64())})
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "line_count long, lines_removed long"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"{prefix}line_count long, {prefix}lines_removed long"])
     return map_batches(df, run, schema)
 
 
