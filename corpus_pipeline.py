@@ -29,15 +29,15 @@ CLEAR = 0.5  # least share of the posterior
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs, fold_of(docs["doc_id"]) != 2)
-    found = langid.identify(docs, model, keep=tuple(docs.columns))
-    found = found.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= CLEAR))
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    found = langid.identify(docs, model, keep=tuple(docs.columns), prefix="__")
+    found = found.where((F.col("__lang_pred") != "und") & (F.col("__lang_score") >= CLEAR))
+    return found.withColumn("lang", F.coalesce("lang", "__lang_pred")).select(*docs.columns)
 
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = lines.line_dedup(docs)
+    cleaned = lines.line_dedup(docs, prefix="__")
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return cleaned.withColumn("n_chars", F.when(F.col("lines_removed") > 0, length).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return cleaned.withColumn("n_chars", F.when(F.col("__lines_removed") > 0, length).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +47,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=tuple(docs.columns))
-    return found.where("n_hit = 0").select(*docs.columns)
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=tuple(docs.columns),
+                                         prefix="__")
+    return found.where("__n_hit = 0").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
