@@ -152,3 +152,53 @@ def test_histogram_matches_numpy(spark):
     h = {r.bin: r["count"] for r in stats.histogram(df, ["x"], bins=10).collect()}
     ref, _ = np.histogram(vals, bins=10)
     assert [h[i] for i in range(10)] == list(ref)
+
+
+def test_rolling_std_survives_large_offsets(spark):
+    import pandas as pd
+    rng = np.random.default_rng(0)
+    x = np.concatenate(([0.0], 1e8 + rng.uniform(size=499)))
+    df = spark.createDataFrame([(1, i, float(v)) for i, v in enumerate(x)], "k int, sample_idx long, x double")
+    got = [r.x_roll_std_100 for r in windows.rolling_std_rows(df, ["k"], "sample_idx", "x", 100, block_rows=128).orderBy("sample_idx").collect()]
+    want = pd.Series(x - 1e8).rolling(100).apply(lambda w: np.std(w, ddof=1)).to_numpy()
+    assert all(g is None for g in got[:99])
+    assert np.allclose(got[99:], want[99:], rtol=1e-6)
+
+
+def test_rolling_windows_with_nulls(spark):
+    vals = [1.0, 2.0, None, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0]
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(vals)], "k int, sample_idx long, x double")
+    out = windows.rolling_stats(df, ["k"], "sample_idx", "x", (3,)).orderBy("sample_idx").collect()
+    assert [r.roll_mean_3 for r in out] == [None, None, None, None, None, 5.0, 6.0, 7.0, 8.0]
+    rows = windows.rolling_std_rows(df, ["k"], "sample_idx", "x", 3).orderBy("sample_idx").collect()
+    assert [r.x_roll_std_3 for r in rows] == [None] * 5 + [1.0] * 4
+
+
+def test_one_sided_feature_has_null_statistics(spark):
+    long = spark.createDataFrame([("a", float(i), i % 2) for i in range(40)] + [("b", float(i), 1) for i in range(9)],
+                                 "feature string, value double, side int")
+    assert {r.feature: r.ks_stat is None for r in drift.ks_statistic(long).collect()} == {"a": False, "b": True}
+    assert {r.feature: r.psi is None for r in drift.psi(long).collect()} == {"a": False, "b": True}
+    assert {r.feature: r.js_distance is None for r in drift.js_distance(long).collect()} == {"a": False, "b": True}
+    report = {r.Feature: r for r in drift.drift_report(long).collect()}
+    assert report["b"].Skipped and report["b"].Drift_Alert is None and report["a"].Skipped is None
+
+
+def test_ks_methods(spark):
+    long = spark.createDataFrame([("a", float(i * i % 97), int(i % 3 == 0)) for i in range(400)], "feature string, value double, side int")
+    exact, limit = (drift.ks_test(long, m).first().p_value for m in ("exact", "limit"))
+    assert abs(exact - limit) < 0.02
+    row = spark.createDataFrame([(0.15, 10001, 50), (0.2, 10001, 50)], "d double, a long, b long")
+    got = [r.p for r in row.select(drift.ks_pvalue_limit(F.col("d"), F.col("a"), F.col("b")).alias("p")).collect()]
+    assert got == pytest.approx([0.1952, 0.0320], abs=2e-4)
+
+
+def test_counts_beyond_long_products(spark):
+    big = spark.range(2).selectExpr("CAST(id AS double) AS __s", "5000000000 AS __pos", "5000000000 AS __neg")
+    import tremor.operators.metrics as M
+    old = M._score_counts
+    M._score_counts = lambda *a: big
+    try:
+        assert metrics.roc_auc(big, "y", "s").first().roc_auc == pytest.approx(0.5)
+    finally:
+        M._score_counts = old

@@ -74,3 +74,16 @@ def test_quantiles_match_numpy(hot):
         vals = [row.x for row in hot.where(F.col("k") == r.k).collect()]
         ref = np.quantile(vals, [0.25, 0.5, 0.75, 0.1])
         assert np.allclose([r.q_25, r.q_50, r.q_75, r.q_10], ref)
+
+
+def test_prefix_sums_carry_other_columns_unchanged(spark):
+    big = 2**53
+    rows = [(None if i % 5 == 0 else i % 3, i, big + i if i % 4 else None, float("nan") if i % 6 == 0 else 1.5, [i, None], 1)
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, t int, id long, x double, a array<int>, one long")
+    out = prefix_sums(df, ["k"], ["t"], ["one"], prefix="c_", total_prefix="n_", num_partitions=7).collect()
+    kept = sorted((tuple(map(repr, r[:6])) for r in out))
+    assert kept == sorted(tuple(map(repr, r)) for r in rows)
+    for k in (None, 0, 1, 2):
+        own = sorted((r.t, r.c_one, r.n_one) for r in out if r.k == k)
+        assert [c for _, c, _ in own] == list(range(1, len(own) + 1)) and {n for *_, n in own} == {len(own)}

@@ -157,9 +157,8 @@ def select_target(df: DataFrame, target: str = "fault_label") -> DataFrame:
 
 
 def columns_like(df: DataFrame, suffix: str = "_mean", limit: int = 4) -> list[str]:
-    """The first ``limit`` columns containing ``suffix``, else the first ``limit``."""
-    chosen = [c for c in df.columns if suffix in c][:limit]
-    return chosen or df.columns[:limit]
+    """The columns containing ``suffix``, at most ``limit`` if the caller gives one; none if none has it."""
+    return [c for c in df.columns if suffix in c][:limit]
 
 
 def inf_to_zero(c: Column) -> Column:

@@ -190,6 +190,14 @@ def q_rolling_stats(spark, sf_dir):
     return out.drop("ts")
 
 
+@register("rolling_stats_gaps", sql=_ROLLING_SQL.replace("{cols}", _ROLLING_COLS).replace(_sql_events_idx("event_type"), _sql_gaps("event_type")),
+          dbl=["value"] + [f"roll_{nm}_{s}" for s in (5, 10, 20) for nm in ("mean", "std", "min", "max")])
+def q_rolling_stats_gaps(spark, sf_dir):
+    """W2-W4 with 5% of the values blanked: a window with a NULL in it gives NULL."""
+    rec = B.events_with_gaps(spark, sf_dir, "event_type")
+    return windows.rolling_stats(rec, ["event_type"], "sample_idx", "value", (5, 10, 20)).drop("ts")
+
+
 _LAG_SQL = f"""
 SELECT event_type, event_id, sample_idx, value,
   lag(value, 1) OVER w AS value_lag_1, lag(value, 2) OVER w AS value_lag_2,
@@ -255,6 +263,54 @@ def q_rolling_std_100(spark, sf_dir):
     return windows.rolling_std_rows(rec, ["event_type"], "sample_idx", "value", 100).drop("ts")
 
 
+_SHIFTED = "CASE WHEN sample_idx = 0 THEN 0.0 ELSE value + 1e8 END"
+
+
+@register("rolling_std_offset", sql=f"""
+WITH e AS (SELECT event_type, event_id, sample_idx, {_SHIFTED} AS value FROM ({_sql_events_idx("event_type")}) x)
+SELECT event_type, event_id, sample_idx, value,
+  CASE WHEN count(value) OVER w = 100 THEN stddev_samp(value) OVER w END AS value_roll_std_100
+FROM e WINDOW w AS (PARTITION BY event_type ORDER BY sample_idx ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)""",
+          dbl=["value", "value_roll_std_100"], digits=6)
+def q_rolling_std_offset(spark, sf_dir):
+    """W1 on values far from zero after a first sample of zero (a sensor that starts up)."""
+    rec = B.events_recordings(spark, sf_dir, "event_type").withColumn("value", F.expr(_SHIFTED))
+    return windows.rolling_std_rows(rec, ["event_type"], "sample_idx", "value", 100).drop("ts")
+
+
+@register("all_null_channel", sql="""
+SELECT event_type, count(*) AS n_samples, """ + ", ".join(f"CAST(NULL AS DOUBLE) AS none_{s}" for s in STAT9) + """
+FROM events GROUP BY event_type""", dbl=[f"none_{s}" for s in STAT9])
+def q_all_null_channel(spark, sf_dir):
+    """A channel without any value gives NULL features."""
+    e = B.table(spark, sf_dir, "events").withColumn("none", F.lit(None).cast("double"))
+    return features.recording_features(e, ["event_type"], ["none"])
+
+
+_FRAME_CH = B.LINEITEM_CHANNELS
+
+
+def _blank(c: str) -> str:
+    return (f"CASE WHEN CAST('0x' || substr(md5(concat_ws('|', CAST(l_suppkey AS VARCHAR), '{c}', '42')), 1, 15) AS BIGINT)"
+            f" / 1152921504606846976.0 < 0.2 THEN NULL ELSE {c} END")
+
+
+@register("feature_frame", sql=f"""
+SELECT l_suppkey, coalesce({_blank("l_quantity_mean")}, 0.0) AS l_quantity_mean, l_extendedprice_mean, l_discount_mean, l_tax_mean,
+  CAST(l_suppkey % 2 AS INTEGER) AS fault_label
+FROM ({_sql_features("lineitem", "l_suppkey", _FRAME_CH)}) f WHERE {_blank("l_tax_mean")} IS NOT NULL""",
+          dbl=[f"{c}_mean" for c in _FRAME_CH])
+def q_feature_frame(spark, sf_dir):
+    """A feature table with blanked cells: rows without a tax mean dropped, missing quantity means set to 0,
+    features and target picked by name."""
+    f = features.recording_features(B.lineitem_recordings(spark, sf_dir), ["l_suppkey"], _FRAME_CH)
+    f = f.withColumn("fault_label", (F.col("l_suppkey") % 2).cast("int"))
+    f = cleaning.inject_nulls(f, ["l_quantity_mean", "l_tax_mean"], rate=0.2, id_cols=["l_suppkey"])
+    f = cleaning.fill_zero(cleaning.drop_nulls(f, ["l_tax_mean"]), ["l_quantity_mean"])
+    names = [c for c in cleaning.columns_like(f, "_mean") if c in cleaning.feature_columns(f)]
+    return f.select("l_suppkey", *names, *cleaning.select_target(f).columns)
+
+
 def _sql_summary(src: str, key: str, channels: list[str], order: str) -> str:
     """DuckDB twin of ``recording_summary``: A1-A9 per channel plus the mean
     of the 100-row rolling sample std (std when there is no full window)."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tremor.operators import drift, prepare, stats
 from tremor.plans import bindings as B
-from tremor.plans.q_analysis import _DRIFT_LONG, _MI_SQL, _REPORT_DBL, _ks_sql, _pvalue_sql, _report_sql
+from tremor.plans.q_analysis import _DRIFT_LONG, _MI_SQL, _REPORT_DBL, _ks_sql, _pvalue_sql, _report_sql, _SPLIT_SQL
 from tremor.plans.registry import register
 
 CH = B.LINEITEM_CHANNELS
@@ -82,3 +82,21 @@ def q_balance_counts(spark, sf_dir):
 def q_class_counts(spark, sf_dir):
     """G1: rows per class of labels.quality."""
     return stats.class_counts(B.table(spark, sf_dir, "labels"), "quality")
+
+
+@register("split_files", sql=f"""
+SELECT doc_id, quality, toxic, CASE WHEN is_test THEN 'test' ELSE 'train' END AS part FROM ({_SPLIT_SQL}) s""")
+def q_split_files(spark, sf_dir):
+    """A stratified split written as files (train as CSV, test as JSON), read back and checked."""
+    import uuid
+
+    from tremor.session import ensure_checkpoint_dir
+    from tremor.sources.recordings import load_table, write_table
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/split-{uuid.uuid4().hex}"
+    split = prepare.stratified_split(B.table(spark, sf_dir, "labels"), "quality", "doc_id", test_size=0.2, seed=42)
+    parts = []
+    for part, fmt, keep in (("train", "csv", ~F.col("is_test")), ("test", "json", F.col("is_test"))):
+        write_table(split.where(keep).drop("is_test"), f"{root}/{part}", fmt)
+        back = load_table(spark, f"{root}/{part}", target="quality", fmt=fmt, schema=split.drop("is_test").schema)
+        parts.append(back.withColumn("part", F.lit(part)))
+    return parts[0].unionByName(parts[1])
