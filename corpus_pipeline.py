@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tremor.llm import bpe, decontaminate, jaccard, langid, lines
 from tremor.llm.common import fold_of, table
-from tremor.session import ensure_checkpoint_dir
+from tremor.session import cut_lineage, ensure_checkpoint_dir
 
 CLEAR = 0.5  # least share of the posterior
 
@@ -42,7 +42,8 @@ def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard.near_duplicates(docs)
-    gone = found.where("component_id != doc_id").select("doc_id")
+    gone = cut_lineage(found.where("component_id != doc_id").select("doc_id").distinct())
+    gone = F.broadcast(gone) if gone.count() <= jaccard.FEW else gone
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
