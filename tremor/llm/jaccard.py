@@ -64,7 +64,7 @@ SCREEN = 1024        # documents of a group that one task screens together
 BLOCK = 192          # documents of a group that one task solves together
 BLOCK_HASHES = 1_000_000
 PART = 1 << 20       # bytes that one vectorised step takes
-FEW = 200_000        # ids that are broadcast at most
+FEW = 200_000        # rows that are broadcast at most
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -410,7 +410,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = members.withColumn("block", F.explode(F.when(F.col("center") == F.col("doc_id"), everywhere).otherwise(F.array(block))))
     first = dealt.select("hub", "center", "block", F.lit(0).alias("other"), F.lit(0).alias("role"), "doc_id")
     texts = df.where("doc_id IS NOT NULL")
-    found = cut_lineage(_solved(first.join(_only(texts, members), "doc_id"), id_type, kind))
+    found = cut_lineage(_solved(_with_texts(first, texts), id_type, kind))
     links_found = found.where("b IS NOT NULL").select("a", "b")
 
     # documents of large groups that are not joined to the center: each set of up to BLOCK of them meets every block
@@ -423,8 +423,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         against = (large.where("center != doc_id").join(counted, "hub")
                    .select("hub", "center", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("sets") - 1)).alias("other"),
                            F.lit(0).alias("role"), "doc_id"))
-        more = cut_lineage(asked.union(against))
-        more = _solved(more.join(_only(texts, more), "doc_id"), id_type, kind)
+        more = _solved(_with_texts(asked.union(against), texts), id_type, kind)
         links_found = links_found.union(more.where("b IS NOT NULL").select("a", "b"))
 
     joined = components(links_found)
@@ -435,10 +434,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
-def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``texts`` with one of these ids; up to FEW ids are broadcast, more are joined."""
-    ids = cut_lineage(ids.select("doc_id").distinct())
-    return texts.join(F.broadcast(ids) if ids.count() <= FEW else ids, "doc_id", "left_semi")
+def _with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows with the texts of their documents.  Up to FEW rows are broadcast, so that only texts that are wanted
+    are shuffled; more are joined."""
+    rows = cut_lineage(rows)
+    if rows.count() <= FEW:
+        return texts.join(F.broadcast(rows), "doc_id")
+    ids = rows.select("doc_id").distinct()
+    return rows.join(texts.join(ids, "doc_id", "left_semi"), "doc_id")
 
 
 def op2_jaccard(docs: DataFrame) -> DataFrame:
