@@ -163,6 +163,8 @@ def plain_levels(b):
 
 def test_levels_and_selection():
     rng = np.random.default_rng(2)
+    some = [rng.integers(97, 110, n).astype(np.uint8) for n in (70, 5, 64, 300, 63)]
+    assert [x.tolist() for x in fingerprint.levels_of(some)] == [plain_levels(b) for b in some]
     for n in (10, 64, 65, 200, 900):
         b = rng.integers(97, 110, n).astype(np.uint8)
         assert fingerprint.levels(b).tolist() == plain_levels(b)
@@ -173,7 +175,7 @@ def test_levels_and_selection():
         for at in range(len(r) - run + 1 if len(r) else 0):
             points[at + int(np.argmin(r[at:at + run]))] += 1
         least = min(fingerprint.POINTS, len(r) - run + 1)
-        assert fingerprint._selected(b, rank).tolist() == [k for k, x in enumerate(points) if x >= least]
+        assert fingerprint._selected(fingerprint.levels(b), rank).tolist() == [k for k, x in enumerate(points) if x >= least]
 
 
 @pytest.mark.parametrize("part_bytes", [1 << 24, 20_000])

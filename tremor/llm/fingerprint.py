@@ -36,6 +36,7 @@ WINDOW, RUN, POINTS, PER_FILTER = 64, 64, 16, 160
 BITS, HASHES, CUT = 2048, 5, 0.3
 LEVELS, LOWEST = 1001, 100
 SEGMENT = 1 << 21
+SLICE = 1 << 20  # bytes that one vectorised step takes
 PART_BYTES = 16 << 20
 
 _SCALE = 1024
@@ -63,6 +64,13 @@ def levels(b: np.ndarray) -> np.ndarray:
     return (_TOP - s) * (LEVELS - 1) // _TOP
 
 
+def levels_of(parts: list[np.ndarray]) -> list[np.ndarray]:
+    """The levels of each of some byte arrays, computed over all of them at once."""
+    whole = levels(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+    ends = np.cumsum([len(b) for b in parts])
+    return [whole[e - len(b):e - WINDOW + 1] if len(b) >= WINDOW else whole[:0] for b, e in zip(parts, ends.tolist())]
+
+
 def segments(text: bytes) -> list[np.ndarray]:
     b = np.frombuffer(text, np.uint8)
     return [b[at:at + SEGMENT] for at in range(0, len(b), SEGMENT)]
@@ -73,10 +81,9 @@ def count_levels(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(LEVELS, np.int64)
-        for part in slices(batches):
-            for text in as_bytes(part["text"]):
-                for b in segments(text):
-                    total += np.bincount(levels(b), minlength=LEVELS)
+        for part in slices(batches, SLICE):
+            for own in levels_of([b for text in as_bytes(part["text"]) for b in segments(text)]):
+                total += np.bincount(own, minlength=LEVELS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(LEVELS)), pa.array(total)], ["level", "n"])
 
     rows = (docs.select(docs[text_col].alias("text")).mapInArrow(run, "level long, n long").where("n > 0")
@@ -96,9 +103,9 @@ def rarity(counts: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _selected(b: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Positions of the selected windows, in order."""
-    r = rank[levels(b)]
+def _selected(level: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Positions of the selected windows among windows of these levels, in order."""
+    r = rank[level]
     if not len(r):
         return np.zeros(0, np.int64)
     key = r << 32 | np.arange(len(r))
@@ -119,22 +126,31 @@ def _hash_rows(rows: np.ndarray) -> np.ndarray:
     return h
 
 
-def features(text: bytes, rank: np.ndarray) -> np.ndarray:
-    """Distinct feature hashes in order of first occurrence."""
-    if not text:
-        return np.zeros(0, np.uint64)
-    if len(text) < WINDOW:
-        return _hash_rows(np.frombuffer(text.ljust(WINDOW, b"\0") + bytes([len(text)] * 8), np.uint8).reshape(1, -1))
-    parts = []
-    for b in segments(text):
-        at = _selected(b, rank)
-        if len(at):
-            parts.append(_hash_rows(np.lib.stride_tricks.sliding_window_view(b, WINDOW)[at]))
-    if not parts:
-        return np.zeros(0, np.uint64)
-    h = np.concatenate(parts)
-    _, first = np.unique(h, return_index=True)
-    return h[np.sort(first)]
+def features(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
+    """Distinct feature hashes of each text, in order of first occurrence."""
+    parts, owner = [], []
+    for k, text in enumerate(texts):
+        if len(text) >= WINDOW:
+            own = segments(text)
+            parts += own
+            owner += [k] * len(own)
+    at = [_selected(level, rank) for level in levels_of(parts)]
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    if parts:
+        start = np.cumsum([0] + [len(b) for b in parts[:-1]])
+        rows = np.lib.stride_tricks.sliding_window_view(np.concatenate(parts), WINDOW)[np.concatenate([a + s for a, s in zip(at, start)])]
+        h, done = _hash_rows(rows), 0
+        for k, a in zip(owner, at):
+            out[k].append(h[done:done + len(a)])
+            done += len(a)
+    result = []
+    for text, own in zip(texts, out):
+        if text and len(text) < WINDOW:  # the text itself is the feature
+            own = [_hash_rows(np.frombuffer(text.ljust(WINDOW, b"\0") + bytes([len(text)] * 8), np.uint8).reshape(1, -1))]
+        h = np.concatenate(own) if own else np.zeros(0, np.uint64)
+        _, first = np.unique(h, return_index=True)
+        result.append(h[np.sort(first)])
+    return result
 
 
 class Digest:
@@ -144,13 +160,17 @@ class Digest:
         self.n, self.packed = n, packed
 
     @classmethod
-    def of(cls, text: bytes, rank: np.ndarray) -> Digest:
-        h = features(text, rank)
-        bits = np.zeros((-(-len(h) // PER_FILTER), BITS), np.uint8)
-        row = np.arange(len(h)) // PER_FILTER
+    def of(cls, texts: list[bytes], rank: np.ndarray) -> list[Digest]:
+        own = features(texts, rank)
+        filters = [-(-len(h) // PER_FILTER) for h in own]
+        first = np.cumsum([0, *filters])
+        h = np.concatenate(own) if own else np.zeros(0, np.uint64)
+        row = np.concatenate([f + np.arange(len(x)) // PER_FILTER for f, x in zip(first, own)]) if own else np.zeros(0, np.intp)
+        bits = np.zeros((first[-1], BITS), np.uint8)
         for k in range(HASHES):
             bits[row, (h >> np.uint64(11 * k) & np.uint64(BITS - 1)).astype(np.intp)] = 1
-        return cls(len(h), np.packbits(bits, axis=1))
+        packed = np.packbits(bits, axis=1)
+        return [cls(len(x), packed[f:f + n]) for x, f, n in zip(own, first, filters)]
 
     @classmethod
     def read(cls, text: str) -> Digest:
@@ -224,33 +244,27 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id_type = df.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r, last, kind = rank(), None, None
-
-        def row(a: tuple, b: tuple) -> tuple:
-            (_, own, text, digest), (_, _, after, following) = a, b
-            chars, head = text.decode("utf-8", "replace"), after.decode("utf-8", "replace")
-            n = len(chars)
-            edited = (chars[:n - n // 4] + head[:n // 4]).encode()
-            other = Digest.of(edited, r) if edited != text else digest
-            return own, n, sha256_hex(edited), str(digest), str(other), digest.like(other), digest.like(following)
-
-        for part in slices(batches):
-            out = []
-            kind = part.schema.field("doc_id").type
-            for bucket, halo, own, text in zip(part["bucket"].to_pylist(), part["halo"].to_pylist(),
-                                               part["doc_id"].to_pylist(), as_bytes(part["text"])):
+        r, last = rank(), None
+        for part in slices(batches, SLICE):
+            rows = list(zip(part["bucket"].to_pylist(), part["halo"].to_pylist(), part["doc_id"].to_pylist(), as_bytes(part["text"])))
+            pairs = []  # each document with the one after it
+            for row, digest in zip(rows, Digest.of([x[3] for x in rows], r)):
+                bucket, halo, own, text = row
                 if last is not None and last[0] != bucket:
                     last = None  # further copies of the first row after a bucket
-                if halo and last is None:
-                    continue
-                now = (bucket, own, text, Digest.of(text, r))
+                now = (bucket, own, text, digest)
                 if last is not None:
-                    out.append(row(last, now))
+                    pairs.append((last, now))
                 last = None if halo else now
-            if out:
-                cols = [pa.array(c, t) for c, t in zip(zip(*out), [kind, pa.int64(), pa.string(), pa.string(), pa.string(),
-                                                                   pa.float64(), pa.float64()])]
-                yield pa.RecordBatch.from_arrays(cols, names)
+            if not pairs:
+                continue
+            chars = [a[2].decode("utf-8", "replace") for a, _ in pairs]
+            edited = [(c[:len(c) - len(c) // 4] + b[2].decode("utf-8", "replace")[:len(c) // 4]).encode()
+                      for c, (_, b) in zip(chars, pairs)]
+            out = [(a[1], len(c), sha256_hex(e), str(a[3]), str(d), a[3].like(d), a[3].like(b[3]))
+                   for c, e, d, (a, b) in zip(chars, edited, Digest.of(edited, r), pairs)]
+            kinds = [part.schema.field("doc_id").type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
     return in_order(df).mapInArrow(run, f"doc_id {id_type.simpleString()}, n_chars long, edited_sha256 string, "
                                    "fingerprint string, edited_fingerprint string, near_edited double, near_next double")
