@@ -161,7 +161,7 @@ def q_model_compare(spark, sf_dir):
 def q_model_threshold(spark, sf_dir):
     """Train, choose the threshold on a validation part, evaluate on the test part at 0.5 and at the choice."""
     train, test = _split(_vectors(spark, sf_dir))
-    folds = models.stratified_folds(train, "y", "vec_id", 5)
+    folds = models.stratified_folds(train, "y", "vec_id", 5).persist()  # read by every iteration of the fit
     fitted = models.logistic_regression().fit(folds.where("fold > 0"))
     valid = models.positive_probability(fitted.transform(folds.where("fold = 0")))
     sweep = metrics.threshold_sweep(valid, "y", "p1", 10, 90, 100, 0.5)
