@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.llm.helpers import ODD, SF, documents, empty_documents, odd_documents
@@ -117,6 +118,31 @@ def test_toxicity_held_out(spark):
     assert toxicity.op5_toxicity(empty_documents(spark), labels.where("false")).count() == 0
 
 
+ABUSE = ["idiot", "trash", "scum", "clown", "loser"]
+
+
+def lexicon_of(spark, rows):
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, text string, toxic int")
+    return toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"), F.lit(True))[0]
+
+
+def abusive_rows(rng, abuse=ABUSE, many=60):
+    plain = ["".join(rng.choices("bdfgkmpvz", k=6)) for _ in range(300)]
+    text = lambda *more: " ".join([*rng.sample(plain, 30), *more])
+    return [(text(), 0) for _ in range(400)] + [(text(w), 1) for w in abuse for _ in range(many)]
+
+
+def test_lexicon_keeps_every_term(spark):
+    """Copies of one long toxic text count once: its 600 ordinary words neither enter the lexicon nor push others out."""
+    rng = random.Random(11)
+    long = " ".join(f"{a}{b}{c}" for a in "qwrt" for b in "jhgfdsxcvb" for c in "nmlkpoiuyzaeqws")
+    found = lexicon_of(spark, abusive_rows(rng) + [(long, 1)] * 300)
+    assert set(ABUSE) <= {w.removesuffix("*") for w in found} and not set(long.split()) & set(found)
+    many = ["".join(rng.choices("aeiouy", k=4)) for _ in range(500)]
+    rows = [(f"{' '.join(many)} {k}", 1) for k in range(60)] + [(t, 0) for t, y in abusive_rows(rng) if not y]
+    assert set(many) <= set(lexicon_of(spark, rows))
+
+
 # --- secrets -------------------------------------------------------------------------------------
 
 def plain_secrets(text):

@@ -1,8 +1,8 @@
 """Toxicity: Levenshtein automata over a learned lexicon, scored by their context.
 
 The lexicon is learned from labelled rows: words and word beginnings (stems of 4
-to 8 letters) that occur in toxic documents far more often than chance explains.  It
-is a trie.  Words are matched by one deterministic automaton, the product of the
+to 8 letters) that occur in toxic documents far more often than chance explains; every
+one that passes is kept, and texts of the same words count once.  It is a trie.  Words are matched by one deterministic automaton, the product of the
 trie with the Levenshtein automata of its terms (no error for short terms, one
 from 5 letters, two from 9), whose states are made as words reach them; a word
 that can match nothing stops early.  Stems match without error.
@@ -13,8 +13,9 @@ features are the strengths of its exact, misspelled and quoted hits; a logistic
 model of them, fitted to the same rows, gives the score.
 
 Labels are learned only from the rows the caller names, and of them from about
-``max_labels`` chosen by a hash of the id; that bound keeps lexicon, model and the
-label table that is broadcast small whatever the input.  Null and empty texts
+``max_labels`` chosen by a hash of the id; that bound keeps model and the label table
+that is broadcast small whatever the input, and bounds the texts that the lexicon's
+terms must pass the tests on.  Null and empty texts
 have no hit and get the score of such texts.  Repeated labels of an id count once
 (toxic if one says so); null labels do not count.
 """
@@ -32,10 +33,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm.common import Memo, as_text, fold_of, held, id_text, map_batches, slices
+from tremor.session import cut_lineage
 
 MAX_LABELS = 40_000
-MAX_TERMS = 20_000
-LEXICON = 400
+LEAST_TEXTS = 4       # distinct toxic texts of a term
 LEAST_ODDS = 1.5      # log odds ratio of a term
 MOST = 6.0            # of a feature
 THRESHOLD = 0.3
@@ -162,17 +163,17 @@ def features(auto: Automaton, text: str) -> tuple[float, float, float]:
     return tuple(min(MOST, s) for s in sums)  # type: ignore[return-value]
 
 
-def terms(text: str) -> set[str]:
-    words = set(_WORD.findall(text.lower()))
-    return words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
+def terms(words: str) -> set[str]:
+    """Words and stems of words joined by spaces."""
+    found = set(words.split())
+    return found | {w[:k] + "*" for w in found for k in STEMS if len(w) > k}
 
 
-def _counted(df: DataFrame, wanted: object = None) -> DataFrame:
-    """(term, toxic, clean): documents with the term, of a table (text, toxic); ``wanted`` gives the only terms to count."""
+def _counted(df: DataFrame) -> DataFrame:
+    """(term, toxic, clean): rows with the term, of a table (words, toxic)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = (Counter(), Counter())
-        only = wanted() if wanted else None
 
         def out() -> pa.RecordBatch:
             keys = list(own[0] | own[1])
@@ -182,11 +183,10 @@ def _counted(df: DataFrame, wanted: object = None) -> DataFrame:
             return part
 
         for part in slices(batches):
-            for text, toxic in zip(as_text(part["text"]), part["toxic"].to_pylist()):
-                found = terms(text)
-                own[toxic].update(found if only is None else found & only)
-            if len(own[0]) + len(own[1]) > 300_000:
-                yield out()
+            for words, toxic in zip(as_text(part["words"]), part["toxic"].to_pylist()):
+                own[toxic].update(terms(words))
+                if len(own[0]) + len(own[1]) > 300_000:
+                    yield out()
         yield out()
 
     return (df.mapInArrow(run, "term string, toxic long, clean long").groupBy("term")
@@ -201,20 +201,35 @@ def log_tail(t: int, n: int, p: float) -> float:
     return top + math.log(sum(math.exp(x - top) for x in parts))
 
 
-def choose_lexicon(rows: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
-    """Terms and strengths: those far more frequent in toxic documents than chance explains; the most
-    frequent first, without words that a chosen stem covers."""
-    rate, chance = toxic / (toxic + clean), math.log(0.1 / max(1, len(rows)))
-    sure = []
-    for term, t, c in rows:
-        odds = math.log((t + 0.5) / (toxic - t + 0.5)) - math.log((c + 0.5) / (clean - c + 0.5))
-        if odds >= LEAST_ODDS and t > (t + c) * rate and log_tail(t, t + c, rate) < chance:
-            sure.append((t, term, odds))
-    support = {term: t for t, term, _ in sure}
+def odds_of(t: int, c: int, toxic: int, clean: int, tests: int) -> float | None:
+    """Log odds ratio of a term of t toxic and c clean documents, if it is far more frequent in toxic ones than
+    chance explains (0.1 false terms in all ``tests``); else None."""
+    rate = toxic / (toxic + clean)
+    odds = math.log((t + 0.5) / (toxic - t + 0.5)) - math.log((c + 0.5) / (clean - c + 0.5))
+    if odds >= LEAST_ODDS and t > (t + c) * rate and log_tail(t, t + c, rate) < math.log(0.1 / max(1, tests)):
+        return odds
+    return None
+
+
+def _passing(counts: DataFrame, sizes: tuple[int, int], tests: int) -> list[tuple[str, int, float]]:
+    """(term, toxic, odds) of the counted terms that pass both tests; the tests run in the tasks."""
+
+    def run(part: pa.RecordBatch) -> dict:
+        rows = zip(part["term"].to_pylist(), part["toxic"].to_pylist(), part["clean"].to_pylist())
+        sure = [(w, t, odds) for w, t, c in rows if (odds := odds_of(t, c, *sizes, tests)) is not None]
+        return {"term": pa.array([r[0] for r in sure], pa.string()), "toxic": pa.array([r[1] for r in sure], pa.int64()),
+                "odds": pa.array([r[2] for r in sure], pa.float64())}
+
+    return [tuple(r) for r in map_batches(counts, run, "term string, toxic long, odds double").collect()]
+
+
+def choose_lexicon(sure: list[tuple[str, int, float]]) -> dict[str, float]:
+    """Terms and strengths of those that passed: the most frequent first, without words that a chosen stem covers."""
+    support = {term: t for term, t, _ in sure}
     out: dict[str, float] = {}
-    for t, term, odds in sorted(sure, key=lambda r: (-r[0], r[1].endswith("*"), -len(r[1]), r[1])):
+    for term, t, odds in sorted(sure, key=lambda r: (-r[1], r[0].endswith("*"), -len(r[0]), r[0])):
         word = term.removesuffix("*")
-        if any(word[:k] + "*" in out for k in range(1, len(word) + 1)) or len(out) >= LEXICON:
+        if any(word[:k] + "*" in out for k in range(1, len(word) + 1)):
             continue
         whole = [w for w in out if not w.endswith("*") and w.startswith(word)]
         if term.endswith("*") and sum(support[w] for w in whole) >= 0.5 * t:
@@ -223,6 +238,27 @@ def choose_lexicon(rows: list[tuple[str, int, int]], toxic: int, clean: int) ->
     return out
 
 
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """(words, toxic): the distinct lower-case words of each text, joined by spaces.  Texts of the same words count
+    once, as toxic if one of them is labelled so."""
+
+    def run(part: pa.RecordBatch) -> dict:
+        return {"words": pa.array([" ".join(sorted(set(_WORD.findall(t.lower())))) for t in as_text(part["text"])], pa.string()),
+                "toxic": part["toxic"]}
+
+    return map_batches(rows, run, "words string, toxic int").groupBy("words").agg(F.max("toxic").alias("toxic"))
+
+
+def learn_lexicon(rows: DataFrame) -> dict[str, float]:
+    """Lexicon of a table (text, toxic) with both kinds of rows."""
+    once = cut_lineage(distinct_texts(rows))
+    sizes = {r[0]: r[1] for r in once.groupBy("toxic").count().collect()}
+    if not sizes.get(0):
+        return {}  # every clean text is also labelled toxic
+    often = cut_lineage(_counted(once).where(F.col("toxic") >= LEAST_TEXTS))
+    return choose_lexicon(_passing(often, (sizes[1], sizes[0]), often.count()))
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     """Ridge logistic regression by Newton steps; the last weight is the intercept."""
     x = np.column_stack([x, np.ones(len(x))])
@@ -252,11 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
     if not sizes.get(1) or not sizes.get(0):
         base = 0.5 if not sizes else 1 / 1000 if 0 in sizes else 1 - 1 / 1000
         return {}, np.array([0, 0, 0, math.log(base / (1 - base))])
-    abused = rows.where("toxic = 1").dropDuplicates(["text"])
-    often = [r[0] for r in _counted(abused).where("toxic >= 4").orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect()]
-    only = held(spark, often, frozenset)
-    found = [tuple(r) for r in _counted(rows, only).collect()]
-    lexicon = choose_lexicon(found, sizes[1], sizes[0])
+    lexicon = learn_lexicon(rows)
     auto = held(spark, lexicon, Automaton)
 
     def run(part: pa.RecordBatch) -> dict:
