@@ -143,6 +143,19 @@ def test_lexicon_keeps_every_term(spark):
     assert set(many) <= set(lexicon_of(spark, rows))
 
 
+def test_stems_stand_beside_words(spark):
+    """Inflected forms in one document do not replace the words and their automata; true stems are still found."""
+    rng = random.Random(12)
+    rows = abusive_rows(rng) + [("you losers idiots clowns", 1)] + [(f"they lose again {k}", 0) for k in range(13)]
+    found = lexicon_of(spark, rows)
+    assert set(ABUSE) <= set(found) and not {"idio*", "clow*", "lose*"} & set(found)
+    auto = toxicity.Automaton(found)
+    assert all(auto.match(w)[1] == 1 for w in ("1diot", "ideot", "cl0wn", "lose"))
+    rows += [(f"grumpf{chr(97 + k % 26)}{k} here", 1) for k in range(60)] + [(f"grum {k}", 0) for k in range(60)]
+    found = lexicon_of(spark, rows)
+    assert "grumpf*" in found and set(ABUSE) <= set(found) and not {"grum*", "grump*"} & set(found)
+
+
 # --- secrets -------------------------------------------------------------------------------------
 
 def plain_secrets(text):

@@ -2,7 +2,9 @@
 
 The lexicon is learned from labelled rows: words and word beginnings (stems of 4
 to 8 letters) that occur in toxic documents far more often than chance explains; every
-one that passes is kept, and texts of the same words count once.  It is a trie.  Words are matched by one deterministic automaton, the product of the
+one that passes is kept, and texts of the same words count once.  A stem must pass in
+its documents without such words and longer stems; it stands beside them and never
+takes their place.  The lexicon is a trie.  Words are matched by one deterministic automaton, the product of the
 trie with the Levenshtein automata of its terms (no error for short terms, one
 from 5 letters, two from 9), whose states are made as words reach them; a word
 that can match nothing stops early.  Stems match without error.
@@ -25,7 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -163,14 +165,14 @@ def features(auto: Automaton, text: str) -> tuple[float, float, float]:
     return tuple(min(MOST, s) for s in sums)  # type: ignore[return-value]
 
 
-def terms(words: str) -> set[str]:
-    """Words and stems of words joined by spaces."""
-    found = set(words.split())
+def terms(words: str, known: frozenset = frozenset()) -> set[str]:
+    """Words and stems of words joined by spaces, without those of ``known`` words."""
+    found = set(words.split()) - known
     return found | {w[:k] + "*" for w in found for k in STEMS if len(w) > k}
 
 
-def _counted(df: DataFrame) -> DataFrame:
-    """(term, toxic, clean): rows with the term, of a table (words, toxic)."""
+def _counted(df: DataFrame, known: Callable[[], frozenset] = frozenset) -> DataFrame:
+    """(term, toxic, clean): rows with the term in a word that is not ``known``, of a table (words, toxic)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = (Counter(), Counter())
@@ -184,7 +186,7 @@ def _counted(df: DataFrame) -> DataFrame:
 
         for part in slices(batches):
             for words, toxic in zip(as_text(part["words"]), part["toxic"].to_pylist()):
-                own[toxic].update(terms(words))
+                own[toxic].update(terms(words, known()))
                 if len(own[0]) + len(own[1]) > 300_000:
                     yield out()
         yield out()
@@ -223,18 +225,27 @@ def _passing(counts: DataFrame, sizes: tuple[int, int], tests: int) -> list[tupl
     return [tuple(r) for r in map_batches(counts, run, "term string, toxic long, odds double").collect()]
 
 
-def choose_lexicon(sure: list[tuple[str, int, float]]) -> dict[str, float]:
-    """Terms and strengths of those that passed: the most frequent first, without words that a chosen stem covers."""
-    support = {term: t for term, t, _ in sure}
+def choose_stems(groups: list[tuple[list[str], int, int]], candidates: list[str], sizes: tuple[int, int],
+                 tests: int) -> dict[str, float]:
+    """Stems and odds of those candidates that still pass in their documents without longer chosen ones, longest first.
+
+    A group is (candidates that are the longest of some word of a document, toxic, clean documents)."""
+    within: dict[str, dict[int, list[str]]] = {stem: {} for stem in candidates}
+    for at, (longest, _, _) in enumerate(groups):
+        for one in longest:
+            for k in STEMS:
+                if (stem := one[:-1][:k] + "*") in within and len(stem) <= len(one):
+                    own = within[stem].setdefault(at, [])
+                    if one not in own:
+                        own.append(one)
     out: dict[str, float] = {}
-    for term, t, odds in sorted(sure, key=lambda r: (-r[1], r[0].endswith("*"), -len(r[0]), r[0])):
-        word = term.removesuffix("*")
-        if any(word[:k] + "*" in out for k in range(1, len(word) + 1)):
-            continue
-        whole = [w for w in out if not w.endswith("*") and w.startswith(word)]
-        if term.endswith("*") and sum(support[w] for w in whole) >= 0.5 * t:
-            continue  # little more than words that are there already
-        out[term] = min(1.0, odds / 8)
+    for stem in sorted(candidates, key=lambda s: (-len(s), s)):
+        t = c = 0
+        for at, ones in within[stem].items():
+            if any(not any(one[:k] + "*" in out for k in range(len(stem), len(one))) for one in ones):
+                t, c = t + groups[at][1], c + groups[at][2]
+        if t >= LEAST_TEXTS and (odds := odds_of(t, c, *sizes, tests)) is not None:
+            out[stem] = odds
     return out
 
 
@@ -250,13 +261,35 @@ def distinct_texts(rows: DataFrame) -> DataFrame:
 
 
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:
-    """Lexicon of a table (text, toxic) with both kinds of rows."""
+    """Lexicon of a table (text, toxic) with both kinds of rows: every word that passes the tests, and every stem that
+    passes them in its documents without those words and without longer chosen stems."""
+    spark = rows.sparkSession
     once = cut_lineage(distinct_texts(rows))
     sizes = {r[0]: r[1] for r in once.groupBy("toxic").count().collect()}
     if not sizes.get(0):
         return {}  # every clean text is also labelled toxic
+    both = (sizes[1], sizes[0])
     often = cut_lineage(_counted(once).where(F.col("toxic") >= LEAST_TEXTS))
-    return choose_lexicon(_passing(often, (sizes[1], sizes[0]), often.count()))
+    tests = often.count()
+    words = {w: odds for w, _, odds in _passing(often.where(~F.col("term").endswith("*")), both, tests)}
+    known = held(spark, list(words), frozenset)
+    rest = _counted(once, known).where(F.col("term").endswith("*") & (F.col("toxic") >= LEAST_TEXTS))
+    stems = [s for s, _, _ in _passing(rest, both, tests)]
+    if stems:
+        wanted = held(spark, stems, frozenset)
+
+        def longest(part: pa.RecordBatch) -> dict:
+            out = []
+            for text in as_text(part["words"]):
+                own = {max(found, key=len) for w in set(text.split()) - known()
+                       if (found := [w[:k] + "*" for k in STEMS if len(w) > k and w[:k] + "*" in wanted()])}
+                out.append(" ".join(sorted(own)))
+            return {"stems": pa.array(out, pa.string()), "toxic": part["toxic"]}
+
+        groups = (map_batches(once, longest, "stems string, toxic int").where("stems <> ''").groupBy("stems")
+                  .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")).collect())
+        words |= choose_stems([(r[0].split(), r[1], r[2]) for r in groups], stems, both, tests)
+    return {term: min(1.0, odds / 8) for term, odds in words.items()}
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
