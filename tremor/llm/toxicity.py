@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -45,6 +46,7 @@ THRESHOLD = 0.3
 STEMS = (4, 5, 6, 7, 8)
 NEAR = 5
 _MEMO = 300_000
+_STATE_BYTES = 64 << 20
 _HASH = 1 << 40
 
 _WORD = re.compile(r"[^\W_]+")
@@ -79,8 +81,9 @@ class Automaton:
                 self.stem[at] = weight
             else:
                 self.word[at] = (weight, allowed)
-        self.states: dict[frozenset, int] = {}
-        self.sets: list[frozenset] = []
+        self.states: dict[bytes, int] = {}
+        self.sets: list[bytes] = []  # 4 * node + errors of each state's items, as ints
+        self.size = 0
         self.moves: list[dict[str, int]] = []
         self.ends: list[tuple[float | None, tuple[float, int] | None]] = []  # best stem and best word of a state
         self.match = Memo(self.find, _MEMO).__getitem__
@@ -98,19 +101,21 @@ class Automaton:
         best: dict[int, int] = {}
         for node, e in items:
             best[node] = min(e, best.get(node, e))
-        key = frozenset(best.items())
+        key = array("i", sorted(4 * node + e for node, e in best.items())).tobytes()
         if key not in self.states:
             self.states[key] = len(self.sets)
             self.sets.append(key)
+            self.size += len(key)
             self.moves.append({})
-            stems = [self.stem[node] for node, e in key if e == 0 and node in self.stem]
-            words = [(self.word[node][0] * 0.7 ** e, e) for node, e in key if node in self.word and e <= self.word[node][1]]
+            stems = [self.stem[node] for node, e in best.items() if e == 0 and node in self.stem]
+            words = [(self.word[node][0] * 0.7 ** e, e) for node, e in best.items() if node in self.word and e <= self.word[node][1]]
             self.ends.append((max(stems, default=None), min(words, key=lambda w: (w[1], -w[0]), default=None)))
         return self.states[key]
 
     def _move(self, state: int, c: str) -> int:
         after: set[tuple[int, int]] = set()
-        for node, e in self.sets[state]:
+        for item in array("i", self.sets[state]):
+            node, e = item >> 2, item & 3
             if e < self.room[node]:
                 after.add((node, e + 1))           # a letter too many
             for letter, down in self.child[node].items():
@@ -134,8 +139,8 @@ class Automaton:
         found = self.ends[state][1]
         if stem and (found is None or found[1] or stem > found[0]):
             found = (stem, 0)
-        if len(self.sets) > _MEMO:
-            self.states, self.sets, self.moves, self.ends = {}, [], [], []
+        if len(self.sets) > _MEMO or self.size > _STATE_BYTES:
+            self.states, self.sets, self.moves, self.ends, self.size = {}, [], [], [], 0
             self.start = self._state({(0, 0)})
         return found
 
