@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremor.llm import bpe, decontaminate, fingerprint, jaccard, langid, lines, manifest, pieces, pii, repeats, secrets, toxicity
+from tremor.llm import bpe, decontaminate, fingerprint, jaccard, langid, lines, manifest, pieces, pii, repeats, secrets, toxicity, trie
 from tremor.llm.common import table
 from tremor.llm.twins import ORACLE_SQL  # noqa: F401
 
@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": _over_documents(fingerprint.op8_fingerprints),
     "op9_lines": _over_documents(lines.op9_lines),
     "op10_bpe": _over_documents(bpe.op10_bpe),
+    "op11_prefix_trie": lambda spark, sf_dir: trie.op11_prefix_trie(table(spark, sf_dir, "conversations")),
     "op12_manifest": _over_documents(manifest.op12_manifest),
     "op13_pieces": _over_documents(pieces.op13_pieces),
 }
