@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from tremor.llm.common import Memo, as_text, cached, id_text, sha256_hex, slices
 
 MODEL = "piece_bpe_32k.model"
-SLICE = 24 << 20
+SLICE = 32 << 20
 PART = 2 << 20
 MEMO = 400_000
 MARK = "▁"
@@ -165,15 +165,39 @@ def load(path: str) -> Pieces:
     return cached(f"pieces {path}", read)
 
 
+#: Numbers are kept apart by size, so that the bytes of frequent (small) ones get short codes of their own.
+_CLASSES = 4 ** np.arange(3, 16, dtype=np.uint64)
+
+
+def _width(k: int) -> int:
+    """Bytes of a number of size class k."""
+    return min(4, (2 * k + 13) // 8)
+
+
 def _pack(values: np.ndarray) -> bytes:
-    """Unsigned numbers as zstd-compressed byte planes (the high bytes of small numbers cost next to nothing)."""
-    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    """Unsigned 32-bit numbers: their size classes, then class by class the low bytes, the next bytes and so on, zstd-compressed."""
+    values = values.astype("<u4")
+    kind = np.searchsorted(_CLASSES, values, side="right").astype(np.uint8)
+    parts = [struct.pack("<I", len(values)), kind.tobytes()]
+    for k in range(len(_CLASSES) + 1):
+        own = values[kind == k].view(np.uint8).reshape(-1, 4)
+        parts.append(np.ascontiguousarray(own[:, :_width(k)].T).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    data = zstandard.ZstdDecompressor().decompress(data)
+    n = struct.unpack_from("<I", data)[0]
+    kind, at = np.frombuffer(data, np.uint8, n, 4), 4 + n
+    out = np.zeros(n, "<u4")
+    for k in range(len(_CLASSES) + 1):
+        own = np.flatnonzero(kind == k)
+        planes = np.frombuffer(data, np.uint8, len(own) * _width(k), at).reshape(_width(k), -1)
+        at += len(own) * _width(k)
+        wide = np.zeros((len(own), 4), np.uint8)
+        wide[:, :_width(k)] = planes.T
+        out[own] = wide.view("<u4").ravel()
+    return out
 
 
 def _pack_words(chunks: list[str]) -> bytes:
