@@ -104,33 +104,6 @@ def test_smote_rows_lie_between_parents(spark):
             assert min(lo, hi) - 1e-12 <= x <= max(lo, hi) + 1e-12
 
 
-def test_projected_neighbours(spark):
-    import numpy as np
-    rng = np.random.default_rng(0)
-    pts = np.vstack([rng.normal(size=(300, 6)), np.full((40, 6), 5.0) + rng.normal(size=(40, 6)) * 1e-9])
-    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(pts)], "id long, v array<double>")
-    got = {}
-    for r in prepare.knn_projected(df, "id", "v", 4, 6).collect():
-        got.setdefault(r.id, {})[r.slot] = (r.nb_id, r.dist)
-    found = 0
-    for i, p in enumerate(pts):
-        d = np.sqrt(((pts - p) ** 2).sum(axis=1))
-        d[i] = np.inf
-        assert sorted(got[i]) == [0, 1, 2, 3]
-        assert all(abs(d[nb] - dist) < 1e-9 for nb, dist in got[i].values())
-        found += len({nb for nb, _ in got[i].values()} & set(np.argsort(d)[:4])) if i < 300 else 4
-        if i >= 300:  # near copies have near copies as neighbours
-            assert all(nb >= 300 for nb, _ in got[i].values())
-    assert found / (4 * len(pts)) > 0.8
-
-
-def test_projected_neighbours_compare_few_pairs(spark):
-    e = spark.read.parquet(f"{SF01}/embeddings.parquet").selectExpr("vec_id", "CAST(embedding AS array<double>) v")
-    n = e.count()
-    assert 2 * prepare.DIRECTIONS * prepare.REACH * n < n * n / 1.9
-    assert prepare.knn_projected(e, "vec_id", "v", 5, 64).groupBy("id").count().where("count <> 5").count() == 0
-
-
 def test_smote_without_neighbours_keeps_its_columns(spark):
     df = spark.createDataFrame([(i, [float(i)], int(i == 0)) for i in range(4)], "id long, v array<double>, y int")
     out = prepare.smote(df, "y", "id", "v")

@@ -6,7 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tremor.operators import cleaning, windows
-from tremor.operators.ordering import prefix_sums, quantiles, with_sample_index
+from tremor.operators.ordering import prefix_sums, with_sample_index
+from tremor.operators.selection import quantiles
 
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tremor.operators import drift, metrics, prepare
-from tremor.operators.ordering import quantiles
+from tremor.operators.selection import quantiles
 
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 vals = st.lists(st.one_of(st.none(), st.integers(-5, 5).map(float)), min_size=1, max_size=40)

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremor.functions import hash_unit, to_double
-from tremor.operators.ordering import DEFAULT_BLOCK_ROWS, carry_fill, quantiles
+from tremor.operators.ordering import DEFAULT_BLOCK_ROWS, carry_fill
+from tremor.operators.selection import quantiles
 
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:

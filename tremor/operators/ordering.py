@@ -16,9 +16,8 @@ many tasks:
   most ``halo`` rows back is exact inside ``(key, block)`` partitions.
 * :func:`carry_fill` finds the previous / next non-null value of a column at
   any distance, block-locally plus a carry over the small per-block table.
-* :func:`quantiles` gives exact, linearly interpolated quantiles (NumPy /
-  pandas / Spark ``percentile`` / DuckDB ``quantile_cont``) from a sketch and
-  exact counts about the wanted ranks, without a value map of a whole group.
+
+Quantiles and other wanted ranks need no order at all: see :mod:`tremor.operators.selection`.
 """
 
 from __future__ import annotations
@@ -256,75 +255,3 @@ def carry_fill(
             F.coalesce(F.col(f"{c}__ni"), F.col(f"{c}__cn.i")).alias(f"{c}__ni"),
         ]
     return out.select(*df.columns, *fills)
-
-
-ACCURACY = 50_000
-
-
-def quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probs: Sequence[float],
-    names: Sequence[str] | None = None,
-    accuracy: int = ACCURACY,
-) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per key.
-
-    Nulls are skipped.  Two aggregations over the data, no sort of it and no
-    checkpoint:
-
-    1. per key the number of values and, from one approximate-percentile
-       sketch, a bracket of values about each wanted rank (the sketch is off by
-       at most n / ``accuracy`` ranks, the bracket spans four times that);
-    2. per key and prob the exact number of values below the bracket, and the
-       counts of the distinct values inside it.
-
-    Only the values inside a bracket, about 8 n / ``accuracy`` of them and their
-    ties as one row, are ranked; with up to ``accuracy`` values the bracket is
-    their whole range.  A bracket that misses its rank raises an
-    error instead of giving a wrong value.  Output columns: ``keys``, ``n`` and one
-    column per prob (``names`` or ``q_<p>``).
-    """
-    keys = list(keys)
-    names = list(names) if names else [f"q_{int(round(p * 100))}" for p in probs]
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
-    ends = [min(1.0, max(0.0, p + side * 4 / accuracy)) for p in probs for side in (-1, 1)]
-    sketch = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
-        F.percentile_approx("__v", ends, accuracy).alias("__e"))
-    few = F.col("__n") <= accuracy  # the margin would be less than a few ranks: all values are ranked
-    brackets = sketch.select(*keys, "__n", F.array(*[
-        F.struct(F.lit(i).alias("pi"),
-                 F.when(few, F.col("__min")).otherwise(F.col("__e")[2 * i]).alias("lo"),
-                 F.when(few, F.col("__max")).otherwise(F.col("__e")[2 * i + 1]).alias("hi"))
-        for i in range(len(probs))]).alias("__b"))
-    if keys:
-        named = brackets.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n", "__b")
-        same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-        joined = rows.join(named, on=same, how="inner").select(*keys, "__v", "__n", "__b")
-    else:
-        one = fitted(brackets)
-        joined = rows.withColumns({"__n": one.getField("__n"), "__b": one.getField("__b")})
-    # per prob, a value counts as below its bracket (v NULL) or by itself; values above do not count
-    places = F.transform("__b", lambda b: F.when(F.col("__v") <= b["hi"], F.struct(
-        b["pi"].alias("pi"), F.when(F.col("__v") >= b["lo"], F.col("__v")).alias("v"))))
-    counts = (joined.select(*keys, "__n", F.explode(F.filter(places, lambda x: x.isNotNull())).alias("__p"))
-              .groupBy(*keys, "__n", "__p.pi", "__p.v").agg(F.count(F.lit(1)).alias("__c")))
-    run = Window.partitionBy(*keys, "pi").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("__upto", F.sum("__c").over(run))
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("pi") + 1)
-    rank = (F.col("__n") - 1) * prob
-    inside = F.col("v").isNotNull()
-
-    def at(side: Column) -> Column:
-        return F.max(F.when(inside & (F.col("__upto") - F.col("__c") <= side) & (side < F.col("__upto")), F.col("v")))
-
-    picked = ranked.groupBy(*keys, "__n", "pi").agg(at(F.floor(rank)).alias("lo"), at(F.ceil(rank)).alias("hi"))
-    part = rank - F.floor(rank)
-    missed = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
-    exact = (F.when(F.col("lo").isNull() | F.col("hi").isNull(), missed)
-             .when(part == 0, F.col("lo")).otherwise(F.col("lo") + part * (F.col("hi") - F.col("lo"))))
-    wide = picked.select(*keys, "__n", "pi", exact.alias("q")).groupBy(*keys).agg(
-        F.max("__n").alias("n"), *[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(name) for i, name in enumerate(names)])
-    return wide

@@ -10,15 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.functions import hash_bigint, hash_unit
+from tremor.functions import fitted, hash_bigint, hash_unit
 from tremor.operators.cleaning import unpivot
-from tremor.operators.ordering import prefix_sums, quantiles
+from tremor.operators.neighbours import nearest_neighbours
+from tremor.operators.ordering import prefix_sums
+from tremor.operators.selection import quantiles, select_ranks
+from tremor.session import cut_lineage
 
 METHODS = ("standard", "minmax", "robust")
-DIRECTIONS, REACH = 8, 16
+STRETCH = 1 << 16  # draws that one row of the drawing plan stands for
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str], method: str = "standard") -> DataFrame:
@@ -99,11 +102,25 @@ def stratified_split(
     left = F.col("__nt") - F.sum("__fl").over(w_all)
     share = share.withColumn("__rk", F.row_number().over(w_frac)).withColumn(
         "__take", (F.col("__fl") + F.when(F.col("__rk") <= left, 1).otherwise(0)).cast("long"))
-    ranked = prefix_sums(d.withColumn("__one", F.lit(1).cast("long")), [key], ["__h", id_col], ["__one"],
-                         prefix="__r")
-    # a NULL label is a class like any other
-    out = ranked.join(share.select(F.col(key).alias("__k"), "__take"), on=F.col(key).eqNullSafe(F.col("__k")), how="left")
-    return out.select(*df.columns, (F.col("__r__one") <= F.col("__take")).alias("is_test"))
+    # the hash of the last test row and that of the row after it; rows are compared with it, not sorted
+    last = lambda n: F.array(*[F.struct(F.lit(i).alias("id"), (F.col("__take") - 1 + i).alias("rank")) for i in (0, 1)])
+    found = select_ranks(d, [key], "__h", last, wanted=share.select(key, "__take"))
+    cuts = cut_lineage(found.groupBy(F.col(key).alias("__k")).agg(
+        F.max(F.when(F.col("id") == 0, F.col("value"))).alias("__cut"), F.max(F.when(F.col("id") == 1, F.col("value"))).alias("__next")))
+    d = d.join(cuts, on=F.col(key).eqNullSafe(F.col("__k")), how="left")  # a NULL label is a class like any other
+    chosen = F.coalesce(F.col("__h") <= F.col("__cut"), F.lit(False))
+    tied = cuts.where("__cut = __next")
+    if tied.isEmpty():
+        return d.select(*df.columns, chosen.alias("is_test"))
+    # rows of one hash on both sides of a cut: the first ones by id
+    split = F.coalesce((F.col("__cut") == F.col("__next")) & (F.col("__h") == F.col("__cut")), F.lit(False))
+    below = d.where(F.col("__cut") == F.col("__next")).groupBy("__k").agg(F.count(F.when(F.col("__h") < F.col("__cut"), 1)).alias("__below"))
+    room = below.join(share.select(F.col(key).alias("__s"), "__take"), F.col("__k").eqNullSafe(F.col("__s"))).select(
+        F.col("__k").alias("__t"), (F.col("__take") - F.col("__below")).alias("__room"))
+    few = d.where(split).join(room, F.col("__k").eqNullSafe(F.col("__t")))
+    place = F.row_number().over(Window.partitionBy("__k").orderBy(id_col))
+    return (d.where(~split).select(*df.columns, chosen.alias("is_test"))
+            .unionByName(few.select(*df.columns, (place <= F.col("__room")).alias("is_test"))))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -127,43 +144,26 @@ def pos_weight(df: DataFrame, label: str) -> DataFrame:
                                F.count(F.when(F.col(label) == 1, 1))).alias("scale_pos_weight"))
 
 
-def oversample_random(df: DataFrame, label: str, id_col: str, seed: int = 42,
-                      spark: SparkSession | None = None) -> DataFrame:
+def oversample_random(df: DataFrame, label: str, id_col: str, seed: int = 42) -> DataFrame:
     """Draw rows of every smaller class with replacement until each class
     has as many rows as the largest; adds ``synthetic`` and ``draw``.
 
-    Draw j of class c takes the row of rank md5(c, j, seed) mod n_c.  The
-    draws are generated by ``spark.range`` over many partitions (the class
-    counts, a handful of numbers, are the only values read on the driver)
-    and joined to the class rows on (class, rank): no group is held whole.
+    Draw j of class c takes the row of rank md5(c, j, seed) mod n_c.  Draws are numbered from the table of class sizes, in
+    stretches of ``STRETCH`` over many partitions, and joined to the class rows on (class, rank): no group is held whole and
+    nothing is read on the driver.  A NULL class is one like others.
     """
-    spark = spark or df.sparkSession
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return df.withColumn("synthetic", F.lit(False)).withColumn("draw", F.lit(None).cast("long"))
-    n_max = max(counts.values())
-    ranked = prefix_sums(df.withColumn("__one", F.lit(1).cast("long")), [label],
-                         [hash_bigint([id_col], seed), id_col], ["__one"], prefix="__r")
-    ranked = ranked.withColumn("__rank", F.col("__r__one") - 1).drop("__one", "__r__one")
-    parts = []
-    for cls, n_c in sorted(counts.items()):
-        need = n_max - n_c
-        if need <= 0:
-            continue
-        draws = spark.range(need).select(
-            F.lit(cls).cast(df.schema[label].dataType).alias(label),
-            F.col("id").alias("draw"),
-        ).withColumn("__rank", F.pmod(hash_bigint([F.lit(str(cls)), F.col("draw")], seed), F.lit(n_c)))
-        parts.append(draws)
-    base = df.withColumn("synthetic", F.lit(False)).withColumn("draw", F.lit(None).cast("long"))
-    if not parts:
-        return base
-    allds = parts[0]
-    for p in parts[1:]:
-        allds = allds.unionByName(p)
-    extra = allds.join(ranked, on=[label, "__rank"], how="inner").drop("__rank")
-    extra = extra.withColumn("synthetic", F.lit(True))
-    return base.unionByName(extra.select(*base.columns))
+    sizes = df.groupBy(F.col(label).alias("__c")).agg(F.count(F.lit(1)).alias("__n"))
+    need = fitted(sizes.agg(F.max("__n").alias("top"))).getField("top") - F.col("__n")
+    stretch = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__need") - 1) / STRETCH)))
+    within = F.sequence(F.col("__s") * STRETCH, F.least(F.col("__need"), (F.col("__s") + 1) * STRETCH) - 1)
+    draws = (sizes.withColumn("__need", need).where("__need > 0").withColumn("__s", stretch).repartition("__c", "__s")
+             .withColumn("draw", F.explode(within))
+             .select("__c", "draw", F.pmod(hash_bigint([F.col("__c"), F.col("draw")], seed), F.col("__n")).alias("__rank")))
+    ranked = prefix_sums(df.withColumn("__one", F.lit(1).cast("long")), [label], [hash_bigint([id_col], seed), id_col], ["__one"],
+                         prefix="__r")
+    extra = draws.join(ranked, on=draws["__c"].eqNullSafe(ranked[label]) & (draws["__rank"] == ranked["__r__one"] - 1), how="inner")
+    base = df.withColumns({"synthetic": F.lit(False), "draw": F.lit(None).cast("long")})
+    return base.unionByName(extra.withColumn("synthetic", F.lit(True)).select(*base.columns))
 
 
 def balanced_counts(before: DataFrame, after: DataFrame, label: str) -> DataFrame:
@@ -173,50 +173,6 @@ def balanced_counts(before: DataFrame, after: DataFrame, label: str) -> DataFram
     return a.unionByName(b)
 
 
-def _sqdist(a, b):
-    """Squared Euclidean distance of two array<double> columns (left-to-right sum)."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
-
-
-def directions(dim: int, count: int = DIRECTIONS) -> list[list[int]]:
-    """``count`` directions of entries +1 and -1 (bits of a product of fixed odd numbers), the same everywhere."""
-    return [[1 if (0x9E3779B97F4A7C15 * (t * 1009 + i + 1) >> 40) & 1 else -1 for i in range(dim)] for t in range(count)]
-
-
-def knn_projected(points: DataFrame, id_col: str, vec: str, k: int, dim: int, count: int = DIRECTIONS,
-                  reach: int = REACH) -> DataFrame:
-    """Near neighbours (self excluded) of every point: columns ``id, slot
-    (0..k-1), nb_id, dist``; order by (distance, neighbour id).
-
-    Approximate: the points are sorted along ``count`` fixed directions, and a
-    point's candidates are the ``reach`` points on either side of it in each
-    order; the k nearest of them are its neighbours.  That is at most
-    2 * count * reach distances per point whatever the data, near copies
-    included (those are next to each other in every order).  ``reach`` must be
-    at least k, so that every point of a table of more than k has k neighbours.
-    """
-    reach = max(reach, k)
-    pts = points.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v"))
-
-    def along(signs: list[int]) -> Column:
-        return F.aggregate(F.zip_with(F.col("v"), F.array(*[F.lit(float(x)) for x in signs]), lambda x, y: x * y),
-                           F.lit(0.0), lambda acc, x: acc + x)
-
-    spots = pts.select("id", F.explode(F.array(*[
-        F.struct(F.lit(t).alias("t"), along(signs).alias("p")) for t, signs in enumerate(directions(dim, count))])).alias("s"))
-    ranked = prefix_sums(spots.select("id", "s.t", "s.p", F.lit(1).cast("long").alias("__one")), ["t"], ["p", "id"],
-                         ["__one"], prefix="__r").select("id", "t", F.col("__r__one").alias("rk"))
-    offs = F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("off")
-    ahead = ranked.select("id", "t", "rk", offs).withColumn("rk", F.col("rk") + F.col("off"))
-    pairs = ahead.select("id", "t", "rk").join(ranked.withColumnRenamed("id", "nb_id"), ["t", "rk"]).select("id", "nb_id")
-    pairs = pairs.union(pairs.select(F.col("nb_id"), F.col("id"))).distinct()
-    dist = (pairs.join(pts, "id").join(pts.select(F.col("id").alias("nb_id"), F.col("v").alias("nv")), "nb_id")
-            .select("id", "nb_id", F.sqrt(_sqdist("v", "nv")).alias("dist")))
-    w = Window.partitionBy("id").orderBy("dist", "nb_id")  # at most 2 * count * reach rows each
-    return dist.withColumn("slot", F.row_number().over(w) - 1).where(F.col("slot") < k) \
-        .select("id", "slot", "nb_id", "dist")
-
-
 def smote(df: DataFrame, label: str, id_col: str, vec: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Synthetic minority rows x + u * (neighbour - x) until the two
     classes are equal; k = min(k, n_minority - 1); with k < 1 random
@@ -225,7 +181,8 @@ def smote(df: DataFrame, label: str, id_col: str, vec: str, k: int = 5, seed: in
     Synthetic row j takes base point (rank of md5(id) in the minority) and
     neighbour slot from md5(j, seed) mod (n_min * k), and u from md5(j,
     seed + 1); the draws come from ``spark.range`` and are joined to the
-    base points and their near neighbours (:func:`knn_projected`).  Output: the
+    base points and their nearest neighbours
+    (:func:`tremor.operators.neighbours.nearest_neighbours`).  Output: the
     input rows plus synthetic ones (``synthetic`` true, ``base_id``, ``nb_id``,
     ``u``; these three are NULL on drawn copies).
     """
@@ -246,8 +203,7 @@ def smote(df: DataFrame, label: str, id_col: str, vec: str, k: int = 5, seed: in
         return base
     mino = df.where(F.col(label) == F.lit(c_min)).select(F.col(id_col).alias("id"),
                                                           F.col(vec).cast("array<double>").alias("x"))
-    dim = mino.agg(F.max(F.size("x"))).first()[0]
-    nn = knn_projected(mino.withColumnRenamed("x", "v"), "id", "v", kk, dim)
+    nn = nearest_neighbours(mino, "id", "x", kk).select("id", "slot", "nb_id")
     hr = prefix_sums(mino.withColumn("__one", F.lit(1).cast("long")), [],
                      [hash_bigint(["id"], seed), "id"], ["__one"], prefix="__r") \
         .select("id", "x", (F.col("__r__one") - 1).alias("hrank"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tremor.functions import fitted, safe_corr
 from tremor.operators.cleaning import unpivot
-from tremor.operators.ordering import quantiles
+from tremor.operators.selection import quantiles
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import functions as F
 
-from tremor.operators import drift, features, metrics, prepare, stats
+from tremor.operators import drift, features, information, metrics, prepare, stats
 from tremor.plans import bindings as B
 from tremor.plans.registry import register
 
@@ -562,3 +564,33 @@ def q_mutual_information(spark, sf_dir):
     """D8 (binned): mutual information of each lineitem channel with returnflag = 'R'."""
     li = B.table(spark, sf_dir, "lineitem").select(*CH, (F.col("l_returnflag") == "R").cast("int").alias("y"))
     return drift.mutual_information(li, CH, "y", bins=10)
+
+
+def _knn_mi_sql(features: Sequence[str], k: int = information.NEIGHBOURS) -> str:
+    """All pairs of distinct values, one join per feature (DuckDB then sorts for the range)."""
+    beside = ", ".join(f"list_transform(range(least({side}(n, {j}, 0) OVER w, {k})), lambda i: abs({side}(value, {j}) OVER w - value))"
+                       for side in ("lag", "lead") for j in range(1, k + 1))
+    near = " UNION ALL ".join(
+        f"SELECT a.y, a.value, a.feature, sum(b.n) AS m FROM (SELECT * FROM d WHERE feature = '{f}') a JOIN (SELECT * FROM v WHERE feature = '{f}') b "
+        f"ON b.value BETWEEN a.value - 2 * a.d AND a.value + 2 * a.d AND (abs(b.value - a.value) < a.d OR b.value = a.value) GROUP BY ALL" for f in features)
+    return f"""
+WITH l AS (
+  {_union_long("lineitem", features, extra="CAST(l_returnflag = 'R' AS INTEGER) AS y, ")}),
+c AS (SELECT feature, y, coalesce(value, 0.0) + 0.0 AS value, count(*) AS n FROM l WHERE y IS NOT NULL GROUP BY ALL),
+s AS (SELECT *, sum(n) OVER (PARTITION BY feature, y) AS n_c FROM c),
+t AS MATERIALIZED (SELECT *, least({k}, n_c - 1) AS k FROM s WHERE n_c > 1),
+b AS (SELECT *, list_concat(list_transform(range(least(n - 1, {k})), lambda i: 0.0), {beside}) AS near
+  FROM t WINDOW w AS (PARTITION BY feature, y ORDER BY value)),
+d AS MATERIALIZED (SELECT feature, y, value, n, n_c, k, list_sort(near)[k::BIGINT] AS d FROM b),
+v AS MATERIALIZED (SELECT feature, value, sum(n) AS n FROM t GROUP BY ALL),
+m AS ({near}),
+g AS (SELECT feature, sum(n) AS rows, sum(n * ({information.digamma_sql("k")} - {information.digamma_sql("n_c")} - {information.digamma_sql("m")})) AS s
+  FROM d JOIN m USING (feature, y, value) GROUP BY feature)
+SELECT feature, greatest(0.0, {information.digamma_sql("rows")} + s / rows) AS mutual_info FROM g"""
+
+
+@register("mutual_information_knn", sql=_knn_mi_sql(CH), dbl=["mutual_info"], absr=["mutual_info"])
+def q_mutual_information_knn(spark, sf_dir):
+    """Nearest-neighbour mutual information of each lineitem channel with returnflag = 'R'."""
+    li = B.table(spark, sf_dir, "lineitem").select(*CH, (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    return information.mutual_information(li, CH, "y")

@@ -306,14 +306,10 @@ mn AS (SELECT y AS cmin, n AS nmin FROM c ORDER BY n, y LIMIT 1),
 mj AS (SELECT max(n) AS nmaj FROM c),
 kk AS (SELECT least(5, nmin - 1) AS k, nmin, nmaj - nmin AS need FROM mn, mj),
 m AS (SELECT e.vec_id AS id, e.v AS x FROM e, mn WHERE e.y = mn.cmin),
-sg AS (SELECT unnest({[{"t": t, "s": d} for t, d in enumerate(prepare.directions(64))]}) AS g),
-sp AS (SELECT id, g.t AS t, list_reduce(list_transform(range(1, 65), lambda i: x[i] * g.s[i]), lambda p, q: p + q) AS p FROM m, sg),
-rk AS (SELECT id, t, row_number() OVER (PARTITION BY t ORDER BY p, id) AS rk FROM sp),
-cand AS (SELECT DISTINCT a.id, b.id AS nb_id FROM rk a JOIN rk b ON a.t = b.t AND a.id <> b.id AND abs(a.rk - b.rk) <= {prepare.REACH}),
 d AS (SELECT a.id, b.id AS nb_id,
         sqrt(list_reduce(list_transform(range(1, len(a.x) + 1), lambda i: (a.x[i] - b.x[i]) * (a.x[i] - b.x[i])),
                          lambda p, q: p + q)) AS dist
-      FROM cand JOIN m a ON a.id = cand.id JOIN m b ON b.id = cand.nb_id),
+      FROM m a JOIN m b ON a.id <> b.id),
 nn AS (SELECT id, nb_id, row_number() OVER (PARTITION BY id ORDER BY dist, nb_id) - 1 AS slot FROM d),
 hr AS (SELECT id, x, row_number() OVER (ORDER BY {_H.format(cols="CAST(id AS VARCHAR)", seed=42)}, id) - 1 AS hrank FROM m),
 dr0 AS (SELECT unnest(range(need)) AS draw, k, nmin FROM kk),
@@ -333,8 +329,8 @@ SELECT NULL, (SELECT cmin FROM mn),
 
 @register("smote", sql=_SMOTE_SQL, dbl=["u"])
 def q_smote(spark, sf_dir):
-    """SMOTE of the embeddings with y = (label = 5), k = 5, projected
-    neighbours without an all-pairs join; the balanced table with synthetic
+    """SMOTE of the embeddings with y = (label = 5), k = 5, with the exact
+    nearest neighbours; the balanced table with synthetic
     rows (vector elements rounded to 9 decimals)."""
     e = B.table(spark, sf_dir, "embeddings").select(
         "vec_id", (F.col("label") == 5).cast("int").alias("y"), F.col("embedding").cast("array<double>").alias("vec"))
