@@ -12,7 +12,7 @@ smallest is applied, its neighbours get new entries, and entries whose symbols
 have changed meanwhile are skipped.  A piece of n bytes takes O(n log n).
 
 No piece holds white space, so a worker remembers the ids of white-space-free
-chunks and of pieces it has met (``MEMO`` of each at most, twice).  Decoding looks up each id's
+chunks, with their decoded text, and of pieces it has met (``MEMO`` of each at most, twice).  Decoding looks up each id's
 vocabulary string and joins them with a space, as the file's missing decoder
 asks for.
 
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from tremor.llm.common import Memo, as_text, cached, id_text, map_batches, sha256_hex
 
 TOKENIZER = "word_bpe_49k.json"
-MEMO = 300_000
+MEMO = 150_000
 
 
 def byte_alphabet() -> list[str]:
@@ -62,7 +62,6 @@ class Bpe:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.chunks = Memo(self.chunk, MEMO)
         self.merged = Memo(self.merge, MEMO, 32)
-        self.shown = Memo(self.show, MEMO, 256)
 
     def merge(self, piece: str) -> bytes:
         """Ids of one piece, as little-endian 32-bit integers."""
@@ -92,12 +91,13 @@ class Bpe:
         left = [s for s in sym if s >= 0]
         return struct.pack(f"<{len(left)}I", *left)
 
-    def chunk(self, chunk: str) -> bytes:
-        """Ids of normalised text without white space."""
-        return b"".join(map(self.merged.__getitem__, self.pieces.findall(chunk)))
+    def chunk(self, chunk: str) -> tuple[bytes, str]:
+        """Ids of normalised text without white space, and their decoded text."""
+        ids = b"".join(map(self.merged.__getitem__, self.pieces.findall(chunk)))
+        return ids, self.show(ids)
 
-    def plain(self, text: str) -> list[bytes]:
-        """Per chunk, the ids of text without special tokens."""
+    def plain(self, text: str) -> list[tuple[bytes, str]]:
+        """Per chunk, the ids of text without special tokens, and their decoded text."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower-case by letter: no final sigma
         if regex.search("[\x1c-\x1f]", text):  # str.split would take these for white space
@@ -106,14 +106,14 @@ class Bpe:
             chunks = text.lower().split()
         return list(map(self.chunks.__getitem__, chunks))
 
-    def encode(self, text: str) -> list[bytes]:
-        """The ids of a text, in blocks of little-endian 32-bit integers."""
+    def encode(self, text: str) -> list[tuple[bytes, str]]:
+        """The ids of a text in blocks of little-endian 32-bit integers, each with its decoded text."""
         if self.cut is None or "<|" not in text:
             return self.plain(text)
-        out: list[bytes] = []
+        out: list[tuple[bytes, str]] = []
         for part in self.cut.split(text):
             if part in self.special:
-                out.append(struct.pack("<I", self.special[part]))
+                out.append((struct.pack("<I", self.special[part]), part))
             else:
                 out += self.plain(part)
         return out
@@ -122,10 +122,6 @@ class Bpe:
         """Vocabulary strings of ids, joined with a space."""
         return " ".join([self.strings[i] for i in struct.unpack(f"<{len(ids) // 4}I", ids)])
 
-    def decode(self, blocks: list[bytes]) -> str:
-        """The decoded text of blocks of ids."""
-        return " ".join(map(self.shown.__getitem__, filter(None, blocks)))
-
 
 def load(path: str) -> Bpe:
     with open(path, encoding="utf-8") as f:
@@ -151,7 +147,7 @@ def bpe(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_c
         n, a, b, ids, decoded = [], [], [], [], []
         for text in as_text(part["text"]):
             blocks = coder.encode(text)
-            data, back = b"".join(blocks), coder.decode(blocks)
+            data, back = b"".join([ids for ids, _ in blocks]), " ".join([shown for ids, shown in blocks if ids])
             n.append(len(data) // 4)
             a.append(sha256_hex(data))
             b.append(sha256_hex(back.encode()))

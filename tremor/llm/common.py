@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 8 << 20
 
 _WORKER_CACHE: dict = {}
+_WORKER_STAGE: list = [None]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,10 +62,15 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
 
 
 def cached(key: str, make: Callable[[], object]) -> object:
-    """One object per Python worker (an automaton, a model), made on first use."""
+    """One object per Python worker (an automaton, a model), made on first use.  A worker outlives its stage: what the
+    stage before has left is dropped on the first use in another one, so objects of several operators do not add up."""
+    task = TaskContext.get()
+    stage = task and task.stageId()
+    if _WORKER_STAGE[0] != stage:
+        for other in [k for k in _WORKER_CACHE if k != key]:
+            del _WORKER_CACHE[other]
+        _WORKER_STAGE[0] = stage
     if key not in _WORKER_CACHE:
-        if len(_WORKER_CACHE) > 8:
-            _WORKER_CACHE.clear()
         _WORKER_CACHE[key] = make()
     return _WORKER_CACHE[key]
 

@@ -390,13 +390,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = to_arrow_type(df.schema["doc_id"].dataType)
     own = cut_lineage(profiles(df))
     classes = own.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
-    sets = own.join(classes.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    copies = cut_lineage(own.join(classes, "digest").where("doc_id != class_id").select("doc_id").distinct()
+                         .join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_anti"))
+    copies = F.broadcast(copies) if copies.count() <= FEW else copies  # else the prefix lists are shuffled too
+    sets = own.where("digest IS NOT NULL AND doc_id IS NOT NULL").join(copies, "doc_id", "left_anti")
 
     members = cut_lineage(hub_pairs(sets))
     counted = members.groupBy("hub").agg(F.count("*").alias("m"))
     sized = members.join(counted, "hub")
     likely = _screened(sized.where(F.col("m") <= SCREEN), own.select("doc_id", "point").dropDuplicates(["doc_id"]), id_type, kind)
-    members = members.join(likely.union(sized.where(F.col("m") > SCREEN).select("hub", "doc_id")), ["hub", "doc_id"], "left_semi")
+    members = cut_lineage(members.join(likely.union(sized.where(F.col("m") > SCREEN).select("hub", "doc_id")), ["hub", "doc_id"], "left_semi"))
 
     # the hub may have been dropped; the center of those left stands in every block
     sizes = members.groupBy("hub").agg(F.count("*").alias("m"), F.sum("n").alias("hashes"),

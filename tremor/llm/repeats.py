@@ -333,7 +333,9 @@ def window_hashes(data: list[bytes], rows: np.ndarray, at: np.ndarray) -> np.nda
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256; with ``keep``
     also ``kept`` (the remaining bytes) and ``spans`` (list of start, end)."""
-    df = id_text(docs, id_col, text_col).select("doc_id", F.abs(F.xxhash64("doc_id") % (1 << 40)).alias("salt"), "text")
+    # the salt is added behind the joins: both then read the same shuffled texts
+    texts, salt = id_text(docs, id_col, text_col), F.abs(F.xxhash64("doc_id") % (1 << 40))
+    df = texts.select("doc_id", salt.alias("salt"), "text")
     id_type = df.schema["doc_id"].dataType.simpleString()
     hashes = lambda part: np.concatenate([Anchors(t).hash for _, _, t, _ in _pieces(part)] or [np.zeros(0, np.uint64)])
     often = held(df.sparkSession, frequent_keys(df, hashes), lambda o: o)
@@ -348,7 +350,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                    F.collect_list(F.when(F.col("rank") == 1, F.col("m"))).alias("sorts")))
 
     # left joins without a filter on both sides, so that the texts are shuffled once
-    wanted = df.join(marks.select("doc_id", "sorts"), "doc_id", "left")
+    wanted = texts.join(marks.select("doc_id", "sorts"), "doc_id", "left").withColumn("salt", salt)
     found = _found(occurrences(wanted, often), id_type)
     # blocks of frequent hashes: of each window's earliest occurrences per block, all but the first are repeats
     firsts = found.where("window IS NOT NULL").select("window", F.struct("doc_id", "start").alias("place"))
@@ -357,7 +359,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                                        (F.col("place.start") + LENGTH).alias("end"))
     gone = (found.where("window IS NULL").select("doc_id", "start", "end").union(later)
             .groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")))
-    joined = (df.join(marks.select("doc_id", "whole"), "doc_id", "left").join(gone, "doc_id", "left")
+    joined = (texts.join(marks.select("doc_id", "whole"), "doc_id", "left").join(gone, "doc_id", "left")
               .select("doc_id", "text", "whole", "starts", "ends"))
 
     def run(part: pa.RecordBatch) -> dict:
