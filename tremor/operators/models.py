@@ -27,14 +27,12 @@ from tremor.operators.prepare import pos_weight, with_class_weight
 from tremor.session import cut_lineage
 
 # Seed 42, LR 1000 iterations, RF 100 trees of depth 15 with 2 rows per leaf, boosting 100
-# rounds of depth 6, step 0.1, row and column samples 0.8, 5 folds, recall of class 1 as the CV score,
-# depths of the search (None is Spark's cap of 30).
+# rounds of depth 6, step 0.1, row and column samples 0.8, 5 folds, recall of class 1 as the CV score.
 SEED = 42
 LR_MAX_ITER = 1000
 RF_TREES, RF_DEPTH, RF_LEAF = 100, 15, 2
 GBT_ROUNDS, GBT_DEPTH, GBT_STEP, GBT_ROWS, GBT_COLUMNS = 100, 6, 0.1, 0.8, 0.8
 FOLDS = 5
-RF_DEPTH_GRID = [10, 15, 20, 30]
 
 
 def _scaler():
@@ -89,16 +87,15 @@ def compare(fitted: dict[str, PipelineModel], test: DataFrame, threshold: float
 
 def tune(pipeline: Pipeline, grid: dict, folds: int = FOLDS, parallelism: int = 4,
          fold_col: str | None = "fold") -> CrossValidator:
-    """M4: grid search with stratified folds (``fold_col``), scored by the
-    recall of class 1, refit on all rows."""
+    """M4: Spark's own grid search with stratified folds (``fold_col``), scored by the
+    recall of class 1, refit on all rows.  :mod:`tremor.operators.forest` has the search that balances inside each fold."""
     est = pipeline.getStages()[-1]
     b = ParamGridBuilder()
     for name, values in grid.items():
         b = b.addGrid(est.getParam(name), list(values))
     ev = MulticlassClassificationEvaluator(labelCol="label", metricName="recallByLabel", metricLabel=1.0)
-    kw = {"foldCol": fold_col} if fold_col else {"numFolds": folds}
-    return CrossValidator(estimator=pipeline, estimatorParamMaps=b.build(), evaluator=ev,
-                          parallelism=parallelism, seed=SEED, **kw)
+    return CrossValidator(estimator=pipeline, estimatorParamMaps=b.build(), evaluator=ev, numFolds=folds,
+                          parallelism=parallelism, seed=SEED, **({"foldCol": fold_col} if fold_col else {}))
 
 
 def stratified_folds(df: DataFrame, label: str, id_col: str, folds: int = FOLDS, seed: int = SEED) -> DataFrame:
@@ -120,17 +117,6 @@ def positive_probability(scored: DataFrame) -> DataFrame:
     return scored.withColumn("p1", vector_to_array("probability")[1])
 
 
-def feature_importance(model: PipelineModel, names: Sequence[str], spark: SparkSession,
-                       top_n: int | None = 20) -> DataFrame:
-    """Tree-ensemble importances by feature, largest first."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    rows = sorted(zip(names, imp), key=lambda t: (-t[1], t[0]))
-    if top_n:
-        rows = rows[:top_n]
-    return spark.createDataFrame([(n, float(v), i + 1) for i, (n, v) in enumerate(rows)],
-                                 "feature string, importance double, rank int")
-
-
 def save_bundle(model: PipelineModel, threshold: float, names: Sequence[str], path: str) -> None:
     """The fitted pipeline plus a one-row table of threshold and feature names."""
     model.write().overwrite().save(f"{path}/model")

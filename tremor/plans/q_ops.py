@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tremor.operators import cleaning, metrics, models, monitoring, prepare, scoring, spectrum
+from tremor.operators import cleaning, forest, metrics, models, monitoring, prepare, scoring, spectrum
 from tremor.plans import bindings as B
 from tremor.plans.registry import register
 
@@ -169,25 +169,23 @@ def q_model_threshold(spark, sf_dir):
     return metrics.threshold_compare(scored, "y", "p1", metrics.optimal_threshold(sweep, 0.95))
 
 
-@register("model_tuning", note="CrossValidator fit: behaviour checked in tests")
+@register("model_tuning", note="forest fits: tests recompute the scores from the node tables")
 def q_model_tuning(spark, sf_dir):
-    """M4: grid search over random-forest depth with stratified folds, scored
-    by recall of class 1; the settings and their mean CV recall."""
+    """M4: grid search over the whole forest grid with stratified folds, balanced inside each fold and scored by the recall of
+    class 1; the mean CV recall of all settings."""
     train, _ = _split(_vectors(spark, sf_dir))
-    folds = models.stratified_folds(train, "y", "vec_id", models.FOLDS)
-    cv = models.tune(models.random_forest(), {"maxDepth": models.RF_DEPTH_GRID}, fold_col="fold")
-    m = cv.fit(folds)
-    rows = [(p[list(p)[0]], float(v)) for p, v in zip(m.getEstimatorParamMaps(), m.avgMetrics)]
-    return spark.createDataFrame(rows, "max_depth int, cv_recall double")
+    folds = models.stratified_folds(train.drop("weight"), "y", "vec_id", models.FOLDS).select("features", "label", "fold").persist()
+    scores = forest.search_forest(folds, models.FOLDS)
+    return forest.recall_per_setting(scores, list(forest.FOREST_GRID))
 
 
-@register("feature_importance", note="Spark ML fit: behaviour checked in tests")
+@register("feature_importance", note="forest fit: tests recompute the importances")
 def q_feature_importance(spark, sf_dir):
     """Random-forest importances of the 64 embedding dimensions (NULL counts as 0), fitted to all rows, top 20."""
     table = _vectors(spark, sf_dir).withColumn("vec", F.transform("vec", lambda x: F.coalesce(x, F.lit(0.0))))
-    rows = models.prepare_training(table.withColumn("features", array_to_vector("vec")), "y")
+    rows = models.prepare_training(table.withColumn("features", array_to_vector("vec")), "y").persist()
     fitted = models.random_forest().fit(rows)
-    return models.feature_importance(fitted, [f"dim_{i}" for i in range(64)], spark, top_n=20)
+    return forest.importances(forest.node_table(spark, fitted.stages[-1]), [f"dim_{i}" for i in range(64)], top_n=20)
 
 
 @register("model_scoring", note="Spark ML fit: behaviour checked in tests")

@@ -55,3 +55,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, wherever the session's file systems keep it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).delete(where, True)
