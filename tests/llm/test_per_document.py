@@ -112,6 +112,17 @@ def test_bpe_equals_the_library(spark):
         assert (i, len(ids), sha(struct.pack(f"<{len(ids)}I", *ids)), sha(back.encode())) in got, (i, (x or "")[:80])
 
 
+def test_bpe_equals_the_library_on_every_code_point():
+    from tokenizers import Tokenizer
+    t, coder = Tokenizer.from_file(bpe.default_path()), bpe.load(bpe.default_path())
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for form in ("x{}y", "1{0}{0}2"):
+        texts = [form.format(c) for c in points]
+        for text, found in zip(texts, t.encode_batch(texts, add_special_tokens=False)):
+            ids = b"".join([ids for ids, _ in coder.encode(text)])
+            assert ids == struct.pack(f"<{len(found.ids)}I", *found.ids), ascii(text)
+
+
 # --- every operator of this file -----------------------------------------------------------------
 
 @pytest.mark.parametrize("name", ["op1_pii", "op10_bpe"])

@@ -72,6 +72,10 @@ def test_language_held_out(spark):
     odd = {r.doc_id: r.lang_pred for r in langid.op4_langid(odd_documents(spark)).collect()}
     assert odd[1] == odd[2] == odd[3] == odd[10] == "und"
     assert langid.op4_langid(empty_documents(spark)).count() == 0
+    signs = spark.createDataFrame([(0, "the word and the letters of it", "en"), (1, "² ½ ①", None), (2, "Ⅷ ٣ ४ _", None), (3, "ª", None), (5, "x²", None)],
+                                  "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in langid.op4_langid(signs).collect()}
+    assert found[1] == found[2] == "und" and found[3] == found[5] == "en"
 
 
 # --- toxicity ------------------------------------------------------------------------------------

@@ -25,6 +25,7 @@ import heapq
 import json
 import struct
 import unicodedata
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,32 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in keep else chr(next(spare)) for b in range(256)]
 
 
+#: The letters and numbers that Unicode 16 added (first and last code point), which the library knows and Python's tables may not.
+ADDED = {
+    "L": [(0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+          (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1),
+          (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF),
+          (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0)],
+    "N": [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)],
+}
+#: Lower-case forms that Unicode 16 and 17 added (first and last code point, first lower-case one).
+LOWER = [(0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3),
+         (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B), (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB)]
+_LATE = str.maketrans({c: to + c - first for first, last, to in LOWER for c in range(first, last + 1)})
+_LATE_ONE = regex.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b, _ in LOWER) + "]")
+
+
+@cache
+def category(kind: str) -> str:
+    """The inside of a character class of all code points of a general category in Unicode 16: Python's own tables and what is ``ADDED``.  (The
+    regex module's tables are of another version.)"""
+    own = np.array([unicodedata.category(chr(c))[0] == kind for c in range(0x110000)])
+    for first, last in ADDED[kind]:
+        own[first:last + 1] = True
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], own, [False])).astype(np.int8)))
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()))
+
+
 class Bpe:
     """Encoder and decoder for one tokenizer file (BPE with a word-end suffix, byte-level, no decoder)."""
 
@@ -58,7 +85,10 @@ class Bpe:
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(model["merges"])}
         self.letters = byte_alphabet()
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = regex.compile(split["pattern"]["Regex"])
+        pattern = split["pattern"]["Regex"]
+        for kind in "LN":
+            pattern = pattern.replace(f"[\\p{{{kind}}}]", f"[{category(kind)}]").replace(f"\\p{{{kind}}}", category(kind))
+        self.pieces = regex.compile(pattern)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.chunks = Memo(self.chunk, MEMO)
         self.merged = Memo(self.merge, MEMO, 32)
@@ -100,6 +130,7 @@ class Bpe:
         """Per chunk, the ids of text without special tokens, and their decoded text."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower-case by letter: no final sigma
+            text = text.translate(_LATE) if _LATE_ONE.search(text) else text
         if regex.search("[\x1c-\x1f]", text):  # str.split would take these for white space
             chunks = [c for c in regex.sub(r"\s+", " ", text).lower().split(" ") if c]
         else:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 #: Python processes these together at most; a batch of many long texts is cut into such slices.
 SLICE_BYTES = 8 << 20
 
+_LIBC = ctypes.CDLL(None)
 _WORKER_CACHE: dict = {}
 _WORKER_STAGE: list = [None]
 
@@ -48,6 +50,23 @@ def slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) -> Itera
             yield batch.slice(at, step)
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: a worker goes on to other tasks, and what its allocators keep adds up with theirs."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same pass over batches, giving back memory when a task ends."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``mapInArrow`` of a function from one bounded slice to named columns, in the schema's order."""
 
@@ -58,7 +77,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in out.values()],
                                                  list(out))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def cached(key: str, make: Callable[[], object]) -> object:
@@ -196,7 +215,7 @@ def frequent_keys(df: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray]
                 yield from out(local.add(keys_of(part)))
         yield from out(local.flush())
 
-    rows = (df.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    rows = (df.mapInArrow(tidy(run), "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
             .orderBy(F.desc("n"), "k").limit(capacity).toPandas())
     keys = rows["k"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)

@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from tremor.llm.common import RunningHash, as_bytes, frequent_keys, held, id_text, map_batches, mix64, slices
+from tremor.llm.common import RunningHash, as_bytes, frequent_keys, held, id_text, map_batches, mix64, slices, tidy
 from tremor.llm.components import components
 from tremor.session import cut_lineage
 
@@ -356,7 +356,7 @@ def _screened(members: DataFrame, points: DataFrame, id_type: str, kind: pa.Data
         yield from _emitted(kept(), kind, ["hub", "doc_id"])
 
     rows = members.join(points, "doc_id").select("hub", F.lit(0).alias("role"), "doc_id", "point")
-    return rows.repartition("hub").sortWithinPartitions("hub").mapInArrow(run, f"hub {id_type}, doc_id {id_type}")
+    return rows.repartition("hub").sortWithinPartitions("hub").mapInArrow(tidy(run), f"hub {id_type}, doc_id {id_type}")
 
 
 def _solved(rows: DataFrame, id_type: str, kind: pa.DataType) -> DataFrame:
@@ -380,7 +380,7 @@ def _solved(rows: DataFrame, id_type: str, kind: pa.DataType) -> DataFrame:
         yield from _emitted(found(), kind, ["a", "b", "hub"])
 
     return (rows.select("hub", "center", "block", "other", "role", "doc_id", "text").repartition("hub", "block", "other")
-            .sortWithinPartitions("hub", "center", "block", "other").mapInArrow(run, f"a {id_type}, b {id_type}, hub {id_type}"))
+            .sortWithinPartitions("hub", "center", "block", "other").mapInArrow(tidy(run), f"a {id_type}, b {id_type}, hub {id_type}"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
