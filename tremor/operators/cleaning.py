@@ -157,7 +157,7 @@ def select_target(df: DataFrame, target: str = "fault_label") -> DataFrame:
     return df.select(target)
 
 
-def columns_like(df: DataFrame, suffix: str = "_mean", limit: int = 4) -> list[str]:
+def columns_like(df: DataFrame, suffix: str = "_mean", limit: int | None = None) -> list[str]:
     """The columns containing ``suffix``, at most ``limit`` if the caller gives one; none if none has it."""
     return [c for c in df.columns if suffix in c][:limit]
 

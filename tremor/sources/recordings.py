@@ -37,38 +37,44 @@ def qualified(spark: SparkSession, root: str) -> str:
     return path.getFileSystem(conf).makeQualified(path).toUri().toString().rstrip("/")
 
 
+def _reader(spark: SparkSession):  # noqa: ANN202
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", _PATTERN)
+
+
+def broken_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, broken_lines) of the files with a line that is no UTF-8.  Lines are checked in the splits that Spark reads, and a
+    file's verdict is a sum over its splits: no file passes through one task or one row."""
+    lines = _reader(spark).text(path).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    return lines.where(~F.is_valid_utf8("value")).groupBy("file_path").agg(F.count(F.lit(1)).alias("broken_lines"))
+
+
 def skipped_files(spark: SparkSession, path: str) -> DataFrame:
-    """S3: (file_path, reason) of the files that hold no text: empty ones, and bytes that are no UTF-8."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", _PATTERN).load(path))
-    reason = (F.when(F.col("length") == 0, F.lit("empty"))
-              .when(~F.is_valid_utf8(F.col("content").cast("string")), F.lit("not text")))
-    return files.select(F.col("path").alias("file_path"), reason.alias("reason")).where("reason IS NOT NULL")
+    """S3: (file_path, reason) of the files that :func:`scan_csv` leaves out: without a line (``empty``), or with bytes that are no text."""
+    scan = _reader(spark).text(path)
+    listed = spark.createDataFrame([(f,) for f in scan.inputFiles()], "file_path string").select(_one_slash(F.col("file_path")).alias("file_path"))
+    read = scan.select(_one_slash(F.col("_metadata.file_path")).alias("file_path")).distinct()
+    empty = listed.join(read, "file_path", "left_anti").withColumn("reason", F.lit("empty"))
+    broken = broken_files(spark, path).select(_one_slash(F.col("file_path")).alias("file_path"), F.lit("not text").alias("reason"))
+    return empty.unionByName(broken)
 
 
 def scan_csv(spark: SparkSession, path: str, channels: Sequence[str] = CHANNELS) -> DataFrame:
     """S1 + S3: read headerless CSV files with the channel names, every cell
-    coerced to double (junk and NaN -> NULL).  Files that are no text are left
-    out whole (:func:`skipped_files` lists them).
+    coerced to double (junk and NaN -> NULL).  Files with bytes that are no text are left
+    out whole, rows before the break included (:func:`skipped_files` lists them).
 
     Adds ``file_path`` and the split start ``file_block_start`` from the
     hidden ``_metadata`` column and a scan-order id.
     """
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in channels])
-    raw = (spark.read.schema(schema)
-           .option("header", "false")
-           .option("mode", "PERMISSIVE")
-           .option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", _PATTERN)
-           .csv(path))
+    raw = _reader(spark).schema(schema).option("header", "false").option("mode", "PERMISSIVE").csv(path)
     rows = raw.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("file_block_start"),
         F.monotonically_increasing_id().alias("__scan_id"),
         *[to_double(c).alias(c) for c in channels],
     )
-    bad = skipped_files(spark, path).select(_one_slash(F.col("file_path")).alias("__bad"))
-    return rows.join(bad, _one_slash(F.col("file_path")) == F.col("__bad"), "left_anti")
+    return rows.join(broken_files(spark, path), "file_path", "left_anti")
 
 
 def label_from_path(root: str, labels: Mapping[str, int] = LABELS):
