@@ -72,7 +72,13 @@ def test_prepare_splits_and_reports(spark, scratch):
     assert test.count() == 6
     c = {r.fault_label: r.c for r in train.groupBy("fault_label").agg(F.count("*").alias("c")).collect()}
     assert c[0] == c[1]
-    assert report.where("Skipped IS NULL").count() == 80  # 8 channels x 10 statistics, 6 test values each
+    assert report.where("Skipped IS NULL").groupBy("base").count().where("count <> 80").isEmpty()  # 8 channels x 10 statistics, 6 test values each
+    assert {r.base for r in report.collect()} == {"train", "balanced"}
+    assert train.columns[:len(table.columns)] == table.columns and train.where("synthetic AND severity IS NOT NULL").isEmpty()
+    drawn, _, _ = flows.prepare_splits(table, balance="random")
+    assert {r["count"] for r in drawn.groupBy("fault_label").count().collect()} == set(c.values())
+    with pytest.raises(ValueError):
+        flows.prepare_splits(table, balance="none")
     write_table(report, f"{scratch}/out/drift", fmt="csv")
     back = load_table(spark, f"{scratch}/out/drift", target="Feature")
     assert back.count() == report.count()

@@ -219,3 +219,14 @@ def smote(df: DataFrame, label: str, id_col: str, vec: str, k: int = 5, seed: in
                    F.lit(c_min).cast(df.schema[label].dataType).alias(label), new.alias(vec),
                    F.lit(True).alias("synthetic"), "draw", F.col("id").alias("base_id"), "nb_id", "u")
     return base.unionByName(syn)
+
+
+def smote_columns(df: DataFrame, cols: Sequence[str], label: str, id_col: str, k: int = 5, seed: int = 42) -> DataFrame:
+    """B6 on a wide table: SMOTE over the columns ``cols`` (no nulls); other columns are NULL on synthetic rows."""
+    out = smote(df.withColumn("__v", F.array(*[F.col(c).cast("double") for c in cols])), label, id_col, "__v", k, seed)
+    wide = out.select(id_col, label, *[F.col("__v")[i].alias(c) for i, c in enumerate(cols)], "synthetic", "draw", "base_id", "nb_id", "u")
+    rest = [c for c in df.columns if c not in (id_col, label, *cols)]
+    if rest:
+        own = df.select(F.col(id_col).alias("__id"), *rest)
+        wide = wide.join(own, F.col(id_col) == F.col("__id"), "left").drop("__id")
+    return wide.select(*df.columns, "synthetic", "draw", "base_id", "nb_id", "u")

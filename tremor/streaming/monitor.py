@@ -80,7 +80,8 @@ def feedback_stream(predictions: DataFrame, outcomes: DataFrame, keys: Sequence[
     for k in keys:
         on = on & (F.col(k) == F.col(f"__{k}"))
     joined = p.join(o, on, "leftOuter")
-    return joined.select(*p.columns, F.col("__observed").alias("observed_at"), actual, feedback_label(F.col(pred), F.col(actual)).alias("feedback"))
+    return joined.select(*p.columns, F.col("__observed").alias("observed_at"), actual,
+                         F.when(F.col(actual).isNotNull(), feedback_label(F.col(pred), F.col(actual))).alias("feedback"))
 
 
 @dataclass
