@@ -61,17 +61,29 @@ _LATE = str.maketrans({c: to + c - first for first, last, to in LOWER for c in r
 _LATE_ONE = regex.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b, _ in LOWER) + "]")
 
 
-@cache
-def category(kind: str) -> str:
-    """The inside of a character class of all code points of a general category in Unicode 16: Python's own tables and what is ``ADDED``.  (The
-    regex module's tables are of another version.)"""
-    own = np.array([unicodedata.category(chr(c))[0] == kind for c in range(0x110000)])
-    for first, last in ADDED[kind]:
-        own[first:last + 1] = True
+def _inside(own: np.ndarray) -> str:
+    """The inside of a character class of these code points."""
     edge = np.flatnonzero(np.diff(np.concatenate(([False], own, [False])).astype(np.int8)))
     return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()))
 
 
+@cache
+def categories() -> tuple[dict[str, str], regex.Pattern]:
+    """Character classes of the letters (L) and numbers (N) of Unicode 16, by Python's own tables and what is ``ADDED``; and a pattern of the
+    code points for which the regex module's properties, of another version, say something else."""
+    points = "".join(map(chr, range(0x110000)))
+    classes, odd = {}, np.zeros(0x110000, bool)
+    for kind in "LN":
+        own = np.fromiter((unicodedata.category(c)[0] == kind for c in points), bool, len(points))
+        for first, last in ADDED[kind]:
+            own[first:last + 1] = True
+        theirs = np.zeros(0x110000, bool)
+        for m in regex.finditer(rf"\p{{{kind}}}+", points):
+            theirs[m.start():m.end()] = True
+        classes[kind], odd = _inside(own), odd | (own != theirs)
+    return classes, regex.compile(f"[{_inside(odd)}]" if odd.any() else r"(?!)")
+
+
 class Bpe:
     """Encoder and decoder for one tokenizer file (BPE with a word-end suffix, byte-level, no decoder)."""
 
@@ -86,9 +98,11 @@ class Bpe:
         self.letters = byte_alphabet()
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         pattern = split["pattern"]["Regex"]
-        for kind in "LN":
-            pattern = pattern.replace(f"[\\p{{{kind}}}]", f"[{category(kind)}]").replace(f"\\p{{{kind}}}", category(kind))
         self.pieces = regex.compile(pattern)
+        classes, self.odd = categories()
+        for kind, inside in classes.items():
+            pattern = pattern.replace(f"\\p{{{kind}}}", inside)
+        self.exact = regex.compile(pattern)  # slower
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.chunks = Memo(self.chunk, MEMO)
         self.merged = Memo(self.merge, MEMO, 32)
@@ -123,7 +137,8 @@ class Bpe:
 
     def chunk(self, chunk: str) -> tuple[bytes, str]:
         """Ids of normalised text without white space, and their decoded text."""
-        ids = b"".join(map(self.merged.__getitem__, self.pieces.findall(chunk)))
+        pieces = self.exact if not chunk.isascii() and self.odd.search(chunk) else self.pieces
+        ids = b"".join(map(self.merged.__getitem__, pieces.findall(chunk)))
         return ids, self.show(ids)
 
     def plain(self, text: str) -> list[tuple[bytes, str]]:
