@@ -182,6 +182,105 @@ def test_secrets_base_spans(spark):
     assert {(i, sha(plain_secrets(t or "").encode())) for i, t in rows} <= got
 
 
+def plain_battery(token):
+    """Length class and bin of -10 log10 p of a token, from the definitions: chi-squared (Wilson-Hilferty), runs about the middle, lag-1 correlation."""
+    import math
+    import string
+    low, up, dig = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    if not re.search("[A-Za-z]", token):
+        return None
+    for pattern, abc in (("[0-9a-f]+|[0-9A-F]+", dig + "abcdef"), ("[a-z]+|[A-Z]+", low), ("[a-zA-Z]+", up + low), ("[A-Z2-7]+=*", up + "234567"),
+                         ("[0-9a-z]+|[0-9A-Z]+", dig + low), ("[0-9A-Za-z]+", dig + up + low), (".*", dig + up + low + "+/")):
+        if re.fullmatch(pattern, token):
+            break
+    a = len(abc)
+    token = token.lower() if a in (16, 26, 36) else token.replace("-", "+").replace("_", "/")
+    x = [abc.index(c) + 1 for c in token if c in abc]
+    n = len(x)
+    if n < 16:
+        return None
+    chi = sum((x.count(v) - n / a) ** 2 / (n / a) for v in range(1, a + 1))
+    z1 = (max(chi / (a - 1), 0) ** (1 / 3) - 1 + 2 / (9 * (a - 1))) / math.sqrt(2 / (9 * (a - 1)))
+    high = [2 * v > a for v in x]
+    k = sum(high)
+    if k in (0, n):
+        z2 = 8.0
+    else:
+        runs, mean = 1 + sum(p != q for p, q in zip(high, high[1:])), 1 + 2 * k * (n - k) / n
+        z2 = abs(runs - mean) / math.sqrt(max(2 * k * (n - k) * (2 * k * (n - k) - n) / (n * n * (n - 1)), 1e-9))
+    m = sum(x) / n
+    spread = sum((v - m) ** 2 for v in x)
+    z3 = 8.0 if spread <= 1e-9 else math.sqrt(n) * abs(sum((p - m) * (q - m) for p, q in zip(x, x[1:]))) / spread
+
+    def tail(z):
+        z = min(max(z, -8), 8)
+        return 1 / (1 + math.exp(1.5976 * z + 0.07056 * z ** 3))
+
+    y = -math.log(tail(z1)) - math.log(min(1, 2 * tail(z2))) - math.log(min(1, 2 * tail(z3)))
+    return int(math.log2(n)), min(secrets.BINS - 1, 10 * (y - math.log(1 + y + y * y / 2)) / math.log(10))
+
+
+def test_battery_equals_a_plain_one(spark):
+    import string
+    rng = random.Random(9)
+    alphabets = ["0123456789abcdef", string.ascii_lowercase, string.ascii_letters, string.ascii_uppercase + "234567", string.digits + string.ascii_lowercase,
+                 string.digits + string.ascii_letters, string.digits + string.ascii_letters + "+/_-", "ab", "aZ09", string.digits]
+    tokens = ["".join(rng.choices(abc, k=rng.randrange(16, 90))) for abc in alphabets for _ in range(25)] + ["a" * 40, "A" * 20 + "==", "getUserByIdAndThenSave2Db"]
+    df = spark.createDataFrame([(i, [(0, 3, len(t), t)]) for i, t in enumerate(tokens)], "i int, tokens array<struct<start:bigint,kind:int,end:bigint,text:string>>")
+    got = {r.i: r.tokens for r in secrets.battery(df).collect()}
+    for i, t in enumerate(tokens):
+        wanted = plain_battery(t) if len(t) >= secrets.LEAST else None
+        assert len(got[i]) == (wanted is not None), t
+        if wanted:
+            assert got[i][0]["class"] == wanted[0] and abs(got[i][0]["bin"] - int(wanted[1])) <= (abs(wanted[1] - round(wanted[1])) < 1e-6), t
+
+
+def test_false_discovery_cut_equals_a_plain_one(spark):
+    rng = random.Random(2)
+    rows = [(c, min(int(rng.expovariate(1 / (8 if rng.random() < 0.6 else 60))), secrets.BINS - 1)) for c in (4, 5, 6) for _ in range(400)] + [(7, 0)]
+    cut = {r["class"]: r["cut"] for r in secrets.thresholds(spark.createDataFrame(rows, "class int, bin int")).collect()}
+    for c in (4, 5, 6, 7):
+        p = sorted(10 ** (-b / 10) for k, b in rows if k == c)
+        passed = [x for i, x in enumerate(p, 1) if x * len(p) <= secrets.Q * i]
+        dropped = sum(x <= max(passed) for x in p) if passed else 0
+        assert sum(b >= cut.get(c, 10**6) for k, b in rows if k == c) == dropped
+
+
+def test_secrets_of_every_alphabet_and_identifiers(spark):
+    import string
+    rng = random.Random(4)
+    kinds = {"letters": string.ascii_letters, "lower": string.ascii_lowercase, "upper": string.ascii_uppercase, "base64": string.digits + string.ascii_letters + "+/"}
+    keys = [(k, "".join(rng.choices(abc, k=40))) for k, abc in kinds.items() for _ in range(50)]
+    keys += [("base32", "".join(rng.choices(string.ascii_uppercase + "234567", k=36)) + "234") for _ in range(50)]
+    words = ("get set user by id and then save to db find load the request handler for session token cache manager factory builder default config value index "
+             "table name list update delete create").split()
+    names = ["".join(w.capitalize() if i else w for i, w in enumerate(rng.choices(words, k=rng.randint(4, 8)))) for _ in range(300)]
+    names += [sep.join(rng.choices(words, k=rng.randint(5, 9))) for sep in "_/" for _ in range(200)]
+    names = [n + rng.choice(["", "2", "42"]) for n in names]
+    names = [n for n in names if len(n) >= secrets.LEAST]
+    rows = [(i, f"see {t} here") for i, t in enumerate([t for _, t in keys] + names)]
+    got = {r.doc_id: r.n_random for r in secrets.op6_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for kind in (*kinds, "base32"):
+        assert sum(got[i] for i, (k, _) in enumerate(keys) if k == kind) >= 45, kind
+    wrong = sum(got[i] for i in range(len(keys), len(rows)))
+    assert wrong / len(names) < 0.1, wrong  # identifiers of 20 and more characters; the texts of the tables give none
+
+
+def test_secrets_of_a_text_with_very_many(spark):
+    import time
+    rng = random.Random(5)
+    hexes = ["".join(rng.choices("0123456789abcdef", k=16)) + "x" for _ in range(30_000)]
+    keys = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", k=20)) for _ in range(30_000)]
+    text = "é " + " ".join(hexes) + " " + " ".join(keys)
+    began = time.time()
+    r = secrets.op6_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert time.time() - began < 60  # 10 s here, with the start of the query
+    assert r.n_hex == 30_000 and r.n_random > 27_000
+    assert r.base_sha256 == sha(plain_secrets(text).encode())
+    spans = [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",")]
+    assert spans == sorted(spans) and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_secrets_battery(spark):
     rng = random.Random(1)
     abc = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
