@@ -320,6 +320,93 @@ def test_levels_and_selection():
         assert fingerprint._selected(fingerprint.levels(b), rank).tolist() == [k for k, x in enumerate(points) if x >= least]
 
 
+def plain_features(text, rank):
+    """Feature hashes of a text by windows, runs and points, one by one."""
+    b = np.frombuffer(text, np.uint8)
+    r = [int(rank[x]) for x in plain_levels(b)]
+    points = [0] * len(r)
+    runs = range(max(1, len(r) - fingerprint.RUN + 1) if r else 0)
+    for at in runs:
+        own = r[at:at + fingerprint.RUN]
+        points[at + own.index(min(own))] += 1
+    chosen = [k for k, x in enumerate(points) if x >= min(fingerprint.POINTS, len(runs)) and r[k] < fingerprint.LEVELS]
+    out = []
+    for k in chosen:
+        h = int(fingerprint._hash_rows(b[k:k + fingerprint.WINDOW].reshape(1, -1))[0])
+        if h not in out:
+            out.append(h)
+    return out
+
+
+def plain_likeness(a, b):
+    """Likeness of two digests from lists of feature hashes."""
+    def filters(h):
+        return [{x >> 11 * k & fingerprint.BITS - 1 for x in h[i:i + fingerprint.PER_FILTER] for k in range(fingerprint.HASHES)}
+                for i in range(0, len(h), fingerprint.PER_FILTER)]
+
+    x, y = filters(a), filters(b)
+    if len(a) == len(b) and x == y:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    if (len(y), len(b)) < (len(x), len(a)):
+        a, x, y = b, y, x
+    total = 0.0
+    for i, own in enumerate(x):
+        best = 0.0
+        for other in y:
+            chance = len(own) * len(other) / fingerprint.BITS
+            room = min(len(own), len(other)) - chance
+            share = (len(own & other) - chance) / room if room > 0 else 0
+            best = max(best, min(max((share - fingerprint.CUT) / (1 - fingerprint.CUT), 0), 1))
+        total += best * min(fingerprint.PER_FILTER, len(a) - fingerprint.PER_FILTER * i)
+    return total / len(a)
+
+
+def test_digest_and_likeness_equal_plain_ones():
+    r = random.Random(6)
+    rank = fingerprint.rarity(np.random.default_rng(1).integers(0, 1000, fingerprint.LEVELS))
+    words = ["".join(r.choices("etaoinshrdlu", k=r.randint(2, 9))) for _ in range(300)]
+    base = " ".join(r.choices(words, k=1200)).encode()
+    texts = [base, base[:3000] + b" other " + base[3200:], base[::-1], base[:900], b"x" * 400, b"= " * 300 + base[:700], b"short", b""]
+    digests = fingerprint.Digest.of(texts, rank)
+    own = [plain_features(t, rank) for t in texts]
+    for t, d, h in zip(texts, digests, own):
+        assert d.n == (len(h) or bool(t)), t[:20]
+    for i, a in enumerate(digests):
+        for j, b in enumerate(digests):
+            if own[i] and own[j]:
+                assert a.like(b) == pytest.approx(plain_likeness(own[i], own[j]), abs=2e-6), (i, j)
+    assert digests[0].like(digests[1]) > 0.5 > digests[0].like(digests[2])
+
+
+def test_long_texts_are_fingerprinted_as_a_whole(monkeypatch):
+    r = np.random.default_rng(8)
+    rank = r.permutation(fingerprint.LEVELS).astype(np.int64)
+    texts = [r.integers(97, 110, n).astype(np.uint8).tobytes() for n in (5000, 1063, 1000, 1001, 1127, 2190, 2127, 3064)]
+    texts.append(b"a" * 1500 + texts[0])
+    whole = [x.tolist() for x in fingerprint.features(texts, rank)]
+    count = [int(np.bincount(fingerprint.levels(np.frombuffer(t, np.uint8)), minlength=1001).sum()) for t in texts]
+    monkeypatch.setattr(fingerprint, "SEGMENT", 1000)
+    assert [x.tolist() for x in fingerprint.features(texts, rank)] == whole
+    assert [sum(len(fingerprint.levels(b)) for b in fingerprint.segments(t)) for t in texts] == count
+
+
+def test_texts_of_low_entropy_and_ids_of_other_types(spark):
+    rows = [("b", "a" * 100), ("a", "=" * 5000), (None, ""), ("https://x/1", "a" * 100), ("https://x/2", "é" * 80), ("Z", None)]
+    got = {r.doc_id: r for r in fingerprint.op8_fingerprints(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got["b"].fingerprint == got["https://x/1"].fingerprint != got["a"].fingerprint and got["a"].fingerprint and got["https://x/2"].fingerprint
+    assert got[None].fingerprint == got["Z"].fingerprint == ""
+    order = [None, "Z", "a", "b", "https://x/1", "https://x/2"]
+    texts = {i: t or "" for i, t in rows}
+    for i, after in zip(order, order[1:] + order[:1]):
+        t, n = texts[i], len(texts[i])
+        assert got[i].edited_sha256 == sha((t[:n - n // 4] + texts[after][:n // 4]).encode()), i
+        assert got[i].near_next == (1.0 if t == texts[after] else 0.0)
+    many = spark.range(300).selectExpr("CAST(id AS decimal(20,2)) / 4 AS doc_id", "repeat(CAST(id AS string), 40) AS text")
+    assert fingerprint.fingerprints(many).count() == 300
+
+
 @pytest.mark.parametrize("part_bytes", [1 << 24, 20_000])
 def test_fingerprints(spark, part_bytes, monkeypatch):
     monkeypatch.setattr(fingerprint, "in_order", lambda d, f=fingerprint.in_order: f(d, part_bytes))

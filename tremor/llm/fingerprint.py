@@ -6,7 +6,7 @@ first pass counts all windows), and windows of very low entropy are left out.  I
 each run of ``RUN`` neighbouring windows the leftmost rarest one scores a point;
 windows with ``POINTS`` points are selected.  Selected features go into Bloom
 filters of 2048 bits, five bits each; a filter takes ``PER_FILTER`` features, then the
-next one of the chain starts.  Texts shorter than a window are one feature; an
+next one of the chain starts.  A text shorter than a window, or without a window to select, is one feature by itself; an
 empty text has none and the empty fingerprint.  A fingerprint is the number of features
 and the filters in base64, so equal texts have equal fingerprints.
 
@@ -15,8 +15,8 @@ most they could share (nothing counts below ``CUT`` of that range).  Each filter
 of the digest with fewer of them takes its best partner; the mean, weighted by
 features, is the likeness.  Equal fingerprints have 1; an empty one has 0 with any other.
 
-Texts over ``SEGMENT`` bytes are cut there; no window crosses a cut.  Null texts
-count as empty.
+Texts over ``SEGMENT`` bytes are worked through in stretches, with the result of the whole text.  Null texts
+count as empty.  Ids may be whole numbers, decimals, dates or texts.
 """
 
 from __future__ import annotations
@@ -27,8 +27,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tremor.llm.common import as_bytes, held, id_text, mix64, sha256_hex, slices
 
@@ -38,6 +40,7 @@ LEVELS, LOWEST = 1001, 100
 SEGMENT = 1 << 21
 SLICE = 1 << 20  # bytes that one vectorised step takes
 PART_BYTES = 16 << 20
+MAX_PARTS = 1 << 14
 
 _SCALE = 1024
 _TERM = np.array([0] + [round(c * np.log2(c) * _SCALE) for c in range(1, WINDOW + 1)], np.int32)
@@ -72,8 +75,9 @@ def levels_of(parts: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def segments(text: bytes) -> list[np.ndarray]:
+    """Pieces of a text of which each window belongs to exactly one."""
     b = np.frombuffer(text, np.uint8)
-    return [b[at:at + SEGMENT] for at in range(0, len(b), SEGMENT)]
+    return [b[at:at + SEGMENT + WINDOW - 1] for at in range(0, max(1, len(b) - WINDOW + 1), SEGMENT)]
 
 
 def count_levels(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -95,7 +99,7 @@ def count_levels(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def rarity(counts: np.ndarray) -> np.ndarray:
-    """Rank of each level, the rarest first; levels below ``LOWEST`` are never selected."""
+    """Rank of each level, the rarest first; windows of levels below ``LOWEST`` are never selected."""
     order = np.lexsort((np.arange(LEVELS), counts))
     rank = np.empty(LEVELS, np.int64)
     rank[order] = np.arange(LEVELS)
@@ -103,20 +107,40 @@ def rarity(counts: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _selected(level: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Positions of the selected windows among windows of these levels, in order."""
-    r = rank[level]
-    if not len(r):
-        return np.zeros(0, np.int64)
-    key = r << 32 | np.arange(len(r))
-    run, low = min(RUN, len(r)), key
+def _points(level: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, int]:
+    """For each window of these levels the number of runs in which it is the leftmost rarest, and the number of runs."""
+    key = rank[level] << 32 | np.arange(len(level))
+    run, low = min(RUN, len(key)), key
     width = 1
     while width < run:  # least key of each run of neighbours, leftmost on a tie
         step = min(width, run - width)
         low = np.minimum(low[:-step], low[step:])
         width += step
-    points = np.bincount(low & 0xFFFFFFFF, minlength=len(r))
-    return np.flatnonzero((points >= min(POINTS, len(low))) & (r < _NEVER))
+    return np.bincount(low & 0xFFFFFFFF, minlength=len(key)), len(low)
+
+
+def _selected(level: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Positions of the selected windows among windows of these levels, in order."""
+    if not len(level):
+        return np.zeros(0, np.int64)
+    points, runs = _points(level, rank)
+    return np.flatnonzero((points >= min(POINTS, runs)) & (rank[level] < _NEVER))
+
+
+def _selected_long(text: np.ndarray, rank: np.ndarray) -> Iterator[np.ndarray]:
+    """The same for a long text, some windows at a time: runs that start in one stretch may end in the next, whose first
+    windows then keep their points."""
+    windows = len(text) - WINDOW + 1
+    left = np.zeros(0, np.int64)
+    for at in range(0, windows, SEGMENT):
+        end = at + SEGMENT if at + SEGMENT + RUN <= windows else windows
+        level = levels(text[at:min(end + RUN - 1, windows) + WINDOW - 1])
+        points, _ = _points(level, rank)
+        points[:len(left)] += left
+        yield at + np.flatnonzero((points[:end - at] >= POINTS) & (rank[level[:end - at]] < _NEVER))
+        left = points[end - at:]
+        if end == windows:
+            return
 
 
 def _hash_rows(rows: np.ndarray) -> np.ndarray:
@@ -126,28 +150,28 @@ def _hash_rows(rows: np.ndarray) -> np.ndarray:
     return h
 
 
+def _hash_windows(parts: list[np.ndarray], at: list[np.ndarray]) -> list[np.ndarray]:
+    """Hashes of the windows of each part that start at these places."""
+    if not parts:
+        return []
+    start = np.cumsum([0] + [len(b) for b in parts[:-1]])
+    rows = np.lib.stride_tricks.sliding_window_view(np.concatenate(parts), WINDOW)[np.concatenate([a + s for a, s in zip(at, start)])]
+    return np.split(_hash_rows(rows), np.cumsum([len(a) for a in at])[:-1])
+
+
 def features(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
     """Distinct feature hashes of each text, in order of first occurrence."""
-    parts, owner = [], []
-    for k, text in enumerate(texts):
-        if len(text) >= WINDOW:
-            own = segments(text)
-            parts += own
-            owner += [k] * len(own)
-    at = [_selected(level, rank) for level in levels_of(parts)]
-    out: list[list[np.ndarray]] = [[] for _ in texts]
-    if parts:
-        start = np.cumsum([0] + [len(b) for b in parts[:-1]])
-        rows = np.lib.stride_tricks.sliding_window_view(np.concatenate(parts), WINDOW)[np.concatenate([a + s for a, s in zip(at, start)])]
-        h, done = _hash_rows(rows), 0
-        for k, a in zip(owner, at):
-            out[k].append(h[done:done + len(a)])
-            done += len(a)
+    usual = [k for k, text in enumerate(texts) if WINDOW <= len(text) <= SEGMENT]
+    parts = [np.frombuffer(texts[k], np.uint8) for k in usual]
+    found = dict(zip(usual, _hash_windows(parts, [_selected(level, rank) for level in levels_of(parts)])))
     result = []
-    for text, own in zip(texts, out):
-        if text and len(text) < WINDOW:  # the text itself is the feature
-            own = [_hash_rows(np.frombuffer(text.ljust(WINDOW, b"\0") + bytes([len(text)] * 8), np.uint8).reshape(1, -1))]
-        h = np.concatenate(own) if own else np.zeros(0, np.uint64)
+    for k, text in enumerate(texts):
+        if len(text) > SEGMENT:
+            b = np.frombuffer(text, np.uint8)
+            found[k] = np.concatenate([_hash_windows([b], [at])[0] for at in _selected_long(b, rank)])
+        h = found.get(k, np.zeros(0, np.uint64))
+        if text and not len(h):  # shorter than a window, or without a window that may be selected: the text itself is the feature
+            h = np.array([xxhash.xxh3_64_intdigest(text)], np.uint64)
         _, first = np.unique(h, return_index=True)
         result.append(h[np.sort(first)])
     return result
@@ -206,14 +230,18 @@ class Digest:
 def in_order(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """Rows (bucket, halo, doc_id, text) dealt to ranges of ids, each bucket sorted by id, then text, in one task, and
     followed by a copy (halo = 1) of the first row after it; the last bucket by the first row of all.  Ranges are
-    cut at fixed ids, so a repeated task gets the same rows.  Null ids come first."""
-    spark = docs.sparkSession
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    cut at fixed ids, so a repeated task gets the same rows.  There are at most ``MAX_PARTS`` of them, whose ends are all that the
+    driver and the tasks hold; a bucket is sorted by Spark and read as a stream, whatever its size.  Null ids come first."""
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType
+    # a long that does not fall while ids rise; texts go by their first bytes
+    number = (F.conv(F.rpad(F.hex(F.substring(F.encode("doc_id", "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("long") if isinstance(kind, T.StringType)
+              else F.floor("doc_id").cast("long"))
+    key = F.coalesce(number, F.lit(-(1 << 63)))
     ids = docs.select(key.alias("k"), F.length("text").alias("n"))
     rows, size = ids.select(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    parts = max(1, min(rows, -(-size // part_bytes)))
-    cuts = (np.unique(np.array(ids.approxQuantile("k", [x / (3 * parts) for x in range(1, 3 * parts)], 1 / (12 * parts)))
-                      .astype(np.int64)) if parts > 1 else np.zeros(0, np.int64))
+    parts = max(1, min(rows, -(-size // part_bytes), MAX_PARTS))
+    cuts = (np.unique(np.array(ids.approxQuantile("k", [x / parts for x in range(1, parts)], 1 / (4 * parts))).astype(np.int64))
+            if parts > 1 else np.zeros(0, np.int64))
     get = held(spark, cuts, lambda c: c)
 
     @F.pandas_udf("int")
