@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame
 from tremor.llm.common import Memo, as_text, cached, id_text, map_batches, sha256_hex
 
 TOKENIZER = "word_bpe_49k.json"
-MEMO = 150_000
+MEMO = 200_000
+_PLACE = 40  # bits of a position in a piece
 
 
 def byte_alphabet() -> list[str]:
@@ -94,7 +95,9 @@ class Bpe:
         self.ids = vocab
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in vocab.items()} | {i: s for s, i in self.special.items()}
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(model["merges"])}
+        # a pair of ids as one number; its rank, room for a position, and the merged id as another
+        self.bits = max(17, max(vocab.values()).bit_length())
+        self.merges = {vocab[a] << self.bits | vocab[b]: rank << self.bits + _PLACE | vocab[a + b] for rank, (a, b) in enumerate(model["merges"])}
         self.letters = byte_alphabet()
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         pattern = split["pattern"]["Regex"]
@@ -112,26 +115,29 @@ class Bpe:
         letters = [self.letters[b] for b in piece.encode()]
         letters[-1] += self.end
         sym = [self.ids[c] for c in letters if c in self.ids]
-        n = len(sym)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        merges, queue = self.merges, []
-        for i in range(n - 1):
-            if found := merges.get((sym[i], sym[i + 1])):
-                queue.append((found[0], i, found[1]))
+        n, bits, get = len(sym), self.bits, self.merges.get
+        queue = [found | i << bits for i in range(n - 1) if (found := get(sym[i] << bits | sym[i + 1])) is not None]
+        if not queue:
+            return struct.pack(f"<{n}I", *sym)
         heapq.heapify(queue)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        low, place = (1 << bits) - 1, (1 << _PLACE) - 1
         while queue:
-            rank, i, whole = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            i = entry >> bits & place
             j = after[i]
-            if sym[i] < 0 or j >= n or merges.get((sym[i], sym[j]), (-1,))[0] != rank:
+            if sym[i] < 0 or j >= n or (found := get(sym[i] << bits | sym[j])) is None or found | i << bits != entry:
                 continue  # stale: a symbol of this pair was merged since
-            sym[i], sym[j] = whole, -1
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if found := merges.get((whole, sym[after[i]])):
-                    heapq.heappush(queue, (found[0], i, found[1]))
-            if before[i] >= 0 and (found := merges.get((sym[before[i]], whole))):
-                heapq.heappush(queue, (found[0], before[i], found[1]))
+            whole = sym[i] = entry & low
+            sym[j] = -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (found := get(whole << bits | sym[k])) is not None:
+                    heapq.heappush(queue, found | i << bits)
+            h = before[i]
+            if h >= 0 and (found := get(sym[h] << bits | whole)) is not None:
+                heapq.heappush(queue, found | h << bits)
         left = [s for s in sym if s >= 0]
         return struct.pack(f"<{len(left)}I", *left)
 
