@@ -203,6 +203,15 @@ def _js(run: DataFrame, profile: DataFrame, bins: int) -> DataFrame:
         _both(F.sqrt(F.greatest(F.sum(0.5 * kl(p) + 0.5 * kl(q)), F.lit(0.0)))).alias("js_distance"))
 
 
+def _sides(long: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows as counts of the two sides, and each feature's sizes and ranges: all that binned measures need, without an order of the values."""
+    rows = long.where(F.col("value").isNotNull() & F.col("side").isNotNull()).select(
+        "feature", "value", (F.col("side") == 0).cast("long").alias("c0"), (F.col("side") == 1).cast("long").alias("c1"))
+    base = F.when(F.col("c0") > 0, F.col("value"))
+    return rows, rows.groupBy("feature").agg(F.sum("c0").alias("n_base"), F.sum("c1").alias("n_current"), F.min(base).alias("bmin"),
+                                             F.max(base).alias("bmax"), F.min("value").alias("amin"), F.max("value").alias("amax"))
+
+
 def psi(long: DataFrame, bins: int = PSI_BINS) -> DataFrame:
     """Population stability index per feature.
 
@@ -211,8 +220,7 @@ def psi(long: DataFrame, bins: int = PSI_BINS) -> DataFrame:
     (count + 1e-6) / (n + 1e-6 * bins).  PSI = sum (c - b) * ln(c / b); NULL
     if a side is empty.
     """
-    run = value_counts(long)
-    return _psi(run, _profile(run), bins)
+    return _psi(*_sides(long), bins)
 
 
 def psi_status(p) -> Column:
@@ -223,8 +231,7 @@ def psi_status(p) -> Column:
 def js_distance(long: DataFrame, bins: int = JS_BINS) -> DataFrame:
     """Jensen-Shannon distance (square root of the divergence, natural log)
     of the two ``bins``-bin histograms over the joint range; NULL if a side is empty."""
-    run = value_counts(long)
-    return _js(run, _profile(run), bins)
+    return _js(*_sides(long), bins)
 
 
 def drift_report(long: DataFrame, min_values: int = 5, digits: int = 4, method: str = "limit") -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -85,6 +86,25 @@ def compare(fitted: dict[str, PipelineModel], test: DataFrame, threshold: float
         metrics.roc_auc(scored, "y", "p1", by=["model"]).select("model", "roc_auc"), "model")
 
 
+def packed(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """Kept in memory in no more partitions than the rows ask for: a fit reads its table hundreds of times, and on a small one the tasks
+    cost more than the rows.  Large tables stay as they are."""
+    kept = df.persist()
+    parts = max(1, -(-kept.count() // rows))
+    if parts >= kept.rdd.getNumPartitions():
+        return kept
+    small = kept.coalesce(parts).persist()
+    small.count()
+    kept.unpersist()
+    return small
+
+
+def fit_all(pipelines: dict[str, Pipeline], train: DataFrame) -> dict[str, PipelineModel]:
+    """Fit several pipelines on the same rows, side by side."""
+    with ThreadPoolExecutor(len(pipelines)) as pool:
+        return dict(zip(pipelines, pool.map(lambda p: p.fit(train), pipelines.values())))
+
+
 def tune(pipeline: Pipeline, grid: dict, folds: int = FOLDS, parallelism: int = 4,
          fold_col: str | None = "fold") -> CrossValidator:
     """M4: Spark's own grid search with stratified folds (``fold_col``), scored by the

@@ -142,7 +142,7 @@ def _vectors(spark, sf_dir):
 def _split(table):
     s = prepare.stratified_split(table, "y", "vec_id", 0.2, 42).withColumn("features", array_to_vector("vec"))
     # balanced weights from the training part only; read by every stage of every fit, so kept
-    train = models.prepare_training(s.where(~F.col("is_test")), "y").persist()
+    train = models.packed(models.prepare_training(s.where(~F.col("is_test")), "y"))
     test = s.where(F.col("is_test")).withColumn("label", F.col("y").cast("double"))
     return train, test
 
@@ -154,14 +154,14 @@ def q_model_compare(spark, sf_dir):
     train, test = _split(_vectors(spark, sf_dir))
     fits = {"logistic_regression": models.logistic_regression(), "random_forest": models.random_forest(),
             "boosted_trees": models.boosted_trees(pos_weight=models.positive_weight(train))}
-    return models.compare({name: pipe.fit(train) for name, pipe in fits.items()}, test)
+    return models.compare(models.fit_all(fits, train), test)
 
 
 @register("model_threshold", note="Spark ML fit: behaviour checked in tests")
 def q_model_threshold(spark, sf_dir):
     """Train, choose the threshold on a validation part, evaluate on the test part at 0.5 and at the choice."""
     train, test = _split(_vectors(spark, sf_dir))
-    folds = models.stratified_folds(train, "y", "vec_id", 5).persist()  # read by every iteration of the fit
+    folds = models.packed(models.stratified_folds(train, "y", "vec_id", 5))  # read by every iteration of the fit
     fitted = models.logistic_regression().fit(folds.where("fold > 0"))
     valid = models.positive_probability(fitted.transform(folds.where("fold = 0")))
     sweep = metrics.threshold_sweep(valid, "y", "p1", 10, 90, 100, 0.5)
@@ -174,7 +174,7 @@ def q_model_tuning(spark, sf_dir):
     """M4: grid search over the whole forest grid with stratified folds, balanced inside each fold and scored by the recall of
     class 1; the mean CV recall of all settings."""
     train, _ = _split(_vectors(spark, sf_dir))
-    folds = models.stratified_folds(train.drop("weight"), "y", "vec_id", models.FOLDS).select("features", "label", "fold").persist()
+    folds = models.packed(models.stratified_folds(train.drop("weight"), "y", "vec_id", models.FOLDS).select("features", "label", "fold"))
     scores = forest.search_forest(folds, models.FOLDS)
     return forest.recall_per_setting(scores, list(forest.FOREST_GRID))
 
@@ -183,7 +183,7 @@ def q_model_tuning(spark, sf_dir):
 def q_feature_importance(spark, sf_dir):
     """Random-forest importances of the 64 embedding dimensions (NULL counts as 0), fitted to all rows, top 20."""
     table = _vectors(spark, sf_dir).withColumn("vec", F.transform("vec", lambda x: F.coalesce(x, F.lit(0.0))))
-    rows = models.prepare_training(table.withColumn("features", array_to_vector("vec")), "y").persist()
+    rows = models.packed(models.prepare_training(table.withColumn("features", array_to_vector("vec")), "y"))
     fitted = models.random_forest().fit(rows)
     return forest.importances(forest.node_table(spark, fitted.stages[-1]), [f"dim_{i}" for i in range(64)], top_n=20)
 
