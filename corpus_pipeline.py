@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tremor.llm import bpe, decontaminate, jaccard, langid, lines
 from tremor.llm.common import fold_of, table
-from tremor.session import cut_lineage, ensure_checkpoint_dir
+from tremor.session import cut_lineage, ensure_checkpoint_dir, remove_folder
 
 CLEAR = 0.5  # least share of the posterior
 
@@ -64,10 +64,13 @@ ORACLE_SQL = None  # language models and byte-pair merges have no SQL form; test
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each result is a table in the cluster's shared folder, read by the next."""
+    """All stages over the documents; each result is a table in the cluster's shared folder, read by the next and then removed; the last
+    one stays."""
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        if k:
+            remove_folder(spark, f"{folder}/{k - 1}-{STAGES[k - 1][0]}")
     return docs

@@ -444,7 +444,8 @@ def plain_lines(rows, least):
 
 
 @pytest.mark.parametrize("small", [lines.SMALL, 0])
-def test_line_dedup(spark, small):
+def test_line_dedup(spark, small, monkeypatch):
+    monkeypatch.setattr(lines, "SMALL", small)  # 0: pairs of line and site are made distinct before the join
     rows = documents(SF01, ("doc_id", "text", "source"))
     rows += [(10**6 + k, f"own {k}\n  shared by ten \n\nshared by nine{'!' * (k > 8)}\r\n", f"q{k}") for k in range(10)]
     rows += [(2 * 10**6, None, "q1"), (2 * 10**6 + 1, "", None), (2 * 10**6 + 2, "shared by ten", None)]

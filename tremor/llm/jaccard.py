@@ -390,22 +390,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = to_arrow_type(df.schema["doc_id"].dataType)
     own = cut_lineage(profiles(df))
     classes = own.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
-    copies = cut_lineage(own.join(classes, "digest").where("doc_id != class_id").select("doc_id").distinct()
-                         .join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_anti"))
-    copies = F.broadcast(copies) if copies.count() <= FEW else copies  # else the prefix lists are shuffled too
-    sets = own.where("digest IS NOT NULL AND doc_id IS NOT NULL").join(copies, "doc_id", "left_anti")
+    copies = (own.join(classes, "digest").where("doc_id != class_id").select("doc_id").distinct()
+              .join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_anti"))
+    # more than FEW copies: the prefix lists are shuffled too
+    sets = own.where("digest IS NOT NULL AND doc_id IS NOT NULL").join(_few(copies), "doc_id", "left_anti")
 
     members = cut_lineage(hub_pairs(sets))
-    counted = members.groupBy("hub").agg(F.count("*").alias("m"))
-    sized = members.join(counted, "hub")
-    likely = _screened(sized.where(F.col("m") <= SCREEN), own.select("doc_id", "point").dropDuplicates(["doc_id"]), id_type, kind)
-    members = cut_lineage(members.join(likely.union(sized.where(F.col("m") > SCREEN).select("hub", "doc_id")), ["hub", "doc_id"], "left_semi"))
+    # large groups are told apart by the list of their hubs, a thousandth of the members at most, so that members need not meet by hub
+    huge = _few(members.groupBy("hub").agg(F.count("*").alias("m")).where(F.col("m") > SCREEN).select("hub"))
+    likely = _screened(members.join(huge, "hub", "left_anti"), own.select("doc_id", "point").dropDuplicates(["doc_id"]), id_type, kind)
+    members = cut_lineage(members.join(huge, "hub", "left_semi").unionByName(
+        members.join(huge, "hub", "left_anti").join(likely, ["hub", "doc_id"], "left_semi")))
 
     # the hub may have been dropped; the center of those left stands in every block
     sizes = members.groupBy("hub").agg(F.count("*").alias("m"), F.sum("n").alias("hashes"),
                                        F.min(F.struct("n", "doc_id"))["doc_id"].alias("center"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("hashes") / BLOCK_HASHES)).cast("int")
-    members = cut_lineage(members.join(sizes.select("hub", "center", blocks.alias("blocks")), "hub")
+    members = cut_lineage(members.join(_few(sizes.select("hub", "center", blocks.alias("blocks"))), "hub")
                           .select("hub", "center", "doc_id", "blocks"))
 
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
@@ -437,6 +438,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """The rows, computed once, and to be broadcast if there are at most FEW of them."""
+    rows = cut_lineage(rows)
+    return F.broadcast(rows) if rows.count() <= FEW else rows
+
+
 def _with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """Rows with the texts of their documents.  Up to FEW rows are broadcast, so that only texts that are wanted
     are shuffled; more are joined."""

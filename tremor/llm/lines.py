@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm.common import held, map_batches
+from tremor.session import cut_lineage
 
 MIN_SITES = 10
 LG_K = 9
@@ -46,10 +47,12 @@ def boilerplate_keys(docs: DataFrame, source_col: str = "source", text_col: str
     rows = rows.where("site IS NOT NULL")
     margin = 3 * 0.8325 / 2 ** (LG_K / 2)
     spread = rows.groupBy("key").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites"))
-    spread = spread.where(F.col("sites") >= F.lit(min_sites * (1 - margin)))
+    spread = cut_lineage(spread.where(F.col("sites") >= F.lit(min_sites * (1 - margin))))
     near = F.col("sites") <= F.lit(min_sites * (1 + margin))
-    exact = (rows.join(spread.where(near), "key", "left_semi").groupBy("key").agg(F.countDistinct("site").alias("sites"))
-             .where(F.col("sites") >= min_sites))
+    # rows are never dealt by the line alone: few lines are sent to the rows; for more, the pairs of line and site are made distinct first
+    doubtful = spread.where(near).select("key")
+    pairs = rows.join(F.broadcast(doubtful), "key", "left_semi") if doubtful.count() <= SMALL else rows.distinct().join(doubtful, "key", "left_semi")
+    exact = pairs.groupBy("key").agg(F.countDistinct("site").alias("sites")).where(F.col("sites") >= min_sites)
     return spread.where(~near).select("key").union(exact.select("key"))
 
 
