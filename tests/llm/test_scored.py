@@ -25,16 +25,16 @@ held_out = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
 
 # --- language ------------------------------------------------------------------------------------
 
-def plain_lengths(train, text, symbol):
+def plain_lengths(train, text):
     """PPM (method C, with exclusion) by dictionaries, for one language."""
     trees = [{} for _ in range(4)]
     for t in train:
-        s = [symbol[b] for b in langid.prepare(t)]
+        s = list(langid.prepare(t))
         for at in range(3, len(s)):
             for k in range(4):
                 c = trees[k].setdefault(tuple(s[at - k:at]), {})
                 c[s[at]] = c.get(s[at], 0) + 1
-    s, bits = [symbol[b] for b in langid.prepare(text)], 0.0
+    s, bits = list(langid.prepare(text)), 0.0
     for at in range(3, len(s)):
         out, p = set(), 1.0
         for k in (3, 2, 1, 0):
@@ -48,7 +48,7 @@ def plain_lengths(train, text, symbol):
             p *= len(c) / total
             out |= set(c)
         else:
-            p /= langid.SYMBOLS - len(out)
+            p /= 256 - len(out)
         bits -= math.log2(p)
     return bits
 
@@ -58,11 +58,25 @@ def test_ppm_code_lengths(spark):
     found = langid.count_grams(spark.createDataFrame(rows, "lang string, text string")).toPandas()
     number = {"en": 0, "fr": 1}
     m = langid.Model(["en", "fr"], found["lang"].map(number).to_numpy(), found["gram"].to_numpy(), found["n"].to_numpy())
-    for text in ("the mat", "été xyz Q 9", "unseen wörds"):
-        want = [plain_lengths([t for lang, t in rows if lang == own], text, m.symbol) for own in ("en", "fr")]
+    for text in ("the mat", "été xyz Q 9", "unseen wörds", "чужой текст the cat", "猫 est là"):
+        want = [plain_lengths([t for lang, t in rows if lang == own], text) for own in ("en", "fr")]
         assert np.allclose(m.lengths(text), want, rtol=1e-5)
 
 
+def test_five_scripts_held_out(spark):
+    """Invented words of five scripts, two of them with two languages each: bytes of one script do not merge with those of another."""
+    r = random.Random(12)
+    scripts = {"la": "abcdefghilmnopqrstuvz", "lb": "abcdefghilmnopqrstuvz", "ru": "абвгдежзиклмнопрстуфхыьэюя", "bg": "абвгдежзиклмнопрстуфхъщюя",
+               "ar": "ابتثجحخدرزسشصعغفقكلمنهوي", "th": "กขคงจชดตถทนบปพมยรลวสหอะาิ", "zh": "".join(map(chr, range(0x4E00, 0x4F00)))}
+    vocab = {lang: ["".join(r.choices(abc, [1 + r.random() * 9 for _ in abc], k=r.randint(2, 7))) for _ in range(120)] for lang, abc in scripts.items()}
+    rows = [(i, lang, " ".join(r.choices(vocab[lang], k=r.randint(4, 25)))) for i, lang in enumerate(lang for lang in scripts for _ in range(120))]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = {x.doc_id: x.lang_pred for x in langid.op4_langid(df).collect()}
+    test = [(i, lang) for i, lang, _ in rows if held_out(i)]
+    right = {lang: np.mean([got[i] == lang for i, own in test if own == lang]) for lang in scripts}
+    assert len(test) > 100 and min(right.values()) >= 0.95, right
+
+
 def test_language_held_out(spark):
     lang = {r["doc_id"]: r["lang"] for r in pq.read_table(f"{SF01}/documents.parquet", columns=["doc_id", "lang"]).to_pylist()}
     got = entry.queries()["op4_langid"](spark, SF01).collect()

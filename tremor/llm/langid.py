@@ -4,15 +4,14 @@ Per language, a tree of byte contexts up to order 3 holds symbol counts.  A
 symbol's probability is that of the longest context that has it, times the
 escape probabilities (method C: distinct symbols over distinct symbols plus
 occurrences, symbols of longer contexts excluded) of the longer ones; below
-order 0 all symbols are alike.  The statistics are frozen after training, so a
-symbol's code length depends on its three predecessors only: the trees are laid
-out as one table of code lengths per (context, symbol) and language, and a
+order 0 all bytes are alike.  The statistics are frozen after training, so a
+symbol's code length depends on its three predecessors only: a language is
+a table of code lengths per context that it has seen, and a
 text's length under a language is a sum of look-ups.  The shortest code wins;
 the score is its share of the posterior under equal priors.
 
 Text is lower-cased; runs of ASCII characters other than letters count as one
-space.  The ``SYMBOLS - 1`` most frequent bytes of the training texts are symbols of
-their own, all others share one.
+space.  Every byte is a symbol of its own, so scripts beside one another stay apart.
 
 Training reads labelled rows of ``train`` only, about ``per_lang`` of each language
 chosen by a hash of the id (that bound keeps the model small whatever the
@@ -31,7 +30,6 @@ from pyspark.sql import functions as F
 from tremor.llm.common import fold_of, held, map_batches
 
 PER_LANG = 400
-SYMBOLS = 64
 ORDER = 3
 MAX_LANGS = 1000
 _STEP = 1 << 20
@@ -67,33 +65,37 @@ def count_grams(train: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Code lengths in bits: ``bits[row[context] * SYMBOLS + symbol, language]``."""
+    """Code lengths in bits.  Every byte of the training texts is a symbol of its own; symbol 0 stands for each byte that they lack.  A language
+    has a row of code lengths for every context that it has seen (its longest ones, and those of order 2, 1 and 0 for the rest)."""
 
     def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray):
         self.langs = langs
-        size = np.bincount(gram & 255, n, 256)
-        top = np.argsort(-size, kind="stable")[:SYMBOLS - 1]
         self.symbol = np.zeros(256, np.int64)
-        self.symbol[top[size[top] > 0]] = np.arange(1, 1 + int((size[top] > 0).sum()))
+        seen = np.unique(gram >> np.array([24, 16, 8, 0]).reshape(-1, 1) & 255) if len(gram) else np.zeros(0, np.int64)
+        self.symbol[seen] = np.arange(1, len(seen) + 1)
+        self.q = q = len(seen) + 1
         s = [self.symbol[gram >> k & 255] for k in (24, 16, 8, 0)]
-        q = SYMBOLS
         context = (s[0] * q + s[1]) * q + s[2]
-        # rows: first every context of order 2, for longer ones that no language has; then those seen
-        seen = np.unique(context)
-        self.row = np.tile(np.arange(q * q, dtype=np.int32), q)
-        self.row[seen] = q * q + np.arange(len(seen), dtype=np.int32)
-        shorter = np.concatenate([np.arange(q * q), seen % (q * q)])
-        bits = np.empty((len(shorter) * q, len(langs)), np.float32)
+        self.contexts = np.unique(context)  # of order 3, seen in any language
+        self.longest = np.empty((len(langs), len(self.contexts)), np.int32)
+        self.shorter = np.empty((len(langs), q * q), np.int32)
+        self.bits: list[np.ndarray] = []
         for k in range(len(langs)):
             own = lang == k
-            c3 = np.zeros((len(shorter), q))
-            np.add.at(c3, (self.row[context[own]], s[3][own]), n[own])
-            c2 = np.zeros((q * q, q))
-            np.add.at(c2, (context[own] % (q * q), s[3][own]), n[own])
-            c1 = c2.reshape(q, q, q).sum(0)
+            three, place = np.unique(context[own], return_inverse=True)
+            two, place2 = np.unique(context[own] % (q * q), return_inverse=True)
+            c3, c2, c1 = (np.zeros((m, q)) for m in (len(three), len(two), q))
+            for counts, at in ((c3, place), (c2, place2), (c1, s[2][own])):
+                np.add.at(counts, (at, s[3][own]), n[own])
             c0 = c1.sum(0)
-            bits[:, k] = self._lengths([c3, c2[shorter], c1[shorter % q], np.broadcast_to(c0, (len(shorter), q))]).ravel()
-        self.bits = bits
+            below = np.searchsorted(two, three % (q * q))  # a context's end has been seen where it has
+            rows = [self._lengths([c3, c2[below], c1[three % q], np.broadcast_to(c0, c3.shape)]),
+                    self._lengths([c2, c1[two % q], np.broadcast_to(c0, c2.shape)]), self._lengths([c1, np.broadcast_to(c0, c1.shape)])]
+            self.bits.append(np.concatenate(rows).astype(np.float32).ravel())
+            self.shorter[k] = len(three) + len(two) + np.arange(q * q) % q  # a symbol without successors has the row of order 0
+            self.shorter[k, two] = len(three) + np.arange(len(two))
+            self.longest[k] = self.shorter[k, self.contexts % (q * q)]
+            self.longest[k, np.searchsorted(self.contexts, three)] = np.arange(len(three))
 
     @staticmethod
     def _lengths(orders: list[np.ndarray]) -> np.ndarray:
@@ -108,17 +110,22 @@ class Model:
             p += left * c / whole
             left = np.where(distinct > 0, left * distinct / whole, left)
             out |= c > 0
-        rest = np.maximum((~out).sum(1, keepdims=True), 1)
+        rest = np.maximum(256 - out.sum(1, keepdims=True), 1)
         return -np.log2(np.where(out, p, left / rest))
 
     def lengths(self, text: str) -> np.ndarray:
         """Code length of a text under each language."""
         s = self.symbol[np.frombuffer(prepare(text), np.uint8)]
-        total = np.zeros(len(self.langs))
+        total, q = np.zeros(len(self.langs)), self.q
         for at in range(0, len(s) - 3, _STEP):
             part = s[at:at + _STEP + 3]
-            context = (part[:-3] * SYMBOLS + part[1:-2]) * SYMBOLS + part[2:-1]
-            total += self.bits[self.row[context].astype(np.int64) * SYMBOLS + part[3:]].sum(0, dtype=np.float64)
+            end = part[1:-2] * q + part[2:-1]
+            context = part[:-3] * (q * q) + end
+            place = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
+            known = self.contexts[place] == context
+            for k, bits in enumerate(self.bits):
+                row = np.where(known, self.longest[k, place], self.shorter[k, end]).astype(np.int64)
+                total[k] += bits[row * q + part[3:]].sum(dtype=np.float64)
         return total
 
     def predict(self, text: str | None) -> tuple[str, float]:
