@@ -54,6 +54,11 @@ def test_pii_method():
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
     kinds = [k for k, *_ in pii.find(TRICKY[-1])]
     assert kinds.count("iban") == 1 and kinds.count("ssn") == 2 and kinds.count("birth") == 1
+    born = lambda day: [k for k, *_ in pii.find(f"she was born on {day} at home")]
+    assert born("2001-02-28") == born("29.02.2000") == born("12/31/2030") == ["birth"]
+    assert born("2001-02-31") == born("29.02.2001") == born("1899-01-01") == born("2001-13-01") == born("00/10/2001") == []
+    assert [k for k, *_ in pii.find("IBAN DE89 3704 0044 0532 0130 00 and GB82 WEST 1234 5698 7654 32")] == ["iban", "iban"]
+    assert pii.mod97("DE41370400440532013") and not pii._iban_ok("DE41370400440532013")
     assert not [k for k, *_ in pii.find("on 1980-02-03 the part 123-45-6789 was made") if k in ("birth", "ssn")]
     near, far = pii.find("my card 4111111111111111")[0][3], pii.find("test number 4111111111111111")[0][3]
     assert near > far

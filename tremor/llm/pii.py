@@ -15,6 +15,7 @@ Offsets are code points, end exclusive.  Null and empty texts have no spans.
 
 from __future__ import annotations
 
+import calendar
 import re
 from collections.abc import Iterator
 
@@ -81,10 +82,23 @@ def _ssn_ok(m: re.Match) -> bool:
 
 
 def _birth_ok(m: re.Match) -> bool:
-    y, mo, d = m.group(1, 2, 3) if m[1] else (m[6], m[5], m[4])
-    if not m[1] and int(mo) > 12 >= int(d):
+    """A date of the calendar from 1900 to 2099; day and month in either order, where there is a choice."""
+    y, mo, d = map(int, m.group(1, 2, 3) if m[1] else (m[6], m[5], m[4]))
+    if not m[1] and mo > 12 >= d:
         mo, d = d, mo
-    return 1900 <= int(y) <= 2025 and 1 <= int(mo) <= 12 and 1 <= int(d) <= 31
+    return 1900 <= y <= 2099 and 1 <= mo <= 12 and 1 <= d <= calendar.monthrange(y, mo)[1]
+
+
+#: Characters of an IBAN by country.
+_IBAN_LENGTH = dict(re.findall(r"([A-Z]{2})(\d\d)", """
+AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18
+GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15
+PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"""))
+
+
+def _iban_ok(text: str) -> bool:
+    code = text.replace(" ", "")
+    return len(code) == int(_IBAN_LENGTH.get(code[:2], len(code))) and 15 <= len(code) <= 34 and mod97(code)
 
 
 def _proposals(text: str) -> Iterator[tuple[str, int, int]]:
@@ -100,8 +114,7 @@ def _proposals(text: str) -> Iterator[tuple[str, int, int]]:
             yield ("card", *m.span())
     if "+" in text:
         yield from (("phone", *m.span()) for m in _PHONE.finditer(text) if 9 <= len(_digits(m[0])) <= 15)
-    yield from (("iban", *m.span()) for m in _IBAN.finditer(text)
-                if 15 <= len(c := m[0].replace(" ", "")) <= 34 and mod97(c))
+    yield from (("iban", *m.span()) for m in _IBAN.finditer(text) if _iban_ok(m[0]))
     if "-" in text:
         yield from (("ssn", *m.span()) for m in _SSN.finditer(text) if _ssn_ok(m))
     yield from (("birth", *m.span()) for m in _BIRTH.finditer(text) if _birth_ok(m))
