@@ -349,3 +349,16 @@ def q_file_recordings(spark, sf_dir):
     from tremor.plans import flows
     root = B.events_csv_recordings(spark, sf_dir)
     return flows.feature_table(spark, root, channels=_FILE_CH).drop("file_path")
+
+
+@register("first_rows", sql="""
+SELECT event_type AS severity, CAST(weekofyear(ts) AS BIGINT) AS week, i AS sample_idx, value, k FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type, weekofyear(ts) ORDER BY ts, event_id) - 1 AS i,
+    CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events) e WHERE i < 50""", dbl=["value", "k"])
+def q_first_rows(spark, sf_dir):
+    """The first 50 rows of each recording file, in file order."""
+    from tremor.sources.recordings import read_recordings
+    root = B.events_csv_recordings(spark, sf_dir)
+    rec = read_recordings(spark, root, _FILE_CH, max_rows=50)
+    week = F.regexp_extract("file_path", "week(?:=|%3D)([0-9]+)", 1).cast("long")
+    return rec.select("severity", week.alias("week"), "sample_idx", "value", "k")

@@ -100,3 +100,16 @@ def q_split_files(spark, sf_dir):
         back = load_table(spark, f"{root}/{part}", target="quality", fmt=fmt, schema=split.drop("is_test").schema)
         parts.append(back.withColumn("part", F.lit(part)))
     return parts[0].unionByName(parts[1])
+
+
+@register("drift_report_file", sql=_report_sql(_DRIFT_LONG), dbl=_REPORT_DBL, absr=_REPORT_DBL)
+def q_drift_report_file(spark, sf_dir):
+    """The drift report per event type, written as CSV with a header and read back."""
+    import uuid
+
+    from tremor.session import ensure_checkpoint_dir
+    from tremor.sources.recordings import load_table, write_table
+    report = drift.drift_report(B.events_drift_samples(spark, sf_dir))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/report-{uuid.uuid4().hex}"
+    write_table(report, path, "csv")
+    return load_table(spark, path, target="Feature", schema=report.schema)

@@ -190,12 +190,17 @@ def q_feature_importance(spark, sf_dir):
 
 @register("model_scoring", note="Spark ML fit: behaviour checked in tests")
 def q_model_scoring(spark, sf_dir):
-    """Batch scoring of every embedding (padded / cut to the model
-    width) with the fitted logistic pipeline, and its decision record."""
+    """Batch scoring of every embedding (padded / cut to the model
+    width) with the fitted logistic pipeline, saved and loaded as a bundle with its threshold, and its decision record."""
+    import uuid
+
+    from tremor.session import ensure_checkpoint_dir
     train, _ = _split(_vectors(spark, sf_dir))
-    fitted = models.logistic_regression().fit(train)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bundle-{uuid.uuid4().hex}"
+    models.save_bundle(models.logistic_regression().fit(train), 0.5, [f"dim_{i}" for i in range(64)], path)
+    fitted, threshold, names = models.load_bundle(path)
     allv = _vectors(spark, sf_dir)
-    return scoring.score_vectors(allv, fitted, "vec", 64, 0.5).select(
+    return scoring.score_vectors(allv, fitted, "vec", len(names), threshold).select(
         "vec_id", "y", "failure_probability", "will_fail", "status", "risk_level", "confidence")
 
 
