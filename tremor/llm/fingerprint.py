@@ -261,7 +261,7 @@ def in_order(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     to = docs.select("doc_id", "text", F.explode(dealt(key)).alias("to"))
     to = to.select(F.when(F.col("to") < 0, -1 - F.col("to")).otherwise(F.col("to")).alias("bucket"),
                    (F.col("to") < 0).cast("int").alias("halo"), "doc_id", "text")
-    return to.repartition(parts, "bucket").sortWithinPartitions("bucket", "halo", "doc_id", "text")
+    return to.repartitionById(len(cuts) + 1, F.col("bucket")).sortWithinPartitions("bucket", "halo", "doc_id", "text")  # a task per bucket
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
