@@ -419,8 +419,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # documents of large groups that are not joined to the center: each set of up to BLOCK of them meets every block
     large = members.where("blocks > 1")
-    loose = found.where("b IS NULL").select("hub", F.col("a").alias("doc_id")).join(large.select("hub", "center", "blocks").distinct(), "hub")
-    counted = loose.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("sets"))
+    loose = found.where("b IS NULL").select("hub", F.col("a").alias("doc_id")).join(_few(large.select("hub", "center", "blocks").distinct()), "hub")
+    counted = _few(loose.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("sets")))
     if not counted.isEmpty():
         loose = loose.join(counted, "hub").withColumn("other", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("sets")).cast("int"))
         asked = loose.select("hub", "center", F.explode(everywhere).alias("block"), "other", F.lit(1).alias("role"), "doc_id")
