@@ -1,5 +1,7 @@
 """Node tables, scores, importances and the grid search against plain versions; fits on data with a signal."""
 
+import itertools
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
@@ -142,3 +144,36 @@ def test_folds_hold_the_classes(tables):
     for y in (0, 1):
         sizes = [r["count"] for r in per if r.y == y]
         assert len(sizes) == models.FOLDS and max(sizes) - min(sizes) <= 1
+
+
+def test_search_grows_large_forests_in_parts(spark, tables, monkeypatch):
+    train, _ = tables
+    folded = models.stratified_folds(train.drop("weight"), "y", "id", 2).select("features", "label", "fold", "vec").persist()
+    grid, parts, table = {"n_estimators": [3, 7], "max_depth": [2, None], "min_samples_split": [2, 40], "min_samples_leaf": [1]}, [], forest.node_table
+
+    def kept(session, model):
+        nodes = table(session, model)
+        parts.append((model.totalNumNodes, [list(g) for _, g in itertools.groupby(nodes.orderBy("tree", "node").collect(), lambda n: n.tree)]))
+        return nodes
+
+    monkeypatch.setattr(forest, "node_table", kept)
+    scores = forest.search_forest(folded, 2, grid, parallel=1, nodes=150)
+    first = next(i for i in range(1, len(parts) + 1) if sum(len(trees) for _, trees in parts[:i]) == 7)
+    assert 1 < first and sum(len(trees) for _, trees in parts) == 14
+    assert all(n < 600 for n, _ in parts)  # a whole forest here has more
+    got = sorted((r.n_estimators, r.max_depth or 30, r.min_samples_split, r.y, round(r.p1, 9)) for r in scores.where("fold = 0").collect())
+    nodes = {(t, n.node): n for t, own in enumerate(own for _, trees in parts[:first] for own in trees) for n in own}
+    want = sorted((t, d or 30, s, int(x.label), round(plain_probability(nodes, x.vec, d or 30, s, t), 9))
+                  for x in folded.where("fold = 0").collect() for t in (3, 7) for d in (2, None) for s in (2, 40))
+    assert got == want
+
+
+def test_importances_of_a_forest_in_parts(spark, tables):
+    train, _ = tables
+    build = lambda n, seed: models.random_forest(n, 6, seed=seed)
+    whole, parts = (forest.forest_nodes(train, build, 12, 6, nodes=n).persist() for n in (10 ** 6, 200))
+    assert len(list(forest.grown(train, build, 12, 6, nodes=200))) > 1
+    assert [sorted(r.tree for r in t.select("tree").distinct().collect()) for t in (whole, parts)] == [list(range(12))] * 2
+    one = forest.node_table(spark, models.random_forest(12, 6).fit(train).stages[-1])
+    assert whole.exceptAll(one).isEmpty() and one.exceptAll(whole).isEmpty()  # a small forest is one fit, as before
+    assert forest.importances(parts, [f"f{i}" for i in range(6)]).orderBy("rank").first().feature == "f0"

@@ -9,6 +9,10 @@ nodes beyond that turned into leaves, and a smaller forest is the first trees of
 forest, and one walk scores the held-out rows under all settings of the other three.  (The usual grid search fits each setting
 anew, from other random draws; here the settings of one leaf size share their draws.)  Class weights come from each
 fold's own training rows.
+
+A fit keeps its trees on the driver, and on noisy data their size grows with the rows.  So a forest that may have more than ``NODES``
+nodes is grown some trees at a time (:func:`grown`): each part is turned into rows, or put to the held-out rows, whose sums over the
+trees so far travel with them, and let go before the next.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ FOREST_GRID = {"n_estimators": [100, 200, 300], "max_depth": [10, 15, 20, None],
 BOOSTED_GRID = {"max_depth": [5, 6, 7, 8], "learning_rate": [0.01, 0.05, 0.1, 0.15], "subsample": [0.7, 0.8, 0.9], "colsample_bytree": [0.7, 0.8, 0.9]}
 DEEPEST = 30
 SEED = 42
+NODES = 100_000  # nodes that one fit grows, about
 
 
 def node_table(spark: SparkSession, model) -> DataFrame:  # noqa: ANN001
@@ -80,13 +85,15 @@ class Forest:
 
     @classmethod
     def of(cls, nodes: DataFrame, shares: bool = True) -> Forest:
-        t = nodes.orderBy("tree", "node").toPandas()
+        share = F.when(F.size("stats") > 1, F.try_divide(F.get("stats", 1), F.aggregate("stats", F.lit(0.0), lambda a, x: a + x)))
+        value = F.coalesce(share, F.lit(0.0)) if shares else F.col("prediction")
+        # Arrow and not rows of objects: the driver holds one part of a forest for each fit that runs
+        t = nodes.select("tree", "node", "left", "right", "feature", "threshold", "rows", value.alias("value")).orderBy("tree", "node").toArrow().to_pandas()
         start = np.flatnonzero(np.append(True, np.diff(t["tree"]) != 0)) if len(t) else np.zeros(0, np.int64)
         own, first = np.arange(len(t)), np.repeat(start, np.diff(np.append(start, len(t))))
         inner = t["left"].to_numpy() >= 0
-        value = np.array([s[1] / sum(s) if len(s) > 1 else 0.0 for s in t["stats"]]) if shares else t["prediction"].to_numpy(float)
         return cls(start, np.where(inner, first + t["left"].to_numpy(), own), np.where(inner, first + t["right"].to_numpy(), own),
-                   np.where(inner, t["feature"].to_numpy(), 0), np.where(inner, t["threshold"].to_numpy(float), 0.0), value, t["rows"].to_numpy())
+                   np.where(inner, t["feature"].to_numpy(), 0), np.where(inner, t["threshold"].to_numpy(float), 0.0), t["value"].to_numpy(float), t["rows"].to_numpy())
 
     def cut(self, min_split: int) -> Forest:
         """Nodes of fewer than ``min_split`` rows become leaves."""
@@ -125,40 +132,82 @@ def score_forest(df: DataFrame, features: str, forest: Forest, depth: int = DEEP
     return df.withColumn(name, probability(features))
 
 
-def fit_forest(train: DataFrame, trees: int, depth: int, leaf: int, seed: int = SEED) -> Forest:
-    """A forest on (features vector, label, weight)."""
-    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, featureSubsetStrategy="sqrt", seed=seed,
-                                   weightCol="weight", cacheNodeIds=True).fit(train)
-    return Forest.of(node_table(train.sparkSession, model))
+def grown(train: DataFrame, build: Callable, trees: int, depth: int, seed: int = SEED, nodes: int = NODES) -> Iterator[tuple[int, DataFrame]]:
+    """(trees before, node table) of the parts of a forest on (features vector, label, weight), one after another; the parts number their trees
+    on.  ``build(trees, seed)`` is an estimator.  A forest that should stay below ``nodes`` nodes is one fit; else the first part is sized by the smaller
+    class, as leaves come from telling its rows apart, and the others by the largest trees so far."""
+    few = train.groupBy("label").count().agg(F.min("count")).first()[0] or 1
+    each, done = min(2 * few, 2 ** (min(depth, DEEPEST) + 1)), 0
+    while done < trees:
+        n = min(trees - done, max(1, nodes // each))
+        model = build(n, seed + 1_000_003 * done).fit(train)
+        forest = getattr(model, "stages", [model])[-1]
+        each, size = max(each if done else 1, -(-forest.totalNumNodes // n)), done
+        table = node_table(train.sparkSession, forest)
+        del model, forest
+        done += n
+        yield size, table.withColumn("tree", (F.col("tree") + size).cast("int"))
+
+
+def forest_nodes(train: DataFrame, build: Callable, trees: int, depth: int, seed: int = SEED, nodes: int = 4 * NODES) -> DataFrame:
+    """The node table of a whole forest, grown in parts if it is large."""
+    tables = [t for _, t in grown(train, build, trees, depth, seed, nodes)]
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
 
 
-def forest_scores(held_out: DataFrame, forest: Forest, leaf: int, fold: int, grid: dict) -> DataFrame:
-    """One row per held-out row and setting: n_estimators, max_depth, min_samples_split, min_samples_leaf, fold, y, p1."""
-    sent = held_out.sparkSession.sparkContext.broadcast(forest)
-    limits = {d: min(d or DEEPEST, DEEPEST) for d in grid["max_depth"]}
-    depths, trees = sorted(set(limits.values())), sorted(grid["n_estimators"])
+def _balanced_forest(depth: int, leaf: int) -> Callable:
+    return lambda trees, seed: RandomForestClassifier(
+        numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, featureSubsetStrategy="sqrt", seed=seed, weightCol="weight", cacheNodeIds=True)
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32()), pa.array(values.ravel()))
+
+
+def _added(state: DataFrame, part: Forest, before: int, splits: Sequence[int], depths: Sequence[int], trees: Sequence[int]) -> DataFrame:
+    """``total`` (sums over the trees so far, by split and depth) goes on over the trees of a part; ``taken`` gets its values at the wanted numbers of trees."""
+    sent = state.sparkSession.sparkContext.broadcast(part)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
+            n = batch.num_rows
+            if not n:
                 continue
-            x = batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            for split in grid["min_samples_split"]:
-                total = np.zeros((len(depths), len(x)))
-                for t, values in enumerate(sent.value.cut(split).walk(x, depths), 1):
-                    total += values
-                    if t not in trees:
-                        continue
-                    for d, limit in limits.items():
-                        n = len(x)
-                        same = lambda v, kind: pa.array([v] * n, kind)  # noqa: E731, B023
-                        yield pa.RecordBatch.from_arrays(
-                            [same(t, pa.int32()), same(d, pa.int32()), same(split, pa.int32()), same(leaf, pa.int32()), same(fold, pa.int32()),
-                             batch["y"], pa.array(total[depths.index(limit)] / t)],
-                            ["n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "fold", "y", "p1"])
-
-    rows = held_out.select(F.col("label").cast("int").alias("y"), vector_to_array("features").alias("x"))
-    return rows.mapInArrow(run, "n_estimators int, max_depth int, min_samples_split int, min_samples_leaf int, fold int, y int, p1 double")
+            x, total, taken = (batch[c].flatten().to_numpy(zero_copy_only=False).reshape(n, -1) for c in ("x", "total", "taken"))
+            total, more = total.copy(), []
+            for i, split in enumerate(splits):
+                own, at = total[:, i * len(depths):(i + 1) * len(depths)], []
+                for t, values in enumerate(sent.value.cut(split).walk(x, depths), before + 1):
+                    own += values.T
+                    if t in trees:
+                        at.append(own.copy())
+                more.append(at)
+            taken = np.concatenate([taken, *[m for at in zip(*more) for m in at]], axis=1)  # by trees, split, depth
+            yield pa.RecordBatch.from_arrays([batch["y"], batch["x"], _lists(total), _lists(taken)], ["y", "x", "total", "taken"])
+
+    out = cut_lineage(state.mapInArrow(run, "y int, x array<double>, total array<double>, taken array<double>"))
+    sent.destroy()
+    return out
+
+
+def forest_scores(held_out: DataFrame, parts: Iterator[tuple[int, DataFrame]], leaf: int, fold: int, grid: dict) -> DataFrame:
+    """One row per held-out row and setting: n_estimators, max_depth, min_samples_split, min_samples_leaf, fold, y, p1.  The parts of the
+    forest (trees before, node table) are put to the rows as they come."""
+    limits = {d: min(d or DEEPEST, DEEPEST) for d in grid["max_depth"]}
+    splits, depths, trees = list(grid["min_samples_split"]), sorted(set(limits.values())), sorted(set(grid["n_estimators"]))
+    state = held_out.select(F.col("label").cast("int").alias("y"), vector_to_array("features").alias("x"),
+                            F.array_repeat(F.lit(0.0), len(splits) * len(depths)).alias("total"), F.array().cast("array<double>").alias("taken"))
+    for before, nodes in parts:
+        state = _added(state, Forest.of(nodes), before, splits, depths, trees)
+    whole = [F.struct(F.lit(t).alias("n_estimators"), F.lit(d).cast("int").alias("max_depth"), F.lit(split).alias("min_samples_split"),
+                      (F.get("taken", (i * len(splits) + j) * len(depths) + depths.index(limit)) / t).alias("p1"))
+             for i, t in enumerate(trees) for j, split in enumerate(splits) for d, limit in limits.items()]
+    return state.select("y", F.explode(F.array(*whole)).alias("s")).select(
+        "s.n_estimators", "s.max_depth", "s.min_samples_split", F.lit(leaf).alias("min_samples_leaf"), F.lit(fold).alias("fold"), "y", "s.p1")
 
 
 def _all_folds(folded: DataFrame, folds: int, settings: Sequence, fit: Callable, parallel: int) -> DataFrame:
@@ -178,13 +227,14 @@ def _all_folds(folded: DataFrame, folds: int, settings: Sequence, fit: Callable,
     return out
 
 
-def search_forest(folded: DataFrame, folds: int, grid: dict = FOREST_GRID, parallel: int = 4, seed: int = SEED) -> DataFrame:
-    """Scores of every setting on every fold's held-out rows; ``folded`` has features (vector), label (0 or 1) and fold.  Whole grid, one fit per
-    leaf size and fold."""
+def search_forest(folded: DataFrame, folds: int, grid: dict = FOREST_GRID, parallel: int = 4, seed: int = SEED, nodes: int = NODES) -> DataFrame:
+    """Scores of every setting on every fold's held-out rows; ``folded`` has features (vector), label (0 or 1) and fold.  Whole grid, one forest per
+    leaf size and fold, grown in parts of about ``nodes`` nodes."""
     deepest = max(min(d or DEEPEST, DEEPEST) for d in grid["max_depth"])
 
     def fit(train: DataFrame, held_out: DataFrame, leaf: int, fold: int) -> DataFrame:
-        return forest_scores(held_out, fit_forest(train, max(grid["n_estimators"]), deepest, leaf, seed), leaf, fold, grid)
+        parts = grown(train, _balanced_forest(deepest, leaf), max(grid["n_estimators"]), deepest, seed, nodes)
+        return forest_scores(held_out, parts, leaf, fold, grid)
 
     return _all_folds(folded, folds, grid["min_samples_leaf"], fit, parallel)
 
