@@ -177,3 +177,12 @@ def test_importances_of_a_forest_in_parts(spark, tables):
     one = forest.node_table(spark, models.random_forest(12, 6).fit(train).stages[-1])
     assert whole.exceptAll(one).isEmpty() and one.exceptAll(whole).isEmpty()  # a small forest is one fit, as before
     assert forest.importances(parts, [f"f{i}" for i in range(6)]).orderBy("rank").first().feature == "f0"
+
+
+@pytest.mark.parametrize("rows, parts", [(500, 1), (8_000, 1), (20_000, 3)])
+def test_fit_tables_are_spread_by_rows(spark, rows, parts):
+    """Before, one task had up to 50,000 rows of a fit, and every level walked all trees again."""
+    df = models.packed(spark.range(0, rows, 1, 2))
+    assert df.rdd.getNumPartitions() == parts
+    assert df.agg(F.count("id"), F.countDistinct("id"), F.sum("id")).first()[:] == (rows, rows, rows * (rows - 1) // 2)
+    assert models.random_forest().getStages()[-1].getCacheNodeIds()

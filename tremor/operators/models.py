@@ -54,7 +54,7 @@ def random_forest(num_trees: int = RF_TREES, max_depth: int = RF_DEPTH, min_leaf
                   weight_col: str | None = "weight", seed: int = SEED) -> Pipeline:
     """M2: random forest (balanced weights)."""
     rf = RandomForestClassifier(featuresCol="scaled", labelCol="label", numTrees=num_trees, maxDepth=max_depth,
-                                minInstancesPerNode=min_leaf, seed=seed,
+                                minInstancesPerNode=min_leaf, seed=seed, cacheNodeIds=True,  # else every level walks every tree again for every row
                                 **({"weightCol": weight_col} if weight_col else {}))
     return Pipeline(stages=[_scaler(), rf])
 
@@ -86,17 +86,19 @@ def compare(fitted: dict[str, PipelineModel], test: DataFrame, threshold: float
         metrics.roc_auc(scored, "y", "p1", by=["model"]).select("model", "roc_auc"), "model")
 
 
-def packed(df: DataFrame, rows: int = 50_000) -> DataFrame:
-    """Kept in memory in no more partitions than the rows ask for: a fit reads its table hundreds of times, and on a small one the tasks
-    cost more than the rows.  Large tables stay as they are."""
+def packed(df: DataFrame, rows: int = 50_000, least: int = 8_000, parts: int = 16) -> DataFrame:
+    """Kept in memory in as many partitions as the rows ask for: a fit reads its table hundreds of times, and on a small one the tasks
+    cost more than the rows.  Partitions of ``least`` rows, up to ``parts`` of them; beyond, of up to ``rows`` rows (a level of a forest sums
+    the statistics of all its nodes once per partition)."""
     kept = df.persist()
-    parts = max(1, -(-kept.count() // rows))
-    if parts >= kept.rdd.getNumPartitions():
+    n = kept.count()
+    wanted = max(1, -(-n // rows), min(parts, -(-n // least)))
+    if wanted == kept.rdd.getNumPartitions():
         return kept
-    small = kept.coalesce(parts).persist()
-    small.count()
+    dealt = (kept.coalesce(1) if wanted == 1 else kept.repartition(wanted)).persist()
+    dealt.count()
     kept.unpersist()
-    return small
+    return dealt
 
 
 def fit_all(pipelines: dict[str, Pipeline], train: DataFrame) -> dict[str, PipelineModel]:

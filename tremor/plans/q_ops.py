@@ -184,8 +184,8 @@ def q_feature_importance(spark, sf_dir):
     """Random-forest importances of the 64 embedding dimensions (NULL counts as 0), fitted to all rows, top 20."""
     table = _vectors(spark, sf_dir).withColumn("vec", F.transform("vec", lambda x: F.coalesce(x, F.lit(0.0))))
     rows = models.packed(models.prepare_training(table.withColumn("features", array_to_vector("vec")), "y"))
-    fitted = models.random_forest().fit(rows)
-    return forest.importances(forest.node_table(spark, fitted.stages[-1]), [f"dim_{i}" for i in range(64)], top_n=20)
+    nodes = forest.forest_nodes(rows, lambda trees, seed: models.random_forest(trees, seed=seed), models.RF_TREES, models.RF_DEPTH)
+    return forest.importances(nodes, [f"dim_{i}" for i in range(64)], top_n=20)
 
 
 @register("model_scoring", note="Spark ML fit: behaviour checked in tests")
