@@ -23,8 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.operators.cleaning import unpivot
 from tremor.operators.ordering import DEFAULT_BLOCK_ROWS, prefix_sums, with_sample_index
+from tremor.session import cut_lineage
 
 NEIGHBOURS = 3
 _SHIFT = 6
@@ -107,10 +107,15 @@ def mutual_information(df: DataFrame, cols: Sequence[str], label: str, neighbour
     if block_rows < 2 * neighbours:
         raise ValueError("a block must hold the neighbours of both sides")
     rows = df.where(F.col(label).isNotNull()).withColumn("__class", F.col(label))
-    long = unpivot(rows, cols, keys=["__class"]).withColumn("value", F.coalesce("value", F.lit(0.0)) + F.lit(0.0))
-    cells = long.groupBy("feature", "__class", "value").agg(F.count(F.lit(1)).alias("n"))
+    # the rows are read once, for the counts; all the rest reads those.  Counting by numbers is cheaper than by a name in a long table
+    counted = None
+    for c in cols:
+        value = F.coalesce(F.col(c).cast("double"), F.lit(0.0)) + F.lit(0.0)
+        own = rows.groupBy("__class", value.alias("value")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("feature"), "__class", "value", "n")
+        counted = own if counted is None else counted.unionByName(own)
+    cells = cut_lineage(counted)
     # class sizes: as many rows as there are classes and features
-    sizes = long.groupBy("feature", "__class").agg(F.count(F.lit(1)).alias("n_c")).where("n_c > 1")
+    sizes = cells.groupBy("feature", "__class").agg(F.sum("n").alias("n_c")).where("n_c > 1")
     cells = cells.join(sizes, ["feature", "__class"])
     near = _with_neighbours(cells, ["feature", "__class"], neighbours, block_rows)
     k = F.least(F.lit(neighbours), F.col("n_c") - 1).cast("int")
