@@ -186,3 +186,104 @@ def test_fit_tables_are_spread_by_rows(spark, rows, parts):
     assert df.rdd.getNumPartitions() == parts
     assert df.agg(F.count("id"), F.countDistinct("id"), F.sum("id")).first()[:] == (rows, rows, rows * (rows - 1) // 2)
     assert models.random_forest().getStages()[-1].getCacheNodeIds()
+
+
+def test_tasks_grow_the_search_of_larger_tables(tables, monkeypatch):
+    """Before, every level of every part of every forest was a job of Spark's, and model_tuning over 1 GB did not end in time."""
+    train, _ = tables
+    folded = models.stratified_folds(train.drop("weight"), "y", "id", 3).select("features", "label", "fold").persist()
+    grid = {"n_estimators": [20, 60], "max_depth": [3, None], "min_samples_split": [2, 40], "min_samples_leaf": [1, 9]}
+    fitted = {tuple(r[c] for c in grid): r for r in forest.recall_per_setting(forest.search_forest(folded, 3, grid), list(grid)).collect()}
+
+    def none(*_):
+        raise AssertionError("a fit of Spark's")
+
+    monkeypatch.setattr(forest, "grown", none)
+    scores = forest.search_forest(folded, 3, grid, least=1)
+    rows = scores.groupBy(*grid, "fold", "y").count().collect()
+    want = {(r.fold, int(r.label)): r["count"] for r in folded.groupBy("fold", "label").count().collect()}
+    assert len(rows) == 16 * len(want) and all(r["count"] == want[r.fold, r.y] for r in rows)
+    got = forest.recall_per_setting(scores, list(grid)).collect()
+    assert {tuple(r[c] for c in grid) for r in got} == set(fitted) and all(r.folds == 3 for r in got)
+    assert all(r.cv_recall == pytest.approx(fitted[tuple(r[c] for c in grid)].cv_recall, abs=0.15) for r in got)
+    assert np.mean([r.cv_recall for r in got]) == pytest.approx(np.mean([r.cv_recall for r in fitted.values()]), abs=0.05)
+    again = forest.search_forest(folded.repartition(5).persist(), 3, grid, least=1)  # the rows in other places
+    assert again.exceptAll(scores).isEmpty() and scores.exceptAll(again).isEmpty()
+    with pytest.raises(Exception, match="must not be null"):
+        forest.search_forest(folded.withColumn("label", F.when(F.col("fold") > 0, F.col("label"))), 3, grid, least=1)
+
+
+def plain_tree(codes, y, copies, weights, leaf, depth, at):
+    """All splits of a node tried one by one; (rows, share, left, right, feature, bin)."""
+    def sums(own):
+        return sum(copies[i] for i in own), sum(copies[i] * y[i] for i in own)
+
+    def part(n, n1):
+        a, b = weights[0] * (n - n1), weights[1] * n1
+        return a, b, a * b / (a + b)
+
+    n, n1 = sums(at)
+    a, b, whole = part(n, n1)
+    out = (n, b / (a + b))
+    best = None
+    for f in range(codes.shape[1]) if depth and 0 < n1 < n else ():
+        for cut in range(forest.groves.BINS - 1):
+            own = [i for i in at if codes[i, f] <= cut]
+            left, left1 = sums(own)
+            if min(left, n - left) >= leaf:
+                rest = part(left, left1)[2] + part(n - left, n1 - left1)[2]
+                if whole - rest > 1e-12 * (a + b) and (best is None or rest < best[0] - 1e-12):
+                    best = rest, f, cut
+    if best:
+        _, f, cut = best
+        two = [plain_tree(codes, y, copies, weights, leaf, depth - 1, [i for i in at if (codes[i, f] <= cut) == side]) for side in (True, False)]
+        if len(two[0]) > 2 or len(two[1]) > 2 or (two[0][1] > 0.5) != (two[1][1] > 0.5):
+            return *out, *two, f, cut
+    return out
+
+
+@pytest.mark.parametrize("leaf, depth, chunk", [(1, 30, 2048), (4, 30, 2), (2, 3, 1)])
+def test_grown_tree_equals_a_plain_one(monkeypatch, leaf, depth, chunk):
+    monkeypatch.setattr(forest.groves, "CHUNK", chunk)
+    r = np.random.default_rng(5)
+    codes = r.integers(0, 32, (90, 2)).astype(np.uint8)  # two features: both are drawn for every node
+    y = ((codes[:, 0] > 12) & (codes[:, 1] < 20) ^ (r.random(90) < 0.1)).astype(float)
+    weights = (0.7, 1.9)
+    tree = forest.groves.grow(codes, y, weights, leaf, depth, np.random.default_rng([42, leaf]))
+    copies = np.random.default_rng([42, leaf]).poisson(1.0, 90)
+    plain = plain_tree(codes, y, copies, weights, leaf, depth, [i for i in range(90) if copies[i]])
+
+    def same(node, at):
+        assert tree.rows[at] == node[0] and tree.value[at] == pytest.approx(node[1])
+        if len(node) == 2:
+            assert tree.left[at] == at == tree.right[at]
+            return 1
+        assert (tree.feature[at], tree.bin[at]) == node[4:]
+        return same(node[2], tree.left[at]) + same(node[3], tree.right[at])
+
+    assert same(plain, 0) >= 4
+    for limits, split in itertools.product(([1, 2, 30], [3]), (2, 8, 25)):
+        says = tree.values_from(split)
+        for limit, place in zip(limits, tree.places(codes, limits)):
+            for i, code in enumerate(codes):
+                node, steps = plain, 0
+                while len(node) > 2 and steps < limit and node[0] >= split:
+                    node, steps = node[2 if code[node[4]] <= node[5] else 3], steps + 1
+                assert says[place[i]] == pytest.approx(node[1])
+
+
+def test_split_points_follow_sparks_rule():
+    points = forest.groves.split_points
+    assert points(np.array([1.0, 3.0, 1.0, 9.0]), np.ones(4)).tolist() == [2.0, 6.0]
+    assert points(np.array([7.0, 7.0]), np.ones(2)).tolist() == []
+    r = np.random.default_rng(2)
+    values, weights = np.round(r.gamma(2.0, size=4000), 2), r.choice([0.6, 5.0], 4000)
+    distinct = np.unique(values)
+    w = [weights[values == v].sum() for v in distinct]
+    stride, so_far, target, want = weights.sum() / 32, w[0], weights.sum() / 32, []
+    for i in range(1, len(distinct)):
+        before, so_far = so_far, so_far + w[i]
+        if abs(before - target) < abs(so_far - target):
+            want.append((distinct[i - 1] + distinct[i]) / 2)
+            target += stride
+    assert len(want) > 25 and points(values, weights).tolist() == pytest.approx(want)

@@ -12,7 +12,8 @@ fold's own training rows.
 
 A fit keeps its trees on the driver, and on noisy data their size grows with the rows.  So a forest that may have more than ``NODES``
 nodes is grown some trees at a time (:func:`grown`): each part is turned into rows, or put to the held-out rows, whose sums over the
-trees so far travel with them, and let go before the next.
+trees so far travel with them, and let go before the next.  The forests of the search go through Spark's fit only on tables that are small or
+too large for a task; between, tasks grow their trees (:mod:`tremor.operators.groves`), by the same rules and from draws of their own.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tremor.operators import groves
 from tremor.operators.prepare import with_class_weight
 from tremor.session import cut_lineage, ensure_checkpoint_dir, remove_folder
 
@@ -40,6 +42,7 @@ BOOSTED_GRID = {"max_depth": [5, 6, 7, 8], "learning_rate": [0.01, 0.05, 0.1, 0.
 DEEPEST = 30
 SEED = 42
 NODES = 100_000  # nodes that one fit grows, about
+GROVES = 1_000  # from so many rows on, tasks grow the trees of the search
 
 
 def node_table(spark: SparkSession, model) -> DataFrame:  # noqa: ANN001
@@ -227,10 +230,15 @@ def _all_folds(folded: DataFrame, folds: int, settings: Sequence, fit: Callable,
     return out
 
 
-def search_forest(folded: DataFrame, folds: int, grid: dict = FOREST_GRID, parallel: int = 4, seed: int = SEED, nodes: int = NODES) -> DataFrame:
+def search_forest(folded: DataFrame, folds: int, grid: dict = FOREST_GRID, parallel: int = 4, seed: int = SEED, nodes: int = NODES,
+                  least: int = GROVES, most: int = groves.HELD) -> DataFrame:
     """Scores of every setting on every fold's held-out rows; ``folded`` has features (vector), label (0 or 1) and fold.  Whole grid, one forest per
-    leaf size and fold, grown in parts of about ``nodes`` nodes."""
-    deepest = max(min(d or DEEPEST, DEEPEST) for d in grid["max_depth"])
+    leaf size and fold.  From ``least`` to ``most`` rows, tasks grow whole trees (:mod:`tremor.operators.groves`); else Spark fits the forests, in parts
+    of about ``nodes`` nodes."""
+    limits = {d: min(d or DEEPEST, DEEPEST) for d in grid["max_depth"]}
+    deepest = max(limits.values())
+    if least <= folded.count() <= most:
+        return groves.search(folded, folds, grid, deepest, seed, limits)
 
     def fit(train: DataFrame, held_out: DataFrame, leaf: int, fold: int) -> DataFrame:
         parts = grown(train, _balanced_forest(deepest, leaf), max(grid["n_estimators"]), deepest, seed, nodes)
